@@ -1,23 +1,31 @@
 from chronofold.functions.columns import (
     OPEN_END,
+    OPEN_END_SQL,
     any_differs,
+    any_null,
     ascending_or_descending,
     col_of,
     keys_equal,
-    open_end,
+    keys_same,
     quoted,
+    ref,
     row_bytes,
     stable_salt,
+    text,
 )
 
 __all__ = [
     "OPEN_END",
+    "OPEN_END_SQL",
     "any_differs",
+    "any_null",
     "ascending_or_descending",
     "col_of",
     "keys_equal",
-    "open_end",
+    "keys_same",
     "quoted",
+    "ref",
     "row_bytes",
     "stable_salt",
+    "text",
 ]

@@ -1,19 +1,18 @@
-"""Column expressions used by several operators."""
+"""Column expressions used by several operators.
+
+Longer conditions are written as one SQL expression: the same tree for Catalyst, and one call
+to the JVM in place of one per function.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, functions as F, types as T
 
 # Fixed value: the end date of a version that is still open.
 OPEN_END = "9999-12-31"
-
-
-def open_end() -> Column:
-    return F.lit(OPEN_END).cast("date")
+OPEN_END_SQL = f"DATE'{OPEN_END}'"
 
 
 def quoted(name: str) -> str:
@@ -21,17 +20,37 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def ref(name: str, relation: str | None = None) -> str:
+    """A column as SQL text, of the relation with that alias if one is named."""
+    return f"{relation}.{quoted(name)}" if relation else quoted(name)
+
+
 def col_of(name: str, relation: str | None = None) -> Column:
-    return F.col(f"{relation}.{quoted(name)}" if relation else quoted(name))
+    return F.col(ref(name, relation))
+
+
+def text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def keys_equal(keys: Sequence[str], left: str, right: str) -> Column:
-    return reduce(and_, (col_of(k, left) == col_of(k, right) for k in keys))
+    return F.expr(" AND ".join(f"{ref(k, left)} = {ref(k, right)}" for k in keys))
+
+
+def keys_same(keys: Sequence[str], left: str, right: str) -> Column:
+    """As ``keys_equal``, with nulls equal to each other."""
+    return F.expr(" AND ".join(f"{ref(k, left)} <=> {ref(k, right)}" for k in keys))
+
+
+def any_differs(columns: Sequence[str], left: str, right: str) -> str:
+    """SQL that is true when any column differs, two nulls taken as equal; never null."""
+    same = " AND ".join(f"{ref(c, left)} <=> {ref(c, right)}" for c in columns)
+    return f"(NOT ({same}))"
 
 
-def any_differs(columns: Sequence[str], left: str, right: str) -> Column:
-    """True when any of the columns differs, taking two nulls as equal; never null."""
-    return reduce(or_, (~col_of(c, left).eqNullSafe(col_of(c, right)) for c in columns))
+def any_null(columns: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"{ref(c)} IS NULL" for c in columns) + ")"
 
 
 def ascending_or_descending(order: Mapping[str, str]) -> list[Column]:
@@ -42,24 +61,22 @@ def ascending_or_descending(order: Mapping[str, str]) -> list[Column]:
     return [col_of(c).desc() if d == "desc" else col_of(c).asc() for c, d in order.items()]
 
 
-def stable_salt(columns: Sequence[str], salts: Column, relation: str | None = None) -> Column:
-    """A number below ``salts`` that a retried task computes again for the same row.
+def stable_salt(columns: Sequence[str], salts: str, relation: str | None = None) -> str:
+    """SQL for a number below ``salts`` that a retried task computes again for the same row.
 
     The input partition is hashed in too, so that many identical rows still spread. A row's
     partition, unlike its position there, is the same when a lost task runs again.
     """
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *[col_of(c, relation) for c in columns]), salts)
+    hashed = ", ".join(["spark_partition_id()", *[ref(c, relation) for c in columns]])
+    return f"pmod(xxhash64({hashed}), {salts})"
 
 
 def row_bytes(schema: T.StructType) -> Column:
     """Approximate in-memory width of a row: 8 bytes per field and all variable-length content."""
-    fixed = 16 + 8 * len(schema.fields)
-    parts = [F.lit(fixed).cast("bigint")]
+    parts = [f"{16 + 8 * len(schema.fields)}L"]
     for field in schema.fields:
-        column = col_of(field.name)
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint"))
+            parts.append(f"coalesce(octet_length({ref(field.name)}), 0)")
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            text = F.to_json(F.array(column))
-            parts.append(F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint"))
-    return reduce(lambda a, b: a + b, parts)
+            parts.append(f"octet_length(to_json(array({ref(field.name)})))")
+    return F.expr(" + ".join(parts))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from chronofold.functions import col_of, keys_equal
+from chronofold.functions import col_of, keys_equal, quoted, ref
 from chronofold.operators.dedup import keep_latest
 from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if, measure_by_key
 
@@ -38,8 +38,11 @@ def prepare_batch(
     return batch, size.fits(broadcast_bytes)
 
 
-def as_expression(value: Column | str) -> Column:
-    return F.expr(value) if isinstance(value, str) else value
+def _in_type(value: Column | str, field: T.StructField) -> Column:
+    """An expression over ``t`` and ``s`` cast to a target column."""
+    if isinstance(value, str):
+        return F.expr(f"cast(({value}) as {field.dataType.simpleString()}) as {quoted(field.name)}")
+    return value.cast(field.dataType).alias(field.name)
 
 
 def merge_update(
@@ -82,12 +85,7 @@ def merge_upsert(
     added = (
         batch.alias("s")
         .join(present.alias("p"), keys_equal(on, "s", "p"), "left_anti")
-        .select(
-            *[
-                as_expression(values.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name)
-                for f in target.schema.fields
-            ]
-        )
+        .select(*[_in_type(values.get(f.name, "null"), f) for f in target.schema.fields])
     )
     return _updated(target, batch, on, set, None, small).unionByName(added)
 
@@ -102,13 +100,13 @@ def scd1_apply(
 ) -> DataFrame:
     """Overwrite ``columns`` (all but the keys by default) without history; add new keys."""
     columns = list(columns or [c for c in target.columns if c not in keys])
-    given = {c: col_of(c, "s") for c in columns}
+    given = {c: ref(c, "s") for c in columns}
     return merge_upsert(
         target,
         batch,
         keys,
         set=given,
-        values={**{k: col_of(k, "s") for k in keys}, **given},
+        values={**{k: ref(k, "s") for k in keys}, **given},
         order=order,
         broadcast_bytes=broadcast_bytes,
     )
@@ -133,18 +131,14 @@ def _updated(target, batch, on, set, when, small) -> DataFrame:
     unknown = [c for c in set if c not in target.columns]
     if unknown:
         raise ValueError(f"set names columns the target does not have: {unknown}")
-    source = broadcast_if(small, batch.withColumn(MATCHED, F.lit(True)))
-    applies = col_of(MATCHED, "s")
+    source = broadcast_if(small, batch.withColumn(MATCHED, F.lit(True))).alias("s")
+    applies = F.expr(f"coalesce(s.{MATCHED}, false)")
     if when is not None:
-        applies = applies & as_expression(when)
-    columns = []
-    for field in target.schema.fields:
-        old = col_of(field.name, "t")
-        if field.name in set:
-            new = as_expression(set[field.name]).cast(field.dataType)
-            columns.append(F.when(applies, new).otherwise(old).alias(field.name))
-        else:
-            columns.append(old)
-    return (
-        target.alias("t").join(source.alias("s"), keys_equal(on, "t", "s"), "left").select(*columns)
-    )
+        applies = applies & (F.expr(when) if isinstance(when, str) else when)
+    columns = [
+        F.when(applies, _in_type(set[f.name], f)).otherwise(col_of(f.name, "t")).alias(f.name)
+        if f.name in set
+        else col_of(f.name, "t")
+        for f in target.schema.fields
+    ]
+    return target.alias("t").join(source, keys_equal(on, "t", "s"), "left").select(*columns)

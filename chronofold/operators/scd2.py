@@ -11,10 +11,18 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
-
-from chronofold.functions import any_differs, col_of, keys_equal, open_end
-from chronofold.operators.merge import keys_present, merge_update, prepare_batch
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from chronofold.functions import (
+    OPEN_END_SQL,
+    any_differs,
+    any_null,
+    col_of,
+    keys_equal,
+    ref,
+    text,
+)
+from chronofold.operators.merge import merge_update, prepare_batch
 from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if
 
 ACTION = "action"
@@ -51,14 +59,11 @@ def pinned_date(spark: SparkSession, as_of: dt.date | None = None) -> dt.date:
 
 def scd2_rejects(batch: DataFrame, dim: Dimension) -> DataFrame:
     """Batch rows that cannot be placed because a key column is null."""
-    return batch.where(_null_key(dim))
+    return batch.where(any_null(dim.keys))
 
 
-def _null_key(dim: Dimension) -> Column:
-    condition = F.lit(False)
-    for key in dim.keys:
-        condition = condition | col_of(key).isNull()
-    return condition
+def _placeable(batch: DataFrame, dim: Dimension) -> DataFrame:
+    return batch.where(f"NOT {any_null(dim.keys)}")
 
 
 def clean_batch(
@@ -77,8 +82,9 @@ def clean_batch(
     missing = [f.name for f in attributes if f.name not in batch.columns]
     if missing:
         raise ValueError(f"the batch lacks columns of the dimension: {missing}")
-    rows, small = prepare_batch(batch.where(~_null_key(dim)), dim.keys, order, broadcast_bytes)
-    return rows.select(*[col_of(f.name).cast(f.dataType).alias(f.name) for f in attributes]), small
+    rows, small = prepare_batch(_placeable(batch, dim), dim.keys, order, broadcast_bytes)
+    typed = [f"cast({ref(f.name)} as {f.dataType.simpleString()}) as {ref(f.name)}" for f in attributes]
+    return rows.selectExpr(*typed), small
 
 
 def scd2_classify(
@@ -100,26 +106,24 @@ def scd2_classify(
 
 def _classify(target: DataFrame, rows: DataFrame, dim: Dimension, small: bool) -> DataFrame:
     source = broadcast_if(small, rows.select(*dim.keys, *dim.tracked))
-    current = col_of(dim.current, "t")
+    current = ref(dim.current, "t")
     found = (
         target.alias("t")
         .join(source.alias("s"), keys_equal(dim.keys, "t", "s"))
         .groupBy(*[col_of(k, "t") for k in dim.keys])
         .agg(
-            F.max(current).alias("__current"),
-            F.max(current & any_differs(dim.tracked, "t", "s")).alias("__differs"),
+            F.expr(f"bool_or({current}) as __current"),
+            F.expr(f"bool_or({current} and {any_differs(dim.tracked, 't', 's')}) as __differs"),
         )
     )
-    change = (
-        F.when(F.col("h.__current").isNull(), "new")
-        .when(~F.col("h.__current"), "closed_only")
-        .when(F.col("h.__differs"), "changed")
-        .otherwise("unchanged")
+    change = F.expr(
+        "case when h.__current is null then 'new' when not h.__current then 'closed_only' "
+        f"when h.__differs then 'changed' else 'unchanged' end as {CHANGE}"
     )
     return (
         rows.alias("s")
         .join(found.alias("h"), keys_equal(dim.keys, "s", "h"), "left")
-        .select("s.*", change.alias(CHANGE))
+        .select("s.*", change)
     )
 
 
@@ -136,15 +140,15 @@ def scd2_new(target, batch, dim, **options) -> DataFrame:
 def scd2_metrics(classified: DataFrame) -> DataFrame:
     """One row of counts from ``scd2_classify``."""
 
-    def count_of(kind: str, name: str) -> Column:
-        return F.count_if(F.col(CHANGE) == kind).alias(name)
-
+    counted = {
+        "expired": "changed",
+        "inserted_changed": "changed",
+        "inserted_new": "new",
+        "closed_skipped": "closed_only",
+        "unchanged": "unchanged",
+    }
     return classified.agg(
-        count_of("changed", "expired"),
-        count_of("changed", "inserted_changed"),
-        count_of("new", "inserted_new"),
-        count_of("closed_only", "closed_skipped"),
-        count_of("unchanged", "unchanged"),
+        *[F.expr(f"count_if({CHANGE} = '{kind}') as {name}") for name, kind in counted.items()]
     )
 
 
@@ -159,10 +163,10 @@ def scd2_expire(
     """All target rows; current versions that the batch changes end on ``as_of`` - 1."""
     return merge_update(
         target,
-        batch.where(~_null_key(dim)),
+        _placeable(batch, dim),
         dim.keys,
-        set={dim.end: F.date_sub(F.lit(as_of), 1), dim.current: F.lit(False)},
-        when=col_of(dim.current, "t") & any_differs(dim.tracked, "t", "s"),
+        set={dim.end: _day_before(as_of), dim.current: "false"},
+        when=f"{ref(dim.current, 't')} and {any_differs(dim.tracked, 't', 's')}",
         order=order,
         broadcast_bytes=broadcast_bytes,
     )
@@ -170,9 +174,16 @@ def scd2_expire(
 
 def scd2_open_rows(batch: DataFrame, dim: Dimension, as_of: dt.date) -> DataFrame:
     """Batch rows as versions that are current from ``as_of``."""
-    return batch.withColumns(
-        {dim.start: F.lit(as_of), dim.end: open_end(), dim.current: F.lit(True)}
-    )
+    opened = {dim.start: _day(as_of), dim.end: OPEN_END_SQL, dim.current: "true"}
+    return batch.withColumns({name: F.expr(value) for name, value in opened.items()})
+
+
+def _day(date: dt.date) -> str:
+    return f"DATE'{date.isoformat()}'"
+
+
+def _day_before(date: dt.date) -> str:
+    return _day(date - dt.timedelta(days=1))
 
 
 def scd2_apply(
@@ -229,92 +240,98 @@ def scd2_actions(
     as_of = pinned_date(target.sparkSession, as_of)
     rows, small = clean_batch(target, batch, dim, order, broadcast_bytes)
     rows = rows.withColumn("__s", F.lit(True))
-    current = target.where(col_of(dim.current)).withColumn("__t", F.lit(True))
-    closed = target.where(~col_of(dim.current))
-    past = keys_present(closed, rows, dim.keys, small)
+    current = target.where(col_of(dim.current)).withColumn("__t", F.lit(True)).alias("t")
     same_key = keys_equal(dim.keys, "t", "s")
     versions = _Versions(target, dim, as_of)
     from_current = versions.from_current(same_day)
     from_unknown = versions.from_unknown(reopen_closed)
     if small:
-        known = keys_present(current, rows, dim.keys, small)
-        unknown = rows.join(known, list(dim.keys), "left_anti")
-        matched = current.alias("t").join(F.broadcast(rows).alias("s"), same_key, "left")
-        return matched.select(F.inline(from_current)).unionByName(
-            _flag_past(unknown, past, dim).alias("s").select(F.inline(from_unknown))
+        matched = current.join(F.broadcast(rows).alias("s"), same_key, "left")
+        unknown = _with_past(rows, _known_keys(target, rows, dim), dim).where("not __open")
+        return matched.selectExpr(f"inline({from_current})").unionByName(
+            unknown.alias("s").selectExpr(f"inline({from_unknown})")
         )
-    joined = current.alias("t").join(_flag_past(rows, past, dim).alias("s"), same_key, "full_outer")
-    either = F.when(F.col("t.__t").isNull(), from_unknown).otherwise(from_current)
-    return joined.select(F.inline(either))
+    past = target.where(~col_of(dim.current)).select(*[col_of(k) for k in dim.keys]).distinct()
+    flagged = _with_past(rows, past.withColumn("__open", F.lit(False)), dim)
+    joined = current.join(flagged.alias("s"), same_key, "full_outer")
+    return joined.selectExpr(f"inline(if(t.__t is null, {from_unknown}, {from_current}))")
+
+
+def _known_keys(target: DataFrame, rows: DataFrame, dim: Dimension) -> DataFrame:
+    """The keys of a small batch that the dimension has, and whether one has a current version.
+
+    Reads the key columns and the flag. Keys are combined in the map tasks first, so a long
+    history costs one row per task.
+    """
+    keys = [col_of(k) for k in dim.keys]
+    return (
+        target.select(*keys, col_of(dim.current))
+        .join(F.broadcast(rows.select(*keys)), list(dim.keys), "left_semi")
+        .groupBy(*keys)
+        .agg(F.expr(f"bool_or({ref(dim.current)}) as __open"))
+    )
 
 
-def _flag_past(rows: DataFrame, past: DataFrame, dim: Dimension) -> DataFrame:
-    return rows.join(past.withColumn("__past", F.lit(True)), list(dim.keys), "left").fillna(
-        False, ["__past"]
+def _with_past(rows: DataFrame, known: DataFrame, dim: Dimension) -> DataFrame:
+    """Batch rows with ``__past`` (the key is known) and ``__open`` (it has a current version)."""
+    return rows.join(known, list(dim.keys), "left").selectExpr(
+        *[ref(c) for c in rows.columns],
+        "__open is not null as __past",
+        "coalesce(__open, false) as __open",
     )
 
 
 class _Versions:
-    """The versions, as an array of structs, that a joined row of target and batch turns into."""
+    """SQL for the versions, an array of structs, that a joined row of ``t`` and ``s`` gives."""
 
     def __init__(self, target: DataFrame, dim: Dimension, as_of: dt.date):
         self.fields = target.schema.fields
         self.dim = dim
-        self.as_of = F.lit(as_of)
+        self.as_of = as_of
 
-    def version(self, action: str, relation: str, changes: Mapping[str, Column] = {}) -> Column:
-        columns = [
-            changes.get(f.name, col_of(f.name, relation)).cast(f.dataType).alias(f.name)
-            for f in self.fields
-        ]
-        return F.struct(*columns, F.lit(action).alias(ACTION))
+    def version(self, action: str, relation: str, changes: Mapping[str, str] = {}) -> str:
+        parts = [f"{text(ACTION)}, {text(action)}"]
+        for field in self.fields:
+            value = changes.get(field.name, ref(field.name, relation))
+            parts.append(f"{text(field.name)}, cast({value} as {field.dataType.simpleString()})")
+        return f"named_struct({', '.join(parts)})"
 
-    def opened(self, action: str) -> Column:
+    def opened(self, action: str) -> str:
         dim = self.dim
-        return self.version(
-            action,
-            "s",
-            {dim.start: self.as_of, dim.end: open_end(), dim.current: F.lit(True)},
-        )
+        opening = {dim.start: _day(self.as_of), dim.end: OPEN_END_SQL, dim.current: "true"}
+        return self.version(action, "s", opening)
 
-    def from_unknown(self, reopen_closed: bool) -> Column:
+    def from_unknown(self, reopen_closed: bool) -> str:
         """A batch row without a current version."""
-        past = F.array(self.opened("reopened"))
-        if not reopen_closed:
-            past = F.filter(past, lambda _: F.lit(False))
-        return F.when(F.col("s.__past"), past).otherwise(F.array(self.opened("new")))
+        new = f"array({self.opened('new')})"
+        past = f"array({self.opened('reopened')})" if reopen_closed else f"slice({new}, 1, 0)"
+        return f"if(s.__past, {past}, {new})"
 
-    def from_current(self, same_day: str) -> Column:
+    def from_current(self, same_day: str) -> str:
         """A current version, with its batch row if there is one."""
         dim = self.dim
-        copied = {c: col_of(c, "s") for c in dim.overwritten}
-        validity = {c: col_of(c, "t") for c in dim.validity()}
-        closing = {dim.end: F.date_sub(self.as_of, 1), dim.current: F.lit(False)}
-        start = col_of(dim.start, "t")
-        result = (
-            F.when(F.col("s.__s").isNull(), F.array(self.version("kept", "t")))
-            .when(
-                ~any_differs(dim.tracked, "t", "s"),
-                F.array(self.version("unchanged", "t", copied)),
-            )
-        )
+        start, day = ref(dim.start, "t"), _day(self.as_of)
+        copied = {c: ref(c, "s") for c in dim.overwritten}
+        validity = {c: ref(c, "t") for c in dim.validity()}
+        closing = {dim.end: _day_before(self.as_of), dim.current: "false"}
+        expired, changed = self.version("expired", "t", closing), self.opened("changed")
+        cases = [
+            ("s.__s is null", f"array({self.version('kept', 't')})"),
+            (
+                f"not {any_differs(dim.tracked, 't', 's')}",
+                f"array({self.version('unchanged', 't', copied)})",
+            ),
+        ]
         if same_day != "keep":
-            result = result.when(
-                start > self.as_of,
-                F.raise_error(F.lit("the batch is dated before a current version it changes")),
-            )
+            message = "the batch is dated before a current version it changes"
+            cases.append((f"{start} > {day}", f"raise_error({text(message)})"))
         if same_day == "error":
-            result = result.when(
-                start == self.as_of,
-                F.raise_error(F.lit("a version changes again on the day it started")),
-            )
+            message = "a version changes again on the day it started"
+            cases.append((f"{start} = {day}", f"raise_error({text(message)})"))
         if same_day == "replace":
-            result = result.when(
-                start == self.as_of, F.array(self.version("amended", "s", validity))
-            )
-        return result.otherwise(
-            F.array(self.version("expired", "t", closing), self.opened("changed"))
-        )
+            cases.append((f"{start} = {day}", f"array({self.version('amended', 's', validity)})"))
+        whens = " ".join(f"when {condition} then {result}" for condition, result in cases)
+        return f"case {whens} else array({expired}, {changed}) end"
 
 
 def scd2_check(df: DataFrame, dim: Dimension) -> DataFrame:
@@ -326,45 +343,33 @@ def scd2_check(df: DataFrame, dim: Dimension) -> DataFrame:
     Versions are first combined per key and start date in the map tasks. The window that
     looks for overlaps then sees at most one row per key and day, however long a history is.
     """
-    keys = [col_of(k) for k in dim.keys]
-    start, end, current = (col_of(c) for c in dim.validity())
-    flag_wrong = ~current.eqNullSafe(end == open_end())
-    days = df.groupBy(*keys, start.alias(dim.start)).agg(
-        F.count("*").alias("__rows"),
-        F.max(end).alias("__end"),
-        F.count_if(flag_wrong).alias("__flag"),
-        F.count_if(start > end).alias("__order"),
-        F.count_if(current).alias("__current"),
+    keys = [ref(k) for k in dim.keys]
+    start, end, current = (ref(c) for c in dim.validity())
+    days = df.groupBy(*keys, start).agg(
+        F.expr("count(*) as __rows"),
+        F.expr(f"max({end}) as __end"),
+        F.expr(f"count_if(not ({current} <=> ({end} = {OPEN_END_SQL}))) as __flag"),
+        F.expr(f"count_if({start} > {end}) as __order"),
+        F.expr(f"count_if({current}) as __current"),
     )
-    earlier = Window.partitionBy(*keys).orderBy(start)
-    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumns(
-        {
-            "__all_current": F.sum("__current").over(Window.partitionBy(*keys)),
-            "__earlier_end": F.max("__end").over(before),
-        }
+    by_key = ", ".join(keys)
+    earlier = f"partition by {by_key} order by {start} rows between unbounded preceding and 1 preceding"
+    days = days.selectExpr(
+        "*",
+        f"sum(__current) over (partition by {by_key}) as __all_current",
+        f"max(__end) over ({earlier}) as __earlier_end",
     )
-    rules = F.array(
-        _violation("current_flag", F.col("__flag")),
-        _violation("start_after_end", F.col("__order")),
-        _violation("several_current", F.when(F.col("__all_current") > 1, F.col("__current"))),
-        _violation(
-            "overlap",
-            F.when(
-                (F.col("__rows") > 1) | (F.col("__earlier_end") >= start), F.col("__rows")
-            ),
-        ),
-    )
-    return (
-        days.select(*keys, start, F.inline(rules))
-        .where(F.col("versions") > 0)
-    )
-
-
-def _violation(rule: str, versions: Column) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule"), F.coalesce(versions, F.lit(0)).cast("bigint").alias("versions")
+    rules = {
+        "current_flag": "__flag",
+        "start_after_end": "__order",
+        "several_current": "if(__all_current > 1, __current, 0)",
+        "overlap": f"if(__rows > 1 or coalesce(__earlier_end >= {start}, false), __rows, 0)",
+    }
+    found = ", ".join(
+        f"named_struct('rule', '{rule}', 'versions', cast({versions} as bigint))"
+        for rule, versions in rules.items()
     )
+    return days.selectExpr(*keys, start, f"inline(array({found}))").where("versions > 0")
 
 
 def scd2_ordered(df: DataFrame, dim: Dimension) -> DataFrame:

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronofold.functions import col_of, stable_salt
+from chronofold.functions import col_of, keys_same, stable_salt
 from chronofold.operators.sizing import BROADCAST_BYTES, measure
 from chronofold.sources.scratch import freeze
 
@@ -61,20 +59,17 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError("a salted join is 'inner' or 'left'")
     hot = freeze(hot_keys(big, on, rows_per_salt, share))
-    salts = F.col(f"h.{SALTS}")
-    left = _with_salts(big, hot, on).select(
-        "d.*",
-        F.when(salts.isNotNull(), stable_salt(big.columns, salts, "d")).otherwise(0).alias(SALT),
-    )
-    all_salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce(salts, F.lit(1)) - 1)
-    right = _with_salts(other, hot, on).select("d.*", F.explode(all_salts).alias(SALT))
+    salts = f"h.{SALTS}"
+    one = f"if({salts} is null, 0L, {stable_salt(big.columns, salts, 'd')}) as {SALT}"
+    left = _with_salts(big, hot, on).selectExpr("d.*", one)
+    every = f"explode(sequence(0L, coalesce({salts}, 1L) - 1)) as {SALT}"
+    right = _with_salts(other, hot, on).selectExpr("d.*", every)
     return left.join(right, [*on, SALT], how).drop(SALT)
 
 
 def _with_salts(df: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
     # Null-safe, so that null keys of an outer join, which match nothing, are spread as well.
-    match = reduce(and_, (col_of(k, "d").eqNullSafe(col_of(k, "h")) for k in on))
-    return df.alias("d").join(F.broadcast(hot).alias("h"), match, "left")
+    return df.alias("d").join(F.broadcast(hot).alias("h"), keys_same(on, "d", "h"), "left")
 
 
 def broadcast_join(

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from chronofold.functions import ascending_or_descending, col_of
+from chronofold.functions import ascending_or_descending, col_of, ref
 from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if, measure
 from chronofold.sources.scratch import freeze
 
@@ -61,9 +61,8 @@ def top_ranked(
     best = freeze(best)
     small = measure(best).fits(broadcast_bytes)
     # A struct of the columns is an ordinary join key in which nulls are equal.
-    match = F.struct(*[col_of(c, "r") for c in columns]) == F.struct(
-        *[col_of(c, "b") for c in columns]
-    )
+    left, right = (", ".join(ref(c, relation) for c in columns) for relation in "rb")
+    match = F.expr(f"struct({left}) = struct({right})")
     return (
         df.alias("r")
         .join(broadcast_if(small, best).alias("b"), match)
