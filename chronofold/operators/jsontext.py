@@ -78,7 +78,7 @@ def infer_json_schema(df: DataFrame, column: str) -> T.StructType:
 
 
 # Parts of a variant schema: quoted names are copied, type words are mapped.
-_VARIANT_PART = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bDECIMAL\(\d+,\s*\d+\)|\bVOID\b")
+_VARIANT_PART = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bDECIMAL\(\d+,\s*\d+\)|\bVOID\b(?!:)")
 
 
 def _as_ddl(variant_schema: str) -> str:

@@ -105,17 +105,27 @@ def scd2_classify(
 
 
 def _classify(target: DataFrame, rows: DataFrame, dim: Dimension, small: bool) -> DataFrame:
-    source = broadcast_if(small, rows.select(*dim.keys, *dim.tracked))
-    current = ref(dim.current, "t")
-    found = (
-        target.alias("t")
-        .join(source.alias("s"), keys_equal(dim.keys, "t", "s"))
-        .groupBy(*[col_of(k, "t") for k in dim.keys])
-        .agg(
-            F.expr(f"bool_or({current}) as __current"),
-            F.expr(f"bool_or({current} and {any_differs(dim.tracked, 't', 's')}) as __differs"),
+    keys = [col_of(k) for k in dim.keys]
+    flag = ref(dim.current, "t")
+    differs = any_differs(dim.tracked, "t", "s")
+    source = broadcast_if(small, rows.select(*dim.keys, *dim.tracked)).alias("s")
+    versions = target if small else target.where(col_of(dim.current))
+    seen = (
+        versions.alias("t")
+        .join(source, keys_equal(dim.keys, "t", "s"))
+        .selectExpr(
+            *[ref(k, "t") for k in dim.keys],
+            f"{flag} as __current",
+            f"{flag} and {differs} as __differs",
         )
     )
+    if not small:
+        # A long history must not meet the batch in one task: its keys are made distinct first.
+        past = target.where(~col_of(dim.current)).select(*keys).distinct()
+        seen = seen.unionByName(past.selectExpr("*", "false as __current", "false as __differs"))
+    found = seen.groupBy(*keys).agg(
+        F.expr("bool_or(__current) as __current"), F.expr("bool_or(__differs) as __differs")
+    )
     change = F.expr(
         "case when h.__current is null then 'new' when not h.__current then 'closed_only' "
         f"when h.__differs then 'changed' else 'unchanged' end as {CHANGE}"
@@ -240,21 +250,26 @@ def scd2_actions(
     as_of = pinned_date(target.sparkSession, as_of)
     rows, small = clean_batch(target, batch, dim, order, broadcast_bytes)
     rows = rows.withColumn("__s", F.lit(True))
-    current = target.where(col_of(dim.current)).withColumn("__t", F.lit(True)).alias("t")
+    current = target.where(col_of(dim.current)).withColumn("__t", F.lit(True))
     same_key = keys_equal(dim.keys, "t", "s")
     versions = _Versions(target, dim, as_of)
     from_current = versions.from_current(same_day)
     from_unknown = versions.from_unknown(reopen_closed)
     if small:
-        matched = current.join(F.broadcast(rows).alias("s"), same_key, "left")
+        matched = current.alias("t").join(F.broadcast(rows).alias("s"), same_key, "left")
         unknown = _with_past(rows, _known_keys(target, rows, dim), dim).where("not __open")
         return matched.selectExpr(f"inline({from_current})").unionByName(
             unknown.alias("s").selectExpr(f"inline({from_unknown})")
         )
     past = target.where(~col_of(dim.current)).select(*[col_of(k) for k in dim.keys]).distinct()
     flagged = _with_past(rows, past.withColumn("__open", F.lit(False)), dim)
-    joined = current.join(flagged.alias("s"), same_key, "full_outer")
-    return joined.selectExpr(f"inline(if(t.__t is null, {from_unknown}, {from_current}))")
+    keyed = current.where(f"not {any_null(dim.keys)}").alias("t")
+    joined = keyed.join(flagged.alias("s"), same_key, "full_outer")
+    # A null key matches nothing; left in the outer join, all of them would share one task.
+    keyless = current.where(any_null(dim.keys)).alias("t")
+    return joined.selectExpr(
+        f"inline(if(t.__t is null, {from_unknown}, {from_current}))"
+    ).unionByName(keyless.selectExpr(f"inline(array({versions.version('kept', 't')}))"))
 
 
 def _known_keys(target: DataFrame, rows: DataFrame, dim: Dimension) -> DataFrame:

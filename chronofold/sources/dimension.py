@@ -60,11 +60,14 @@ def commit_dimension(
     reopen_closed: bool = False,
     same_day: str = "replace",
     broadcast_bytes: int = BROADCAST_BYTES,
+    rebalance: bool = False,
 ) -> dict[str, int]:
     """Apply a batch to a stored dimension in one write job; returns its counts.
 
     The batch is written to the shared folder first, so every part of the plan sees the same
-    rows, and it is computed once.
+    rows, and it is computed once. ``rebalance`` shuffles the new rows into files of Spark's
+    advisory size; without it every task writes its own, which is cheaper but can leave
+    many small files of closed versions.
     """
     live = live_version(spark, table)
     if live is None:
@@ -88,9 +91,10 @@ def commit_dimension(
         seen, *[F.count_if(F.col(ACTION) == a).alias(m) for a, m in METRICS.items()]
     )
     stored = [c for c in spark.table(rows).columns if c != COMMIT]
-    counted.select(*[quoted(c) for c in stored], F.lit(commit).alias(COMMIT)).write.mode(
-        "append"
-    ).insertInto(rows)
+    written = counted.select(*[quoted(c) for c in stored], F.lit(commit).alias(COMMIT))
+    if rebalance:
+        written = written.hint("rebalance", dim.current)
+    written.write.mode("append").insertInto(rows)
     metrics = seen.get
     add_audit(spark, table, commit, "SCD2", metrics)
     _show(spark, table, target.columns, dim, commit)

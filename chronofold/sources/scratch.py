@@ -37,7 +37,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def freeze(df: DataFrame) -> DataFrame:
     """A relation written once to the shared folder, fixed whatever happens to its inputs.
 
-    Use it on a change batch that is expensive, or that could differ when read twice.
+    Use it on a change batch that is expensive, or that could differ when read twice. The
+    copy is columnar, so a later reader that needs only the keys reads only those, and it
+    does not depend on any executor.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = new_folder(spark, "frozen")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

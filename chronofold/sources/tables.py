@@ -37,17 +37,21 @@ def publish(
     readers use is a view which is then pointed at it. That is one catalog change, so readers
     see the old rows or the new ones, and ``df`` may itself read ``table``. A failed
     run leaves the view as it was; its half-written data table is dropped by the next run.
-    The version before stays for queries that already run, older ones are dropped.
+    The version before stays for queries that already run, older ones are dropped. A plain
+    table of that name is kept as version 0 the first time.
 
     One writer at a time: two that publish together overwrite each other's version.
     """
     spark = df.sparkSession
-    before = _adopt(spark, table)
+    plain = _is_plain(spark, table)
+    before = live_version(spark, table) or 0
     version = before + 1
     data = f"{table}__v{version}"
     spark.sql(f"DROP TABLE IF EXISTS {table_name(data)}")
     df.write.mode("errorifexists").format("parquet").saveAsTable(data)
     add_audit(spark, table, version, operation, metrics or {})
+    if plain:
+        spark.sql(f"ALTER TABLE {table_name(table)} RENAME TO {table_name(f'{table}__v0')}")
     point_view(spark, table, version, f"SELECT * FROM {table_name(data)}")
     if before > 0:
         spark.sql(f"DROP TABLE IF EXISTS {table_name(f'{table}__v{before - 1}')}")
@@ -125,17 +129,13 @@ def drop_published(spark: SparkSession, table: str) -> None:
             spark.sql(f"DROP TABLE IF EXISTS {table_name(prefix + row['tableName'])}")
 
 
-def _adopt(spark: SparkSession, table: str) -> int:
-    """The live version; a plain table of that name becomes version 0, a missing one is 0 too."""
-    version = live_version(spark, table)
-    if version is not None:
-        return version
-    if spark.catalog.tableExists(table):
-        if spark.catalog.getTable(table).tableType == "VIEW":
-            raise ValueError(f"{table} is a view that was not made by publish")
-        spark.sql(f"ALTER TABLE {table_name(table)} RENAME TO {table_name(f'{table}__v0')}")
-        point_view(spark, table, 0, f"SELECT * FROM {table_name(f'{table}__v0')}")
-    return 0
+def _is_plain(spark: SparkSession, table: str) -> bool:
+    """Whether the name is taken by an ordinary table; a foreign view of that name is an error."""
+    if not spark.catalog.tableExists(table) or live_version(spark, table) is not None:
+        return False
+    if spark.catalog.getTable(table).tableType == "VIEW":
+        raise ValueError(f"{table} is a view that was not made by publish")
+    return True
 
 
 def table_name(table: str) -> str:
