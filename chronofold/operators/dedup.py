@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from chronofold.functions import col_of
+from chronofold.functions import col_of, ref
 from chronofold.operators.topn import top_rows
 
 
@@ -22,10 +22,10 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) ->
 def first_copies(df: DataFrame, content: Sequence[str], row_id: str) -> DataFrame:
     """Per distinct content the lowest ``row_id`` and the number of ``copies``.
 
-    Long text is compared by its SHA-256 digest, computed before the shuffle, so 32 bytes
-    per row travel in place of the text; nulls count as equal. Counts and minima are combined
-    in the map tasks, which keeps a text with very many copies cheap. Join the ids back with
-    ``left_semi`` when other columns are needed.
+    Text of 32 bytes or more is compared by its SHA-256 digest, computed before the shuffle,
+    so at most 32 bytes per row travel in place of the text; nulls count as equal. Counts and
+    minima are combined in the map tasks, which keeps a text with very many copies cheap. Join
+    the ids back with ``left_semi`` when other columns are needed.
     """
     return (
         df.groupBy(*[_content_key(df.schema[c]).alias(f"__k{i}") for i, c in enumerate(content)])
@@ -35,10 +35,13 @@ def first_copies(df: DataFrame, content: Sequence[str], row_id: str) -> DataFram
 
 
 def _content_key(field: T.StructField) -> Column:
-    column = col_of(field.name)
+    name = ref(field.name)
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.unhex(F.sha2(column, 256))
-    return column
+        # Shorter text stands for itself; having another length, it cannot equal a digest.
+        return F.expr(
+            f"if(octet_length({name}) < 32, cast({name} as binary), unhex(sha2({name}, 256)))"
+        )
+    return F.expr(name)
 
 
 def drop_exact_copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

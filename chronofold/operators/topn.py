@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from chronofold.functions import ascending_or_descending, col_of, ref
+from chronofold.functions import ascending_or_descending, col_of, ref, stable_salt
 from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if, measure
 from chronofold.sources.scratch import freeze
 
 POSITION = "__position"
+PART = "__part"
 
 
 def top_rows(
@@ -25,12 +26,23 @@ def top_rows(
     Spark limits every map task to ``n`` rows per group before the shuffle, so the size of a
     group does not matter.
     """
-    window = Window.partitionBy(*[col_of(c) for c in by]).orderBy(*ascending_or_descending(order))
     name = column or POSITION
-    rows = df.withColumn(name, F.row_number().over(window)).where(col_of(name) <= n)
+    spark = df.sparkSession
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        # Spark sets no limit before the shuffle here, so each group is first cut down in
+        # parts, as many as there are shuffle partitions.
+        parts = spark.conf.get("spark.sql.shuffle.partitions")
+        salted = df.selectExpr("*", f"{stable_salt(df.columns, parts)} as {PART}")
+        df = _first(salted, n, [*by, PART], order, POSITION).drop(PART, POSITION)
+    rows = _first(df, n, by, order, name)
     return rows if column else rows.drop(name)
 
 
+def _first(df, n, by, order, name) -> DataFrame:
+    window = Window.partitionBy(*[col_of(c) for c in by]).orderBy(*ascending_or_descending(order))
+    return df.withColumn(name, F.row_number().over(window)).where(col_of(name) <= n)
+
+
 def top_ranked(
     df: DataFrame,
     n: int,

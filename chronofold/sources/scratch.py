@@ -15,18 +15,13 @@ def shared_folder(spark: SparkSession) -> str:
     lost with its machine, so a missing setting is an error there.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named
-    current = context.getCheckpointDir()
-    if current is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="chronofold-"))
-        current = context.getCheckpointDir()
-    return current
+        folder = context.getCheckpointDir()
+    return folder
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -39,7 +34,8 @@ def freeze(df: DataFrame) -> DataFrame:
 
     Use it on a change batch that is expensive, or that could differ when read twice. The
     copy is columnar, so a later reader that needs only the keys reads only those, and it
-    does not depend on any executor.
+    does not depend on any executor. The folder is scratch space: what runs leave in it may
+    be removed once they have ended.
     """
     spark = df.sparkSession
     folder = new_folder(spark, "frozen")

@@ -118,8 +118,11 @@ def history(spark: SparkSession, table: str) -> DataFrame:
     ).orderBy(F.col("version").desc())
 
 
-def drop_published(spark: SparkSession, table: str) -> None:
-    """Drop the view, all of its data tables and its audit."""
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table if it is there; of a published one the view, its data and its audit."""
+    if _is_plain(spark, table):
+        spark.sql(f"DROP TABLE {table_name(table)}")
+        return
     schema, _, base = table.rpartition(".")
     spark.sql(f"DROP VIEW IF EXISTS {table_name(table)}")
     prefix = f"{schema}." if schema else ""

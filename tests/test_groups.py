@@ -131,6 +131,16 @@ def test_top_rows_gives_exactly_n(spark):
     }
 
 
+def test_large_n_cuts_groups_in_parts(spark, small_conf):
+    df = spark.range(0, 5000, numPartitions=8).selectExpr("'g' as grp", "id % 1000 as v", "id")
+    order = {"v": "desc", "id": "asc"}
+    expected = rows(top_rows(df, 700, ["grp"], order, "rn"))
+    small_conf("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    result = top_rows(df, 700, ["grp"], order, "rn")
+    assert rows(result) == expected
+    assert plan(result).count("Exchange hashpartitioning") == 2
+
+
 def test_group_limit_runs_before_the_shuffle(spark):
     text = plan(top_rows(spark.createDataFrame(DATA, SCHEMA), 2, ["grp"], {"v": "desc"}))
     assert "WindowGroupLimit" in text and "Partial" in text and "Final" in text

@@ -83,10 +83,12 @@ def test_append_by_name(spark, schema):
         assert rows(spark.table(table)) == {(1, "x"): 1, (2, "y"): 1}
 
 
-def test_drop_published(spark, schema):
+def test_drop_table(spark, schema):
     tables.publish(numbers(spark, 1), f"{schema}.gone")
     tables.publish(numbers(spark, 1), f"{schema}.gone_not")
-    tables.drop_published(spark, f"{schema}.gone")
+    numbers(spark, 1).write.saveAsTable(f"{schema}.plain")
+    for name in ("gone", "plain", "never_there"):
+        tables.drop_table(spark, f"{schema}.{name}")
     left = {r["tableName"] for r in spark.sql(f"show tables in {schema}").collect()}
     assert left == {"gone_not", "gone_not__v1", "gone_not__audit"}
 
