@@ -106,7 +106,7 @@ def scd2_classify(
 
 def _classify(target: DataFrame, rows: DataFrame, dim: Dimension, small: bool) -> DataFrame:
     keys = [col_of(k) for k in dim.keys]
-    flag = ref(dim.current, "t")
+    flag = f"coalesce({ref(dim.current, 't')}, false)"
     differs = any_differs(dim.tracked, "t", "s")
     source = broadcast_if(small, rows.select(*dim.keys, *dim.tracked)).alias("s")
     versions = target if small else target.where(col_of(dim.current))
@@ -121,7 +121,7 @@ def _classify(target: DataFrame, rows: DataFrame, dim: Dimension, small: bool) -
     )
     if not small:
         # A long history must not meet the batch in one task: its keys are made distinct first.
-        past = target.where(~col_of(dim.current)).select(*keys).distinct()
+        past = target.where(_not_current(dim)).select(*keys).distinct()
         seen = seen.unionByName(past.selectExpr("*", "false as __current", "false as __differs"))
     found = seen.groupBy(*keys).agg(
         F.expr("bool_or(__current) as __current"), F.expr("bool_or(__differs) as __differs")
@@ -188,6 +188,11 @@ def scd2_open_rows(batch: DataFrame, dim: Dimension, as_of: dt.date) -> DataFram
     return batch.withColumns({name: F.expr(value) for name, value in opened.items()})
 
 
+def _not_current(dim: Dimension) -> str:
+    """SQL for closed versions; a missing flag counts as closed."""
+    return f"({ref(dim.current)} is null or not {ref(dim.current)})"
+
+
 def _day(date: dt.date) -> str:
     return f"DATE'{date.isoformat()}'"
 
@@ -218,11 +223,8 @@ def scd2_apply(
     job (``"error"``). A batch dated before the current version fails the job, unless
     ``"keep"``.
     """
-    actions = scd2_actions(
-        target, batch, dim, as_of, order, reopen_closed, same_day, broadcast_bytes
-    )
-    history = target.where(~col_of(dim.current))
-    return history.unionByName(actions.drop(ACTION))
+    options = order, reopen_closed, same_day, broadcast_bytes
+    return _next_versions(target, batch, dim, as_of, *options, with_history=True).drop(ACTION)
 
 
 def scd2_actions(
@@ -245,31 +247,42 @@ def scd2_actions(
     the dimension. A larger one takes a full outer join with the current versions, one
     shuffle of each; a key has one current version, so no task gets more of a hot key.
     """
+    options = order, reopen_closed, same_day, broadcast_bytes
+    return _next_versions(target, batch, dim, as_of, *options, with_history=False)
+
+
+def _next_versions(
+    target, batch, dim, as_of, order, reopen_closed, same_day, broadcast_bytes, with_history
+) -> DataFrame:
     if same_day not in ("replace", "keep", "error"):
         raise ValueError("same_day must be 'replace', 'keep' or 'error'")
     as_of = pinned_date(target.sparkSession, as_of)
     rows, small = clean_batch(target, batch, dim, order, broadcast_bytes)
     rows = rows.withColumn("__s", F.lit(True))
-    current = target.where(col_of(dim.current)).withColumn("__t", F.lit(True))
+    current, closed = target.where(col_of(dim.current)), target.where(_not_current(dim))
     same_key = keys_equal(dim.keys, "t", "s")
     versions = _Versions(target, dim, as_of)
+    kept = f"inline(array({versions.version('kept', 't')}))"
     from_current = versions.from_current(same_day)
     from_unknown = versions.from_unknown(reopen_closed)
     if small:
-        matched = current.alias("t").join(F.broadcast(rows).alias("s"), same_key, "left")
+        # Nothing is shuffled here, so history comes along in the same scan, matching nothing.
+        touched = (target if with_history else current).alias("t")
+        on = same_key & col_of(dim.current, "t") if with_history else same_key
+        matched = touched.join(F.broadcast(rows).alias("s"), on, "left")
         unknown = _with_past(rows, _known_keys(target, rows, dim), dim).where("not __open")
         return matched.selectExpr(f"inline({from_current})").unionByName(
             unknown.alias("s").selectExpr(f"inline({from_unknown})")
         )
-    past = target.where(~col_of(dim.current)).select(*[col_of(k) for k in dim.keys]).distinct()
-    flagged = _with_past(rows, past.withColumn("__open", F.lit(False)), dim)
-    keyed = current.where(f"not {any_null(dim.keys)}").alias("t")
-    joined = keyed.join(flagged.alias("s"), same_key, "full_outer")
+    past = closed.select(*[col_of(k) for k in dim.keys]).distinct()
+    flagged = _with_past(rows, past.withColumn("__open", F.lit(False)), dim).alias("s")
+    keyed = current.where(f"not {any_null(dim.keys)}").withColumn("__t", F.lit(True)).alias("t")
+    either = f"inline(if(t.__t is null, {from_unknown}, {from_current}))"
+    result = keyed.join(flagged, same_key, "full_outer").selectExpr(either)
     # A null key matches nothing; left in the outer join, all of them would share one task.
-    keyless = current.where(any_null(dim.keys)).alias("t")
-    return joined.selectExpr(
-        f"inline(if(t.__t is null, {from_unknown}, {from_current}))"
-    ).unionByName(keyless.selectExpr(f"inline(array({versions.version('kept', 't')}))"))
+    keyless = current.where(any_null(dim.keys))
+    result = result.unionByName(keyless.alias("t").selectExpr(kept))
+    return result.unionByName(closed.alias("t").selectExpr(kept)) if with_history else result
 
 
 def _known_keys(target: DataFrame, rows: DataFrame, dim: Dimension) -> DataFrame:
@@ -283,7 +296,7 @@ def _known_keys(target: DataFrame, rows: DataFrame, dim: Dimension) -> DataFrame
         target.select(*keys, col_of(dim.current))
         .join(F.broadcast(rows.select(*keys)), list(dim.keys), "left_semi")
         .groupBy(*keys)
-        .agg(F.expr(f"bool_or({ref(dim.current)}) as __open"))
+        .agg(F.expr(f"bool_or(coalesce({ref(dim.current)}, false)) as __open"))
     )
 
 

@@ -37,14 +37,18 @@ METRICS = {
 
 
 def create_dimension(df: DataFrame, table: str, dim: Dimension) -> None:
-    """Store a first snapshot, open and closed versions, as commit 0."""
+    """Store a first snapshot, current and closed versions, as commit 0.
+
+    A version without a flag is stored as closed, which is how all operators take it.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         raise ValueError(f"{table} exists")
     rows = f"{table}__rows"
     spark.sql(f"DROP TABLE IF EXISTS {table_name(rows)}")
     attributes = [c for c in df.columns if c != dim.current]
-    first = df.select(*[quoted(c) for c in attributes], dim.current, F.lit(0).alias(COMMIT))
+    flag = F.coalesce(quoted(dim.current), F.lit(False)).alias(dim.current)
+    first = df.select(*[quoted(c) for c in attributes], flag, F.lit(0).alias(COMMIT))
     first.write.partitionBy(dim.current, COMMIT).format("parquet").saveAsTable(rows)
     add_audit(spark, table, 0, "CREATE", {})
     _show(spark, table, df.columns, dim, 0)
@@ -85,16 +89,18 @@ def commit_dimension(
         broadcast_bytes,
     )
     _drop_leftovers(spark, table, dim, commit)
+    if rebalance:
+        actions = actions.hint("rebalance", dim.current)
     rows = f"{table}__rows"
+    # Observed in the writing stage, so rows that a lost task repeats are counted once.
     seen = Observation()
     counted = actions.observe(
         seen, *[F.count_if(F.col(ACTION) == a).alias(m) for a, m in METRICS.items()]
     )
     stored = [c for c in spark.table(rows).columns if c != COMMIT]
-    written = counted.select(*[quoted(c) for c in stored], F.lit(commit).alias(COMMIT))
-    if rebalance:
-        written = written.hint("rebalance", dim.current)
-    written.write.mode("append").insertInto(rows)
+    counted.select(*[quoted(c) for c in stored], F.lit(commit).alias(COMMIT)).write.mode(
+        "append"
+    ).insertInto(rows)
     metrics = seen.get
     add_audit(spark, table, commit, "SCD2", metrics)
     _show(spark, table, target.columns, dim, commit)
