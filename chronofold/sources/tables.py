@@ -30,6 +30,7 @@ def publish(
     table: str,
     operation: str = "PUBLISH",
     metrics: dict[str, object] | None = None,
+    file_format: str = "parquet",
 ) -> int:
     """Create or replace ``table`` by the rows of ``df``; returns the new version.
 
@@ -48,7 +49,7 @@ def publish(
     version = before + 1
     data = f"{table}__v{version}"
     spark.sql(f"DROP TABLE IF EXISTS {table_name(data)}")
-    df.write.mode("errorifexists").format("parquet").saveAsTable(data)
+    df.write.mode("errorifexists").format(file_format).saveAsTable(data)
     add_audit(spark, table, version, operation, metrics or {})
     if plain:
         spark.sql(f"ALTER TABLE {table_name(table)} RENAME TO {table_name(f'{table}__v0')}")
