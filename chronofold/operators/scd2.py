@@ -83,7 +83,9 @@ def clean_batch(
     if missing:
         raise ValueError(f"the batch lacks columns of the dimension: {missing}")
     rows, small = prepare_batch(_placeable(batch, dim), dim.keys, order, broadcast_bytes)
-    typed = [f"cast({ref(f.name)} as {f.dataType.simpleString()}) as {ref(f.name)}" for f in attributes]
+    typed = [
+        f"cast({ref(f.name)} as {f.dataType.simpleString()}) as {ref(f.name)}" for f in attributes
+    ]
     return rows.selectExpr(*typed), small
 
 
@@ -381,7 +383,9 @@ def scd2_check(df: DataFrame, dim: Dimension) -> DataFrame:
         F.expr(f"count_if({current}) as __current"),
     )
     by_key = ", ".join(keys)
-    earlier = f"partition by {by_key} order by {start} rows between unbounded preceding and 1 preceding"
+    earlier = (
+        f"partition by {by_key} order by {start} rows between unbounded preceding and 1 preceding"
+    )
     days = days.selectExpr(
         "*",
         f"sum(__current) over (partition by {by_key}) as __all_current",

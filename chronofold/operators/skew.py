@@ -96,7 +96,8 @@ def use_adaptive_skew_join(
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     if partition_bytes:
-        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", partition_bytes)
+        name = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+        spark.conf.set(name, partition_bytes)
     if factor:
         spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", str(factor))
 

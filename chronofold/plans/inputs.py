@@ -59,7 +59,9 @@ def shipment_messages(spark: SparkSession, folder: str) -> DataFrame:
 def document_records(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as records of their lines that are not empty; null where text has one line."""
     lines = F.filter(F.split("text", "\n", -1), lambda line: line != "")
-    records = F.transform(lines, lambda line: F.struct(line.alias("body"), F.length(line).alias("n")))
+    records = F.transform(
+        lines, lambda line: F.struct(line.alias("body"), F.length(line).alias("n"))
+    )
     return load(spark, folder, "documents").select(
         "doc_id",
         F.struct("lang", "source").alias("meta"),

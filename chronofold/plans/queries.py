@@ -387,8 +387,10 @@ def topn_dense_rank(spark, folder):
 def topn_pruned(spark, folder):
     """Top orders of one status, from a copy of the table that is partitioned by status."""
     stored = new_folder(spark, "orders")
-    orders = tables.load(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    orders.write.partitionBy("o_orderstatus").parquet(stored)
+    orders = tables.load(spark, folder, "orders")
+    orders.select("o_orderkey", "o_totalprice", "o_orderstatus").write.partitionBy(
+        "o_orderstatus"
+    ).parquet(stored)
     finished = spark.read.parquet(stored).where("o_orderstatus = 'F'")
     return topn.top_ranked(finished, 5, ["o_orderstatus"], {"o_totalprice": "desc"}, column="rnk")
 

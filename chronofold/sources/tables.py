@@ -72,8 +72,8 @@ def live_version(spark: SparkSession, table: str) -> int | None:
     """The version a published view points at; None for a plain or missing table."""
     if not spark.catalog.tableExists(table):
         return None
-    found = spark.sql(f"SHOW TBLPROPERTIES {table_name(table)}").where(F.col("key") == VERSION_PROPERTY)
-    row = found.first()
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table_name(table)}")
+    row = properties.where(F.col("key") == VERSION_PROPERTY).first()
     return int(row["value"]) if row else None
 
 

@@ -37,7 +37,8 @@ def test_first_copies(spark):
 
 
 def test_first_copies_over_several_columns(spark):
-    df = spark.createDataFrame([(1, "a", "bc"), (2, "ab", "c"), (3, "a", "bc")], "id int, p string, q string")
+    data = [(1, "a", "bc"), (2, "ab", "c"), (3, "a", "bc")]
+    df = spark.createDataFrame(data, "id int, p string, q string")
     assert rows(first_copies(df, ["p", "q"], "id")) == {(1, 2): 1, (2, 1): 1}
 
 
@@ -106,7 +107,7 @@ def test_rank_and_dense_rank(spark, limit):
 def test_ranks_match_the_window(spark, seed, dense):
     rng = random.Random(seed)
     data = [
-        (rng.choice("abc"), rng.choice([None, *range(6)]), rng.choice([None, 1.5, -0.0, 0.0, 2.0]), i)
+        (rng.choice("abc"), rng.choice([None, *range(6)]), rng.choice([None, 1.5, -0.0, 0.0]), i)
         for i in range(300)
     ]
     df = spark.createDataFrame(data, "grp string, v int, w double, id int")

@@ -18,8 +18,8 @@ def test_two_messages_three_rows(spark):
         spark,
         '{"order_id": 1, "customer": {"name": "Ines", "city": "Porto"}, '
         '"items": [{"product": "desk", "qty": 1, "price": 300}]}',
-        '{"order_id": 2, "customer": {"name": "Jon", "city": "Bergen"}, '
-        '"items": [{"product": "lamp", "qty": 3, "price": 8}, {"product": "rug", "qty": 5, "price": 2}]}',
+        '{"order_id": 2, "customer": {"name": "Jon", "city": "Bergen"}, "items": '
+        '[{"product": "lamp", "qty": 3, "price": 8}, {"product": "rug", "qty": 5, "price": 2}]}',
     )
     assert rows(flatten_json(df, "raw", SCHEMA, "items", PARENTS, ITEMS)) == {
         (1, "Ines", "Porto", "desk", 1, 300): 1,

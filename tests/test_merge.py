@@ -40,8 +40,9 @@ def test_condition_that_is_null_does_not_match(target, batch, size):
 
 
 def test_upsert_takes_one_branch_per_row(target, batch, size):
+    given = {"id": "s.id", "v": "s.v"}
     result = merge_upsert(
-        target, batch, ["id"], set={"v": "concat(t.v, s.v)"}, values={"id": "s.id", "v": "s.v"}, **size
+        target, batch, ["id"], set={"v": "concat(t.v, s.v)"}, values=given, **size
     )
     assert rows(result) == {
         (1, "a", 1): 1,
@@ -57,7 +58,8 @@ def test_upsert_takes_one_branch_per_row(target, batch, size):
 def test_scd1(spark, size):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     batch = spark.createDataFrame([(2, None), (3, "c")], "id int, v string")
-    assert rows(scd1_apply(target, batch, ["id"], **size)) == {(1, "a"): 1, (2, None): 1, (3, "c"): 1}
+    result = scd1_apply(target, batch, ["id"], **size)
+    assert rows(result) == {(1, "a"): 1, (2, None): 1, (3, "c"): 1}
 
 
 def test_duplicate_batch_keys(spark, target, size):

@@ -54,7 +54,8 @@ def test_large_batch_stays_in_pushed_partitions(spark, stored):
 
 def test_measure(spark):
     df = spark.createDataFrame(
-        [(1, "abc", [1, 2], None), (1, None, None, b"xy")], "k int, s string, a array<int>, b binary"
+        [(1, "abc", [1, 2], None), (1, None, None, b"xy")],
+        "k int, s string, a array<int>, b binary",
     )
     size = measure_by_key(df, ["k"])
     assert (size.rows, size.most_per_key) == (2, 2)

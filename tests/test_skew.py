@@ -15,7 +15,8 @@ def big(spark):
 
 @pytest.fixture
 def other(spark):
-    return spark.createDataFrame([(0, "zero"), (0, "nil"), (19, "a"), (29, "b"), (7, "c")], "k bigint, s string")
+    data = [(0, "zero"), (0, "nil"), (19, "a"), (29, "b"), (7, "c")]
+    return spark.createDataFrame(data, "k bigint, s string")
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -52,7 +53,8 @@ def test_identical_rows_spread_over_salts(spark, other):
 
 
 def test_composite_and_null_keys(spark):
-    left = spark.createDataFrame([(1, "a")] * 30 + [(None, "b")] * 30 + [(2, None)], "p int, q string")
+    data = [(1, "a")] * 30 + [(None, "b")] * 30 + [(2, None)]
+    left = spark.createDataFrame(data, "p int, q string")
     right = spark.createDataFrame([(1, "a", 9), (None, "b", 8)], "p int, q string, r int")
     for how in ("inner", "left"):
         salted = skew.salted_join(left, right, ["p", "q"], how, rows_per_salt=5)
@@ -72,7 +74,8 @@ def test_adaptive_join_splits_the_hot_partition(spark, small_conf):
     small_conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
     small_conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
     small_conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
-    hot = spark.range(200000).selectExpr("if(id % 10 < 8, 0, id % 100) as k", "uuid() as v").repartition(16)
+    hot = spark.range(200000).selectExpr("if(id % 10 < 8, 0, id % 100) as k", "uuid() as v")
+    hot = hot.repartition(16)
     names = spark.range(100).selectExpr("id as k", "concat('n', id) as s")
     assert "skew=true" in final_plan(skew.adaptive_join(hot, names, ["k"]))
 

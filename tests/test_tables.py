@@ -173,5 +173,8 @@ def test_forgetting_old_snapshots(spark, schema, target):  # noqa: F811
     dimension.forget_old_snapshots(spark, table, DIM)
     assert rows(spark.table(table)) == expected
     left = {r["partition"] for r in spark.sql(f"show partitions {table}__rows").collect()}
-    assert {p for p in left if "true" in p} == {"is_current=true/__commit=2", "is_current=true/__commit=3"}
+    assert {p for p in left if "true" in p} == {
+        "is_current=true/__commit=2",
+        "is_current=true/__commit=3",
+    }
     assert len([p for p in left if "false" in p]) == 4
