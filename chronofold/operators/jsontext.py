@@ -96,7 +96,7 @@ def _as_ddl(variant_schema: str) -> str:
 def _struct(schema: T.StructType | str) -> T.StructType:
     if isinstance(schema, T.StructType):
         return schema
-    parsed = T._parse_datatype_string(schema)
+    parsed = T.DataType.fromDDL(schema)
     if not isinstance(parsed, T.StructType):
         raise ValueError(f"a JSON record needs a struct schema, got {schema}")
     return parsed

@@ -60,7 +60,7 @@ def merge_update(
     a target row are ignored. A small batch is broadcast and the target is not shuffled.
     """
     batch, small = prepare_batch(batch, on, order, broadcast_bytes)
-    return _updated(target, batch, on, set, when, small)
+    return updated(target, batch, on, set, when, small)
 
 
 def merge_upsert(
@@ -87,7 +87,7 @@ def merge_upsert(
         .join(present.alias("p"), keys_equal(on, "s", "p"), "left_anti")
         .select(*[_in_type(values.get(f.name, "null"), f) for f in target.schema.fields])
     )
-    return _updated(target, batch, on, set, None, small).unionByName(added)
+    return updated(target, batch, on, set, None, small).unionByName(added)
 
 
 def scd1_apply(
@@ -127,7 +127,19 @@ def keys_present(
     return target.select(*columns).join(wanted, list(keys), "left_semi").distinct()
 
 
-def _updated(target, batch, on, set, when, small) -> DataFrame:
+def updated(
+    target: DataFrame,
+    batch: DataFrame,
+    on: Sequence[str],
+    set: Mapping[str, Column | str],
+    when: Column | str | None,
+    small: bool,
+) -> DataFrame:
+    """``merge_update`` for a batch that ``prepare_batch`` has been through.
+
+    In the shuffle plan a target key with very many rows lies on the preserved side of a left
+    join with nothing but a projection above, which AQE splits at run time.
+    """
     unknown = [c for c in set if c not in target.columns]
     if unknown:
         raise ValueError(f"set names columns the target does not have: {unknown}")

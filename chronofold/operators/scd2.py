@@ -22,7 +22,7 @@ from chronofold.functions import (
     ref,
     text,
 )
-from chronofold.operators.merge import merge_update, prepare_batch
+from chronofold.operators.merge import prepare_batch, updated
 from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if
 
 ACTION = "action"
@@ -173,15 +173,14 @@ def scd2_expire(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """All target rows; current versions that the batch changes end on ``as_of`` - 1."""
-    return merge_update(
-        target,
-        _placeable(batch, dim),
-        dim.keys,
-        set={dim.end: _day_before(as_of), dim.current: "false"},
-        when=f"{ref(dim.current, 't')} and {any_differs(dim.tracked, 't', 's')}",
-        order=order,
-        broadcast_bytes=broadcast_bytes,
-    )
+    rows, small = prepare_batch(_placeable(batch, dim), dim.keys, order, broadcast_bytes)
+    closing = {dim.end: _day_before(as_of), dim.current: "false"}
+    when = f"{ref(dim.current, 't')} and {any_differs(dim.tracked, 't', 's')}"
+    if small:
+        return updated(target, rows, dim.keys, closing, when, small)
+    current = target.where(col_of(dim.current))
+    changed = updated(current, rows, dim.keys, closing, when, small)
+    return changed.unionByName(target.where(_not_current(dim)))
 
 
 def scd2_open_rows(batch: DataFrame, dim: Dimension, as_of: dt.date) -> DataFrame:

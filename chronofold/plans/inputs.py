@@ -155,6 +155,43 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def supplier_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """A long history: every line item is a closed version of its supplier.
+
+    About four fifths of all rows are versions of supplier 0. Every supplier is current.
+    """
+    shipped = F.col("l_shipdate").cast("date")
+    larger = F.col("l_quantity") > 10
+    closed = load(spark, folder, "lineitem").select(
+        F.when(larger, F.lit(0).cast("bigint")).otherwise(F.col("l_suppkey")).alias("id"),
+        F.col("l_linestatus").alias("name"),
+        F.col("l_returnflag").alias("city"),
+        shipped.alias("eff_start"),
+        shipped.alias("eff_end"),
+        F.lit(False).alias("is_current"),
+    )
+    current = load(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.col("s_name").alias("name"),
+        F.col("s_nationkey").cast("string").alias("city"),
+        F.lit(dt.date(2023, 1, 1)).alias("eff_start"),
+        F.lit(dt.date(9999, 12, 31)).alias("eff_end"),
+        F.lit(True).alias("is_current"),
+    )
+    return closed.unionByName(current)
+
+
+def supplier_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """All suppliers, moved where the balance is below 5000."""
+    return load(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.col("s_name").alias("name"),
+        F.when(F.col("s_acctbal") < 5000, F.lit("MOVED"))
+        .otherwise(F.col("s_nationkey").cast("string"))
+        .alias("city"),
+    )
+
+
 def hot_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with supplier 0 on all larger quantities, about four fifths of the rows."""
     return load(spark, folder, "lineitem").select(

@@ -82,6 +82,55 @@ applied as (
   select *, date '2024-06-01', date '9999-12-31', true from changed)
 """
 
+SUPPLIER_CASE = """
+with closed as (
+  select case when l_quantity > 10 then 0 else l_suppkey end as id, l_linestatus as name,
+         l_returnflag as city, cast(l_shipdate as date) as eff_start,
+         cast(l_shipdate as date) as eff_end, false as is_current
+  from lineitem),
+target as (
+  select * from closed
+  union all
+  select s_suppkey, s_name, cast(s_nationkey as varchar), date '2023-01-01',
+         date '9999-12-31', true
+  from supplier)
+"""
+LONG_HISTORY = (
+    SUPPLIER_CASE
+    + """
+select * from closed
+union all
+select s_suppkey, s_name, cast(s_nationkey as varchar), date '2023-01-01',
+       case when s_acctbal < 5000 then date '2024-05-31' else date '9999-12-31' end,
+       coalesce(s_acctbal, 5000) >= 5000
+from supplier
+union all
+select s_suppkey, s_name, 'MOVED', date '2024-06-01', date '9999-12-31', true
+from supplier where s_acctbal < 5000
+"""
+)
+
+CHECKED = """
+, days as (
+  select id, eff_start, count(*) as n, max(eff_end) as last_end,
+         cast(count_if(is_current <> (eff_end = date '9999-12-31')) as bigint) as flag,
+         cast(count_if(eff_start > eff_end) as bigint) as late,
+         cast(count_if(is_current) as bigint) as cur
+  from {versions} group by all),
+checked as (
+  select *, cast(sum(cur) over (partition by id) as bigint) as all_cur,
+         max(last_end) over (partition by id order by eff_start
+                             rows between unbounded preceding and 1 preceding) as earlier
+  from days)
+select id, eff_start, 'current_flag' as rule, flag as versions from checked where flag > 0
+union all
+select id, eff_start, 'start_after_end', late from checked where late > 0
+union all
+select id, eff_start, 'several_current', cur from checked where all_cur > 1 and cur > 0
+union all
+select id, eff_start, 'overlap', n from checked where n > 1 or earlier >= eff_start
+"""
+
 HOT_JOIN = """
 select k as s_suppkey, l_orderkey, l_linenumber, l_quantity, s_name
 from (select *, case when l_quantity > 10 then 0 else l_suppkey end as k from lineitem)
@@ -161,6 +210,9 @@ from batch
     + " union all select *, date '2024-06-01', date '9999-12-31', true from past_only",
     "scd2_apply_shuffled": APPLIED,
     "scd2_apply_orders": ORDER_CASE + "select * from applied",
+    "scd2_long_history": LONG_HISTORY,
+    "scd2_long_history_shuffled": LONG_HISTORY,
+    "scd2_long_history_violations": SUPPLIER_CASE + CHECKED.format(versions="target"),
     "scd2_actions": ORDER_CASE
     + """
 select * from (
@@ -186,33 +238,10 @@ select (select count(*) from changed) as expired,
 """,
     "scd2_rerun": APPLIED,
     "scd2_same_day": CUSTOMERS_AGAIN + "select * from applied",
-    "scd2_violations": CUSTOMERS
-    + """
-select id, eff_start, 'current_flag' as rule, count(*) as versions from applied
-where is_current <> (eff_end = date '9999-12-31') or eff_start > eff_end
-group by id, eff_start
-""",
+    "scd2_violations": CUSTOMERS + CHECKED.format(versions="applied"),
     "scd2_violations_found": ORDER_CASE
-    + """
-, days as (
-  select customer_id as id, eff_start, count(*) as n, max(eff_end) as last_end,
-         cast(count_if(is_current <> (eff_end = date '9999-12-31')) as bigint) as flag,
-         cast(count_if(eff_start > eff_end) as bigint) as late,
-         cast(count_if(is_current) as bigint) as cur
-  from target group by all),
-checked as (
-  select *, cast(sum(cur) over (partition by id) as bigint) as all_cur,
-         max(last_end) over (partition by id order by eff_start
-                             rows between unbounded preceding and 1 preceding) as earlier
-  from days)
-select id, eff_start, 'current_flag' as rule, flag as versions from checked where flag > 0
-union all
-select id, eff_start, 'start_after_end', late from checked where late > 0
-union all
-select id, eff_start, 'several_current', cur from checked where all_cur > 1 and cur > 0
-union all
-select id, eff_start, 'overlap', n from checked where n > 1 or earlier >= eff_start
-""",
+    + ", versions as (select * exclude (customer_id), customer_id as id from target)"
+    + CHECKED.format(versions="versions"),
     "scd2_ordered": APPLIED + " order by id, eff_start",
     "merge_update": CUSTOMERS
     + """

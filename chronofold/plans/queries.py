@@ -193,6 +193,33 @@ def scd2_apply_orders(spark, folder):
     )
 
 
+@query
+def scd2_long_history(spark, folder):
+    """A dimension with most of its versions on one key."""
+    return scd2.scd2_apply(
+        inputs.supplier_dimension(spark, folder),
+        inputs.supplier_feed(spark, folder),
+        CUSTOMER_DIM,
+        AS_OF,
+    )
+
+
+@query
+def scd2_long_history_shuffled(spark, folder):
+    return scd2.scd2_apply(
+        inputs.supplier_dimension(spark, folder),
+        inputs.supplier_feed(spark, folder),
+        CUSTOMER_DIM,
+        AS_OF,
+        broadcast_bytes=0,
+    )
+
+
+@query
+def scd2_long_history_violations(spark, folder):
+    return scd2.scd2_check(inputs.supplier_dimension(spark, folder), CUSTOMER_DIM)
+
+
 @query
 def scd2_actions(spark, folder):
     actions = scd2.scd2_actions(

@@ -14,14 +14,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without either gets a temporary folder; on a cluster that would be
     lost with its machine, so a missing setting is an error there.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
+    if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="chronofold-"))
-        folder = context.getCheckpointDir()
-    return folder
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

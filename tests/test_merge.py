@@ -1,7 +1,7 @@
 import pytest
 
 from chronofold.operators.merge import DuplicateKeys, merge_update, merge_upsert, scd1_apply
-from helpers import plan, rows
+from helpers import final_plan, plan, rows
 
 SCHEMA = "id int, v string, n bigint"
 
@@ -77,6 +77,21 @@ def test_unknown_columns(target, batch):
         merge_upsert(target, batch, ["id"], set={"v": "s.v"}, values={"w": "s.v"})
 
 
+def test_hot_target_key_is_split_by_the_shuffle_plan(spark, small_conf):
+    small_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    small_conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    small_conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    small_conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    small_conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    hot = spark.range(200000).selectExpr("if(id % 10 < 8, 0, id % 100) as id", "uuid() as v")
+    batch = spark.range(100).selectExpr("id", "'new' as v")
+    result = merge_update(
+        hot.repartition(16), batch, ["id"], set={"v": "s.v"}, broadcast_bytes=0
+    )
+    assert "skew=true" in final_plan(result)
+    assert result.where("v = 'new'").count() == 200000
+
+
 def test_small_batch_leaves_the_target_unshuffled(target, batch):
     small = plan(merge_update(target, batch, ["id"], set={"v": "s.v"}))
     assert "BroadcastHashJoin" in small and "hashpartitioning" not in small
