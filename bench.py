@@ -32,6 +32,8 @@ HEADLINE = [
     "scd2_apply",
     "scd2_apply_shuffled",
     "scd2_apply_orders",
+    "scd2_long_history",
+    "scd2_long_history_shuffled",
     "scd2_violations_found",
     "merge_upsert",
     "dedup_latest",

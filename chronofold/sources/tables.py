@@ -91,7 +91,7 @@ def add_audit(
     audit = f"{table}__audit"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(audit)} ({AUDIT_COLUMNS}) USING parquet")
     entries = [F.lit(part) for k, v in metrics.items() for part in (k, str(v))]
-    row = spark.range(1).select(
+    row = spark.range(0, 1, 1, 1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.current_timestamp().alias("ts"),
         F.lit(operation).alias("operation"),
