@@ -6,12 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from chronofold.functions import ascending_or_descending, col_of, ref, stable_salt
-from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if, measure
+from chronofold.functions import ascending_or_descending, col_of, stable_salt
+from chronofold.operators.sizing import BROADCAST_BYTES, measure
+from chronofold.operators.skew import salted_join
 from chronofold.sources.scratch import freeze
 
 POSITION = "__position"
 PART = "__part"
+KEY = "__key"
 
 
 def top_rows(
@@ -57,8 +59,8 @@ def top_ranked(
     Ties at the cut stay, so a group can return any number of rows, and a plain window would
     send them all to one task. Here the window runs on the order columns only, to find the at
     most ``n`` best values per group, and the rows are then picked by a join on those values:
-    broadcast where the table of values is measured as small, else a shuffle join that is
-    spread over group and value and that AQE can split further.
+    broadcast where the table of values is measured as small, else a salted join, which
+    spreads the ties of one value as well.
     """
     columns = [*by, *order]
     values = df.select(*[col_of(c) for c in columns])
@@ -71,12 +73,11 @@ def top_ranked(
             .agg(F.min(POSITION).alias(column))
         )
     best = freeze(best)
-    small = measure(best).fits(broadcast_bytes)
     # A struct of the columns is an ordinary join key in which nulls are equal.
-    left, right = (", ".join(ref(c, relation) for c in columns) for relation in "rb")
-    match = F.expr(f"struct({left}) = struct({right})")
-    return (
-        df.alias("r")
-        .join(broadcast_if(small, best).alias("b"), match)
-        .select("r.*", col_of(column, "b"))
-    )
+    key = F.struct(*[col_of(c) for c in columns]).alias(KEY)
+    rows, cut = df.select("*", key), best.select(key, col_of(column))
+    if measure(best).fits(broadcast_bytes):
+        joined = rows.join(F.broadcast(cut), KEY)
+    else:
+        joined = salted_join(rows, cut, [KEY])
+    return joined.select(*[col_of(c) for c in [*df.columns, column]])

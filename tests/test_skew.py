@@ -61,6 +61,13 @@ def test_composite_and_null_keys(spark):
         assert rows(salted) == rows(left.join(right, ["p", "q"], how))
 
 
+def test_struct_keys_join_on_null_fields(spark):
+    left = spark.sql("select struct(if(id % 2 = 0, null, 1) as a, 'x' as b) as k, id from range(40)")
+    right = spark.sql("select struct(cast(null as int) as a, 'x' as b) as k, 'hit' as r")
+    joined = skew.salted_join(left, right, ["k"], rows_per_salt=5)
+    assert joined.count() == 20 == left.join(right, ["k"]).count()
+
+
 def test_only_a_measured_side_is_broadcast(spark, big, other, small_conf):
     small_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert "BroadcastHashJoin" in plan(skew.broadcast_join(big, other, ["k"]))

@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +115,27 @@ def test_shared_folder_follows_the_session(spark):
         assert folder.startswith(named)
 
 
+def stub_session(named, current, master):
+    """Only what shared_folder asks of a session."""
+    state = SimpleNamespace(folder=current)
+    context = SimpleNamespace(
+        master=master,
+        getCheckpointDir=lambda: state.folder,
+        setCheckpointDir=lambda folder: setattr(state, "folder", folder),
+    )
+    conf = SimpleNamespace(get=lambda name, default: named)
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_shared_folder_on_a_cluster_is_never_local():
+    assert scratch.shared_folder(stub_session("hdfs:/x", None, "yarn")) == "hdfs:/x"
+    assert scratch.shared_folder(stub_session(None, "hdfs:/y", "yarn")) == "hdfs:/y"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(stub_session(None, None, "yarn"))
+    local = stub_session(None, None, "local[2]")
+    assert scratch.shared_folder(local) == scratch.shared_folder(local)
+
+
 def test_dimension_commits(spark, schema, target):  # noqa: F811
     table = f"{schema}.dim_customer"
     dimension.create_dimension(target, table, DIM)
