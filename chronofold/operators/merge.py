@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from chronofold.functions import col_of, keys_equal, quoted, ref
+from chronofold.functions import any_null, col_of, keys_equal, quoted, ref
 from chronofold.operators.dedup import keep_latest
 from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if, measure_by_key
 
@@ -26,10 +26,13 @@ def prepare_batch(
     """One row per key, and whether the batch is small enough to broadcast.
 
     With ``order`` the first row per key wins; without it a repeated key raises
-    ``DuplicateKeys``. Both answers come from one aggregate job over the batch.
+    ``DuplicateKeys``. Rows with a null in the key equal no other row and all stay. Both
+    answers come from one aggregate job over the batch.
     """
     if order:
-        batch = keep_latest(batch, keys, order)
+        keyless = any_null(keys)
+        latest = keep_latest(batch.where(f"not {keyless}"), keys, order)
+        batch = latest.unionByName(batch.where(keyless))
     size = measure_by_key(batch, keys)
     if size.most_per_key > 1:
         raise DuplicateKeys(

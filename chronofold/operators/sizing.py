@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from chronofold.functions import col_of, row_bytes
+from chronofold.functions import any_null, col_of, row_bytes
 
 # Largest relation that operators broadcast; anything wider goes through a shuffle join.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -32,7 +32,7 @@ def measure(df: DataFrame) -> Size:
 
 
 def measure_by_key(df: DataFrame, keys: Sequence[str]) -> Size:
-    """As ``measure``, plus the number of rows on the most frequent key.
+    """As ``measure``, plus the number of rows on the most frequent key without a null.
 
     Counts are combined before the shuffle, so one key with most of the rows costs no more
     than any other.
@@ -43,7 +43,7 @@ def measure_by_key(df: DataFrame, keys: Sequence[str]) -> Size:
     row = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.sum("b"), F.lit(0)).alias("b"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+        F.expr(f"coalesce(max(if({any_null(keys)}, 1, n)), 0) as most"),
     ).first()
     return Size(row["n"], row["b"], row["most"])
 

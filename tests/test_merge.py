@@ -70,6 +70,14 @@ def test_duplicate_batch_keys(spark, target, size):
     assert (1, "y", 1) in rows(latest)
 
 
+@pytest.mark.parametrize("order", [None, {"seq": "desc"}])
+def test_rows_with_a_null_key_are_no_duplicates(spark, target, size, order):
+    batch = spark.createDataFrame([(None, "x", 1), (None, "y", 2)], "id int, v string, seq int")
+    values = {"id": "s.id", "v": "s.v"}
+    result = merge_upsert(target, batch, ["id"], {"v": "s.v"}, values, order=order, **size)
+    assert rows(result) - rows(target) == {(None, "x", None): 1, (None, "y", None): 1}
+
+
 def test_unknown_columns(target, batch):
     with pytest.raises(ValueError, match="set names"):
         merge_update(target, batch, ["id"], set={"w": "s.v"})
