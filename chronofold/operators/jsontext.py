@@ -58,8 +58,42 @@ def flatten_json(
     outer: bool = True,
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """Parse a JSON text column and flatten it to one row per array element."""
-    return flatten_records(parse_json(df, column, schema, mode), array, parents, items, outer)
+    """Parse a JSON text column and flatten it to one row per array element.
+
+    Only the fields that ``parents`` and ``items`` name are parsed, whatever else ``schema``
+    has; with ``FAILFAST`` all of them are, so that each is checked.
+    """
+    fields = _struct(schema)
+    if mode == "PERMISSIVE":
+        fields = narrowed(fields, [*parents.values(), *[f"{array}.{i}" for i in items.values()]])
+    return flatten_records(parse_json(df, column, fields, mode), array, parents, items, outer)
+
+
+def narrowed(schema: T.StructType, paths: Sequence[str]) -> T.StructType:
+    """The part of a schema that the dotted paths reach, through structs and arrays of structs."""
+    if any("`" in path for path in paths):
+        return schema
+    wanted: dict[str, list[str]] = {}
+    for path in paths:
+        head, _, rest = path.partition(".")
+        wanted.setdefault(head.lower(), []).append(rest)
+    return T.StructType(
+        [
+            T.StructField(f.name, _narrowed_type(f.dataType, wanted[f.name.lower()]), f.nullable)
+            for f in schema.fields
+            if f.name.lower() in wanted
+        ]
+    )
+
+
+def _narrowed_type(data_type: T.DataType, rests: Sequence[str]) -> T.DataType:
+    if "" in rests:
+        return data_type
+    if isinstance(data_type, T.StructType):
+        return narrowed(data_type, rests)
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(_narrowed_type(data_type.elementType, rests), data_type.containsNull)
+    return data_type
 
 
 def infer_json_schema(df: DataFrame, column: str) -> T.StructType:

@@ -269,6 +269,7 @@ union all
 select * from fresh
 """,
     "publish_roundtrip": APPLIED,
+    "publish_flat_items": SHIPMENTS_OUTER,
     "append_by_name": CUSTOMERS
     + "select id, name, city from target union all select id, name, city from batch",
     "dimension_commit": ORDER_CASE + "select * from applied",

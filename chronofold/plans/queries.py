@@ -322,6 +322,14 @@ def publish_roundtrip(spark, folder):
     return spark.table(table)
 
 
+@query
+def publish_flat_items(spark, folder):
+    """Flatten nested messages into a table."""
+    table = f"{scratch_schema(spark)}.fact_items"
+    tables.publish(json_parse_explode(spark, folder), table)
+    return spark.table(table)
+
+
 @query
 def append_by_name(spark, folder):
     """Append rows whose columns come in another order."""

@@ -1,9 +1,15 @@
 import pytest
-from pyspark.sql import functions as F
-
-from chronofold.operators.jsontext import flatten_json, infer_json_schema, parse_json, split_rejects
+from pyspark.sql import functions as F, types as T
+
+from chronofold.operators.jsontext import (
+    flatten_json,
+    infer_json_schema,
+    narrowed,
+    parse_json,
+    split_rejects,
+)
 from chronofold.operators.nested import flatten_records
-from helpers import rows
+from helpers import plan, rows
 from test_nested import ITEMS, ORDERS, PARENTS, orders  # noqa: F401
 
 SCHEMA = ORDERS.replace(" not null", "")
@@ -94,6 +100,42 @@ def test_inference_needs_objects(spark):
         infer_json_schema(texts(spark, "no json"), "raw")
 
 
+def test_only_named_fields_are_parsed(spark, orders):  # noqa: F811
+    as_text = orders.select(F.to_json(F.struct("order_id", "customer", "items")).alias("raw"))
+    parents, items = {"city": "Customer.city"}, {"product": "product", "price": "price"}
+    flat = flatten_json(as_text, "raw", SCHEMA, "items", parents, items)
+    assert rows(flat) == rows(flatten_records(orders, "items", parents, items))
+    text = plan(flat)
+    assert "StructField(city," in text
+    parsed = text[text.index("from_json(") : text.index("to_json") if "to_json" in text else None]
+    assert "StructField(name," not in parsed.split("PERMISSIVE")[0]
+    assert "StructField(qty," not in parsed.split("PERMISSIVE")[0]
+
+
+def test_narrowed_schema():
+    schema = T.DataType.fromDDL(
+        "a int, b struct<c: int, d: struct<e: int, f: int>>, g array<struct<h: int, i: int>>, "
+        "j map<string, struct<k: int, l: int>>, m int"
+    )
+    assert narrowed(schema, ["b.D.e", "g.h", "j.k", "A"]).simpleString() == (
+        "struct<a:int,b:struct<d:struct<e:int>>,g:array<struct<h:int>>,"
+        "j:map<string,struct<k:int,l:int>>>"
+    )
+    assert narrowed(schema, ["b", "b.c", "g"]).simpleString() == (
+        "struct<b:struct<c:int,d:struct<e:int,f:int>>,g:array<struct<h:int,i:int>>>"
+    )
+    assert narrowed(schema, ["`b`.c"]) == schema
+
+
+def test_failfast_still_checks_fields_that_are_not_used(spark):
+    df = texts(spark, '{"a": 1, "b": "no number", "c": [{"d": 1}]}')
+    schema = "a int, b int, c array<struct<d: int>>"
+    flat = flatten_json(df, "raw", schema, "c", {"a": "a"}, {"d": "d"})
+    assert rows(flat) == {(1, 1): 1}
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        flatten_json(df, "raw", schema, "c", {"a": "a"}, {"d": "d"}, mode="FAILFAST").collect()
+
+
 def test_column_of_the_same_name_as_a_field(spark):
     df = spark.createDataFrame([("x", '{"raw": 1}')], "id string, raw string")
     assert rows(parse_json(df, "raw", "raw int", keep=["id"])) == {("x", 1): 1}
