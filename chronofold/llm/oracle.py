@@ -111,4 +111,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failing
 """
 
-ORACLE = {"op3_line_dedup": OP3, "op4_mix_sources": OP4, "op8_line_rules": OP8}
+OP6 = rf"""
+WITH rules(rule_host, rule_path, said) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+        ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), parts AS (
+    SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), {LOWERED}) AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+), fitting AS (
+    SELECT p.*, rule_host || rule_path AS rule, said
+    FROM parts p LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+        AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict
+FROM fitting QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+"""
+
+PLAIN_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+OP10 = rf"""
+WITH items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {LOWERED}), {PLAIN_WORDS}) AS w FROM benchmark
+), starts AS (
+    SELECT item_id, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+    FROM items WHERE len(w) > 0
+), looked_for AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM starts
+), docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWERED}), {PLAIN_WORDS}) AS w FROM documents
+), placed AS (
+    SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM docs, (SELECT DISTINCT k FROM looked_for) WHERE len(w) >= k
+), found AS (
+    SELECT doc_id, i, l.k, item_id
+    FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM placed) p
+    JOIN looked_for l ON l.g = p.g AND l.k = p.k
+), hit AS (
+    SELECT doc_id, count(DISTINCT n) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + k)) AS n FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE = {
+    "op3_line_dedup": OP3,
+    "op4_mix_sources": OP4,
+    "op6_url_rules": OP6,
+    "op8_line_rules": OP8,
+    "op10_decontaminate": OP10,
+}

@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronofold.llm import line_rules, line_runs, mixing, shards
+from chronofold.llm import (
+    decontaminate,
+    line_rules,
+    line_runs,
+    mixing,
+    quality_model,
+    shards,
+    url_rules,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, table(spark, folder, "labels"))
+    scored = quality_model.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_runs.drop_common_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return cleaned.select(
@@ -36,6 +53,20 @@ def op5_shard(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_rules.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = line_rules.clean_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return judged.select(
@@ -50,7 +81,31 @@ def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_contamination(
+        table(spark, folder, "documents").select("doc_id", "text"),
+        table(spark, folder, "benchmark"),
+        keep=["doc_id"],
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op3_line_dedup, op4_mix_sources, op5_shard, op8_line_rules)
+    for f in (
+        op2_quality,
+        op3_line_dedup,
+        op4_mix_sources,
+        op5_shard,
+        op6_url_rules,
+        op8_line_rules,
+        op10_decontaminate,
+    )
 }
