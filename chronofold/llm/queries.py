@@ -9,6 +9,7 @@ from chronofold.llm import (
     line_rules,
     line_runs,
     mixing,
+    ngram_join,
     quality_model,
     shards,
     url_rules,
@@ -19,6 +20,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents"))
+
+
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality_model.fit(docs, table(spark, folder, "labels"))
@@ -100,6 +105,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_ngram_join,
         op2_quality,
         op3_line_dedup,
         op4_mix_sources,
