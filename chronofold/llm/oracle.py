@@ -129,6 +129,21 @@ SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict
 FROM fitting QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
 """
 
+OP7 = """
+WITH sized AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), topped AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000
+        THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS top
+    FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN top > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN top > page_id THEN top END AS refers_to
+FROM topped
+"""
+
 PLAIN_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 OP10 = rf"""
@@ -165,6 +180,7 @@ ORACLE = {
     "op3_line_dedup": OP3,
     "op4_mix_sources": OP4,
     "op6_url_rules": OP6,
+    "op7_warc_zip": OP7,
     "op8_line_rules": OP8,
     "op10_decontaminate": OP10,
 }

@@ -13,6 +13,7 @@ from chronofold.llm import (
     quality_model,
     shards,
     url_rules,
+    warc_zip,
 )
 
 
@@ -72,6 +73,17 @@ def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc_zip.archive_round_trip(table(spark, folder, "pages"))
+    return records.select(
+        F.col("id").alias("page_id"),
+        F.col("size").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        "refers_to",
+    )
+
+
 def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = line_rules.clean_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return judged.select(
@@ -111,6 +123,7 @@ QUERIES = {
         op4_mix_sources,
         op5_shard,
         op6_url_rules,
+        op7_warc_zip,
         op8_line_rules,
         op10_decontaminate,
     )
