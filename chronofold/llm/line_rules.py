@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chronofold.functions import col_of
 
 SPACES = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MOST_REPEATED_PERCENT = 50
@@ -99,7 +100,7 @@ def symbols_in(text: Column) -> Column:
 def line_passes(line: Column) -> Column:
     """Whether a line with words passes: it ends like a sentence, is not made of symbols or
     shouts, and is neither navigation nor boilerplate."""
-    n = F.size(words_of(line))
+    n = F.regexp_count(line, F.lit(WORD))
     return (
         line.rlike(END)
         & (symbols_in(line) * 100 <= n * MOST_SYMBOLS_PER_100_WORDS)

@@ -12,6 +12,7 @@ from chronofold.llm import (
     ngram_join,
     quality_model,
     shards,
+    token_files,
     url_rules,
     warc_zip,
 )
@@ -98,6 +99,14 @@ def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = token_files.token_round_trip(table(spark, folder, "documents"), path)
+    return tokens.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, folder, "documents").select("doc_id", "text"),
@@ -125,6 +134,7 @@ QUERIES = {
         op6_url_rules,
         op7_warc_zip,
         op8_line_rules,
+        op9_token_files,
         op10_decontaminate,
     )
 }
