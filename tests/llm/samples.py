@@ -1,0 +1,96 @@
+"""Rows that operators must survive, and reference results in plain Python."""
+
+import random
+import re
+from collections import Counter
+
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# Extra columns have the names of added ones.
+SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, score string, kept string, "
+    "n_words string, rank string, target string, shard string, span string, similarity string, node string, key string"
+)
+
+
+def sentence(seed, n):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdeo") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+
+def odd_rows():
+    """Nulls, empty and blank texts, a very long one, repeated rows and texts, and other scripts."""
+    long = "\n".join(sentence(i, 60).capitalize() + "." for i in range(700))
+    texts = [
+        (1, None, None),
+        (2, "", "b"),
+        (3, " \t\n\x0b \r", "b"),
+        (4, "one", None),
+        (5, long, "a"),
+        (6, sentence(1, 80) + ".", "a"),
+        (7, sentence(1, 80) + ".", "c"),
+        (7, sentence(1, 80) + ".", "c"),
+        (None, sentence(2, 70), "a"),
+        (None, None, None),
+        (8, "ÉTÉ\x85 naïve 東京 \x00 x\n\n ÉTÉ ", "ü"),
+        (9, "A b\na B \nA b\n" * 5, "a"),
+        (10, sentence(1, 80) + ". More", "z"),
+    ]
+    return [(k, t, "xx", s, len(t or ""), *["clash"] * 11) for k, t, s in texts]
+
+
+def odd_frame(spark):
+    return spark.createDataFrame(odd_rows(), SCHEMA)
+
+
+def no_rows(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return SPACED.findall(text or "")
+
+
+def shingle_set(text, width=5):
+    found = words((text or "").translate(LOWER))
+    size = min(width, len(found))
+    return frozenset(tuple(found[i : i + size]) for i in range(len(found) - size + 1)) if found else frozenset()
+
+
+def classes(keyed):
+    """The smallest key of each key's class, and each key's links, by comparing all pairs."""
+    sets = {}
+    for key, text in keyed:
+        sets.setdefault(shingle_set(text), []).append(key)
+    root = {s: s for s in sets}
+
+    def find(s):
+        while root[s] is not s:
+            s = root[s]
+        return s
+
+    links = Counter()
+    listed = [s for s in sets if s]
+    for i, x in enumerate(listed):
+        for y in listed[:i]:
+            both = len(x & y)
+            if 5 * both >= 4 * (len(x) + len(y) - both):
+                links[x] += 1
+                links[y] += 1
+                root[find(x)] = find(y)
+    least = {}
+    for s, keys in sets.items():
+        known = [k for k in keys if k is not None]
+        if known:
+            least[find(s)] = min([min(known), *([least[find(s)]] if find(s) in least else [])])
+    return {s: (least.get(find(s)), links[s]) for s in sets}
+
+
+def repeated_words(found):
+    windows = Counter(tuple(found[i : i + 3]) for i in range(len(found) - 2))
+    covered = set()
+    for i in range(len(found) - 2):
+        if windows[tuple(found[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    return len(covered)

@@ -1,0 +1,118 @@
+import hashlib
+from collections import Counter
+
+import pytest
+
+from chronofold.llm import line_rules, line_runs
+from samples import LOWER, no_rows, odd_frame, odd_rows, repeated_words, sentence, words
+
+STRIP = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    return line.strip(STRIP).translate(LOWER)
+
+
+def dropped(texts, least):
+    """Lines, dropped lines and kept text of each text."""
+    found = Counter(k for t in texts for k in {key(x) for x in (t or "").split("\n")} if k)
+    out = []
+    for t in texts:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if found[key(x)] < least or not key(x)]
+        out.append((len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+@pytest.mark.parametrize("batches", [1, 3, 10])
+def test_common_lines_go_from_every_document(spark, batches):
+    texts = [f"Hello THERE\t\n{i}\n\n hello there \nÉtat {i % 4}\nétat {i % 4}\r\nonly {i % 9}" for i in range(40)]
+    texts += ["hello there", "", "\n", None, "x\nx\nx"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = line_runs.drop_common_lines(df, batches=batches)
+    expected = dropped(texts, 10)
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in out.collect()} == dict(enumerate(expected))
+    assert expected[0][1] > 2 and expected[40][2] == ""
+
+
+def test_runs_are_compacted_and_keep_their_counts(spark):
+    runs = line_runs.LineRuns(spark)
+    batches = [[(i, "a\nb" if i % 2 else "a") for i in range(k, k + 4)] for k in range(0, 40, 4)]
+    for rows in batches:
+        runs.add(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    # ten runs by threes: one at the lowest level, none above it, one of nine
+    assert [len(level) for level in runs.levels] == [1, 0, 1]
+    assert runs.found_in(20).count() == 2 and runs.found_in(21).count() == 1
+    assert runs.found_in(41).count() == 0
+
+
+def test_repeated_rows_are_documents_of_their_own(spark):
+    df = spark.createDataFrame([(1, "same\nother")] * 10 + [(2, "other")], "doc_id bigint, text string")
+    rows = line_runs.drop_common_lines(df).collect()
+    assert Counter((r.doc_id, r.n_dropped, r.kept) for r in rows) == {(1, 2, ""): 10, (2, 1, ""): 1}
+
+
+def test_odd_rows_lines(spark):
+    df = odd_frame(spark)
+    out = line_runs.drop_common_lines(df, least=2)
+    expected = Counter((r[0], *e) for r, e in zip(odd_rows(), dropped([r[1] for r in odd_rows()], 2)))
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in out.collect()) == expected
+    assert out.count() == len(odd_rows()) and "shard" in out.columns
+    assert line_runs.drop_common_lines(no_rows(spark)).count() == 0
+
+
+def test_digest_of_kept_text(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "a é\n")], "doc_id bigint, text string")
+    row = line_runs.drop_common_lines(df).select(F.sha2("kept", 256).alias("h")).first()
+    assert row.h == hashlib.sha256("a é\n".encode()).hexdigest()
+
+
+def base(text):
+    found = words(text)
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    repeats = repeated_words(found)
+    failed = len(found) < 50 or 100 * repeats > 50 * len(found)
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return (len(found), sum(map(len, found)), symbols, len(lines) - len(set(lines)), repeats, failed)
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def test_base_counts(spark):
+    texts = ["", "a", "a b", "a b c", "a b c a b c", "x x x", "x x x x", "a b c d a b c", "p q r s q r s t q r s"]
+    texts += ["w" + str(i % 7) + " v" for i in range(3)] + ["a b\na b\n\n a b\n#*$%&|<> é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: tuple(r[c] for c in COUNTS) for r in line_rules.clean_lines(df).collect()}
+    assert got == {i: base(t) for i, t in enumerate(texts)}
+
+
+def test_odd_rows_rules(spark):
+    out = line_rules.clean_lines(odd_frame(spark)).collect()
+    assert Counter((r.doc_id, *[r[c] for c in COUNTS]) for r in out) == Counter((r[0], *base(r[1])) for r in odd_rows())
+    kept = {r.doc_id: r.kept for r in out}
+    assert kept[5] and not kept[1] and not kept[2] and not kept[4]
+    assert line_rules.clean_lines(no_rows(spark)).count() == 0
+
+
+def test_lines_are_cleaned_and_poor_texts_rejected(spark):
+    good = "\n".join(sentence(i, 12).capitalize() + "." for i in range(6))
+    junk = "home | about | contact\n*** buy *** now ***\nWIN!! NOW!! YES!!\nAll rights reserved."
+    df = spark.createDataFrame(
+        [(1, good + "\n" + junk), (2, junk.replace("\n", " x\n") + sentence(9, 70) + "\n" + good.split("\n")[0]), (3, good)], "doc_id bigint, text string"
+    )
+    rows = {r.doc_id: r for r in line_rules.clean_lines(df).collect()}
+    assert rows[1].cleaned == good and rows[1].kept and rows[3].cleaned == good
+    assert not rows[2].kept and not rows[2].base_failed
+
+
+def test_kept_agrees_with_labels(spark):
+    from pyspark.sql import functions as F
+
+    folder = "/root/testdata/sf0.01"
+    judged = line_rules.clean_lines(spark.read.parquet(f"{folder}/documents.parquet"))
+    both = judged.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("NOT base_failed")
+    row = both.agg(F.avg(F.expr("if(quality = 1, kept, null)").cast("int")).alias("clean"), F.avg(F.expr("if(quality = 0, kept, null)").cast("int")).alias("junk")).first()
+    assert row.clean > 0.98 and row.junk < 0.1

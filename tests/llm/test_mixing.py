@@ -1,0 +1,75 @@
+import random
+from collections import defaultdict
+
+from chronofold.llm import mixing
+from samples import no_rows, odd_frame, odd_rows, words
+
+
+def aims(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """Targets by resharing the excess until none is above, source by source."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total = share * sum(sizes.values())
+    target, full = {}, set()
+    while True:
+        free = [s for s in order if s not in full]
+        rest = total - sum(most * sizes[s] for s in full)
+        level = rest / sum(weight[s] for s in free) if free else 0
+        target = {s: most * sizes[s] if s in full else level * weight[s] for s in order}
+        above = {s for s in free if target[s] > most * sizes[s]}
+        if not above:
+            return target
+        full |= above
+
+
+def sums(df, source="source"):
+    taken, size = defaultdict(int), defaultdict(int)
+    for r in df.collect():
+        taken[r[source]] += r.taken
+        size[r[source]] += r["size"]
+        assert 0 <= r.taken <= 2 * r["size"]
+        assert r.source_size >= r["size"]
+    return taken, size
+
+
+def test_budgets_are_met_exactly(spark):
+    rng = random.Random(3)
+    rows = [(i, "w " * int(rng.paretovariate(1) * 4), rng.choice(["a", "a", "a", "b", "ba", "é", None])) for i in range(800)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).cache()
+    taken, size = sums(out)
+    target = aims(size)
+    for r in out.select("source", "target", "source_size").distinct().collect():
+        assert abs(r.target - target[r.source]) < 1e-6 and r.source_size == size[r.source]
+        assert taken[r.source] == int(r.target + 1e-9)
+
+
+def test_rows_are_taken_in_one_random_order(spark):
+    rows = [(i, "w " * 10, "a" if i % 3 else "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    first = {r.doc_id: r.taken for r in mixing.mix(df).collect()}
+    assert first == {r.doc_id: r.taken for r in mixing.mix(df.repartition(7)).collect()}
+    other = {r.doc_id: r.taken for r in mixing.mix(df, seed=4).collect()}
+    assert other != first and sum(other.values()) == sum(first.values())
+    assert sum(1 for v in first.values() if v not in (0, 10, 20)) <= 2
+
+
+def test_one_source_repeats_whole_epochs(spark):
+    df = spark.createDataFrame([(i, "x y z", "only") for i in range(10)], "doc_id bigint, text string, source string")
+    assert sorted(r.taken for r in mixing.mix(df).collect()) == [3] * 5 + [6] * 5
+
+
+def test_odd_rows(spark):
+    out = mixing.mix(odd_frame(spark))
+    assert out.count() == len(odd_rows())
+    assert sorted(str(r["size"]) for r in out.collect()) == sorted(str(len(words(r[1]))) for r in odd_rows())
+    taken, size = sums(out)
+    target = aims(size)
+    for s in size:
+        # rows of one key share a cut evenly, rounded down
+        assert target[s] - 3 <= taken[s] <= target[s] + 1e-6
+
+
+def test_no_words_and_no_rows(spark):
+    blank = spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id bigint, text string, source string")
+    assert [r.taken for r in mixing.mix(blank).collect()] == [0, 0]
+    assert mixing.mix(no_rows(spark)).count() == 0

@@ -1,0 +1,59 @@
+import pytest
+
+from chronofold.llm import url_rules
+from chronofold.llm.queries import URL_RULES
+
+RULES = URL_RULES + [("a.x.com", "/", "block"), ("x.com", "/ab", "allow"), ("net", "/", "allow"), ("é.fr", "/ü", "block")]
+URLS = [
+    "http://a.example.net/en/1", "https://EXAMPLE.net/en/", "https://example.net/en", "https://example.net/de/?x=/en/",
+    "https://notexample.com/de/1", "https://de.example.com/de/2#x", "http://example.com/de", "http://w.org/fr/a?b",
+    "https://org/fr/", "http://a.x.com/ab", "http://b.x.com/abc", "http://x.com/a", "http://é.fr/üb", "http://w.É.fr/ü",
+    "no scheme", "", None, "://", "http:///en/", "x://y://net/", "http://net", "http://net?/", "ftp://u@b.net:80/\n/", "http://.net/",
+    "http://a..net/", "http://net./", "http://" + "s." * 300 + "net/" + "p" * 3000,
+]
+
+
+def judged(url, rules):
+    """Host, path, rule and verdict, rule by rule."""
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:end])
+        rest = rest[end:]
+        path = rest[: min([rest.find(c) for c in "?#" if c in rest], default=len(rest))]
+    found = {}
+    for h, p, verdict in rules:
+        if (host == h or host.endswith("." + h)) and path.startswith(p):
+            key = (len((h + p).encode()), len(h.encode()), h + p)
+            found[key] = max(found.get(key, ""), verdict)
+    if not found:
+        return host, path, None, "allow"
+    return host, path, max(found)[2], found[max(found)]
+
+
+@pytest.mark.parametrize("file_bytes", [url_rules.FILE_BYTES, 0])
+def test_both_ways_judge_alike(spark, file_bytes):
+    df = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(URLS + URLS[:3])], "page_id bigint, url string, host string, verdict string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    out = url_rules.judge_urls(df, rules, file_bytes=file_bytes)
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()}
+    assert got == {i: judged(u, RULES) for i, u in enumerate(URLS + URLS[:3])}
+    assert sorted(out.columns) == ["host", "page_id", "path", "rule", "url", "verdict"]
+
+
+def test_without_rules_and_without_rows(spark):
+    df = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
+    none = spark.createDataFrame([], "host string, path string, verdict string")
+    assert [(r.rule, r.verdict) for r in url_rules.judge_urls(df, none).collect()] == [(None, "allow")]
+    assert url_rules.judge_urls(df.limit(0), spark.createDataFrame(RULES, none.schema)).count() == 0
+
+
+def test_equal_digests_are_told_apart_by_the_string(monkeypatch, tmp_path):
+    import numpy as np
+
+    monkeypatch.setattr(url_rules.xxhash, "xxh64_intdigest", lambda s: len(s) % 3)
+    url_rules.write_arrays([(h, p, v) for h, p, v in URL_RULES], tmp_path)
+    arrays = url_rules.RuleArrays(lambda name: np.load(tmp_path / f"{name}.npy", mmap_mode="r"))
+    cases = [judged(u, URL_RULES) for u in URLS]
+    assert arrays.judge([c[0] for c in cases], [c[1] for c in cases]) == ([c[2] for c in cases], [c[3] for c in cases])
