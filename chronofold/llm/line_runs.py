@@ -9,12 +9,13 @@ batch is cleaned by joining its lines with the runs on the hash.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chronofold.functions import col_of
 from chronofold.operators.sizing import broadcast_if, measure
-from chronofold.sources.scratch import new_folder
+from chronofold.sources.scratch import freeze, new_folder
 
 FAN_OUT = 3
 # Fixed value: the white space that is stripped from both ends of a line.
@@ -28,23 +29,33 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def line_key(line: Column) -> Column:
-    """The line stripped at both ends, with A-Z in lower case and no other letter changed."""
-    bare = F.btrim(line, F.lit(SPACE))
-    plain = F.octet_length(bare) == F.char_length(bare)
-    return F.when(plain, F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
+def line_keys(lines: Column) -> Column:
+    """The lines stripped at both ends, with A-Z in lower case and no other letter changed."""
+    bare = F.transform(lines, lambda line: F.btrim(line, F.lit(SPACE)))
+    return F.transform(
+        bare,
+        lambda line: F.when(F.octet_length(line) == F.char_length(line), F.lower(line)).otherwise(
+            F.translate(line, UPPER, LOWER)
+        ),
+    )
 
 
-def line_hash(line: Column) -> Column:
-    """128 bits of the line's key, or null where the key is empty."""
-    key = line_key(line)
-    return F.when(key != "", F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit(7)).alias("h2")))
+def line_hashes(lines: Column) -> Column:
+    """128 bits of each line's key, null where the key is empty."""
+    hashed = lambda key: F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit(7)).alias("h2"))
+    return F.transform(line_keys(lines), lambda key: F.when(key != "", hashed(key)))
 
 
-def hashes_of(df: DataFrame, text: str, keep: list[Column]) -> DataFrame:
-    """A row for each different key of each row of ``df``."""
-    hashes = F.array_compact(F.array_distinct(F.transform(lines_of(col_of(text)), line_hash)))
-    return df.select(*keep, F.explode(hashes).alias("h")).select("*", "h.h1", "h.h2").drop("h")
+# Types that the hash function takes.
+PLAIN = {"string", "bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz"}
+
+
+def row_mark(df: DataFrame, text: str) -> Column:
+    """128 bits of a row: of its text, which decides its lines, and of its other plain columns,
+    which spread rows of equal text."""
+    content = col_of(text)
+    others = [col_of(c) for c, kind in df.dtypes if c != text and kind in PLAIN]
+    return F.struct(F.xxhash64(content, *others).alias("a"), F.xxhash64(*others, F.lit(3), content).alias("b"))
 
 
 @dataclass
@@ -55,13 +66,17 @@ class LineRuns:
     text: str = "text"
     levels: list[list[str]] = field(default_factory=list)
 
-    def add(self, batch: DataFrame) -> None:
+    def add(self, batch: DataFrame) -> DataFrame:
         """Count the documents of each line of the batch and keep them as a sorted run.
 
-        A row of the batch is a document, repeated rows included.
+        A row of the batch is a document, repeated rows included. Returns a row for each different
+        key of each row: the row's mark and the hash.
         """
-        counts = hashes_of(batch, self.text, []).groupBy(*HASH).agg(F.count("*").alias("docs"))
-        self._keep(counts, 0)
+        hashes = F.array_compact(F.array_distinct(line_hashes(lines_of(col_of(self.text)))))
+        marked = batch.select(row_mark(batch, self.text).alias("mark"), F.explode(hashes).alias("h"))
+        entries = freeze(marked.select("mark", "h.h1", "h.h2"))
+        self._keep(entries.groupBy(*HASH).agg(F.count("*").alias("docs")), 0)
+        return entries
 
     def _keep(self, counts: DataFrame, level: int) -> None:
         folder = new_folder(self.spark, f"lines-level{level}")
@@ -83,34 +98,28 @@ class LineRuns:
         folders = [f for level in self.levels for f in level]
         return self._totals(folders).where(F.col("docs") >= least).select(*HASH)
 
-    def clean(self, batch: DataFrame, least: int, common: DataFrame | None = None) -> DataFrame:
+    def clean(self, batch: DataFrame, entries: DataFrame, least: int) -> DataFrame:
         """The batch without the lines that are found in at least ``least`` documents of the runs.
 
-        Adds ``n_lines`` (before dropping), ``n_dropped`` and the kept text as ``kept``, where
-        every line is dropped the empty text. Columns of those names are replaced; internal
-        names start with ``_lines_``.
+        ``entries`` is what ``add`` returned for the batch. Adds ``n_lines`` (before dropping), ``n_dropped`` and the
+        kept text as ``kept``, where every line is dropped the empty text. Columns of those
+        names are replaced; internal names start with ``_lines_``.
         """
-        common = self.found_in(least) if common is None else common
-        text = col_of(self.text)
-        # a row's lines depend on its text alone; the other columns spread rows of equal text
-        others = [col_of(c) for c, kind in batch.dtypes if c != self.text and kind in PLAIN]
-        mark = F.struct(F.xxhash64(text, *others).alias("a"), F.xxhash64(*others, F.lit(3), text).alias("b"))
-        marked = batch.withColumn("_lines_row", mark)
+        common = freeze(self.found_in(least))
         hit = (
-            hashes_of(marked, self.text, [F.col("_lines_row")])
-            .join(broadcast_if(measure(common).fits(), common), HASH, "left_semi")
-            .groupBy(F.col("_lines_row").alias("_lines_at"))
+            entries.join(broadcast_if(measure(common).fits(), common), HASH, "left_semi")
+            .groupBy(F.col("mark").alias("_lines_at"))
             .agg(F.collect_set(F.struct(*HASH)).alias("_lines_bad"))
         )
         bad = F.col("_lines_bad")
-        lines = lines_of(text)
-        kept = F.when(
-            bad.isNotNull(),
-            F.filter(lines, lambda line: ~F.coalesce(F.array_contains(bad, line_hash(line)), F.lit(False))),
-        ).otherwise(lines)
+        lines = lines_of(col_of(self.text))
+        stays = F.zip_with(
+            lines, line_hashes(lines), lambda line, h: F.when(~F.coalesce(F.array_contains(bad, h), F.lit(False)), line)
+        )
         return (
-            marked.join(hit, F.col("_lines_row") == F.col("_lines_at"), "left")
-            .withColumn("_lines_kept", kept)
+            batch.withColumn("_lines_row", row_mark(batch, self.text))
+            .join(hit, F.col("_lines_row") == F.col("_lines_at"), "left")
+            .withColumn("_lines_kept", F.when(bad.isNull(), lines).otherwise(F.array_compact(stays)))
             .withColumns({
                 "n_lines": F.size(lines).cast("long"),
                 "n_dropped": (F.size(lines) - F.size("_lines_kept")).cast("long"),
@@ -120,10 +129,6 @@ class LineRuns:
         )
 
 
-# Types that the hash function takes.
-PLAIN = {"string", "bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz"}
-
-
 def drop_common_lines(
     df: DataFrame, least: int = 10, batches: int = 3, text: str = "text"
 ) -> DataFrame:
@@ -135,6 +140,5 @@ def drop_common_lines(
     """
     runs = LineRuns(df.sparkSession, text)
     batch = F.pmod(F.xxhash64(F.coalesce(col_of(text), F.lit("")), F.lit(11)), F.lit(batches))
-    for i in range(batches):
-        runs.add(df.where(batch == i))
-    return runs.clean(df, least)
+    entries = [runs.add(df.where(batch == i)) for i in range(batches)]
+    return runs.clean(df, reduce(DataFrame.union, entries), least)
