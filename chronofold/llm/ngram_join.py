@@ -34,7 +34,7 @@ T = 64
 SMALL = 24
 LEVELS = 3
 # Sets of a dense bucket that all others are compared with, and those that make its signature.
-PIVOTS = 6
+PIVOTS = 3
 VOTERS = 128
 # Standard errors by which an estimate may fall short of the similarity asked for.
 SLACK = 3.5
