@@ -5,6 +5,7 @@ from chronofold.functions.columns import (
     any_null,
     ascending_or_descending,
     col_of,
+    hashable,
     keys_equal,
     keys_same,
     quoted,
@@ -21,6 +22,7 @@ __all__ = [
     "any_null",
     "ascending_or_descending",
     "col_of",
+    "hashable",
     "keys_equal",
     "keys_same",
     "quoted",

@@ -61,22 +61,68 @@ def ascending_or_descending(order: Mapping[str, str]) -> list[Column]:
     return [col_of(c).desc() if d == "desc" else col_of(c).asc() for c, d in order.items()]
 
 
-def stable_salt(columns: Sequence[str], salts: str, relation: str | None = None) -> str:
+def _unhashable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return any(_unhashable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _unhashable(data_type.elementType)
+    return isinstance(data_type, (T.MapType, T.VariantType))
+
+
+def hashable(field: T.StructField, relation: str | None = None) -> str:
+    """SQL for a value that ``xxhash64`` takes: columns that hold maps or variants as JSON text."""
+    name = ref(field.name, relation)
+    return f"to_json(named_struct('v', {name}))" if _unhashable(field.dataType) else name
+
+
+def stable_salt(schema: T.StructType, salts: str, relation: str | None = None) -> str:
     """SQL for a number below ``salts`` that a retried task computes again for the same row.
 
     The input partition is hashed in too, so that many identical rows still spread. A row's
     partition, unlike its position there, is the same when a lost task runs again.
     """
-    hashed = ", ".join(["spark_partition_id()", *[ref(c, relation) for c in columns]])
+    hashed = ", ".join(["spark_partition_id()", *[hashable(f, relation) for f in schema.fields]])
     return f"pmod(xxhash64({hashed}), {salts})"
 
 
-def row_bytes(schema: T.StructType) -> Column:
-    """Approximate in-memory width of a row: 8 bytes per field and all variable-length content."""
-    parts = [f"{16 + 8 * len(schema.fields)}L"]
-    for field in schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            parts.append(f"coalesce(octet_length({ref(field.name)}), 0)")
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            parts.append(f"octet_length(to_json(array({ref(field.name)})))")
-    return F.expr(" + ".join(parts))
+# Widths of values that always take the same room.
+_FIXED = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+    T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType, T.DayTimeIntervalType,
+    T.YearMonthIntervalType,
+)
+
+
+def _width(value: str, data_type: T.DataType, depth: int = 0) -> str | None:
+    """SQL for the bytes that a value takes, nulls included; None for a type without a rule."""
+    if isinstance(data_type, _FIXED):
+        return "8L"
+    if isinstance(data_type, T.DecimalType):
+        return "24L"
+    if isinstance(data_type, (T.StringType, T.BinaryType)):
+        return f"(16L + coalesce(octet_length({value}), 0))"
+    if isinstance(data_type, T.VariantType):
+        return f"(32L + coalesce(octet_length(to_json({value})), 0))"
+    if isinstance(data_type, T.StructType):
+        parts = [_width(f"{value}.{quoted(f.name)}", f.dataType, depth) for f in data_type.fields]
+        return None if None in parts else f"({' + '.join(['16L', *parts])})"
+    if isinstance(data_type, T.MapType):
+        keys = _width(f"map_keys({value})", T.ArrayType(data_type.keyType), depth)
+        values = _width(f"map_values({value})", T.ArrayType(data_type.valueType), depth)
+        return None if None in (keys, values) else f"({keys} + {values})"
+    if isinstance(data_type, T.ArrayType):
+        item, total = f"x{depth}", f"n{depth}"
+        width = _width(item, data_type.elementType, depth + 1)
+        if width is None:
+            return None
+        if "(" not in width:
+            return f"(24L + {width} * greatest(coalesce(size({value}), 0), 0))"
+        added = f"aggregate({value}, 0L, ({total}, {item}) -> {total} + {width})"
+        return f"(24L + coalesce({added}, 0L))"
+    return None
+
+
+def row_bytes(schema: T.StructType) -> Column | None:
+    """In-memory width of a row from its types and contents; None if a type has no rule."""
+    parts = [_width(ref(f.name), f.dataType) for f in schema.fields]
+    return None if None in parts else F.expr(" + ".join(["16L", *parts]))

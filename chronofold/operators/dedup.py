@@ -6,17 +6,24 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from chronofold.functions import col_of, ref
+from chronofold.functions import col_of, hashable, ref
 from chronofold.operators.topn import top_rows
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) -> DataFrame:
-    """The first row per key in ``order``; name enough tie-breakers to make it total.
+    """The first row per key in ``order``; ties are broken by the other columns, ascending.
 
-    Each map task passes on one row per key, so a key with most of the rows shuffles no more
-    than one row per task.
+    So the same rows give the same winner in whatever order they are read; rows that
+    tie in every column are equal. Each map task passes on one row per key, so a key with most
+    of the rows shuffles no more than one row per task.
     """
-    return top_rows(df, 1, keys, order)
+    rest = [f for f in df.schema.fields if f.name not in order and f.name not in keys]
+    plain = {f.name: "asc" for f in rest if hashable(f) == ref(f.name)}
+    # Columns without an order of their own (maps, variants) are compared as text.
+    texts = {f"__tie{i}": hashable(f) for i, f in enumerate(rest) if f.name not in plain}
+    tied = df.selectExpr("*", *[f"{value} as {name}" for name, value in texts.items()])
+    first = top_rows(tied, 1, keys, {**order, **plain, **dict.fromkeys(texts, "asc")})
+    return first.drop(*texts)
 
 
 def first_copies(df: DataFrame, content: Sequence[str], row_id: str) -> DataFrame:

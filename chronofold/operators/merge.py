@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from chronofold.functions import any_null, col_of, keys_equal, quoted, ref
 from chronofold.operators.dedup import keep_latest
-from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if, measure_by_key
+from chronofold.operators.sizing import BROADCAST_BYTES, measure_by_key
+from chronofold.operators.skew import ROWS_PER_SALT, salted_join
 
 MATCHED = "__matched"
 
@@ -56,14 +57,16 @@ def merge_update(
     when: Column | str | None = None,
     order: Mapping[str, str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """All target rows, with ``set`` applied to those that match a batch row.
 
     Expressions may refer to the target as ``t`` and the batch as ``s``. Batch rows without
-    a target row are ignored. A small batch is broadcast and the target is not shuffled.
+    a target row are ignored. A small batch is broadcast and the target is not shuffled;
+    with a larger one target keys of more than ``rows_per_salt`` rows are spread.
     """
     batch, small = prepare_batch(batch, on, order, broadcast_bytes)
-    return updated(target, batch, on, set, when, small)
+    return updated(target, batch, on, set, when, small, rows_per_salt)
 
 
 def merge_upsert(
@@ -74,6 +77,7 @@ def merge_upsert(
     values: Mapping[str, Column | str],
     order: Mapping[str, str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """``merge_update`` plus one new row, built by ``values``, per batch row without a match.
 
@@ -90,7 +94,7 @@ def merge_upsert(
         .join(present.alias("p"), keys_equal(on, "s", "p"), "left_anti")
         .select(*[_in_type(values.get(f.name, "null"), f) for f in target.schema.fields])
     )
-    return updated(target, batch, on, set, None, small).unionByName(added)
+    return updated(target, batch, on, set, None, small, rows_per_salt).unionByName(added)
 
 
 def scd1_apply(
@@ -100,6 +104,7 @@ def scd1_apply(
     columns: Sequence[str] | None = None,
     order: Mapping[str, str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Overwrite ``columns`` (all but the keys by default) without history; add new keys."""
     columns = list(columns or [c for c in target.columns if c not in keys])
@@ -112,6 +117,7 @@ def scd1_apply(
         values={**{k: ref(k, "s") for k in keys}, **given},
         order=order,
         broadcast_bytes=broadcast_bytes,
+        rows_per_salt=rows_per_salt,
     )
 
 
@@ -137,17 +143,17 @@ def updated(
     set: Mapping[str, Column | str],
     when: Column | str | None,
     small: bool,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """``merge_update`` for a batch that ``prepare_batch`` has been through.
 
-    In the shuffle plan a target key with very many rows lies on the preserved side of a left
-    join with nothing but a projection above, which AQE splits at run time.
+    In the shuffle plan target rows with a null key, which match nothing, stay out of the
+    join, and keys with very many target rows are dealt over several tasks.
     """
     unknown = [c for c in set if c not in target.columns]
     if unknown:
         raise ValueError(f"set names columns the target does not have: {unknown}")
-    source = broadcast_if(small, batch.withColumn(MATCHED, F.lit(True))).alias("s")
-    applies = F.expr(f"coalesce(s.{MATCHED}, false)")
+    applies = F.expr(f"coalesce({MATCHED}, false)")
     if when is not None:
         applies = applies & (F.expr(when) if isinstance(when, str) else when)
     columns = [
@@ -156,4 +162,24 @@ def updated(
         else col_of(f.name, "t")
         for f in target.schema.fields
     ]
-    return target.alias("t").join(source, keys_equal(on, "t", "s"), "left").select(*columns)
+    if small:
+        source = F.broadcast(batch.withColumn(MATCHED, F.lit(True))).alias("s")
+        return target.alias("t").join(source, keys_equal(on, "t", "s"), "left").select(*columns)
+    # The sides' columns get names of their own for the join; after it they are ``t.`` and ``s.``
+    # again, as structs that Catalyst takes apart at once.
+    keys = [f"__on{i}" for i in range(len(on))]
+    left, right = (
+        df.select(
+            *[col_of(k).alias(name) for k, name in zip(on, keys)],
+            *[col_of(c).alias(f"__{side}{i}") for i, c in enumerate(df.columns)],
+        )
+        for df, side in ((target.where(f"not {any_null(on)}"), "t"), (batch, "s"))
+    )
+    right = right.withColumn(MATCHED, F.lit(True))
+    sides = [
+        F.struct(*[F.col(f"__{side}{i}").alias(c) for i, c in enumerate(df.columns)]).alias(side)
+        for df, side in ((target, "t"), (batch, "s"))
+    ]
+    joined = salted_join(left, right, keys, "left", rows_per_salt)
+    joined = joined.select(*sides, MATCHED).select(*columns)
+    return joined.unionByName(target.where(any_null(on)))

@@ -4,72 +4,130 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from chronofold.functions import col_of, keys_same, stable_salt
-from chronofold.operators.sizing import BROADCAST_BYTES, measure
+from chronofold.functions import any_null, col_of, hashable, ref, stable_salt
+from chronofold.operators.sizing import BROADCAST_BYTES, broadcast_if, measure
 from chronofold.sources.scratch import freeze
 
-SALT = "__salt"
-SALTS = "__salts"
+DIGEST = "__digest"
+# Parts that the rows of a hot key are dealt into, on either side, and the part of a row.
+BIG_PARTS, OTHER_PARTS = "__big_parts", "__other_parts"
+BIG_PART, OTHER_PART = "__big_part", "__other_part"
+CELL = [BIG_PART, OTHER_PART]
 
 # Rows of one key that a task should join; a key with more of them is salted.
 ROWS_PER_SALT = 1_000_000
-# Smallest share of all rows that makes a key hot, so at most 1 / HOT_SHARE keys are.
-HOT_SHARE = 1e-5
+# Numbers that one row is repeated by at a time.
+STRIDE = 1024
 
 
 def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    rows_per_salt: int = ROWS_PER_SALT,
-    share: float = HOT_SHARE,
+    big: DataFrame, other: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
-    """Keys with more than ``rows_per_salt`` rows and the number of salts each one needs.
+    """Digests of the keys with more than ``rows_per_salt`` rows on either side, with the parts
+    that each side's rows are dealt into.
 
-    A hot key holds at least ``share`` of all rows, so there are never more than
-    ``1 / share`` of them, whatever the data: small enough to broadcast.
+    Sixteen bytes and two counts for each, and at most one such key for ``rows_per_salt`` rows: a
+    key's own width does not matter. Counts are combined in the map tasks.
     """
-    floor = max(rows_per_salt, df.count() * share)
-    return (
-        df.groupBy(*[col_of(k) for k in keys])
-        .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") > floor)
-        .select(
-            *[col_of(k) for k in keys],
-            F.ceil(F.col("__n") / rows_per_salt).cast("bigint").alias(SALTS),
+    sides = []
+    for df, schema, parts in ((big, big.schema, BIG_PARTS), (other, big.schema, OTHER_PARTS)):
+        counted = df.groupBy(_digest(df, schema, on)).agg(F.count("*").alias(parts))
+        sides.append(
+            counted.where(F.col(parts) > rows_per_salt).withColumn(
+                parts, F.ceil(F.col(parts) / rows_per_salt).cast("bigint")
+            )
         )
+    return (
+        sides[0]
+        .join(sides[1], DIGEST, "full_outer")
+        .selectExpr(DIGEST, *[f"coalesce({p}, 1L) as {p}" for p in (BIG_PARTS, OTHER_PARTS)])
     )
 
 
+def _digest(df: DataFrame, schema: T.StructType, on: Sequence[str]) -> Column:
+    """One hash of the key columns, in the types that ``schema`` has for them."""
+    values = []
+    for key in on:
+        value = hashable(df.schema[key])
+        kind = schema[key].dataType
+        if df.schema[key].dataType != kind and value == ref(key):
+            value = f"try_cast({value} as {kind.simpleString()})"
+        values.append(value)
+    return F.expr(f"xxhash64({', '.join(values)}) as {DIGEST}")
+
+
 def salted_join(
     big: DataFrame,
     other: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     rows_per_salt: int = ROWS_PER_SALT,
-    share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Join that spreads the hot keys of ``big`` over many tasks.
+    """Join that spreads the hot keys of either side over many tasks.
 
-    Rows of a hot key get a salt, and the rows of ``other`` with that key are repeated once
-    per salt; all other keys join as usual. The number of salts follows from the key's row
-    count, so it grows with the data. ``how`` is ``inner`` or ``left`` (all of ``big``).
+    The rows of a hot key are dealt into parts, as many as their count needs, and the other
+    side's rows with that key are repeated for each; where a key is hot on both sides the
+    parts make a grid, so no task gets more than about ``rows_per_salt`` rows of it from
+    either. All other keys join as usual. ``how`` is ``inner`` or ``left`` (all of ``big``).
     """
     if how not in ("inner", "left"):
         raise ValueError("a salted join is 'inner' or 'left'")
-    hot = freeze(hot_keys(big, on, rows_per_salt, share))
-    salts = f"h.{SALTS}"
-    one = f"if({salts} is null, 0L, {stable_salt(big.columns, salts, 'd')}) as {SALT}"
-    left = _with_salts(big, hot, on).selectExpr("d.*", one)
-    every = f"explode(sequence(0L, coalesce({salts}, 1L) - 1)) as {SALT}"
-    right = _with_salts(other, hot, on).selectExpr("d.*", every)
-    return left.join(right, [*on, SALT], how).drop(SALT)
+    # A null key matches nothing; only rows of ``big`` are kept without a match.
+    other = other.where(f"not {any_null(on)}")
+    hot = freeze(hot_keys(big, other, on, rows_per_salt))
+    small = measure(hot).fits()
+    left = _with_parts(big, big.schema, hot, on, small)
+    right = _with_parts(other, big.schema, hot, on, small)
+    columns = [*[c for c in big.columns if c in on], *[c for c in big.columns if c not in on]]
+    left = _dealt(left, big.schema, BIG_PARTS, BIG_PART)
+    right = _dealt(right, other.schema, OTHER_PARTS, OTHER_PART)
+    both = f"{OTHER_PARTS} > 1"
+    if how == "inner" or hot.where(both).isEmpty():
+        return _cells(left, right, on, how)
+    # Repeated rows of ``big`` must not be kept once for each part: matches and misses apart.
+    single, grid = left.where(f"not {both}"), left.where(both)
+    joined = _cells(single, right.where(f"not {both}"), on, how)
+    matched = _cells(grid, right.where(both), on, "inner")
+    known = right.where(both).select(*[col_of(k) for k in on]).distinct()
+    missed = grid.join(broadcast_if(measure(known).fits(), known), list(on), "left_anti")
+    missed = missed.select(*[col_of(c) for c in columns])
+    return joined.unionByName(matched).unionByName(missed, allowMissingColumns=True)
+
+
+def _with_parts(
+    df: DataFrame, schema: T.StructType, hot: DataFrame, on: Sequence[str], small: bool
+) -> DataFrame:
+    """The rows with the numbers of parts of their key; 1 for keys that are not hot."""
+    found = df.withColumn(DIGEST, _digest(df, schema, on)).join(
+        broadcast_if(small, hot), DIGEST, "left"
+    )
+    parts = [f"coalesce({p}, 1L) as {p}" for p in (BIG_PARTS, OTHER_PARTS)]
+    return found.selectExpr(*[ref(c) for c in df.columns], *parts)
 
 
-def _with_salts(df: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
-    # Null-safe, so that null keys of an outer join, which match nothing, are spread as well.
-    return df.alias("d").join(F.broadcast(hot).alias("h"), keys_same(on, "d", "h"), "left")
+def _dealt(df: DataFrame, schema: T.StructType, parts: str, part: str) -> DataFrame:
+    return df.withColumn(part, F.expr(f"if({parts} = 1, 0L, {stable_salt(schema, parts)})"))
+
+
+def _repeated(df: DataFrame, parts: str, part: str) -> DataFrame:
+    """Each row once for every part, by two numbers, so that no array is longer than the root
+    of a large number of parts."""
+    high = f"explode(sequence(0L, ({parts} - 1) div {STRIDE})) as __high"
+    low = f"explode(sequence(0L, least({STRIDE}L, {parts} - __high * {STRIDE}) - 1)) as __low"
+    return (
+        df.selectExpr("*", high)
+        .selectExpr("*", low)
+        .withColumn(part, F.expr(f"__high * {STRIDE} + __low"))
+        .drop("__high", "__low")
+    )
+
+
+def _cells(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    left = _repeated(left, OTHER_PARTS, OTHER_PART).drop(BIG_PARTS, OTHER_PARTS)
+    right = _repeated(right, BIG_PARTS, BIG_PART).drop(BIG_PARTS, OTHER_PARTS)
+    return left.join(right, [*on, *CELL], how).drop(*CELL)
 
 
 def broadcast_join(
@@ -92,7 +150,10 @@ def use_adaptive_skew_join(
     partition_bytes: str | None = None,
     factor: float | None = None,
 ) -> None:
-    """Switch on Spark's own splitting of skewed shuffle partitions, optionally with limits."""
+    """Switch on Spark's own splitting of skewed shuffle partitions, optionally with limits.
+
+    The settings are the session's: they hold for all that runs in it afterwards.
+    """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     if partition_bytes:
@@ -109,7 +170,7 @@ def adaptive_join(
 
     Splitting works on the written map outputs, needs no pass over the keys and leaves the
     plan lazy. Aggregate before the join rather than after it on the same key: a plan that
-    relies on the join's partitioning is not split.
+    relies on the join's partitioning is not split. The setting stays on in the session.
     """
     use_adaptive_skew_join(big.sparkSession)
     return big.join(other.hint("merge"), list(on), how)

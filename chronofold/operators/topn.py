@@ -34,7 +34,7 @@ def top_rows(
         # Spark sets no limit before the shuffle here, so each group is first cut down in
         # parts, as many as there are shuffle partitions.
         parts = spark.conf.get("spark.sql.shuffle.partitions")
-        salted = df.selectExpr("*", f"{stable_salt(df.columns, parts)} as {PART}")
+        salted = df.selectExpr("*", f"{stable_salt(df.schema, parts)} as {PART}")
         df = _first(salted, n, [*by, PART], order, POSITION).drop(PART, POSITION)
     rows = _first(df, n, by, order, name)
     return rows if column else rows.drop(name)

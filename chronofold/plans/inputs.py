@@ -94,7 +94,7 @@ def customer_dimension(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("city"),
         F.lit(dt.date(2023, 1, 1)).alias("eff_start"),
         F.when(open_account, F.lit(dt.date(9999, 12, 31)))
-        .otherwise(F.lit(dt.date(2023, 11, 30)))
+        .otherwise(F.lit(dt.date(2023, 8, 19)))
         .alias("eff_end"),
         open_account.alias("is_current"),
     )

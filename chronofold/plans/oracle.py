@@ -22,7 +22,7 @@ from lineitem where l_returnflag not in ('N', 'R')
 CUSTOMER_CASE = """
 with target as (
   select c_custkey as id, c_name as name, c_mktsegment as city, date '2023-01-01' as eff_start,
-         case when c_acctbal >= 0 then date '9999-12-31' else date '2023-11-30' end as eff_end,
+         case when c_acctbal >= 0 then date '9999-12-31' else date '2023-08-19' end as eff_end,
          c_acctbal >= 0 as is_current
   from customer),
 batch as (
@@ -312,3 +312,25 @@ from orders where o_orderstatus = 'F' qualify rnk <= 5
     "skew_broadcast_join": HOT_JOIN,
     "skew_aqe_join": HOT_JOIN,
 }
+
+ORACLE |= {
+    "skew_broadcast_fallback": HOT_JOIN,
+    "skew_both_hot": """
+with names as (
+  select s_suppkey, s_name from supplier union all select 0, n_name from nation),
+lines as (select case when l_quantity > 10 then 0 else l_suppkey end as k, l_quantity from lineitem)
+select s_name, count(*) as lines, sum(l_quantity) as quantity
+from lines join names on s_suppkey = k group by s_name
+""",
+    "topn_rank_salted": ranked("rank"),
+    "topn_dense_rank_salted": ranked("dense_rank"),
+    "topn_row_number_large": """
+select event_id, event_type, value,
+       cast(row_number() over (partition by event_type order by value desc, event_id) as integer)
+         as rn
+from events qualify rn <= 1500
+""",
+}
+# The plans for large batches give the same rows.
+for name in ("merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
+    ORACLE[f"{name}_shuffled"] = ORACLE[name]

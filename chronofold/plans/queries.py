@@ -268,37 +268,64 @@ def scd2_ordered(spark, folder):
 # Keyed merges
 
 
+def moved(target: DataFrame, batch: DataFrame, **options) -> DataFrame:
+    changes = {"city": "s.city"}
+    when = "t.is_current and s.city <> t.city"
+    return merge.merge_update(target, batch, ["id"], set=changes, when=when, **options)
+
+
+def upserted(target: DataFrame, batch: DataFrame, **options) -> DataFrame:
+    given = {"name": "s.name", "city": "s.city"}
+    opened = {"eff_start": F.lit(AS_OF), "eff_end": "date '9999-12-31'", "is_current": "true"}
+    values = {"id": "s.id", **given, **opened}
+    return merge.merge_upsert(target, batch, ["id"], set=given, values=values, **options)
+
+
+def overwritten(target: DataFrame, batch: DataFrame, **options) -> DataFrame:
+    return merge.scd1_apply(target.select("id", "name", "city"), batch, ["id"], **options)
+
+
 @query
 def merge_update(spark, folder):
-    target, batch = customer_case(spark, folder)
-    return merge.merge_update(
-        target, batch, ["id"], set={"city": "s.city"}, when="t.is_current and s.city <> t.city"
-    )
+    return moved(*customer_case(spark, folder))
 
 
 @query
 def merge_upsert(spark, folder):
-    target, batch = customer_case(spark, folder)
-    return merge.merge_upsert(
-        target,
-        batch,
-        ["id"],
-        set={"name": "s.name", "city": "s.city"},
-        values={
-            "id": "s.id",
-            "name": "s.name",
-            "city": "s.city",
-            "eff_start": F.lit(AS_OF),
-            "eff_end": "date '9999-12-31'",
-            "is_current": "true",
-        },
-    )
+    return upserted(*customer_case(spark, folder))
 
 
 @query
 def scd1_apply(spark, folder):
-    target, batch = customer_case(spark, folder)
-    return merge.scd1_apply(target.select("id", "name", "city"), batch, ["id"])
+    return overwritten(*customer_case(spark, folder))
+
+
+# The plans for batches that are too large to broadcast.
+
+
+@query
+def merge_update_shuffled(spark, folder):
+    return moved(*customer_case(spark, folder), broadcast_bytes=0)
+
+
+@query
+def merge_upsert_shuffled(spark, folder):
+    return upserted(*customer_case(spark, folder), broadcast_bytes=0)
+
+
+@query
+def scd1_apply_shuffled(spark, folder):
+    return overwritten(*customer_case(spark, folder), broadcast_bytes=0)
+
+
+@query
+def scd2_classify_shuffled(spark, folder):
+    return scd2.scd2_classify(*customer_case(spark, folder), CUSTOMER_DIM, broadcast_bytes=0)
+
+
+@query
+def scd2_expire_shuffled(spark, folder):
+    return scd2.scd2_expire(*customer_case(spark, folder), CUSTOMER_DIM, AS_OF, broadcast_bytes=0)
 
 
 # Tables
@@ -418,6 +445,28 @@ def topn_dense_rank(spark, folder):
     return topn.top_ranked(part, 3, ["p_brand"], {"p_size": "desc"}, dense=True, column="rnk")
 
 
+@query
+def topn_row_number_large(spark, folder):
+    """More rows per group than Spark limits before the shuffle."""
+    events = tables.load(spark, folder, "events").select("event_id", "event_type", "value")
+    return topn.top_rows(events, 1500, ["event_type"], {"value": "desc", "event_id": "asc"}, "rn")
+
+
+@query
+def topn_rank_salted(spark, folder):
+    """What runs where the table of best values is too large to broadcast."""
+    part = tables.load(spark, folder, "part").select("p_brand", "p_size", "p_partkey")
+    order = {"p_size": "desc"}
+    return topn.top_ranked(part, 3, ["p_brand"], order, column="rnk", broadcast_bytes=0)
+
+
+@query
+def topn_dense_rank_salted(spark, folder):
+    part = tables.load(spark, folder, "part").select("p_brand", "p_size", "p_partkey")
+    order = {"p_size": "desc"}
+    return topn.top_ranked(part, 3, ["p_brand"], order, True, "rnk", broadcast_bytes=0)
+
+
 @query
 def topn_pruned(spark, folder):
     """Top orders of one status, from a copy of the table that is partitioned by status."""
@@ -439,14 +488,32 @@ def supplier_names(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def skew_salted_join(spark, folder):
-    return skew.salted_join(
-        inputs.hot_lineitem(spark, folder),
-        supplier_names(spark, folder),
-        ["s_suppkey"],
-        rows_per_salt=1000,
+    """A part for each 64th of the rows, so the hot key is dealt into about fifty."""
+    lines = inputs.hot_lineitem(spark, folder)
+    share = lines.count() // 64 + 1
+    return skew.salted_join(lines, supplier_names(spark, folder), ["s_suppkey"], "inner", share)
+
+
+@query
+def skew_both_hot(spark, folder):
+    """The hot supplier key against all nations under that key: hot on both sides."""
+    names = supplier_names(spark, folder).unionByName(
+        tables.load(spark, folder, "nation").selectExpr("0L as s_suppkey", "n_name as s_name")
+    )
+    lines = inputs.hot_lineitem(spark, folder)
+    joined = skew.salted_join(lines, names, ["s_suppkey"], "inner", names.count() // 16 + 1)
+    return joined.groupBy("s_name").agg(
+        F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity")
     )
 
 
+@query
+def skew_broadcast_fallback(spark, folder):
+    """What runs where the other side is too large to broadcast."""
+    lines, names = inputs.hot_lineitem(spark, folder), supplier_names(spark, folder)
+    return skew.broadcast_join(lines, names, ["s_suppkey"], broadcast_bytes=0)
+
+
 @query
 def skew_broadcast_join(spark, folder):
     return skew.broadcast_join(

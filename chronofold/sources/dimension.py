@@ -21,7 +21,16 @@ from chronofold.functions import quoted
 from chronofold.operators.scd2 import ACTION, Dimension, pinned_date, scd2_actions
 from chronofold.operators.sizing import BROADCAST_BYTES
 from chronofold.sources.scratch import freeze
-from chronofold.sources.tables import add_audit, live_version, point_view, table_name
+from chronofold.sources.tables import (
+    DIMENSION,
+    OWNER_PROPERTY,
+    add_audit,
+    claim,
+    live_version,
+    owner_name,
+    point_view,
+    table_name,
+)
 
 COMMIT = "__commit"
 
@@ -42,14 +51,16 @@ def create_dimension(df: DataFrame, table: str, dim: Dimension) -> None:
     A version without a flag is stored as closed, which is how all operators take it.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(table):
+    if live_version(spark, table) is not None or spark.catalog.tableExists(table):
         raise ValueError(f"{table} exists")
     rows = f"{table}__rows"
-    spark.sql(f"DROP TABLE IF EXISTS {table_name(rows)}")
+    claim(spark, rows, table)
     attributes = [c for c in df.columns if c != dim.current]
     flag = F.coalesce(quoted(dim.current), F.lit(False)).alias(dim.current)
     first = df.select(*[quoted(c) for c in attributes], flag, F.lit(0).alias(COMMIT))
-    first.write.partitionBy(dim.current, COMMIT).format("parquet").saveAsTable(rows)
+    write = first.writeTo(table_name(rows)).using("parquet")
+    write = write.tableProperty(OWNER_PROPERTY, owner_name(table))
+    write.partitionedBy(F.col(quoted(dim.current)), F.col(COMMIT)).create()
     add_audit(spark, table, 0, "CREATE", {})
     _show(spark, table, df.columns, dim, 0)
 
@@ -72,8 +83,11 @@ def commit_dimension(
     rows, and it is computed once. ``rebalance`` shuffles the new rows into files of Spark's
     advisory size; without it every task writes its own, which is cheaper but can leave
     many small files of closed versions.
+
+    All current versions are written anew, whatever the size of the batch. Those of the commit
+    before stay for queries that already run, older ones are dropped at the end.
     """
-    live = live_version(spark, table)
+    live = live_version(spark, table, DIMENSION)
     if live is None:
         raise ValueError(f"{table} is not a stored dimension")
     commit = live + 1
@@ -104,6 +118,7 @@ def commit_dimension(
     metrics = seen.get
     add_audit(spark, table, commit, "SCD2", metrics)
     _show(spark, table, target.columns, dim, commit)
+    forget_old_snapshots(spark, table, dim)
     return metrics
 
 
@@ -136,4 +151,5 @@ def _show(spark, table, columns, dim, commit) -> None:
         commit,
         f"SELECT {', '.join(quoted(c) for c in columns)} FROM {table_name(f'{table}__rows')} "
         f"WHERE (NOT {current} AND {number} <= {commit}) OR ({current} AND {number} = {commit})",
+        DIMENSION,
     )

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from chronofold.functions import quoted
 
-# Fixed names.
+# Fixed names: properties of the view that readers use, and of the data tables behind it.
 VERSION_PROPERTY = "chronofold.version"
+BASE_PROPERTY = "chronofold.base"
+KIND_PROPERTY = "chronofold.kind"
+OWNER_PROPERTY = "chronofold.owner"
+PUBLISHED, DIMENSION = "published", "dimension"
 AUDIT_COLUMNS = "version BIGINT, ts TIMESTAMP, operation STRING, metrics MAP<STRING, STRING>"
 
 
@@ -35,52 +41,137 @@ def publish(
     """Create or replace ``table`` by the rows of ``df``; returns the new version.
 
     The rows go to a data table of their own, ``<table>__v<version>``, and the name that
-    readers use is a view which is then pointed at it. That is one catalog change, so readers
-    see the old rows or the new ones, and ``df`` may itself read ``table``. A failed
-    run leaves the view as it was; its half-written data table is dropped by the next run.
-    The version before stays for queries that already run, older ones are dropped. A plain
-    table of that name is kept as version 0 the first time.
-
-    One writer at a time: two that publish together overwrite each other's version.
+    readers use is a view which is then pointed at it: readers see the old rows or the new
+    ones, and ``df`` may itself read ``table``. A failed run leaves the view as it was; its
+    half-written data table is dropped by the next run. The version before stays for queries
+    that already run, older ones are dropped.
+
+    A plain table of that name is kept as version 0 the first time. That takes a rename and
+    then the view; a run that fails between them leaves no table, which the next use of this
+    module's functions on the name repairs (``recover``).
+
+    Data tables carry the name of their owner. A table that stands in the way without it, and a
+    view of another kind, is an error. One writer at a time: two that publish together
+    overwrite each other's version.
     """
     spark = df.sparkSession
+    before = live_version(spark, table, PUBLISHED) or 0
     plain = _is_plain(spark, table)
-    before = live_version(spark, table) or 0
+    kept_from = int(_properties(spark, table).get(BASE_PROPERTY, before)) if before else 0
     version = before + 1
     data = f"{table}__v{version}"
-    spark.sql(f"DROP TABLE IF EXISTS {table_name(data)}")
-    df.write.mode("errorifexists").format(file_format).saveAsTable(data)
+    claim(spark, data, table)
+    write = df.writeTo(table_name(data)).using(file_format)
+    write.tableProperty(OWNER_PROPERTY, owner_name(table)).create()
     add_audit(spark, table, version, operation, metrics or {})
     if plain:
+        mark = f"('{OWNER_PROPERTY}' = '{owner_name(table)}')"
+        claim(spark, f"{table}__v0", table)
+        spark.sql(f"ALTER TABLE {table_name(table)} SET TBLPROPERTIES {mark}")
         spark.sql(f"ALTER TABLE {table_name(table)} RENAME TO {table_name(f'{table}__v0')}")
-    point_view(spark, table, version, f"SELECT * FROM {table_name(data)}")
-    if before > 0:
-        spark.sql(f"DROP TABLE IF EXISTS {table_name(f'{table}__v{before - 1}')}")
+    point_view(spark, table, version, f"SELECT * FROM {table_name(data)}", PUBLISHED, version)
+    for name in own_tables(spark, table):
+        number = re.fullmatch(r".*__v(\d+)", name)
+        if number and int(number[1]) < kept_from:
+            spark.sql(f"DROP TABLE IF EXISTS {table_name(name)}")
     return version
 
 
-def append_rows(df: DataFrame, table: str) -> None:
-    """Append to a table by column name, whatever the order of the columns in ``df``."""
+def append_rows(df: DataFrame, table: str) -> int | None:
+    """Append to a table by column name, whatever the order of the columns in ``df``.
+
+    On a published table that is a new version, which is returned: the rows get a data table of their own and the
+    view reads it besides the ones before, so whoever reads an older version still gets
+    its rows. It is listed by ``history`` with the number of rows. A plain table is appended to in place.
+    """
     spark = df.sparkSession
-    version = live_version(spark, table)
-    target = table if version is None else f"{table}__v{version}"
-    columns = spark.table(target).columns
-    df.select(*[quoted(c) for c in columns]).write.mode("append").insertInto(target)
+    live = live_version(spark, table, PUBLISHED)
+    if live is None:
+        df.select(*[quoted(c) for c in spark.table(table).columns]).write.mode("append").insertInto(table)
+        return None
+    fields = spark.table(table).schema.fields
+    base, version = int(_properties(spark, table).get(BASE_PROPERTY, live)), live + 1
+    data = f"{table}__v{version}"
+    claim(spark, data, table)
+    seen = Observation()
+    rows = df.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write = rows.writeTo(table_name(data)).using("parquet")
+    write.tableProperty(OWNER_PROPERTY, owner_name(table)).create()
+    add_audit(spark, table, version, "APPEND", seen.get)
+    names = ", ".join(quoted(f.name) for f in fields)
+    parts = [f"SELECT {names} FROM {table_name(f'{table}__v{v}')}" for v in range(base, version + 1)]
+    point_view(spark, table, version, " UNION ALL ".join(parts), PUBLISHED, base)
+    return version
 
 
-def live_version(spark: SparkSession, table: str) -> int | None:
-    """The version a published view points at; None for a plain or missing table."""
+def live_version(spark: SparkSession, table: str, kind: str | None = None) -> int | None:
+    """The version a view of ours points at; None for a plain or missing table.
+
+    A view of another ``kind`` than the one asked for is an error: the layouts differ.
+    """
+    recover(spark, table)
     if not spark.catalog.tableExists(table):
         return None
-    properties = spark.sql(f"SHOW TBLPROPERTIES {table_name(table)}")
-    row = properties.where(F.col("key") == VERSION_PROPERTY).first()
-    return int(row["value"]) if row else None
+    found = _properties(spark, table)
+    if VERSION_PROPERTY not in found:
+        return None
+    if kind and found.get(KIND_PROPERTY, kind) != kind:
+        raise ValueError(f"{table} is a {found[KIND_PROPERTY]} table, not a {kind} one")
+    return int(found[VERSION_PROPERTY])
+
+
+def recover(spark: SparkSession, table: str) -> bool:
+    """Give a plain table its name back if a first publish was cut off after the rename."""
+    first = f"{table}__v0"
+    if spark.catalog.tableExists(table) or not owns(spark, table, first):
+        return False
+    spark.sql(f"ALTER TABLE {table_name(first)} RENAME TO {table_name(table)}")
+    return True
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table_name(table)}")
+    ours = rows.where(F.col("key").startswith("chronofold.")).collect()
+    return {r["key"]: r["value"] for r in ours}
+
 
+def owner_name(table: str) -> str:
+    return table.lower().replace("'", "")
 
-def point_view(spark: SparkSession, table: str, version: int, query: str) -> None:
+
+def owns(spark: SparkSession, table: str, data: str) -> bool:
+    """Whether ``data`` exists and was written for ``table``."""
+    if not spark.catalog.tableExists(data):
+        return False
+    return _properties(spark, data).get(OWNER_PROPERTY) == owner_name(table)
+
+
+def claim(spark: SparkSession, data: str, table: str) -> None:
+    """Make room for a data table: drop what an earlier run left, never a table of others."""
+    if spark.catalog.tableExists(data):
+        if not owns(spark, table, data):
+            raise ValueError(f"{data} is in the way and does not belong to {table}")
+        spark.sql(f"DROP TABLE {table_name(data)}")
+
+
+def own_tables(spark: SparkSession, table: str) -> list[str]:
+    """The data and audit tables that were written for ``table``."""
+    schema, _, base = table.rpartition(".")
+    prefix = f"{schema}." if schema else ""
+    listed = spark.sql(f"SHOW TABLES IN {table_name(schema)}" if schema else "SHOW TABLES")
+    pattern = f"^{re.escape(base.lower())}__(v[0-9]+|rows|audit)$"
+    rows = listed.where(F.col("tableName").rlike(pattern) & ~F.col("isTemporary")).collect()
+    return [n for n in (prefix + r["tableName"] for r in rows) if owns(spark, table, n)]
+
+
+def point_view(
+    spark: SparkSession, table: str, version: int, query: str, kind: str, base: int = 0
+) -> None:
     spark.sql(
-        f"CREATE OR REPLACE VIEW {table_name(table)} "
-        f"TBLPROPERTIES ('{VERSION_PROPERTY}' = '{version}') AS {query}"
+        f"CREATE OR REPLACE VIEW {table_name(table)} TBLPROPERTIES ("
+        f"'{VERSION_PROPERTY}' = '{version}', '{BASE_PROPERTY}' = '{base}', "
+        f"'{KIND_PROPERTY}' = '{kind}') AS {query}"
     )
 
 
@@ -89,7 +180,13 @@ def add_audit(
 ) -> None:
     """Note a change that is about to become visible. One row per change, never updated."""
     audit = f"{table}__audit"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(audit)} ({AUDIT_COLUMNS}) USING parquet")
+    if not spark.catalog.tableExists(audit):
+        spark.sql(
+            f"CREATE TABLE {table_name(audit)} ({AUDIT_COLUMNS}) USING parquet "
+            f"TBLPROPERTIES ('{OWNER_PROPERTY}' = '{owner_name(table)}')"
+        )
+    elif not owns(spark, table, audit):
+        raise ValueError(f"{audit} is in the way and does not belong to {table}")
     entries = [F.lit(part) for k, v in metrics.items() for part in (k, str(v))]
     row = spark.range(0, 1, 1, 1).select(
         F.lit(version).cast("bigint").alias("version"),
@@ -120,22 +217,21 @@ def history(spark: SparkSession, table: str) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    """Drop a table if it is there; of a published one the view, its data and its audit."""
+    """Drop a table if it is there; of one of ours the view, its data and its audit.
+
+    Tables that only look alike by name are left alone.
+    """
     if _is_plain(spark, table):
         spark.sql(f"DROP TABLE {table_name(table)}")
-        return
-    schema, _, base = table.rpartition(".")
-    spark.sql(f"DROP VIEW IF EXISTS {table_name(table)}")
-    prefix = f"{schema}." if schema else ""
-    listed = spark.sql(f"SHOW TABLES IN {table_name(schema)}" if schema else "SHOW TABLES")
-    for row in listed.where(F.col("tableName").startswith(f"{base.lower()}__")).collect():
-        if not row["isTemporary"]:
-            spark.sql(f"DROP TABLE IF EXISTS {table_name(prefix + row['tableName'])}")
+    else:
+        spark.sql(f"DROP VIEW IF EXISTS {table_name(table)}")
+    for name in own_tables(spark, table):
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(name)}")
 
 
 def _is_plain(spark: SparkSession, table: str) -> bool:
     """Whether the name is taken by an ordinary table; a foreign view of that name is an error."""
-    if not spark.catalog.tableExists(table) or live_version(spark, table) is not None:
+    if live_version(spark, table) is not None or not spark.catalog.tableExists(table):
         return False
     if spark.catalog.getTable(table).tableType == "VIEW":
         raise ValueError(f"{table} is a view that was not made by publish")

@@ -49,13 +49,20 @@ def test_failed_publish_changes_nothing(spark, schema):
     assert rows(spark.table(table)) == {(5,): 1}
 
 
-def test_interrupted_before_the_view_changed(spark, schema):
+def failing(*_, **__):
+    raise RuntimeError("cut off")
+
+
+def test_interrupted_before_the_view_changed(spark, schema, monkeypatch):
     table = f"{schema}.numbers"
     tables.publish(numbers(spark, 1), table)
-    numbers(spark, 7).write.saveAsTable(f"{table}__v2")
-    tables.add_audit(spark, table, 2, "PUBLISH", {"rows": 7})
-    assert rows(spark.table(table)) == {(1,): 1}
-    assert [r["version"] for r in tables.history(spark, table).collect()] == [1]
+    for step in ("add_audit", "point_view"):
+        with monkeypatch.context() as m:
+            m.setattr(tables, step, failing)
+            with pytest.raises(RuntimeError, match="cut off"):
+                tables.publish(numbers(spark, 7), table, metrics={"rows": 7})
+        assert rows(spark.table(table)) == {(1,): 1}
+        assert [r["version"] for r in tables.history(spark, table).collect()] == [1]
     tables.publish(numbers(spark, 8), table, metrics={"rows": 8})
     assert rows(spark.table(table)) == {(8,): 1}
     assert [(r["version"], r["metrics"]) for r in tables.history(spark, table).collect()] == [
@@ -64,6 +71,91 @@ def test_interrupted_before_the_view_changed(spark, schema):
     ]
 
 
+@pytest.mark.parametrize("step", ["claim", "add_audit", "point_view"])
+def test_a_first_publish_that_is_cut_off_loses_nothing(spark, schema, monkeypatch, step):
+    table = f"{schema}.numbers"
+    numbers(spark, 1, 2).write.saveAsTable(table)
+    with monkeypatch.context() as m:
+        m.setattr(tables, step, failing)
+        with pytest.raises(RuntimeError, match="cut off"):
+            tables.publish(numbers(spark, 3), table)
+    assert tables.live_version(spark, table) is None
+    assert rows(spark.table(table)) == {(1,): 1, (2,): 1}
+    assert tables.publish(spark.table(table).union(numbers(spark, 3)), table) == 1
+    assert rows(spark.table(table)) == {(1,): 1, (2,): 1, (3,): 1}
+    assert rows(spark.table(f"{table}__v0")) == {(1,): 1, (2,): 1}
+
+
+def test_recovery_after_the_rename(spark, schema, monkeypatch):
+    table = f"{schema}.numbers"
+    numbers(spark, 1).write.saveAsTable(table)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "point_view", failing)
+        with pytest.raises(RuntimeError):
+            tables.publish(numbers(spark, 2), table)
+    assert not spark.catalog.tableExists(table)
+    assert tables.recover(spark, table) and not tables.recover(spark, table)
+    assert rows(spark.table(table)) == {(1,): 1}
+
+
+def test_kinds_are_not_mixed(spark, schema, target):  # noqa: F811
+    table, other = f"{schema}.machines", f"{schema}.numbers"
+    dimension.create_dimension(target, table, DIM)
+    before = rows(spark.table(table))
+    for write in (tables.publish, tables.append_rows):
+        with pytest.raises(ValueError, match="is a dimension table"):
+            write(target, table)
+    tables.publish(numbers(spark, 1), other)
+    with pytest.raises(ValueError, match="is a published table"):
+        dimension.commit_dimension(spark, other, target, DIM, DAY)
+    with pytest.raises(ValueError, match="exists"):
+        dimension.create_dimension(target, other, DIM)
+    assert rows(spark.table(table)) == before and rows(spark.table(other)) == {(1,): 1}
+
+
+def test_tables_of_others_are_left_alone(spark, schema, target):  # noqa: F811
+    mine = f"{schema}.mine"
+    for suffix in ("__v1", "__rows", "__audit", "__lookup", "__v2x"):
+        numbers(spark, 9).write.saveAsTable(mine + suffix)
+    with pytest.raises(ValueError, match="mine__v1 is in the way"):
+        tables.publish(numbers(spark, 1), mine)
+    with pytest.raises(ValueError, match="mine__rows is in the way"):
+        dimension.create_dimension(target, mine, DIM)
+    tables.drop_table(spark, mine)
+    for suffix in ("__v1", "__rows", "__audit", "__lookup", "__v2x"):
+        assert rows(spark.table(mine + suffix)) == {(9,): 1}
+    spark.sql(f"drop table {mine}__v1")
+    with pytest.raises(ValueError, match="mine__audit is in the way"):
+        tables.publish(numbers(spark, 1), mine)
+
+
+def test_appends_are_versions_of_their_own(spark, schema):
+    table = f"{schema}.numbers"
+    tables.publish(numbers(spark, 1), table)
+    first = spark.table(table)
+    assert tables.append_rows(numbers(spark, 2, 3), table) == 2
+    second = spark.table(table)
+    assert tables.append_rows(numbers(spark, 4), table) == 3
+    assert (first.count(), second.count(), spark.table(table).count()) == (1, 3, 4)
+    found = [(r["version"], r["operation"], r["metrics"]) for r in tables.history(spark, table).collect()]
+    assert found == [(3, "APPEND", {"rows": "1"}), (2, "APPEND", {"rows": "2"}), (1, "PUBLISH", {})]
+    tables.publish(numbers(spark, 5), table)
+    assert second.count() == 3, "the version before and its parts stay"
+    tables.publish(numbers(spark, 6), table)
+    left = {r["tableName"] for r in spark.sql(f"show tables in {schema}").collect()}
+    assert left == {"numbers", "numbers__audit", "numbers__v4", "numbers__v5"}
+
+
+def test_commits_drop_old_current_versions(spark, schema, target):  # noqa: F811
+    table = f"{schema}.machines"
+    dimension.create_dimension(target, table, DIM)
+    for n in range(3):
+        batch = spark.createDataFrame([(70, "lathe", f"h{n}")], BATCH)
+        dimension.commit_dimension(spark, table, batch, DIM, DAY + dt.timedelta(days=n))
+    parts = [r["partition"] for r in spark.sql(f"show partitions {table}__rows").collect()]
+    assert sorted(p for p in parts if "true" in p) == ["live=true/__commit=2", "live=true/__commit=3"]
+
+
 def test_publish_adopts_a_plain_table(spark, schema):
     table = f"{schema}.numbers"
     numbers(spark, 1).write.saveAsTable(table)
@@ -137,14 +229,14 @@ def test_shared_folder_on_a_cluster_is_never_local():
 
 
 def test_dimension_commits(spark, schema, target):  # noqa: F811
-    table = f"{schema}.dim_customer"
+    table = f"{schema}.dim_machine"
     dimension.create_dimension(target, table, DIM)
     assert rows(spark.table(table)) == rows(target)
     state = target
     batches = [
-        ([(11, "Ines", "Faro"), (12, "Jon", "Bergen"), (15, "Lea", "Ghent")], DAY),
-        ([(11, "Ines", "Braga"), (13, "Kim", "Lyon")], DAY),
-        ([(11, "Ines", "Porto"), (15, "Lea", "Bruges")], d("2024-07-01")),
+        ([(70, "lathe", "annex"), (48, "drill", "north"), (83, "crane", "dock")], DAY),
+        ([(70, "lathe", "dock"), (21, "press", "dock")], DAY),
+        ([(70, "lathe", "pit"), (83, "crane", "pit")], d("2024-07-01")),
     ]
     for batch, day in batches:
         batch = spark.createDataFrame(batch, BATCH)
@@ -161,42 +253,42 @@ def test_dimension_commits(spark, schema, target):  # noqa: F811
 
 
 def test_current_rows_are_read_without_history(spark, schema, target):  # noqa: F811
-    table = f"{schema}.dim_customer"
+    table = f"{schema}.dim_machine"
     dimension.create_dimension(target, table, DIM)
-    batch = spark.createDataFrame([(11, "Ines", "Faro")], BATCH)
+    batch = spark.createDataFrame([(70, "lathe", "annex")], BATCH)
     dimension.commit_dimension(spark, table, batch, DIM, DAY, rebalance=True)
-    current = spark.table(table).where("is_current")
-    assert all("is_current=true/__commit=1" in f for f in current.inputFiles())
+    current = spark.table(table).where("live")
+    assert all("live=true/__commit=1" in f for f in current.inputFiles())
     assert current.count() == 3
 
 
 def test_leftovers_of_a_failed_commit_are_dropped(spark, schema, target):  # noqa: F811
-    table = f"{schema}.dim_customer"
+    table = f"{schema}.dim_machine"
     dimension.create_dimension(target, table, DIM)
     stray = spark.createDataFrame(
         [("X", "Y", 99, EVE, OPEN, True, 1), ("X", "Y", 99, EVE, EVE, False, 1)],
-        "name string, city string, id int, eff_start date, eff_end date, is_current boolean, c int",
+        "model string, hall string, code int, since date, until date, live boolean, c int",
     )
     columns = [c for c in spark.table(f"{table}__rows").columns if c != dimension.COMMIT]
     stray.select(*columns, "c").write.mode("append").insertInto(f"{table}__rows")
     assert rows(spark.table(table)) == rows(target), "not visible before the view changes"
-    batch = spark.createDataFrame([(12, "Jon", "Bergen")], BATCH)
+    batch = spark.createDataFrame([(48, "drill", "north")], BATCH)
     dimension.commit_dimension(spark, table, batch, DIM, DAY)
     assert rows(spark.table(table)) == rows(target)
 
 
 def test_forgetting_old_snapshots(spark, schema, target):  # noqa: F811
-    table = f"{schema}.dim_customer"
+    table = f"{schema}.dim_machine"
     dimension.create_dimension(target, table, DIM)
     for n in range(3):
-        batch = spark.createDataFrame([(11, "Ines", f"c{n}")], BATCH)
+        batch = spark.createDataFrame([(70, "lathe", f"c{n}")], BATCH)
         dimension.commit_dimension(spark, table, batch, DIM, DAY + dt.timedelta(days=n))
     expected = rows(spark.table(table))
     dimension.forget_old_snapshots(spark, table, DIM)
     assert rows(spark.table(table)) == expected
     left = {r["partition"] for r in spark.sql(f"show partitions {table}__rows").collect()}
     assert {p for p in left if "true" in p} == {
-        "is_current=true/__commit=2",
-        "is_current=true/__commit=3",
+        "live=true/__commit=2",
+        "live=true/__commit=3",
     }
     assert len([p for p in left if "false" in p]) == 4
