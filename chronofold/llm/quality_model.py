@@ -78,16 +78,17 @@ def features(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndar
 
 
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The different buckets of a text with their shares; each group of features weighs the same."""
-    ids, shares = [], []
-    for buckets, _ in features(np.frombuffer(text, np.uint8), np.array([0, len(text)])):
-        if len(buckets):
-            found, n = np.unique(buckets, return_counts=True)
-            ids.append(found)
-            shares.append(n / (len(buckets) * GROUPS))
-    if not ids:
-        return np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(ids), np.concatenate(shares)
+    """The different buckets of a text and how often it has each."""
+    found = [b for b, _ in features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))]
+    ids, counts = np.unique(np.concatenate(found), return_counts=True)
+    return ids.astype(np.int32), counts.astype(np.int32)
+
+
+def shares_of(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """What each bucket counts for in a text's mean; each group of features weighs the same."""
+    group = ids >> BITS
+    sums = np.bincount(group, counts, GROUPS)
+    return counts / (sums[group] * GROUPS)
 
 
 @dataclass
@@ -111,14 +112,15 @@ class Model:
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
-    """Learn from texts given as buckets, shares and label; the order is drawn from the seed."""
+    """Learn from texts given as buckets, counts and label; the order is drawn from the seed."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (GROUPS << BITS, DIM))
     out, bias = np.zeros((2, DIM)), np.zeros(2)
     steps, step = max(1, EPOCHS * len(bags)), 0
     for _ in range(EPOCHS):
         for k in rng.permutation(len(bags)):
-            ids, shares, label = bags[k]
+            ids, counts, label = bags[k]
+            shares = shares_of(ids, counts)
             rate = RATE * (1 - step / steps)
             step += 1
             rows = vectors[ids]
@@ -170,15 +172,20 @@ def fit(
                 [
                     batch.column(0).cast(pa.string()),
                     batch.column(2),
-                    pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary()),
-                    pa.array([s.astype(np.float64).tobytes() for _, s in found], pa.binary()),
+                    pa.array([i.tobytes() for i, _ in found], pa.binary()),
+                    pa.array([c.astype(np.uint16 if c.max(initial=0) < 1 << 16 else np.int32).tobytes() for _, c in found], pa.binary()),
                 ],
-                names=["k", "y", "i", "s"],
+                names=["k", "y", "i", "c"],
             )
 
-    got = rows.select("_key", "_text", "_label").mapInArrow(bags, "k string, y int, i binary, s binary").collect()
+    got = rows.select("_key", "_text", "_label").mapInArrow(bags, "k string, y int, i binary, c binary").collect()
     got.sort(key=lambda r: (r["k"], r["i"]))
-    return train([(np.frombuffer(r["i"], np.int32), np.frombuffer(r["s"]), r["y"]) for r in got[:sample]])
+    learned = []
+    for r in got[:sample]:
+        ids = np.frombuffer(r["i"], np.int32)
+        width = np.uint16 if len(r["c"]) == 2 * len(ids) else np.int32
+        learned.append((ids, np.frombuffer(r["c"], width), r["y"]))
+    return train(learned)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

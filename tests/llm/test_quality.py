@@ -58,7 +58,7 @@ def test_a_score_depends_on_its_text_alone():
     alone = [model.scores(np.frombuffer(r, np.uint8), np.array([0, len(r)]))[0] for r in raw]
     assert together.tolist() == alone
     bags = [q.bag(r) for r in raw]
-    by_bag = [1 / (1 + np.exp(-(model.bias + model.weights[i] @ s))) for i, s in bags]
+    by_bag = [1 / (1 + np.exp(-(model.bias + model.weights[i] @ s))) for i, c in bags for s in [q.shares_of(i, c)]]
     assert np.allclose(together, by_bag)
     assert together[0] > 0.5 > together[5]
 
