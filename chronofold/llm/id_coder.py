@@ -19,161 +19,179 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-LANES = 2048
+LANES = 1024
 MOST_ID = (1 << 16) - 1
 SLOTS = 1 << 11
 U = np.uint64
 TOP, BOTTOM = U(1 << 48), U(1 << 32)
-SHIFT16 = U(16)
-# Chances are out of 4096; a learned one moves by a 16th of its error, by half at first.
-ONE = 4096
-LIMIT = 1 << 13
+SHIFT16, TOP_BITS = U(16), U(48)
+# Chances are out of 4096; a learned one moves by a 16th of its error.
+ONE_BITS = 12
+ONE = 1 << ONE_BITS
+LIMIT, STEP = 1 << 13, 24
+# Magnitudes of an id plus one, and the values of its leading bits.
+SIZES, LEADS = 17, 16
+# A slot of a context: the id that last followed it, plus one, and above that its record.
+RECORD = 17
 
 
 class Models:
     """What the blocks have learned so far; a row for each block."""
 
     def __init__(self, lanes: int) -> None:
-        self.row = np.arange(lanes)
-        # the id that last followed a context, plus one (0: none yet), and how often it was right
+        row = np.arange(lanes, dtype=np.int32)
+        self.slot_row, self.chance_row, self.lead_row = row * SLOTS, row * 32, row * SIZES
         self.next1 = np.zeros(lanes * SLOTS, np.int32)
-        self.sure1 = np.zeros(lanes * SLOTS, np.int8)
         self.next2 = np.zeros(lanes * SLOTS, np.int32)
-        self.sure2 = np.zeros(lanes * SLOTS, np.int8)
-        # chance that order 2 is right, by its and order 1's record and whether both agree
+        # the chance that a proposal is right, by both records and whether the orders agree
         self.right2 = np.full(lanes * 32, ONE // 2, np.int32)
         self.right1 = np.full(lanes * 32, ONE // 3, np.int32)
-        self.sizes = np.ones((lanes, 17), np.int64)
-        self.leads = np.ones((lanes, 17 * 16), np.int64).reshape(lanes * 17, 16)
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-
-    def propose(self, n: int):
-        """Proposed ids (-1: none) and the places of their records, for the first ``n`` blocks."""
-        row, last = self.row[:n], self.last[:n]
-        at1 = row * SLOTS + ((last * 40503) >> 4) % SLOTS
-        at2 = row * SLOTS + ((last * 40503 + self.before[:n] * 60493) >> 3) % SLOTS
-        p1, p2 = self.next1[at1] - 1, self.next2[at2] - 1
-        s1, s2 = self.sure1[at1], self.sure2[at2]
-        same = p1 == p2
-        mixed = row * 32 + np.where(p2 < 0, 0, (s2 * 4 + s1) * 2 + same)
-        return at1, at2, p1, p2, mixed, row * 32 + s1 * 4 + s2, same
-
-    def widths(self, p1, p2, at_right2, at_right1, same):
-        """Widths of the intervals of both proposals, out of 4096; the rest says neither."""
-        w2 = np.where(p2 >= 0, np.clip(self.right2[at_right2], 32, ONE - 64), 0)
-        w1 = np.where((p1 >= 0) & ~same, ((ONE - w2) * np.clip(self.right1[at_right1], 32, ONE - 64)) >> 12, 0)
-        return w2, w1
-
-    def learn(self, n, ids, at1, at2, p1, p2, at_right2, at_right1, same) -> None:
-        right2, right1 = p2 == ids, p1 == ids
-        old = self.right2[at_right2]
-        self.right2[at_right2] = old + np.where(p2 >= 0, (right2 * ONE - old) >> 4, 0)
-        old = self.right1[at_right1]
-        self.right1[at_right1] = old + np.where((p1 >= 0) & ~same & ~right2, (right1 * ONE - old) >> 4, 0)
-        for next_, sure, at, right in ((self.next1, self.sure1, at1, right1), (self.next2, self.sure2, at2, right2)):
-            s = sure[at]
-            # a record that was right often is kept once more
-            replace = ~right & (s < 2)
-            next_[at] = np.where(replace, ids + 1, next_[at])
-            sure[at] = np.where(right, np.minimum(s + 1, 3), np.where(replace, 0, s - 2))
+        self.sizes = np.ones((lanes, SIZES), np.int32)
+        self.leads = np.ones((lanes * SIZES, LEADS), np.int32)
+        self.last = np.zeros(lanes, np.int32)
+        self.before = np.zeros(lanes, np.int32)
+
+    def propose(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What orders 2 and 1 propose, plus one (0: nothing), and the widths of their intervals.
+
+        Widths are out of 4096; what both leave says neither.
+        """
+        context = self.last[:n] * np.int32(40503)
+        self.at1 = self.slot_row[:n] + ((context >> 4) & (SLOTS - 1))
+        self.at2 = self.slot_row[:n] + (((context + self.before[:n] * np.int32(60493)) >> 3) & (SLOTS - 1))
+        self.slot1, self.slot2 = self.next1[self.at1], self.next2[self.at2]
+        p1, p2 = self.slot1 & 0x1FFFF, self.slot2 & 0x1FFFF
+        records = (self.slot2 >> RECORD) * 4 + (self.slot1 >> RECORD)
+        self.same = p1 == p2
+        self.chance2 = self.chance_row[:n] + records * 2 + self.same
+        self.chance1 = self.chance_row[:n] + records
+        self.c2, self.c1 = self.right2[self.chance2], self.right1[self.chance1]
+        w2 = (p2 > 0) * self.c2
+        w1 = ((p1 > 0) & ~self.same) * (((ONE - w2) * self.c1) >> ONE_BITS)
+        return p1, p2, w1, w2
+
+    def learn(self, n: int, x: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, p2: np.ndarray) -> None:
+        """Take in ids (plus one); ``hit1`` and ``hit2`` say whose proposals were right.
+
+        Chances stay between a 64th and its complement, so no interval vanishes.
+        """
+        self.right2[self.chance2] = np.clip(self.c2 + (((hit2 * ONE - self.c2) >> 4) * (p2 > 0)), 64, ONE - 64)
+        self.right1[self.chance1] = np.clip(self.c1 + (((hit1 * ONE - self.c1) >> 4) * ~(self.same | hit2)), 64, ONE - 64)
+        for table, at, slot, hit in ((self.next1, self.at1, self.slot1, hit1), (self.next2, self.at2, self.slot2, hit2)):
+            record = slot >> RECORD
+            # an id that was right twice in a row is kept once more
+            table[at] = np.where(
+                hit,
+                x | (np.minimum(record + 1, 3) << RECORD),
+                np.where(record < 2, x, (slot & 0x1FFFF) | ((record - 2) << RECORD)),
+            )
         self.before[:n] = self.last[:n]
-        self.last[:n] = ids + 1
+        self.last[:n] = x
 
-    def counted(self, table: np.ndarray, at: np.ndarray, symbol: np.ndarray) -> None:
-        table[at, symbol] += 24
-        full = at[table[at].sum(axis=1) > LIMIT]
-        table[full] = (table[full] >> 1) | 1
+
+def count(table: np.ndarray, at: np.ndarray, symbol: np.ndarray, total: np.ndarray) -> None:
+    """Count symbols in rows of a table of frequencies; rows over the limit are halved."""
+    table[at, symbol] += STEP
+    full = np.flatnonzero(total > LIMIT)
+    if len(full):
+        table[at[full]] = (table[at[full]] >> 1) | 1
+
+
+def settle(low: np.ndarray, range_: np.ndarray, emit) -> None:
+    """Shift settled units out of intervals, in place, until all are wide enough.
+
+    An interval that has become narrow across a boundary is cut at it, so nothing is carried.
+    ``emit`` is told which intervals shift, before they do.
+    """
+    move = np.flatnonzero(((low ^ (low + range_)) < TOP) | (range_ < BOTTOM))
+    while len(move):
+        lo, ra = low[move], range_[move]
+        cut = (lo ^ (lo + ra)) >= TOP
+        if cut.any():
+            ra[cut] = (~lo[cut] + U(1)) & (BOTTOM - U(1))
+        emit(move, lo)
+        lo <<= SHIFT16
+        ra <<= SHIFT16
+        low[move], range_[move] = lo, ra
+        move = move[((lo ^ (lo + ra)) < TOP) | (ra < BOTTOM)]
 
 
 class Writer:
     """Range coders of many blocks; each writes 16-bit units into a row of its own."""
 
-    def __init__(self, lanes: int, most: int) -> None:
+    def __init__(self, lanes: int) -> None:
         self.low = np.zeros(lanes, U)
         self.range = np.full(lanes, 0xFFFFFFFFFFFFFFFF, U)
-        self.out = np.zeros((lanes, most), np.uint16)
+        self.out = np.zeros((lanes, BLOCK), np.uint16)
         self.size = np.zeros(lanes, np.int64)
 
-    def put(self, lanes: np.ndarray, start: np.ndarray, width: np.ndarray, total: np.ndarray) -> None:
-        unit = self.range[lanes] // total.astype(U)
-        low = self.low[lanes] + unit * start.astype(U)
-        range_ = unit * width.astype(U)
-        while True:
-            settled = (low ^ (low + range_)) < TOP
-            small = range_ < BOTTOM
-            move = np.flatnonzero(settled | small)
-            if not len(move):
-                break
-            cut = move[~settled[move]]
-            range_[cut] = (~low[cut] + U(1)) & (BOTTOM - U(1))
+    def settle(self, lanes: np.ndarray) -> None:
+        def emit(move, low):
             k = lanes[move]
-            self.out[k, self.size[k]] = (low[move] >> TOP_BITS).astype(np.uint16)
+            if self.size[k].max() >= self.out.shape[1]:
+                self.out = np.concatenate([self.out, np.zeros_like(self.out[:, : BLOCK // 2])], axis=1)
+            self.out[k, self.size[k]] = (low >> TOP_BITS).astype(np.uint16)
             self.size[k] += 1
-            low[move] <<= SHIFT16
-            range_[move] <<= SHIFT16
-        self.low[lanes], self.range[lanes] = low, range_
 
-    def finish(self, count: int) -> list[bytes]:
-        done = []
-        for k in range(count):
-            # the end of the last interval, with no more units than it needs
-            tail = [(int(self.low[k]) >> s) & 0xFFFF for s in (48, 32, 16, 0)]
-            done.append(np.concatenate([self.out[k, : self.size[k]], np.array(tail, np.uint16)]).astype("<u2").tobytes())
-        return done
+        low, range_ = self.low[lanes], self.range[lanes]
+        settle(low, range_, emit)
+        self.low[lanes], self.range[lanes] = low, range_
 
+    def narrow(self, lanes, start: np.ndarray, width: np.ndarray, total) -> None:
+        """To part of the interval. At most two between calls of ``settle``, of totals that
+        multiply to 2 ** 25 or less."""
+        unit = self.range[lanes] // total
+        self.low[lanes] += unit * start.astype(U)
+        self.range[lanes] = unit * width.astype(U)
 
-TOP_BITS = U(48)
+    def finish(self) -> list[bytes]:
+        ends = ((self.low[:, None] >> np.array([48, 32, 16, 0], U)) & U(0xFFFF)).astype("<u2")
+        return [o[:n].astype("<u2").tobytes() + e.tobytes() for o, n, e in zip(self.out, self.size, ends)]
 
 
 class Reader:
     """The counterpart of ``Writer``."""
 
     def __init__(self, blocks: list[bytes]) -> None:
-        self.ends = np.array([len(b) // 2 for b in blocks])
-        self.starts = np.concatenate([[0], np.cumsum(self.ends)[:-1]])
-        self.units = np.concatenate([np.frombuffer(b"".join(blocks), "<u2").astype(U), np.zeros(8, U)])
-        self.at = self.starts.copy()
+        starts = np.cumsum([0] + [len(b) // 2 for b in blocks])[:-1]
+        self.units = np.concatenate([np.frombuffer(b"".join(blocks), "<u2"), np.zeros(8, np.uint16)])
+        self.at = starts.copy()
         n = len(blocks)
         self.low = np.zeros(n, U)
         self.range = np.full(n, 0xFFFFFFFFFFFFFFFF, U)
         self.code = np.zeros(n, U)
         for _ in range(4):
-            self.code = (self.code << SHIFT16) | self.units[self.at]
+            self.code = (self.code << SHIFT16) | self.units[self.at].astype(U)
             self.at += 1
 
-    def peek(self, lanes: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """Where in its total each code lies."""
-        self.unit = self.range[lanes] // total.astype(U)
-        return np.minimum((self.code[lanes] - self.low[lanes]) // self.unit, total.astype(U) - U(1)).astype(np.int64)
-
-    def take(self, lanes: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        low = self.low[lanes] + self.unit * start.astype(U)
-        range_ = self.unit * width.astype(U)
-        while True:
-            settled = (low ^ (low + range_)) < TOP
-            small = range_ < BOTTOM
-            move = np.flatnonzero(settled | small)
-            if not len(move):
-                break
-            cut = move[~settled[move]]
-            range_[cut] = (~low[cut] + U(1)) & (BOTTOM - U(1))
+    def settle(self, lanes: np.ndarray) -> None:
+        def emit(move, _):
             k = lanes[move]
-            self.code[k] = (self.code[k] << SHIFT16) | self.units[np.minimum(self.at[k], len(self.units) - 1)]
+            units = self.units[np.minimum(self.at[k], len(self.units) - 1)]
+            self.code[k] = (self.code[k] << SHIFT16) | units.astype(U)
             self.at[k] += 1
-            low[move] <<= SHIFT16
-            range_[move] <<= SHIFT16
+
+        low, range_ = self.low[lanes], self.range[lanes]
+        settle(low, range_, emit)
         self.low[lanes], self.range[lanes] = low, range_
 
+    def peek(self, lanes, total) -> np.ndarray:
+        """Where in its total each code lies."""
+        self.unit = self.range[lanes] // total
+        found = (self.code[lanes] - self.low[lanes]) // self.unit
+        return np.minimum(found, total - U(1)).astype(np.int64)
+
+    def narrow(self, lanes, start: np.ndarray, width: np.ndarray) -> None:
+        self.low[lanes] += self.unit * start.astype(U)
+        self.range[lanes] = self.unit * width.astype(U)
+
 
-def parts(ids: np.ndarray):
-    """Magnitude, leading bits and the other bits of ids, with the number of values of the last."""
-    value = ids + 1
-    size = np.frexp(value.astype(np.float64))[1] - 1
+def parts(value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Magnitude, leading bits, the other bits and how many, of ids plus one."""
+    size = np.frexp(value.astype(np.float32))[1] - 1
     rest_bits = np.maximum(size - 4, 0)
-    mantissa = value - (np.int64(1) << size)
-    lead = np.where(size >= 4, mantissa >> rest_bits, mantissa)
-    return size, lead, mantissa & ((np.int64(1) << rest_bits) - 1), np.int64(1) << rest_bits
+    mantissa = value - (1 << size)
+    return size, mantissa >> rest_bits, mantissa & ((1 << rest_bits) - 1), rest_bits
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -188,39 +206,41 @@ def encode(ids: np.ndarray) -> bytes:
 
 def _encode(ids: np.ndarray) -> bytes:
     lanes = -(-len(ids) // BLOCK)
-    grid = np.zeros(lanes * BLOCK, np.int64)
+    grid = np.zeros(lanes * BLOCK, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)
     last = len(ids) - (lanes - 1) * BLOCK
-    models, writer = Models(lanes), Writer(lanes, BLOCK * 4 + 16)
-    sizes, leads, rests, spans = parts(grid)
+    models, writer, every = Models(lanes), Writer(lanes), np.arange(lanes)
+    one = U(ONE)
     for step in range(min(BLOCK, len(ids))):
         n = lanes if step < last else lanes - 1
-        x, row = grid[step, :n], models.row[:n]
-        at1, at2, p1, p2, r2, r1, same = models.propose(n)
-        w2, w1 = models.widths(p1, p2, r2, r1, same)
-        hit2 = (p2 == x) & (w2 > 0)
-        hit1 = ~hit2 & (p1 == x) & (w1 > 0)
-        start = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
-        width = np.where(hit2, w2, np.where(hit1, w1, ONE - w2 - w1))
-        writer.put(row, start, width, np.full(n, ONE))
-        miss = np.flatnonzero(~(hit2 | hit1))
+        x = grid[step, :n] + 1
+        p1, p2, w1, w2 = models.propose(n)
+        hit2, hit1 = p2 == x, p1 == x
+        take1 = hit1 & ~hit2
+        miss = np.flatnonzero(~(hit1 | hit2))
+        both = w1 + w2
+        width = np.where(hit2, w2, np.where(take1, w1, ONE - both))
+        writer.narrow(slice(0, n), np.where(hit2, 0, np.where(take1, w2, both)), width, one)
         if len(miss):
-            for table, at, symbol in (
-                (models.sizes, miss, sizes[step, miss]),
-                (models.leads, miss * 17 + sizes[step, miss], leads[step, miss]),
-            ):
-                upto = np.cumsum(table[at], axis=1)
-                k = np.arange(len(miss))
-                width = table[at, symbol]
-                writer.put(miss, upto[k, symbol] - width, width, upto[:, -1])
-                models.counted(table, at, symbol)
-            more = miss[spans[step, miss] > 1]
-            if len(more):
-                writer.put(more, rests[step, more], np.ones(len(more), np.int64), spans[step, more])
-        models.learn(n, x, at1, at2, p1, p2, r2, r1, same)
+            size, lead, rest, rest_bits = parts(x[miss])
+            k = np.arange(len(miss))
+            upto = np.cumsum(models.sizes[miss], axis=1)
+            width = models.sizes[miss, size]
+            writer.narrow(miss, upto[k, size] - width, width, upto[:, -1].astype(U))
+            count(models.sizes, miss, size, upto[:, -1])
+        writer.settle(every[:n])
+        if len(miss):
+            at = models.lead_row[miss] + size
+            upto = np.cumsum(models.leads[at], axis=1)
+            width = models.leads[at, lead]
+            writer.narrow(miss, upto[k, lead] - width, width, upto[:, -1].astype(U))
+            count(models.leads, at, lead, upto[:, -1])
+            writer.narrow(miss, rest, np.ones(len(miss), U), (1 << rest_bits).astype(U))
+            writer.settle(miss)
+        models.learn(n, x, hit1, hit2, p2)
     out = []
-    for k, code in enumerate(writer.finish(lanes)):
+    for k, code in enumerate(writer.finish()):
         block = ids[k * BLOCK : (k + 1) * BLOCK]
         out.append(struct.pack("<III", len(block), len(code), zlib.crc32(block.astype("<u4").tobytes())) + code)
     return b"".join(out)
@@ -242,48 +262,45 @@ def decode(raw: bytes) -> np.ndarray:
 
 def _decode(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
     lanes, last = len(blocks), blocks[-1][0]
-    grid = np.zeros((max(b[0] for b in blocks), lanes), np.int64)
-    models, reader = Models(lanes), Reader([b[2] for b in blocks])
+    grid = np.zeros((max(b[0] for b in blocks), lanes), np.int32)
+    models, reader, every = Models(lanes), Reader([b[2] for b in blocks]), np.arange(lanes)
+    one = U(ONE)
     for step in range(len(grid)):
         n = lanes if step < last else lanes - 1
-        row = models.row[:n]
-        at1, at2, p1, p2, r2, r1, same = models.propose(n)
-        w2, w1 = models.widths(p1, p2, r2, r1, same)
-        where = reader.peek(row, np.full(n, ONE))
-        hit2, neither = where < w2, where >= w2 + w1
-        hit1 = ~(hit2 | neither)
-        start = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
-        width = np.where(hit2, w2, np.where(hit1, w1, ONE - w2 - w1))
-        reader.take(row, start, width)
-        x = np.where(hit2, p2, p1).astype(np.int64)
+        p1, p2, w1, w2 = models.propose(n)
+        both = w1 + w2
+        where = reader.peek(slice(0, n), one)
+        take2, neither = where < w2, where >= both
+        take1 = ~(take2 | neither)
+        width = np.where(take2, w2, np.where(take1, w1, ONE - both))
+        reader.narrow(slice(0, n), np.where(take2, 0, np.where(take1, w2, both)), width)
+        x = np.where(take2, p2, p1)
         miss = np.flatnonzero(neither)
         if len(miss):
-            found = []
             k = np.arange(len(miss))
-            for table, width_ in ((models.sizes, 1), (models.leads, 17)):
-                at = miss * width_ + (found[0] if found else 0)
-                upto = np.cumsum(table[at], axis=1)
-                where = reader.peek(miss, upto[:, -1])
-                symbol = (upto <= where[:, None]).sum(axis=1)
-                width = table[at, symbol]
-                reader.take(miss, upto[k, symbol] - width, width)
-                models.counted(table, at, symbol)
-                found.append(symbol)
-            size, lead = found
+            upto = np.cumsum(models.sizes[miss], axis=1)
+            size = (upto <= reader.peek(miss, upto[:, -1].astype(U))[:, None]).sum(axis=1)
+            width = models.sizes[miss, size]
+            reader.narrow(miss, upto[k, size] - width, width)
+            count(models.sizes, miss, size, upto[:, -1])
+        reader.settle(every[:n])
+        if len(miss):
+            at = models.lead_row[miss] + size
+            upto = np.cumsum(models.leads[at], axis=1)
+            lead = (upto <= reader.peek(miss, upto[:, -1].astype(U))[:, None]).sum(axis=1)
+            width = models.leads[at, lead]
+            reader.narrow(miss, upto[k, lead] - width, width)
+            count(models.leads, at, lead, upto[:, -1])
             rest_bits = np.maximum(size - 4, 0)
-            value = (np.int64(1) << size) + (lead << rest_bits)
-            more = np.flatnonzero(rest_bits > 0)
-            if len(more):
-                spans = np.int64(1) << rest_bits[more]
-                rest = reader.peek(miss[more], spans)
-                reader.take(miss[more], rest, np.ones(len(more), np.int64))
-                value[more] += rest
-            x[miss] = value - 1
-        grid[step, :n] = x
-        models.learn(n, x, at1, at2, p1, p2, r2, r1, same)
+            rest = reader.peek(miss, (1 << rest_bits).astype(U))
+            reader.narrow(miss, rest, np.ones(len(miss), U))
+            reader.settle(miss)
+            x[miss] = (1 << size) + (lead << rest_bits) + rest
+        grid[step, :n] = x - 1
+        models.learn(n, x, p1 == x, p2 == x, p2)
     out = []
     for k, (length, crc, _) in enumerate(blocks):
-        ids = grid[:length, k]
+        ids = grid[:length, k].astype(np.int64)
         if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
             raise ValueError(f"checksum of block {k} differs")
         out.append(ids)

@@ -6,6 +6,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,60 +19,25 @@ from chronofold.sources.scratch import freeze, new_folder
 
 MAGIC = b"TOKR0001"
 END_ID = 0
-# Words whose ids a worker remembers, and characters that it splits at once.
-KNOWN_WORDS = 400_000
-CHUNK = 4 << 20
-# Fixed value: how byte-level BPE of this kind splits a text before it merges.
-SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Characters that are encoded at once: the tokenizer takes about a hundred bytes for an id.
+CHUNK = 1 << 20
 
 
-class WordIds:
-    """Ids of texts, by way of the ids of their pieces.
-
-    The tokenizer never merges across the pieces that ``SPLIT`` finds, so the ids of a text are those of its
-    pieces in a row. Each piece is encoded once and then looked up. Strings of special tokens are ordinary text.
-    """
+class Encoder:
+    """Ids of texts by a tokenizer file; strings of special tokens are ordinary text."""
 
     def __init__(self, path: str) -> None:
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(SPLIT).findall
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and how many each text has."""
-        if len(self.number) > KNOWN_WORDS:
-            self._forget()
-        pieces: list[str] = []
-        counts = []
-        for text in texts:
-            found = self.split(text)
-            pieces += found
-            counts.append(len(found))
-        number = self.number
-        new = list(dict.fromkeys(p for p in pieces if p not in number))
-        if new:
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            at = len(number)
-            number.update(zip(new, range(at, at + len(new))))
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.fromiter((i for ids in coded for i in ids), np.int32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        which = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
-        begin, size = self.starts[which], self.starts[which + 1] - self.starts[which]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size - begin, size)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
-        return self.ids[at], np.diff(bounds)
+        """All ids in a row, ``END_ID`` after each text, and how many each text has with it."""
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids = np.fromiter(chain.from_iterable(coded), np.int32, int(counts.sum()))
+        return np.insert(ids, np.cumsum(counts), END_ID), counts + 1
 
 
 def chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -170,20 +136,18 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, text: str = "text",
     slim = slim.sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, writer, first = None, None, None
+        encoder, writer, first = None, None, None
         for batch in batches:
             if not len(batch):
                 continue
             if writer is None:
-                words, writer = WordIds(tokenizer), FileWriter(folder)
+                encoder, writer = Encoder(tokenizer), FileWriter(folder)
                 first = batch.column(0)[0].as_py()
             keys = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
             done = 0
             for run in chunks(texts):
-                ids, counts = words.encode(run)
-                closed = np.insert(ids, np.cumsum(counts), END_ID)
-                writer.add(keys[done : done + len(run)], closed, counts + 1)
+                writer.add(keys[done : done + len(run)], *encoder.encode(run))
                 done += len(run)
         if writer is not None:
             path, docs, tokens = writer.close()
