@@ -232,6 +232,7 @@ where versions > 0
 select (select count(*) from changed) as expired,
        (select count(*) from changed) as inserted_changed,
        (select count(*) from fresh) as inserted_new,
+       cast(0 as bigint) as reopened, cast(0 as bigint) as amended,
        (select count(*) from past_only) as closed_skipped,
        (select count(*) from batch) - (select count(*) from changed)
          - (select count(*) from fresh) - (select count(*) from past_only) as unchanged
@@ -331,6 +332,48 @@ select event_id, event_type, value,
 from events qualify rn <= 1500
 """,
 }
+AGAIN = CUSTOMERS_AGAIN + """
+, classified as (
+  select *, case when id in (select id from past_only) then 'closed_only'
+                 when id in (select id from changed) then 'amended'
+                 else 'unchanged' end as change_type
+  from batch)
+"""
+LATE = CUSTOMERS.replace("2024-06-01", "2023-06-01").replace("2024-05-31", "2023-05-31")
+ORACLE |= {
+    "scd2_classify_same_day": AGAIN + "select * from classified",
+    "scd2_metrics_same_day": AGAIN
+    + """
+select cast(0 as bigint) as expired, cast(0 as bigint) as inserted_changed,
+       cast(0 as bigint) as inserted_new, cast(0 as bigint) as reopened,
+       count_if(change_type = 'amended')::bigint as amended,
+       count_if(change_type = 'closed_only')::bigint as closed_skipped,
+       count_if(change_type = 'unchanged')::bigint as unchanged
+from classified
+""",
+    "scd2_reopen_late": LATE
+    + """
+, reopened as (
+  select * from applied
+  union all
+  select *, date '2023-06-01', date '9999-12-31', true from past_only)
+"""
+    + CHECKED.format(versions="reopened"),
+    "scd2_missing_dates": """
+select o_orderkey as order_id,
+       case when o_orderpriority <> '1-URGENT' then cast(o_orderdate as date) end as eff_start,
+       'missing_date' as rule, cast(1 as bigint) as versions
+from orders where o_orderpriority = '1-URGENT' or o_orderstatus = 'P'
+""",
+    "append_history": CUSTOMERS
+    + """
+select cast(1 as bigint) as version, 'PUBLISH' as operation, cast(null as bigint) as rows
+union all
+select 2, 'APPEND', count(*) from batch
+union all
+select 3, 'APPEND', count(*) from target
+""",
+}
 # The plans for large batches give the same rows.
 for name in ("merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
     ORACLE[f"{name}_shuffled"] = ORACLE[name]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -162,7 +164,7 @@ def scd2_new(spark, folder):
 
 @query
 def scd2_classify(spark, folder):
-    return scd2.scd2_classify(*customer_case(spark, folder), CUSTOMER_DIM)
+    return scd2.scd2_classify(*customer_case(spark, folder), CUSTOMER_DIM, as_of=AS_OF)
 
 
 @query
@@ -248,6 +250,56 @@ def scd2_same_day(spark, folder):
     return scd2.scd2_apply(once, again, CUSTOMER_DIM, AS_OF)
 
 
+@query
+def scd2_classify_same_day(spark, folder):
+    """What a second batch of the day does."""
+    target, batch = customer_case(spark, folder)
+    again = inputs.customer_feed(spark, folder, moved="MOVED2")
+    once = freeze(scd2.scd2_apply(target, batch, CUSTOMER_DIM, AS_OF))
+    return scd2.scd2_classify(once, again, CUSTOMER_DIM, as_of=AS_OF)
+
+
+@query
+def scd2_metrics_same_day(spark, folder):
+    return scd2.scd2_metrics(scd2_classify_same_day(spark, folder))
+
+
+@query
+def scd2_reopen_late(spark, folder):
+    """Versions reopened before they ended, which only "keep" allows, overlap."""
+    target, batch = customer_case(spark, folder)
+    day = dt.date(2023, 6, 1)
+    options = {"reopen_closed": True, "same_day": "keep"}
+    late = scd2.scd2_apply(target, batch, CUSTOMER_DIM, day, **options)
+    return scd2.scd2_check(late, CUSTOMER_DIM)
+
+
+@query
+def scd2_missing_dates(spark, folder):
+    """Versions without a start or an end."""
+    broken = inputs.order_dimension(spark, folder).withColumns(
+        {
+            "eff_start": F.expr("if(priority = '1-URGENT', null, eff_start)"),
+            "eff_end": F.expr("if(status = 'P', null, eff_end)"),
+            "is_current": F.expr("if(status = 'P', null, is_current)"),
+        }
+    )
+    return scd2.scd2_check(broken, ORDER_DIM).where("rule = 'missing_date'")
+
+
+@query
+def append_history(spark, folder):
+    """Appends are listed with their rows, and versions before them stay as they were."""
+    target, batch = customer_case(spark, folder)
+    table = f"{scratch_schema(spark)}.customer_list"
+    tables.publish(target.select("id", "name", "city"), table)
+    tables.append_rows(batch, table)
+    tables.append_rows(target, table)
+    return tables.history(spark, table).select(
+        "version", "operation", F.col("metrics")["rows"].cast("bigint").alias("rows")
+    )
+
+
 @query
 def scd2_violations(spark, folder):
     return scd2.scd2_check(scd2_apply(spark, folder), CUSTOMER_DIM)
@@ -320,7 +372,8 @@ def scd1_apply_shuffled(spark, folder):
 
 @query
 def scd2_classify_shuffled(spark, folder):
-    return scd2.scd2_classify(*customer_case(spark, folder), CUSTOMER_DIM, broadcast_bytes=0)
+    options = {"broadcast_bytes": 0, "as_of": AS_OF}
+    return scd2.scd2_classify(*customer_case(spark, folder), CUSTOMER_DIM, **options)
 
 
 @query

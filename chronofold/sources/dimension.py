@@ -18,7 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from chronofold.functions import quoted
-from chronofold.operators.scd2 import ACTION, Dimension, pinned_date, scd2_actions
+from chronofold.operators.scd2 import INNER, Dimension, pinned_date, scd2_actions
 from chronofold.operators.sizing import BROADCAST_BYTES
 from chronofold.sources.scratch import freeze
 from chronofold.sources.tables import (
@@ -101,6 +101,7 @@ def commit_dimension(
         reopen_closed,
         same_day,
         broadcast_bytes,
+        INNER,
     )
     _drop_leftovers(spark, table, dim, commit)
     if rebalance:
@@ -109,7 +110,7 @@ def commit_dimension(
     # Observed in the writing stage, so rows that a lost task repeats are counted once.
     seen = Observation()
     counted = actions.observe(
-        seen, *[F.count_if(F.col(ACTION) == a).alias(m) for a, m in METRICS.items()]
+        seen, *[F.count_if(F.col(INNER) == a).alias(m) for a, m in METRICS.items()]
     )
     stored = [c for c in spark.table(rows).columns if c != COMMIT]
     counted.select(*[quoted(c) for c in stored], F.lit(commit).alias(COMMIT)).write.mode(

@@ -18,6 +18,18 @@ def test_keep_latest_breaks_ties_the_same_way(spark):
         assert rows(keep_latest(df, ["k"], {"t": "desc", "s": "asc"})) == expected
 
 
+def test_keep_latest_settles_ties_by_the_other_columns(spark):
+    data = [(1, 5, "b", {"x": 2}), (1, 5, "b", {"x": 1}), (1, 5, "c", None), (2, 1, None, {})]
+    found = []
+    for seed in range(3):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, "k int, t int, s string, m map<string,int>").repartition(3)
+        kept = keep_latest(df, ["k"], {"t": "desc"})
+        assert kept.columns == ["k", "t", "s", "m"]
+        found.append(sorted(map(str, kept.collect())))
+    assert found[0] == found[1] == found[2] and "m={'x': 1}" in found[0][0]
+
+
 def test_keep_latest_of_its_own_result(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, t int")
     once = keep_latest(df, ["k"], {"t": "desc"})

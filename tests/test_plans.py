@@ -4,9 +4,9 @@ import datetime as dt
 
 import pytest
 
-from chronofold.operators import scd2, sizing
+from chronofold.operators import merge, scd2, sizing
 from chronofold.operators.sizing import measure, measure_by_key
-from helpers import plan
+from helpers import plan, rows
 from test_scd2 import BATCH, DAY, DIM, TARGET, target  # noqa: F401
 
 
@@ -18,27 +18,27 @@ def no_auto_broadcast(small_conf):
 @pytest.fixture
 def stored(spark, target, tmp_path):  # noqa: F811
     path = str(tmp_path / "dim")
-    target.write.partitionBy("is_current").parquet(path)
+    target.write.partitionBy("live").parquet(path)
     return spark.read.schema(target.schema).parquet(path)
 
 
 def batch(spark):
-    return spark.createDataFrame([(11, "Ines", "Faro"), (15, "Lea", "Ghent")], BATCH)
+    return spark.createDataFrame([(70, "lathe", "annex"), (83, "crane", "dock")], BATCH)
 
 
 def test_small_batch_shuffles_keys_only(spark, stored, no_auto_broadcast):
     text = plan(scd2.scd2_actions(stored, batch(spark), DIM, DAY))
-    assert "BroadcastHashJoin [id#" in text and "LeftOuter, BuildRight" in text
+    assert "BroadcastHashJoin [code#" in text and "LeftOuter, BuildRight" in text
     assert "LeftSemi, BuildRight" in text
     for line in text.splitlines():
         if "Exchange hashpartitioning" in line:
-            assert "id#" in line
-    assert "PartitionFilters: [isnotnull(is_current" in text
+            assert "code#" in line
+    assert "PartitionFilters: [isnotnull(live" in text
 
 
 def test_key_scan_reads_only_keys(spark, stored, no_auto_broadcast):
     text = plan(scd2.scd2_actions(stored, batch(spark), DIM, DAY))
-    assert "ReadSchema: struct<id:int>" in text
+    assert "ReadSchema: struct<code:int>" in text
 
 
 def test_large_batch_takes_one_outer_join_of_current_rows(spark, stored, no_auto_broadcast):
@@ -49,7 +49,21 @@ def test_large_batch_takes_one_outer_join_of_current_rows(spark, stored, no_auto
 
 def test_large_batch_stays_in_pushed_partitions(spark, stored):
     actions = scd2.scd2_apply(stored, batch(spark), DIM, DAY, broadcast_bytes=0)
-    assert actions.count() == 6
+    assert actions.count() == 8
+
+
+def test_hot_target_keys_are_dealt_out_without_aqe(spark, small_conf, no_auto_broadcast):
+    """Null keys bypass the join; a hot key's rows go to several partitions of it."""
+    small_conf("spark.sql.adaptive.enabled", "false")
+    hot = spark.range(3000, numPartitions=8).selectExpr("if(id % 10 < 3, null, if(id % 10 < 9, 1, id)) as k", "id as v")
+    batch = spark.range(100).selectExpr("id as k", "-id as v")
+    result = merge.updated(hot, batch, ["k"], {"v": "s.v"}, None, False, rows_per_salt=100)
+    text = plan(result)
+    assert text.count("LeftOuter") >= 1 and "isnotnull(" in text.lower()
+    parts = result.where("k = 1").selectExpr("spark_partition_id() as p").distinct().count()
+    assert parts > 3
+    expected = hot.alias("t").join(batch.alias("s"), "k", "left").selectExpr("k", "coalesce(s.v, t.v)")
+    assert rows(result) == rows(expected)
 
 
 def test_measure(spark):

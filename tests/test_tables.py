@@ -252,6 +252,25 @@ def test_dimension_commits(spark, schema, target):  # noqa: F811
     assert history[2]["metrics"]["inserted_new"] == "1"
 
 
+@pytest.mark.parametrize("reopen", [False, True])
+def test_metrics_are_what_a_commit_does(spark, schema, target, reopen):  # noqa: F811
+    table = f"{schema}.machines"
+    dimension.create_dimension(target, table, DIM)
+    for n, batch in enumerate(
+        [
+            [(70, "lathe", "annex"), (48, "drill", "north"), (21, "press", "dock"), (83, "crane", "dock")],
+            [(70, "lathe", "pit"), (83, "crane", "dock"), (84, "crane", "dock")],
+        ]
+    ):
+        frame = spark.createDataFrame(batch, BATCH)
+        options = {"as_of": DAY, "reopen_closed": reopen}
+        kinds = scd2.scd2_classify(spark.table(table), frame, DIM, **options)
+        told = scd2.scd2_metrics(kinds).first().asDict()
+        seen = dimension.commit_dimension(spark, table, frame, DIM, **options)
+        assert {k: told[k] for k in seen} == seen, n
+        assert scd2.scd2_check(spark.table(table), DIM).isEmpty()
+
+
 def test_current_rows_are_read_without_history(spark, schema, target):  # noqa: F811
     table = f"{schema}.dim_machine"
     dimension.create_dimension(target, table, DIM)
