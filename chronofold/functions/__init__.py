@@ -4,10 +4,12 @@ from chronofold.functions.columns import (
     any_differs,
     any_null,
     ascending_or_descending,
+    at_path,
     col_of,
     hashable,
     keys_equal,
     keys_same,
+    path_steps,
     quoted,
     ref,
     row_bytes,
@@ -21,10 +23,12 @@ __all__ = [
     "any_differs",
     "any_null",
     "ascending_or_descending",
+    "at_path",
     "col_of",
     "hashable",
     "keys_equal",
     "keys_same",
+    "path_steps",
     "quoted",
     "ref",
     "row_bytes",

@@ -6,6 +6,7 @@ to the JVM in place of one per function.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F, types as T
@@ -25,6 +26,25 @@ def ref(name: str, relation: str | None = None) -> str:
     return f"{relation}.{quoted(name)}" if relation else quoted(name)
 
 
+_STEP = re.compile(r"`((?:[^`]|``)+)`|([^.`]+)")
+
+
+def path_steps(path: str) -> list[str]:
+    """The names along a dotted path; a name in back-ticks is taken literally, dots included.
+
+    The empty path has no steps: it names the value itself.
+    """
+    steps = [(m[1] or "").replace("``", "`") or m[2] for m in _STEP.finditer(path)]
+    if ".".join(m[0] for m in _STEP.finditer(path)) != path:
+        raise ValueError(f"{path!r} is not a path of names with dots between")
+    return steps
+
+
+def at_path(path: str, relation: str | None = None) -> Column:
+    """The value that a dotted path leads to, from a relation or from a struct column."""
+    return F.col(".".join(quoted(step) for step in [*([relation] if relation else []), *path_steps(path)]))
+
+
 def col_of(name: str, relation: str | None = None) -> Column:
     return F.col(ref(name, relation))
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from chronofold.functions import col_of
+from chronofold.functions import col_of, path_steps
 from chronofold.operators.nested import flatten_records
 
 PARSED = "__parsed"
@@ -65,17 +65,19 @@ def flatten_json(
     """
     fields = _struct(schema)
     if mode == "PERMISSIVE":
-        fields = narrowed(fields, [*parents.values(), *[f"{array}.{i}" for i in items.values()]])
+        within = [f"{array}.{path}" if path else array for path in items.values()]
+        fields = narrowed(fields, [*parents.values(), *within])
     return flatten_records(parse_json(df, column, fields, mode), array, parents, items, outer)
 
 
 def narrowed(schema: T.StructType, paths: Sequence[str]) -> T.StructType:
     """The part of a schema that the dotted paths reach, through structs and arrays of structs."""
-    if any("`" in path for path in paths):
-        return schema
-    wanted: dict[str, list[str]] = {}
-    for path in paths:
-        head, _, rest = path.partition(".")
+    return _narrowed_struct(schema, [path_steps(path) for path in paths])
+
+
+def _narrowed_struct(schema: T.StructType, paths: Sequence[Sequence[str]]) -> T.StructType:
+    wanted: dict[str, list[Sequence[str]]] = {}
+    for head, *rest in paths:
         wanted.setdefault(head.lower(), []).append(rest)
     return T.StructType(
         [
@@ -86,43 +88,50 @@ def narrowed(schema: T.StructType, paths: Sequence[str]) -> T.StructType:
     )
 
 
-def _narrowed_type(data_type: T.DataType, rests: Sequence[str]) -> T.DataType:
-    if "" in rests:
+def _narrowed_type(data_type: T.DataType, rests: Sequence[Sequence[str]]) -> T.DataType:
+    if not all(rests):
         return data_type
     if isinstance(data_type, T.StructType):
-        return narrowed(data_type, rests)
+        return _narrowed_struct(data_type, rests)
     if isinstance(data_type, T.ArrayType):
         return T.ArrayType(_narrowed_type(data_type.elementType, rests), data_type.containsNull)
     return data_type
 
 
-def infer_json_schema(df: DataFrame, column: str) -> T.StructType:
+def infer_json_schema(df: DataFrame, column: str, fractions: str = "double") -> T.StructType:
     """The schema that covers every record of a JSON text column.
 
     A distributed aggregate over all rows; only the schema itself reaches the driver. Text
-    that is not JSON is skipped. Whole numbers become ``bigint``, other numbers ``double``.
+    that is not a JSON object is skipped. Whole numbers become ``bigint``, or a decimal that
+    holds all their digits; numbers with a fraction ``double``, or with ``fractions="decimal"`` a
+    decimal too.
     """
-    found = df.select(col_of(column).alias("j")).agg(
-        F.expr("schema_of_variant_agg(try_parse_json(j))").alias("s")
-    )
-    text = found.first()["s"]
-    if text is None or not text.startswith("OBJECT<"):
-        raise ValueError(f"column {column} holds no common JSON object, found {text}")
-    return _struct(_as_ddl(text))
+    if fractions not in ("double", "decimal"):
+        raise ValueError("fractions must be 'double' or 'decimal'")
+    records = df.select(F.try_parse_json(col_of(column)).alias("v"))
+    records = records.where("schema_of_variant(v) like 'OBJECT<%'")
+    found = records.agg(F.expr("schema_of_variant_agg(v)").alias("s")).first()["s"]
+    if found is None or not found.startswith("OBJECT<"):
+        raise ValueError(f"column {column} holds no JSON object")
+    return _struct(_as_ddl(found, fractions))
 
 
 # Parts of a variant schema: quoted names are copied, type words are mapped.
-_VARIANT_PART = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bDECIMAL\(\d+,\s*\d+\)|\bVOID\b(?!:)")
+_VARIANT_PART = re.compile(
+    r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bDECIMAL\(\d+,\s*(?P<scale>\d+)\)|\bVOID\b(?!:)"
+)
 
 
-def _as_ddl(variant_schema: str) -> str:
+def _as_ddl(variant_schema: str, fractions: str) -> str:
     def replace(match: re.Match) -> str:
         part = match.group(0)
         if part == "OBJECT":
             return "STRUCT"
         if part == "VOID":
             return "STRING"
-        return "DOUBLE" if part.startswith("DECIMAL") else part
+        if match["scale"] and match["scale"] != "0" and fractions == "double":
+            return "DOUBLE"
+        return part
 
     return _VARIANT_PART.sub(replace, variant_schema)
 

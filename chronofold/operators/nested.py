@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from chronofold.functions import col_of
+from chronofold.functions import at_path, col_of
 
 ITEM = "__item"
 
@@ -23,7 +23,8 @@ def flatten_records(
     """One row per element of ``array``.
 
     ``parents`` maps output names to paths in the record (``"customer.name"``), ``items``
-    maps output names to fields of the element. With ``outer`` a record whose array is null
+    maps output names to paths in the element; the empty path is the element itself, which is
+    how arrays of plain values are flattened. Names that hold a dot go in back-ticks. With ``outer`` a record whose array is null
     or empty stays as one row of null item columns; without it the record is left out.
     ``position`` names an extra column with the element's index: it is null only for such
     kept records, which tells them from an element that is itself null.
@@ -32,17 +33,18 @@ def flatten_records(
     filters on item columns anyway should pass ``outer=False``, so that Spark can skip empty
     arrays before the explode.
     """
+    values = at_path(array)
     if position:
-        generator = F.posexplode_outer(array) if outer else F.posexplode(array)
+        generator = F.posexplode_outer(values) if outer else F.posexplode(values)
         exploded = generator.alias(position, ITEM)
     else:
-        generator = F.explode_outer(array) if outer else F.explode(array)
+        generator = F.explode_outer(values) if outer else F.explode(values)
         exploded = generator.alias(ITEM)
-    rows = df.select(*[F.col(path).alias(name) for name, path in parents.items()], exploded)
+    rows = df.select(*[at_path(path).alias(name) for name, path in parents.items()], exploded)
     return rows.select(
         *[col_of(name) for name in parents],
         *([col_of(position)] if position else []),
-        *[F.col(ITEM).getField(field).alias(name) for name, field in items.items()],
+        *[at_path(path, ITEM).alias(name) for name, path in items.items()],
     )
 
 

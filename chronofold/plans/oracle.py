@@ -332,6 +332,13 @@ select event_id, event_type, value,
 from events qualify rn <= 1500
 """,
 }
+ORACLE |= {
+    "nested_explode_scalars": """
+select doc_id, cast(unnest(range(len(l))) as integer) as n, unnest(l) as line
+from (select doc_id, string_split(text, chr(10)) as l from documents)
+""",
+    "json_nested_items": "select p_brand as brand, p_partkey as id, p_size as size from part",
+}
 AGAIN = CUSTOMERS_AGAIN + """
 , classified as (
   select *, case when id in (select id from past_only) then 'closed_only'

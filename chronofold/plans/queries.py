@@ -105,6 +105,30 @@ def json_parse_explode(spark, folder):
     )
 
 
+@query
+def nested_explode_scalars(spark, folder):
+    """The lines of every document, as an array of plain strings."""
+    lines = tables.load(spark, folder, "documents").selectExpr(
+        "doc_id", "split(text, '\n') as lines"
+    )
+    return nested.flatten_records(lines, "lines", {"doc_id": "doc_id"}, {"line": ""}, position="n")
+
+
+@query
+def json_nested_items(spark, folder):
+    """Structs inside the elements of an array in JSON text, reached by paths."""
+    parts = tables.load(spark, folder, "part").selectExpr(
+        "to_json(named_struct('brand', p_brand, 'made', array("
+        "named_struct('id', p_partkey, 'is', named_struct('kind', p_type, 'size', p_size))))) as raw"
+    )
+    schema = (
+        "brand string, made array<struct<id: bigint, is: struct<kind: string, size: int>>>"
+    )
+    return jsontext.flatten_json(
+        parts, "raw", schema, "made", {"brand": "brand"}, {"id": "id", "size": "is.size"}
+    )
+
+
 @query
 def json_event_props(spark, folder):
     events = tables.load(spark, folder, "events")

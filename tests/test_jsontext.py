@@ -10,34 +10,47 @@ from chronofold.operators.jsontext import (
 )
 from chronofold.operators.nested import flatten_records
 from helpers import plan, rows
-from test_nested import ITEMS, ORDERS, PARENTS, orders  # noqa: F401
+from test_nested import ITEMS, PARENTS, TRIPS, trips  # noqa: F401
 
-SCHEMA = ORDERS.replace(" not null", "")
+SCHEMA = TRIPS.replace(" not null", "")
 
 
 def texts(spark, *values):
     return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, raw string")
 
 
-def test_two_messages_three_rows(spark):
+def test_messages_to_rows(spark):
     df = texts(
         spark,
-        '{"order_id": 1, "customer": {"name": "Ines", "city": "Porto"}, '
-        '"items": [{"product": "desk", "qty": 1, "price": 300}]}',
-        '{"order_id": 2, "customer": {"name": "Jon", "city": "Bergen"}, "items": '
-        '[{"product": "lamp", "qty": 3, "price": 8}, {"product": "rug", "qty": 5, "price": 2}]}',
+        '{"trip": 3, "stops": [{"place": "mill", "boxes": 2}, {"place": "inn"}, {"minutes": 8, "x": 1}]}',
+        '{"stops": [], "driver": {"depot": "quay"}}',
+        '{"trip": 5, "driver": {"badge": "b-9", "depot": null}, "stops": [{"minutes": 30, "boxes": 4, "place": "port"}]}',
+        '{"trip": 6, "driver": null}',
     )
-    assert rows(flatten_json(df, "raw", SCHEMA, "items", PARENTS, ITEMS)) == {
-        (1, "Ines", "Porto", "desk", 1, 300): 1,
-        (2, "Jon", "Bergen", "lamp", 3, 8): 1,
-        (2, "Jon", "Bergen", "rug", 5, 2): 1,
+    assert rows(flatten_json(df, "raw", SCHEMA, "stops", PARENTS, ITEMS)) == {
+        (3, None, None, "mill", 2, None): 1,
+        (3, None, None, "inn", None, None): 1,
+        (3, None, None, None, None, 8): 1,
+        (None, None, "quay", None, None, None): 1,
+        (5, "b-9", None, "port", 4, 30): 1,
+        (6, None, None, None, None, None): 1,
     }
 
 
-def test_round_trip(spark, orders):  # noqa: F811
-    as_text = orders.select(F.to_json(F.struct("order_id", "customer", "items")).alias("raw"))
-    parsed = flatten_json(as_text, "raw", SCHEMA, "items", PARENTS, ITEMS)
-    assert rows(parsed) == rows(flatten_records(orders, "items", PARENTS, ITEMS))
+@pytest.mark.parametrize("mode", ["PERMISSIVE", "FAILFAST"])
+def test_plain_and_deep_elements_and_names_with_dots(spark, mode):
+    df = texts(spark, '{"w": ["x", "y"], "s": [{"p": {"n": 1, "m": 2}, "a.b": 3}]}')
+    schema = "w array<string>, s array<struct<p: struct<n: int, m: int>, `a.b`: int>>"
+    words = flatten_json(df, "raw", schema, "w", {}, {"word": ""}, mode=mode)
+    assert rows(words) == {("x",): 1, ("y",): 1}
+    deep = flatten_json(df, "raw", schema, "s", {"w": "w"}, {"n": "p.n", "ab": "`a.b`"}, mode=mode)
+    assert [(r.n, r.ab) for r in deep.collect()] == [(1, 3)]
+
+
+def test_round_trip(spark, trips):  # noqa: F811
+    as_text = trips.select(F.to_json(F.struct("trip", "driver", "stops")).alias("raw"))
+    parsed = flatten_json(as_text, "raw", SCHEMA, "stops", PARENTS, ITEMS)
+    assert rows(parsed) == rows(flatten_records(trips, "stops", PARENTS, ITEMS))
 
 
 @pytest.mark.parametrize(
@@ -95,21 +108,34 @@ def test_inferred_schema(spark):
     assert parsed[1].a == 2.5 and parsed[1].ok is True
 
 
-def test_inference_needs_objects(spark):
-    with pytest.raises(ValueError, match="no common JSON object"):
-        infer_json_schema(texts(spark, "no json"), "raw")
-
-
-def test_only_named_fields_are_parsed(spark, orders):  # noqa: F811
-    as_text = orders.select(F.to_json(F.struct("order_id", "customer", "items")).alias("raw"))
-    parents, items = {"city": "Customer.city"}, {"product": "product", "price": "price"}
-    flat = flatten_json(as_text, "raw", SCHEMA, "items", parents, items)
-    assert rows(flat) == rows(flatten_records(orders, "items", parents, items))
+def test_inference_keeps_digits(spark):
+    df = texts(spark, '{"id": 12345678901234567890, "f": 1.25}', '{"id": 7, "f": 100.5}')
+    schema = infer_json_schema(df, "raw")
+    assert schema["id"].dataType == T.DecimalType(20, 0) and schema["f"].dataType == T.DoubleType()
+    assert [str(r.id) for r in parse_json(df, "raw", schema).collect()] == ["12345678901234567890", "7"]
+    exact = infer_json_schema(df, "raw", fractions="decimal")
+    assert exact["f"].dataType == T.DecimalType(5, 2)
+    with pytest.raises(ValueError, match="fractions"):
+        infer_json_schema(df, "raw", fractions="float")
+
+
+def test_inference_skips_what_is_no_object(spark):
+    df = texts(spark, "[1, 2]", '{"a": 1}', "7", "no json", None, '"text"')
+    assert infer_json_schema(df, "raw").simpleString() == "struct<a:bigint>"
+    with pytest.raises(ValueError, match="no JSON object"):
+        infer_json_schema(texts(spark, "no json", "[1]"), "raw")
+
+
+def test_only_named_fields_are_parsed(spark, trips):  # noqa: F811
+    as_text = trips.select(F.to_json(F.struct("trip", "driver", "stops")).alias("raw"))
+    parents, items = {"depot": "Driver.depot"}, {"place": "place", "minutes": "minutes"}
+    flat = flatten_json(as_text, "raw", SCHEMA, "stops", parents, items)
+    assert rows(flat) == rows(flatten_records(trips, "stops", parents, items))
     text = plan(flat)
-    assert "StructField(city," in text
+    assert "StructField(depot," in text
     parsed = text[text.index("from_json(") : text.index("to_json") if "to_json" in text else None]
-    assert "StructField(name," not in parsed.split("PERMISSIVE")[0]
-    assert "StructField(qty," not in parsed.split("PERMISSIVE")[0]
+    assert "StructField(badge," not in parsed.split("PERMISSIVE")[0]
+    assert "StructField(boxes," not in parsed.split("PERMISSIVE")[0]
 
 
 def test_narrowed_schema():
@@ -124,7 +150,7 @@ def test_narrowed_schema():
     assert narrowed(schema, ["b", "b.c", "g"]).simpleString() == (
         "struct<b:struct<c:int,d:struct<e:int,f:int>>,g:array<struct<h:int,i:int>>>"
     )
-    assert narrowed(schema, ["`b`.c"]) == schema
+    assert narrowed(schema, ["`b`.c"]).simpleString() == "struct<b:struct<c:int>>"
 
 
 def test_failfast_still_checks_fields_that_are_not_used(spark):
