@@ -18,6 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from chronofold.plans.queries import QUERIES  # noqa: E402
 from chronofold.session import get_session  # noqa: E402
+from chronofold.sources.scratch import end_run  # noqa: E402
 
 HEADLINE = [
     "nested_explode_outer",
@@ -44,6 +45,9 @@ HEADLINE = [
     "skew_salted_join",
     "skew_broadcast_join",
     "skew_aqe_join",
+    "skew_both_hot",
+    "merge_upsert_shuffled",
+    "nested_explode_scalars",
     "publish_roundtrip",
     "dimension_commit",
 ]
@@ -73,6 +77,7 @@ def main() -> None:
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
         times[name] = round(statistics.median(taken[1:]), 3)
+    end_run(spark)
     spark.stop()
     print(
         json.dumps(

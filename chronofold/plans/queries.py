@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,7 +11,7 @@ from chronofold.operators import dedup, jsontext, merge, nested, scd2, skew, top
 from chronofold.plans import inputs
 from chronofold.plans.inputs import AS_OF, CUSTOMER_DIM, ORDER_DIM
 from chronofold.sources import dimension, tables
-from chronofold.sources.scratch import freeze, new_folder
+from chronofold.sources.scratch import freeze, new_folder, new_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -315,7 +314,7 @@ def scd2_missing_dates(spark, folder):
 def append_history(spark, folder):
     """Appends are listed with their rows, and versions before them stay as they were."""
     target, batch = customer_case(spark, folder)
-    table = f"{scratch_schema(spark)}.customer_list"
+    table = f"{new_schema(spark, "chronofold")}.customer_list"
     tables.publish(target.select("id", "name", "city"), table)
     tables.append_rows(batch, table)
     tables.append_rows(target, table)
@@ -408,19 +407,11 @@ def scd2_expire_shuffled(spark, folder):
 # Tables
 
 
-def scratch_schema(spark: SparkSession) -> str:
-    """A schema of its own in the shared folder, so that runs do not meet."""
-    folder = new_folder(spark, "tables")
-    schema = "chronofold_" + folder.rsplit("-", 1)[1]
-    tables.prepare_schema(spark, schema, location=folder)
-    return schema
-
-
 @query
 def publish_roundtrip(spark, folder):
     """Publish a dimension, then replace it by a plan that reads it."""
     target, batch = customer_case(spark, folder)
-    table = f"{scratch_schema(spark)}.dim_customer"
+    table = f"{new_schema(spark, "chronofold")}.dim_customer"
     tables.publish(target, table)
     tables.publish(scd2.scd2_apply(spark.table(table), batch, CUSTOMER_DIM, AS_OF), table)
     return spark.table(table)
@@ -429,7 +420,7 @@ def publish_roundtrip(spark, folder):
 @query
 def publish_flat_items(spark, folder):
     """Flatten nested messages into a table."""
-    table = f"{scratch_schema(spark)}.fact_items"
+    table = f"{new_schema(spark, "chronofold")}.fact_items"
     tables.publish(json_parse_explode(spark, folder), table)
     return spark.table(table)
 
@@ -438,14 +429,14 @@ def publish_flat_items(spark, folder):
 def append_by_name(spark, folder):
     """Append rows whose columns come in another order."""
     target, batch = customer_case(spark, folder)
-    table = f"{scratch_schema(spark)}.customer_list"
+    table = f"{new_schema(spark, "chronofold")}.customer_list"
     tables.publish(target.select("id", "name", "city"), table)
     tables.append_rows(batch.select("city", "id", "name"), table)
     return spark.table(table)
 
 
 def committed_orders(spark: SparkSession, folder: str) -> str:
-    table = f"{scratch_schema(spark)}.dim_order"
+    table = f"{new_schema(spark, "chronofold")}.dim_order"
     dimension.create_dimension(inputs.order_dimension(spark, folder), table, ORDER_DIM)
     dimension.commit_dimension(spark, table, inputs.order_feed(spark, folder), ORDER_DIM, AS_OF)
     return table
@@ -470,7 +461,7 @@ def dimension_history(spark, folder):
 def frozen_changes(spark, folder):
     """A change set stays as it was when the table it came from changes."""
     target, batch = customer_case(spark, folder)
-    table = f"{scratch_schema(spark)}.dim_customer"
+    table = f"{new_schema(spark, "chronofold")}.dim_customer"
     tables.publish(target, table)
     current = spark.table(table)
     changes = freeze(scd2.scd2_changed(current, batch, CUSTOMER_DIM))

@@ -1,11 +1,9 @@
-"""Session settings shared by the command line, the tests and the bench."""
+"""Session settings shared by the tests and the bench."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,11 +13,6 @@ SETTINGS = {
 }
 
 
-def shuffle_partitions_for(shuffled_bytes: int, floor: int = 200) -> int:
-    """Partitions that keep one shuffle block near 128 MB; AQE merges what turns out smaller."""
-    return max(floor, -(-shuffled_bytes // TARGET_PARTITION_BYTES))
-
-
 def get_session(
     app: str = "chronofold",
     master: str | None = None,

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -224,8 +225,23 @@ def test_shared_folder_on_a_cluster_is_never_local():
     assert scratch.shared_folder(stub_session(None, "hdfs:/y", "yarn")) == "hdfs:/y"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_folder(stub_session(None, None, "yarn"))
-    local = stub_session(None, None, "local[2]")
-    assert scratch.shared_folder(local) == scratch.shared_folder(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(stub_session(None, None, "local-cluster[2,1,1024]"))
+    for master in ("local", "local[2]", "local[*,4]"):
+        local = stub_session(None, None, master)
+        assert scratch.shared_folder(local) == scratch.shared_folder(local)
+
+
+def test_a_run_leaves_nothing(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_RUNS", {})
+    schema = scratch.new_schema(spark, "t")
+    tables.publish(numbers(spark, 1), f"{schema}.numbers")
+    frozen = scratch.freeze(numbers(spark, 1, 2))
+    folder = scratch._run_of(spark)["folder"].removeprefix("file:")
+    assert frozen.count() == 2 and Path(folder).exists()
+    scratch.end_run(spark)
+    assert not Path(folder).exists() and not spark.catalog.databaseExists(schema)
+    scratch.end_run(spark)
 
 
 def test_dimension_commits(spark, schema, target):  # noqa: F811
