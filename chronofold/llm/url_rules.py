@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from chronofold.functions import col_of
 from chronofold.operators.sizing import measure
-from chronofold.sources.scratch import new_folder
+from chronofold.sources.scratch import shared_folder
 
 # Rules up to this size are sent to the executors as files; beyond it they are joined.
 FILE_BYTES = 256 * 1024 * 1024
@@ -56,9 +56,11 @@ def write_arrays(rules: Sequence[tuple[str, str, str]], folder: Path) -> None:
 def send_arrays(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> str:
     """Put the files into the shared folder, for every executor to fetch; returns their label.
 
-    An executor that is added or replaced later fetches them from there too.
+    An executor that is added or replaced later fetches them from there too, for as long as
+    the application lasts: so they don't lie in the run's folder, which may go before.
     """
-    shared, label = new_folder(spark, "url-rules"), uuid.uuid4().hex
+    label = uuid.uuid4().hex
+    shared = f"{shared_folder(spark).rstrip('/')}/url-rules-{label}"
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(shared)
     system = target.getFileSystem(conf)
