@@ -45,9 +45,6 @@ HEADLINE = [
     "skew_salted_join",
     "skew_broadcast_join",
     "skew_aqe_join",
-    "skew_both_hot",
-    "merge_upsert_shuffled",
-    "nested_explode_scalars",
     "publish_roundtrip",
     "dimension_commit",
 ]
