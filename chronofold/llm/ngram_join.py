@@ -6,8 +6,8 @@ similarity of them on average), and a set goes down each branch named by its val
 asked for stay together on some path with a known probability; runs are repeated until the chance
 to lose a pair is below ``1 - recall``. Buckets of at most ``SMALL`` sets are compared pair by pair. A bucket that
 stays large is dense, as its sets resemble one another: there each set is compared with the ones
-nearest to the bucket's most common signature. Pairs that look similar enough by signature are
-then verified on the shingles themselves.
+nearest to the bucket's most common signature, and with more of them if none is similar. Pairs
+that look similar enough by signature are then verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from chronofold.functions import col_of
+from chronofold.llm.batches import small_batches
 from chronofold.llm.components import components
 from chronofold.llm.words import SPACED, U, Words, mix, slices, text_bytes, words_of
 from chronofold.operators.sizing import broadcast_if, measure
@@ -34,10 +35,14 @@ T = 64
 SMALL = 24
 LEVELS = 3
 # Sets of a dense bucket that all others are compared with, and those that make its signature.
-PIVOTS = 3
+PIVOTS = 2
+# The same for sets that none of the pivots is similar to.
+RING = 64
 VOTERS = 128
 # Standard errors by which an estimate may fall short of the similarity asked for.
-SLACK = 3.5
+SLACK = 5
+# Ids and keys up to this size are broadcast.
+SEND_BYTES = 16 * 1024 * 1024
 SEED = U(0x1F83D9ABFB41BD6B)
 
 _FACTOR = mix(np.arange(1, T + 1, dtype=U) * SEED) | U(1)
@@ -216,14 +221,10 @@ def pairs_in_buckets(records: DataFrame, similarity: float) -> DataFrame:
     return ordered.mapInArrow(compare, "a bigint, b bigint")
 
 
-def pairs_with_pivots(records: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of a node and a pivot of its dense bucket that look similar by signature.
-
-    Pivots are the nodes nearest to the bucket's most common signature, which a bounded
-    number of nodes, picked by hash, vote for. All nodes of the bucket are compared with them.
-    """
-    least = math.ceil(least_estimate(similarity) * T)
-    records = records.withColumn("h", F.xxhash64("node", "path"))
+def rated_by_centre(records: DataFrame) -> DataFrame:
+    """The records of dense buckets with ``near``, how much each agrees with its bucket's most
+    common signature, which a bounded number of nodes, picked by hash, vote for."""
+    records = records.select("path", "node", "sig", "size").withColumn("h", F.xxhash64("node", "path"))
     voters = top_rows(records, VOTERS, ["path"], {"h": "asc", "node": "asc"})
     voters = voters.groupBy("path").agg(F.collect_list("sig").alias("sigs"))
 
@@ -247,16 +248,23 @@ def pairs_with_pivots(records: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             sigs, centre = matrix(batch.column(2), len(batch)), matrix(batch.column(3), len(batch))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array((sigs == centre).sum(axis=1))], names=["path", "node", "sig", "near"]
+                [*batch.columns[:3], *batch.columns[4:], pa.array((sigs == centre).sum(axis=1))],
+                names=["path", "node", "sig", "size", "h", "near"],
             )
 
     rated = (
         records.join(centres, "path")
-        .select("path", "node", "sig", "centre")
-        .mapInArrow(near, "path bigint, node bigint, sig binary, near bigint")
+        .select("path", "node", "sig", "centre", "size", "h")
+        .mapInArrow(near, "path bigint, node bigint, sig binary, size bigint, h bigint, near bigint")
     )
-    rated = freeze(rated)
-    pivots = top_rows(rated, PIVOTS, ["path"], {"near": "desc", "node": "asc"})
+    return freeze(rated)
+
+
+def pairs_with_nearest(rated: DataFrame, some: DataFrame, n: int, similarity: float) -> DataFrame:
+    """Pairs of ``some`` records of dense buckets and the ``n`` nodes of the bucket nearest to its
+    centre, where they look similar by signature. Equally near nodes take turns: a hash of node and bucket decides."""
+    least = math.ceil(least_estimate(similarity) * T)
+    pivots = top_rows(rated, n, ["path"], {"near": "desc", "h": "asc", "node": "asc"})
     pivots = pivots.groupBy("path").agg(F.collect_list(F.struct("node", "sig")).alias("pivots"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,44 +274,55 @@ def pairs_with_pivots(records: DataFrame, similarity: float) -> DataFrame:
             flat, ends = lists.flatten(), np.diff(lists.offsets.to_numpy())
             others, theirs = flat.field("node").to_numpy(), matrix(flat.field("sig"), len(flat))
             owner = np.repeat(np.arange(len(ids)), ends)
-            same = (sigs[owner] == theirs).sum(axis=1) >= least
-            a, b = ids[owner[same]], others[same]
+            like = np.concatenate(
+                [np.zeros(0, bool)]
+                + [(sigs[owner[i : i + 65536]] == theirs[i : i + 65536]).sum(axis=1) >= least for i in range(0, len(owner), 65536)]
+            )
+            a, b = ids[owner[like]], others[like]
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             both = both[:, both[0] != both[1]]
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
-    met = rated.join(pivots, "path").select("node", "sig", "pivots")
+    met = some.join(pivots, "path").select("node", "sig", "pivots")
     return met.mapInArrow(compare, "a bigint, b bigint")
 
 
-def candidates(nodes: DataFrame, similarity: float, runs: int) -> DataFrame:
-    """Pairs that may be similar, from all runs; each once."""
+def candidates(nodes: DataFrame, similarity: float, runs: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs that may be similar, from all runs, each once; and the records of dense buckets."""
     sigs = nodes.select("node", "sig")
-    small = measure(sigs).fits()
     found, level = None, 1
     records = freeze(first_level(nodes, runs))
     while True:
         sizes = records.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        full = freeze(records.join(sizes, "path").join(broadcast_if(small, sigs), "node"))
-        last = level == LEVELS
-        parts = [pairs_in_buckets(full.where(F.col("size") <= SMALL), similarity)]
+        full = freeze(records.join(sizes, "path").join(sigs, "node"))
+        part = pairs_in_buckets(full.where(F.col("size") <= SMALL), similarity)
+        found = part if found is None else found.union(part)
         dense = full.where(F.col("size") > SMALL)
-        more = not dense.isEmpty()
-        if more and last:
-            parts.append(pairs_with_pivots(dense, similarity))
-        for part in parts:
-            found = part if found is None else found.union(part)
-        if last or not more:
-            return found.distinct()
+        if dense.isEmpty():
+            return found.distinct(), None
+        if level == LEVELS:
+            rated = rated_by_centre(dense)
+            return found.union(pairs_with_nearest(rated, rated, PIVOTS, similarity)).distinct(), rated
         records = freeze(next_level(dense))
         level += 1
 
 
+def pairs_of_the_rest(rated: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """More pairs for the nodes of dense buckets that no link has reached: each with ``RING`` nodes
+    of the largest bucket that it is in."""
+    linked = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    best = F.max_by(F.struct("path", "sig"), F.struct("size", "near", "path")).alias("best")
+    rest = rated.join(linked, "node", "left_anti").groupBy("node").agg(best)
+    rest = freeze(rest.select("node", "best.path", "best.sig"))
+    paths = rest.select("path").distinct()
+    return pairs_with_nearest(rated.join(paths, "path", "left_semi"), rest, RING, similarity).distinct()
+
+
 def sets_of(df: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
     """The shingles of the wanted nodes (node, h1, h2, key), as sorted 64-bit hashes."""
     keys = wanted.select(F.col("key").alias("k")).distinct()
     slim = df.select(col_of(key).alias("key"), col_of(text).alias("t"))
-    picked = slim.join(broadcast_if(measure(keys).fits(), keys), slim["key"].eqNullSafe(keys["k"]), "left_semi")
+    picked = slim.join(broadcast_if(measure(keys).fits(SEND_BYTES), keys), slim["key"].eqNullSafe(keys["k"]), "left_semi")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +337,7 @@ def sets_of(df: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
 
     sets = picked.select("t").mapInArrow(gather, "h1 bigint, h2 bigint, shingles binary")
     ids = wanted.select("node", "h1", "h2")
-    sets = sets.join(broadcast_if(measure(ids).fits(), ids), ["h1", "h2"]).select("node", "shingles")
+    sets = sets.join(broadcast_if(measure(ids).fits(SEND_BYTES), ids), ["h1", "h2"]).select("node", "shingles")
     return sets.groupBy("node").agg(F.any_value("shingles").alias("shingles"))
 
 
@@ -344,6 +363,17 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(check, "a bigint, b bigint, similarity double").where(F.col("similarity") >= similarity)
 
 
+def verified_links(
+    df: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, key: str, similarity: float
+) -> DataFrame:
+    """The pairs of nodes that are similar, by the shingles of their texts."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    named = nodes.select("node", "h1", "h2", "key")
+    wanted = named.join(broadcast_if(measure(ends).fits(SEND_BYTES), ends), "node")
+    with small_batches(df.sparkSession):
+        return freeze(verified(pairs, freeze(sets_of(df, text, key, wanted)), similarity))
+
+
 def similarity_join(
     df: DataFrame,
     text: str = "text",
@@ -358,16 +388,17 @@ def similarity_join(
     ``similarity``. Members give each row's ``key`` and ``node``. Texts are compared as words
     between white space with A-Z in lower case. Texts without words are equal to each other and to nothing else.
     """
-    rows = freeze(sketched(df, text, key))
+    with small_batches(df.sparkSession):
+        rows = freeze(sketched(df, text, key))
     nodes = rows.groupBy("h1", "h2").agg(
         F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")
     )
     nodes = freeze(nodes.withColumn("node", F.monotonically_increasing_id()))
-    pairs = freeze(candidates(nodes.where("n > 0"), similarity, runs_for(recall, similarity)))
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    named = nodes.select("node", "h1", "h2", "key")
-    wanted = named.join(broadcast_if(measure(ends).fits(), ends), "node")
-    links = freeze(verified(pairs, freeze(sets_of(df, text, key, wanted)), similarity))
+    pairs, rated = candidates(nodes.where("n > 0"), similarity, runs_for(recall, similarity))
+    links = verified_links(df, nodes, freeze(pairs), text, key, similarity)
+    if rated is not None:
+        more = freeze(pairs_of_the_rest(rated, links, similarity))
+        links = freeze(links.union(verified_links(df, nodes, more, text, key, similarity)).dropDuplicates(["a", "b"]))
     members = rows.select("key", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
     return nodes.drop("sig"), links, members.select("key", "node")
 
