@@ -33,7 +33,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     classes = freeze(ngram_join.near_duplicates(marked, key="_key").select("_key", "class_id"))
     first = classes.where(F.col("_key") == F.col("class_id")).groupBy("_key").agg(F.count("*").alias("n"))
     first = freeze(first.select(F.col("_key.a").alias("_a"), F.col("_key.b").alias("_b"), "n"))
-    small = measure(first).fits()
+    small = measure(first).fits(ngram_join.SEND_BYTES)
     kept = marked.join(broadcast_if(small, first), ["_a", "_b"])
     again = kept.where("n > 1").dropDuplicates(["_a", "_b"])
     return kept.where("n = 1").union(again).select(*row)
