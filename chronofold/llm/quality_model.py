@@ -18,7 +18,7 @@ from chronofold.functions import col_of
 from chronofold.llm.words import SPACED, U, mix, slices, text_bytes, words_of
 
 # Labelled texts that the model learns from at most.
-SAMPLE = 4_000
+SAMPLE = 2_500
 BITS = 17
 GROUPS = 3
 DIM = 8
@@ -179,9 +179,10 @@ def fit(
             )
 
     got = rows.select("_key", "_text", "_label").mapInArrow(bags, "k string, y int, i binary, c binary").collect()
-    got.sort(key=lambda r: (r["k"], r["i"]))
+    got.sort(key=lambda r: (r["k"], r["i"]), reverse=True)
     learned = []
-    for r in got[:sample]:
+    while got and len(learned) < sample:
+        r = got.pop()
         ids = np.frombuffer(r["i"], np.int32)
         width = np.uint16 if len(r["c"]) == 2 * len(ids) else np.int32
         learned.append((ids, np.frombuffer(r["c"], width), r["y"]))
