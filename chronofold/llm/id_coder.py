@@ -200,7 +200,7 @@ def encode(ids: np.ndarray) -> bytes:
         raise ValueError(f"ids must lie between 0 and {MOST_ID}")
     out = [struct.pack("<I", -(-len(ids) // BLOCK))]
     for i in range(0, len(ids), LANES * BLOCK):
-        out.append(_encode(np.asarray(ids[i : i + LANES * BLOCK], np.int64)))
+        out.append(_encode(np.asarray(ids[i : i + LANES * BLOCK], np.int32)))
     return b"".join(out)
 
 
@@ -257,7 +257,7 @@ def decode(raw: bytes) -> np.ndarray:
     if at != len(raw) or any(len(code) < 8 for _, _, code in blocks):
         raise ValueError("the coded ids are cut short")
     found = [_decode(blocks[i : i + LANES]) for i in range(0, n, LANES)]
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
+    return np.concatenate(found) if found else np.zeros(0, np.int32)
 
 
 def _decode(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
@@ -300,7 +300,7 @@ def _decode(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
         models.learn(n, x, p1 == x, p2 == x, p2)
     out = []
     for k, (length, crc, _) in enumerate(blocks):
-        ids = grid[:length, k].astype(np.int64)
+        ids = np.ascontiguousarray(grid[:length, k])
         if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
             raise ValueError(f"checksum of block {k} differs")
         out.append(ids)

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chronofold.functions import col_of
 from chronofold.llm import id_coder
+from chronofold.llm.batches import small_batches
 from chronofold.sources.scratch import freeze, new_folder
 
 MAGIC = b"TOKR0001"
 END_ID = 0
 # Characters that are encoded at once: the tokenizer takes about a hundred bytes for an id.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 class Encoder:
@@ -108,7 +109,7 @@ def read_file(path: str) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
         keys = np.frombuffer(table, "<i8", n)
         known = np.frombuffer(table, np.uint8, n, 8 * n)
         counts = np.frombuffer(table, "<i8", n, 9 * n)
-        at, done, held = 8, 0, np.zeros(0, np.int64)
+        at, done, held = 8, 0, np.zeros(0, np.int32)
         while True:
             (size,) = struct.unpack("<Q", file.read_at(8, at))
             if not size:
@@ -119,7 +120,7 @@ def read_file(path: str) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
             used = int(counts[done : done + ready].sum())
             names = [int(k) if ok else None for k, ok in zip(keys[done : done + ready], known[done : done + ready])]
             yield names, held[:used], counts[done : done + ready]
-            held, done = held[used:], done + ready
+            held, done = held[used:].copy(), done + ready
         if done < n or len(held):
             raise ValueError(f"{path} holds other ids than its documents have")
 
@@ -155,7 +156,8 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, text: str = "text",
                 {"path": [path], "first": pa.array([first], pa.int64()), "docs": [docs], "tokens": [tokens]}
             )
 
-    files = freeze(slim.mapInArrow(write, "path string, first bigint, docs bigint, tokens bigint"))
+    with small_batches(df.sparkSession):
+        files = freeze(slim.mapInArrow(write, "path string, first bigint, docs bigint, tokens bigint"))
     # a row for each file
     order = Window.orderBy(F.col("first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     number = F.row_number().over(Window.orderBy(F.col("first").asc_nulls_first())) - 1
@@ -173,7 +175,7 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, ids: bool = True) -> D
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for keys, found, counts in read_file(path):
                     ends = np.cumsum(counts)
-                    raw = found.astype("<u4").tobytes()
+                    raw = memoryview(found.astype("<u4", copy=False)).cast("B")
                     sums = [zlib.crc32(raw[4 * (e - c) : 4 * e]) for c, e in zip(counts.tolist(), ends.tolist())]
                     columns = {
                         "key": pa.array(keys, pa.int64()),
@@ -183,7 +185,7 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, ids: bool = True) -> D
                     }
                     if ids:
                         columns["ids"] = pa.ListArray.from_arrays(
-                            pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(found.astype(np.int32))
+                            pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(found)
                         )
                     yield pa.RecordBatch.from_pydict(columns)
                     start += int(ends[-1]) if len(ends) else 0

@@ -61,7 +61,7 @@ def test_ids_of_texts(tokenizer):
     whole = [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
     assert counts.tolist() == [len(x) for x in whole]
     assert ids.tolist() == [i for x in whole for i in x]
-    assert [len(r) for r in token_files.chunks(["a" * 600_000] * 3 + ["b" * 2_000_000, ""])] == [1, 1, 1, 1, 1]
+    assert [len(r) for r in token_files.chunks(["a" * 200_000] * 3 + ["b" * 500_000, ""])] == [1, 1, 1, 1, 1]
 
 
 def documents(rows, tokenizer):
