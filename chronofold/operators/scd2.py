@@ -213,8 +213,10 @@ def _needed_end(dim: Dimension, reopen_closed: bool, relation: str | None = None
 
 def _past(closed: DataFrame, dim: Dimension, reopen_closed: bool) -> DataFrame:
     """The keys of closed versions and the last day of each; combined in the map tasks."""
-    last = F.expr(f"max({_needed_end(dim, reopen_closed)}) as __end")
-    return closed.groupBy(*[col_of(k) for k in dim.keys]).agg(last)
+    keys = [col_of(k) for k in dim.keys]
+    if not reopen_closed:
+        return closed.select(*keys).distinct().withColumn("__end", F.lit(None).cast("date"))
+    return closed.groupBy(*keys).agg(F.max(col_of(dim.end)).alias("__end"))
 
 
 def scd2_changed(target, batch, dim, **options) -> DataFrame:
