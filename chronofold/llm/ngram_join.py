@@ -5,9 +5,8 @@ the sets recursively: at each node of the tree some of the ``T`` places are chos
 similarity of them on average), and a set goes down each branch named by its value there. Sets as similar as
 asked for stay together on some path with a known probability; runs are repeated until the chance
 to lose a pair is below ``1 - recall``. Buckets of at most ``SMALL`` sets are compared pair by pair. A bucket that
-stays large is dense, as its sets resemble one another: there each set is compared with the ones
-nearest to the bucket's most common signature, and with more of them if none is similar. Pairs
-that look similar enough by signature are then verified on the shingles themselves.
+stays large is dense, as its sets resemble one another: it is cut into blocks, and every two of its blocks
+are compared in a task of their own. Similar pairs are always verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from chronofold.llm.batches import small_batches
 from chronofold.llm.components import components
 from chronofold.llm.words import SPACED, U, Words, mix, slices, text_bytes, words_of
 from chronofold.operators.sizing import broadcast_if, measure
-from chronofold.operators.topn import top_rows
 from chronofold.sources.scratch import freeze
 
 WIDTH = 5
@@ -34,11 +32,11 @@ RECALL = 0.999
 T = 64
 SMALL = 24
 LEVELS = 3
-# Sets of a dense bucket that all others are compared with, and those that make its signature.
-PIVOTS = 2
-# The same for sets that none of the pivots is similar to.
-RING = 64
-VOTERS = 128
+# Sets and bytes of shingles in a block of a dense bucket, sets that are gathered at once, columns of a matrix.
+ROWS = 3072
+BLOCK_BYTES = 8 * 1024 * 1024
+PIECE = 256
+COLUMNS = 2048
 # Standard errors by which an estimate may fall short of the similarity asked for.
 SLACK = 5
 # Ids and keys up to this size are broadcast.
@@ -221,74 +219,162 @@ def pairs_in_buckets(records: DataFrame, similarity: float) -> DataFrame:
     return ordered.mapInArrow(compare, "a bigint, b bigint")
 
 
-def rated_by_centre(records: DataFrame) -> DataFrame:
-    """The records of dense buckets with ``near``, how much each agrees with its bucket's most
-    common signature, which a bounded number of nodes, picked by hash, vote for."""
-    records = records.select("path", "node", "sig", "size").withColumn("h", F.xxhash64("node", "path"))
-    voters = top_rows(records, VOTERS, ["path"], {"h": "asc", "node": "asc"})
-    voters = voters.groupBy("path").agg(F.collect_list("sig").alias("sigs"))
+def shared_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> tuple:
+    """Shingles that sets of both sides have: how many, and (column, row) of each place where one is, by column."""
+    flat = [np.concatenate(x) if x else np.zeros(0, U) for x in (left, right)]
+    common = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    places = []
+    for sets, values in zip((left, right), flat):
+        rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.searchsorted(common, values)
+        at[at == len(common)] = 0
+        is_common = common[at] == values if len(common) else np.zeros(len(values), bool)
+        at, rows = at[is_common], rows[is_common]
+        order = np.argsort(at, kind="stable")
+        places.append((at[order], rows[order]))
+    return len(common), places[0], places[1]
+
+
+def products(n: int, left: tuple, right: tuple, shape: tuple[int, int]) -> np.ndarray:
+    """For each row of the left and each of the right, in how many of ``n`` columns both have an entry."""
+    out = np.zeros(shape, np.float32)
+    for low in range(0, n, COLUMNS):
+        width = min(COLUMNS, n - low)
+        parts = []
+        for (columns, rows), height in zip((left, right), shape):
+            i, j = np.searchsorted(columns, [low, low + width])
+            part = np.zeros((height, width), np.float32)
+            part[rows[i:j], columns[i:j] - low] = 1
+            parts.append(part)
+        for i in range(0, shape[0], 512):
+            out[i : i + 512] += parts[0][i : i + 512] @ parts[1].T
+    return out
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for sigs in batch.column(1).to_pylist():
-                values = np.sort(np.frombuffer(b"".join(sigs), np.uint32).reshape(-1, T), axis=0)
-                best, common = np.zeros(T, int), values[0].copy()
-                count = np.ones(T, int)
-                for k in range(1, len(values)):
-                    count = np.where(values[k] == values[k - 1], count + 1, 1)
-                    more = count > best
-                    best, common = np.where(more, count, best), np.where(more, values[k], common)
-                out.append(common.astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["path", "centre"])
-
-    centres = voters.mapInArrow(vote, "path bigint, centre binary")
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sigs, centre = matrix(batch.column(2), len(batch)), matrix(batch.column(3), len(batch))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *batch.columns[4:], pa.array((sigs == centre).sum(axis=1))],
-                names=["path", "node", "sig", "size", "h", "near"],
-            )
-
-    rated = (
-        records.join(centres, "path")
-        .select("path", "node", "sig", "centre", "size", "h")
-        .mapInArrow(near, "path bigint, node bigint, sig binary, size bigint, h bigint, near bigint")
+
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Similarity of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    both = int((y[at] == x).sum())
+    return both / (len(x) + len(y) - both)
+
+
+def similar_in_blocks(path: int, left: tuple, right: tuple | None, similarity: float) -> np.ndarray:
+    """Which sets of the left are similar to which of the right, verified on their shingles, as a matrix.
+
+    A side has signatures, sets of shingles and the dense buckets of each set. ``right`` is None to compare the left
+    with itself, each pair once. A pair that meets in several dense buckets counts in the first one only.
+    """
+    sigs, sets, paths = left
+    sigs2, sets2, paths2 = right or left
+    shape = len(sets), len(sets2)
+    before = [[x[: np.searchsorted(x, path)].view(U) for x in p] for p in (paths, paths2)]
+    todo = products(*shared_shingles(*before), shape) == 0
+    if right is None:
+        todo = np.triu(todo, 1)
+    n_todo = np.count_nonzero(todo)
+    if not n_todo:
+        return todo
+    n, *places = shared_shingles(sets, sets2)
+    work = n * shape[0] * shape[1]
+    if work > 2000 * n_todo:
+        # signatures are cheaper than the shingles of all
+        least = math.ceil(least_estimate(similarity) * T)
+        a, b = np.nonzero(todo)
+        for i in range(0, n_todo, 65536):
+            x, y = a[i : i + 65536], b[i : i + 65536]
+            todo[x, y] = (sigs[x] == sigs2[y]).sum(axis=1) >= least
+        n_todo = np.count_nonzero(todo)
+        if work > 300_000 * n_todo:
+            for x, y in zip(*np.nonzero(todo)):
+                todo[x, y] = jaccard(sets[x], sets2[y]) >= similarity
+            return todo
+    both = products(n, *places, shape)
+    sizes, sizes2 = np.array([len(x) for x in sets]), np.array([len(x) for x in sets2])
+    for i in range(0, shape[0], 512):
+        some = both[i : i + 512].astype(float)
+        todo[i : i + 512] &= some / (sizes[i : i + 512, None] + sizes2 - some) >= similarity
+    return todo
+
+
+def spanning(like: np.ndarray, ids: np.ndarray, ids2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that keep together what the matrix of similar pairs joins, fewer than there are nodes."""
+    nodes, at = np.unique(np.concatenate([ids, ids2]), return_inverse=True)
+    mine, theirs = at[: len(ids)], at[len(ids) :]
+    part, a, b = np.arange(len(nodes)), [], []
+    for i in np.flatnonzero(like.any(axis=1)):
+        near = theirs[np.flatnonzero(like[i])]
+        parts, first = np.unique(part[near], return_index=True)
+        for k, j in zip(parts, near[first]):
+            if k != part[mine[i]]:
+                part[part == k] = part[mine[i]]
+                a.append(min(mine[i], j))
+                b.append(max(mine[i], j))
+    return nodes[np.array(a, int)], nodes[np.array(b, int)]
+
+
+def blocks_of(dense: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Blocks of dense buckets, a row for every two blocks of a bucket that are to be compared (path, lo, hi, sides).
+
+    A block has at most about ``ROWS`` sets and ``BLOCK_BYTES`` of shingles. It is gathered in pieces of about ``PIECE``
+    sets, so no task meets a whole bucket.
+    """
+    dense = dense.select("path", "node")
+    sizes = dense.join(nodes.select("node", "n"), "node").groupBy("path").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    parts = F.greatest(F.ceil(F.col("size") / ROWS), F.ceil(F.col("n") * 8 / BLOCK_BYTES)).cast("int")
+    sizes = sizes.select("path", parts.alias("parts"), F.ceil(F.col("size") / (parts * PIECE)).cast("int").alias("pieces"))
+    places = dense.groupBy("node").agg(F.array_sort(F.collect_set("path")).alias("paths"))
+    row = F.struct("node", "sig", "shingles", "paths")
+    pieces = (
+        dense.join(broadcast_if(measure(sizes).fits(SEND_BYTES), sizes), "path")
+        .join(places.join(sets, "node").join(nodes.select("node", "sig"), "node"), "node")
+        .withColumn("block", F.pmod(F.xxhash64("node", "path"), "parts").cast("int"))
+        .withColumn("piece", F.pmod(F.hash("path", "node"), "pieces"))
+        .groupBy("path", "parts", "block", "piece")
+        .agg(F.collect_list(row).alias("rows"))
     )
-    return freeze(rated)
+    met = pieces.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.select("path", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rows")
+    return met.groupBy("path", "lo", "hi").agg(F.collect_list(F.struct("block", "rows")).alias("sides"))
 
 
-def pairs_with_nearest(rated: DataFrame, some: DataFrame, n: int, similarity: float) -> DataFrame:
-    """Pairs of ``some`` records of dense buckets and the ``n`` nodes of the bucket nearest to its
-    centre, where they look similar by signature. Equally near nodes take turns: a hash of node and bucket decides."""
-    least = math.ceil(least_estimate(similarity) * T)
-    pivots = top_rows(rated, n, ["path"], {"near": "desc", "h": "asc", "node": "asc"})
-    pivots = pivots.groupBy("path").agg(F.collect_list(F.struct("node", "sig")).alias("pivots"))
+def links_in_dense(dense: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All sets of each dense bucket compared with one another, block by block: links that span what is similar."""
+
+    def side(pieces: pa.ListArray, wanted: np.ndarray) -> tuple[np.ndarray, tuple]:
+        rows = pa.concat_arrays([pieces[int(k)].values for k in np.flatnonzero(wanted)])
+        sets = [np.frombuffer(x.as_buffer(), U) for x in rows.field("shingles")]
+        paths = [x.values.to_numpy() for x in rows.field("paths")]
+        return rows.field("node").to_numpy(), (matrix(rows.field("sig"), len(rows)), sets, paths)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sigs = batch.column(0).to_numpy(), matrix(batch.column(1), len(batch))
-            lists = batch.column(2)
-            flat, ends = lists.flatten(), np.diff(lists.offsets.to_numpy())
-            others, theirs = flat.field("node").to_numpy(), matrix(flat.field("sig"), len(flat))
-            owner = np.repeat(np.arange(len(ids)), ends)
-            like = np.concatenate(
-                [np.zeros(0, bool)]
-                + [(sigs[owner[i : i + 65536]] == theirs[i : i + 65536]).sum(axis=1) >= least for i in range(0, len(owner), 65536)]
-            )
-            a, b = ids[owner[like]], others[like]
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            both = both[:, both[0] != both[1]]
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
-    met = some.join(pivots, "path").select("node", "sig", "pivots")
-    return met.mapInArrow(compare, "a bigint, b bigint")
+            for path, lo, hi, sides in zip(*(batch.column(k) for k in range(4))):
+                path, lo, hi, pieces = path.as_py(), lo.as_py(), hi.as_py(), sides.values
+                block = pieces.field("block").to_numpy()
+                if not ((block == lo).any() and (block == hi).any()):
+                    continue
+                ids, left = side(pieces.field("rows"), block == lo)
+                ids2, right = (ids, None) if lo == hi else side(pieces.field("rows"), block == hi)
+                a, b = spanning(similar_in_blocks(path, left, right, similarity), ids, ids2)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    with small_batches(dense.sparkSession):
+        return freeze(blocks_of(dense, nodes, sets).mapInArrow(compare, "a bigint, b bigint"))
+
+
+def apart(pairs: DataFrame, dense: DataFrame) -> DataFrame:
+    """The pairs that don't meet in a dense bucket."""
+    places = dense.groupBy("node").agg(F.collect_set("path").alias("paths"))
+    for end in ("a", "b"):
+        pairs = pairs.join(places.select(F.col("node").alias(end), F.col("paths").alias(f"paths_{end}")), end, "left")
+    return pairs.where(~F.coalesce(F.arrays_overlap("paths_a", "paths_b"), F.lit(False))).select("a", "b")
 
 
 def candidates(nodes: DataFrame, similarity: float, runs: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs that may be similar, from all runs, each once; and the records of dense buckets."""
+    """Pairs of small buckets that may be similar, from all runs, each once; and the records of dense buckets."""
     sigs = nodes.select("node", "sig")
     found, level = None, 1
     records = freeze(first_level(nodes, runs))
@@ -301,23 +387,12 @@ def candidates(nodes: DataFrame, similarity: float, runs: int) -> tuple[DataFram
         if dense.isEmpty():
             return found.distinct(), None
         if level == LEVELS:
-            rated = rated_by_centre(dense)
-            return found.union(pairs_with_nearest(rated, rated, PIVOTS, similarity)).distinct(), rated
+            dense = freeze(dense.select("path", "node"))
+            return apart(found.distinct(), dense), dense
         records = freeze(next_level(dense))
         level += 1
 
 
-def pairs_of_the_rest(rated: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
-    """More pairs for the nodes of dense buckets that no link has reached: each with ``RING`` nodes
-    of the largest bucket that it is in."""
-    linked = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    best = F.max_by(F.struct("path", "sig"), F.struct("size", "near", "path")).alias("best")
-    rest = rated.join(linked, "node", "left_anti").groupBy("node").agg(best)
-    rest = freeze(rest.select("node", "best.path", "best.sig"))
-    paths = rest.select("path").distinct()
-    return pairs_with_nearest(rated.join(paths, "path", "left_semi"), rest, RING, similarity).distinct()
-
-
 def sets_of(df: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
     """The shingles of the wanted nodes (node, h1, h2, key), as sorted 64-bit hashes."""
     keys = wanted.select(F.col("key").alias("k")).distinct()
@@ -348,13 +423,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             found = np.empty(len(batch))
             for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                found[k] = both / (len(x) + len(y) - both)
+                found[k] = jaccard(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found)], names=["a", "b", "similarity"])
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -364,14 +433,19 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def verified_links(
-    df: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, key: str, similarity: float
+    df: DataFrame, nodes: DataFrame, pairs: DataFrame, dense: DataFrame | None, text: str, key: str, similarity: float
 ) -> DataFrame:
-    """The pairs of nodes that are similar, by the shingles of their texts."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    """The pairs of nodes that are similar, by the shingles of their texts, and links that span those of dense buckets."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    ends = (ends if dense is None else ends.union(dense.select("node"))).distinct()
     named = nodes.select("node", "h1", "h2", "key")
     wanted = named.join(broadcast_if(measure(ends).fits(SEND_BYTES), ends), "node")
     with small_batches(df.sparkSession):
-        return freeze(verified(pairs, freeze(sets_of(df, text, key, wanted)), similarity))
+        sets = freeze(sets_of(df, text, key, wanted))
+        links = freeze(verified(pairs, sets, similarity).select("a", "b"))
+    if dense is None:
+        return links
+    return freeze(links.union(links_in_dense(dense, nodes, sets, similarity).select("a", "b")).distinct())
 
 
 def similarity_join(
@@ -384,8 +458,8 @@ def similarity_join(
     """Nodes, links between nodes, and members.
 
     A node is a set of shingles that rows have: ``node``, ``h1``, ``h2``, ``key`` (the smallest
-    of its rows' keys) and ``n`` (shingles). Links are pairs ``a`` < ``b`` of nodes with their
-    ``similarity``. Members give each row's ``key`` and ``node``. Texts are compared as words
+    of its rows' keys) and ``n`` (shingles). Links are pairs ``a`` < ``b`` of similar nodes; of those that meet
+    in a dense bucket, enough to span what they join. Members give each row's ``key`` and ``node``. Texts are compared as words
     between white space with A-Z in lower case. Texts without words are equal to each other and to nothing else.
     """
     with small_batches(df.sparkSession):
@@ -394,11 +468,8 @@ def similarity_join(
         F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")
     )
     nodes = freeze(nodes.withColumn("node", F.monotonically_increasing_id()))
-    pairs, rated = candidates(nodes.where("n > 0"), similarity, runs_for(recall, similarity))
-    links = verified_links(df, nodes, freeze(pairs), text, key, similarity)
-    if rated is not None:
-        more = freeze(pairs_of_the_rest(rated, links, similarity))
-        links = freeze(links.union(verified_links(df, nodes, more, text, key, similarity)).dropDuplicates(["a", "b"]))
+    pairs, dense = candidates(nodes.where("n > 0"), similarity, runs_for(recall, similarity))
+    links = verified_links(df, nodes, freeze(pairs), dense, text, key, similarity)
     members = rows.select("key", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
     return nodes.drop("sig"), links, members.select("key", "node")
 

@@ -94,3 +94,31 @@ def test_components(spark):
     got = components(spark.createDataFrame(links, "a bigint, b bigint"))
     assert {r.node: r.root for r in got.collect()} == {x: find(x) for x in root if find(x) != x}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def changed(text, places, rng):
+    found = text.split()
+    for k in places:
+        found[k] = "x%d" % rng.randrange(10**6)
+    return " ".join(found)
+
+
+def two_places(rng):
+    p = rng.randrange(5, 85)
+    return p, rng.randrange(p + 6, 95)
+
+
+def classes_found(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    return {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_duplicates(df).collect()}
+
+
+def test_similar_texts_in_a_crowd_are_compared(spark):
+    """Pairs that share only what hundreds of others share too, so they meet in dense buckets alone."""
+    rng = random.Random(11)
+    text, texts = sentence(7000, 100), []
+    for _ in range(200):
+        places = two_places(rng)
+        texts += [changed(text, places, rng) for _ in range(2)]
+    got, truth = classes_found(spark, texts), classes(list(enumerate(texts)))
+    assert {i: c for i, (c, _) in got.items()} == {i: truth[shingle_set(t)][0] for i, t in enumerate(texts)}
