@@ -122,3 +122,15 @@ def test_similar_texts_in_a_crowd_are_compared(spark):
         texts += [changed(text, places, rng) for _ in range(2)]
     got, truth = classes_found(spark, texts), classes(list(enumerate(texts)))
     assert {i: c for i, (c, _) in got.items()} == {i: truth[shingle_set(t)][0] for i, t in enumerate(texts)}
+
+
+def test_islands_beside_a_large_group_join_it(spark):
+    """Twins that are similar to each other and to a few outlying members of a large group."""
+    rng = random.Random(12)
+    text, texts = sentence(8000, 100), []
+    for _ in range(200):
+        p, q = two_places(rng)
+        texts += [changed(text, [p], rng)] + [changed(text, [p, q], rng) for _ in range(2)]
+    got, truth = classes_found(spark, texts), classes(list(enumerate(texts)))
+    assert len({c for c, _ in truth.values()}) == 1
+    assert {c for c, _ in got.values()} == {0}
