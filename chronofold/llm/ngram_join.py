@@ -341,7 +341,11 @@ def blocks_of(dense: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links_in_dense(dense: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All sets of each dense bucket compared with one another, block by block: links that span what is similar."""
+    """All sets of each dense bucket compared with one another, block by block.
+
+    Gives links ``a``, ``b`` that span what is similar, and for each node ``a`` of a block the ``count`` of similar sets
+    it met there (``b`` null). Neither grows with the number of similar pairs.
+    """
 
     def side(pieces: pa.ListArray, wanted: np.ndarray) -> tuple[np.ndarray, tuple]:
         rows = pa.concat_arrays([pieces[int(k)].values for k in np.flatnonzero(wanted)])
@@ -358,11 +362,19 @@ def links_in_dense(dense: DataFrame, nodes: DataFrame, sets: DataFrame, similari
                     continue
                 ids, left = side(pieces.field("rows"), block == lo)
                 ids2, right = (ids, None) if lo == hi else side(pieces.field("rows"), block == hi)
-                a, b = spanning(similar_in_blocks(path, left, right, similarity), ids, ids2)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                like = similar_in_blocks(path, left, right, similarity)
+                a, b = spanning(like, ids, ids2)
+                if lo == hi:
+                    n = like.sum(axis=1) + like.sum(axis=0)
+                else:
+                    ids, n = np.concatenate([ids, ids2]), np.concatenate([like.sum(axis=1), like.sum(axis=0)])
+                some = np.flatnonzero(n)
+                links = [pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())]
+                counts = [pa.array(ids[some]), pa.nulls(len(some), pa.int64()), pa.array(n[some])]
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(links, counts)], names=["a", "b", "count"])
 
     with small_batches(dense.sparkSession):
-        return freeze(blocks_of(dense, nodes, sets).mapInArrow(compare, "a bigint, b bigint"))
+        return freeze(blocks_of(dense, nodes, sets).mapInArrow(compare, "a bigint, b bigint, count bigint"))
 
 
 def apart(pairs: DataFrame, dense: DataFrame) -> DataFrame:
@@ -434,8 +446,9 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 def verified_links(
     df: DataFrame, nodes: DataFrame, pairs: DataFrame, dense: DataFrame | None, text: str, key: str, similarity: float
-) -> DataFrame:
-    """The pairs of nodes that are similar, by the shingles of their texts, and links that span those of dense buckets."""
+) -> tuple[DataFrame, DataFrame]:
+    """The pairs of nodes that are similar, by the shingles of their texts, with links that span those of dense buckets;
+    and how many similar nodes each node has (``node``, ``n_links``)."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     ends = (ends if dense is None else ends.union(dense.select("node"))).distinct()
     named = nodes.select("node", "h1", "h2", "key")
@@ -443,9 +456,12 @@ def verified_links(
     with small_batches(df.sparkSession):
         sets = freeze(sets_of(df, text, key, wanted))
         links = freeze(verified(pairs, sets, similarity).select("a", "b"))
-    if dense is None:
-        return links
-    return freeze(links.union(links_in_dense(dense, nodes, sets, similarity).select("a", "b")).distinct())
+    counts = links.select(F.col("a").alias("node"), F.lit(1).alias("count")).union(links.select("b", F.lit(1)))
+    if dense is not None:
+        met = links_in_dense(dense, nodes, sets, similarity)
+        counts = counts.union(met.where("b is null").select("a", "count"))
+        links = freeze(links.union(met.where("b is not null").select("a", "b")).distinct())
+    return links, counts.groupBy("node").agg(F.sum("count").alias("n_links"))
 
 
 def similarity_join(
@@ -458,7 +474,7 @@ def similarity_join(
     """Nodes, links between nodes, and members.
 
     A node is a set of shingles that rows have: ``node``, ``h1``, ``h2``, ``key`` (the smallest
-    of its rows' keys) and ``n`` (shingles). Links are pairs ``a`` < ``b`` of similar nodes; of those that meet
+    of its rows' keys), ``n`` (shingles) and ``n_links``, the similar nodes found. Links are pairs ``a`` < ``b`` of similar nodes; of those that meet
     in a dense bucket, enough to span what they join. Members give each row's ``key`` and ``node``. Texts are compared as words
     between white space with A-Z in lower case. Texts without words are equal to each other and to nothing else.
     """
@@ -469,7 +485,8 @@ def similarity_join(
     )
     nodes = freeze(nodes.withColumn("node", F.monotonically_increasing_id()))
     pairs, dense = candidates(nodes.where("n > 0"), similarity, runs_for(recall, similarity))
-    links = verified_links(df, nodes, freeze(pairs), dense, text, key, similarity)
+    links, degree = verified_links(df, nodes, freeze(pairs), dense, text, key, similarity)
+    nodes = nodes.join(degree, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     members = rows.select("key", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
     return nodes.drop("sig"), links, members.select("key", "node")
 
@@ -481,15 +498,12 @@ def near_duplicates(
 
     Rows are in one class when a chain of links joins their texts; equal sets of shingles always are.
     The class id is the smallest key in the class (null if it has none but null). ``n_links``
-    counts the other sets that a verified link joins to this row's; in a dense bucket links go to its pivots only,
-    so within a group of hundreds of near copies it counts the links kept, not all similar pairs. An
-    empty table gives no rows; other columns of ``df`` are not looked at.
+    counts the other sets that are found similar to this row's, in a large group too, where only links that span the
+    group are kept. An empty table gives no rows; other columns of ``df`` are not looked at.
     """
     nodes, links, members = similarity_join(df, text, key, similarity, recall)
     roots = components(links)
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("key").alias("class_id"))
-    placed = placed.join(least, "root").join(degree, "node", "left")
-    placed = placed.select("node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").alias("n_shingles"))
+    placed = placed.join(least, "root").select("node", "class_id", "n_links", F.col("n").alias("n_shingles"))
     return members.join(placed, "node").select(F.col("key").alias(key), "class_id", "n_links", "n_shingles")

@@ -134,3 +134,14 @@ def test_islands_beside_a_large_group_join_it(spark):
     got, truth = classes_found(spark, texts), classes(list(enumerate(texts)))
     assert len({c for c, _ in truth.values()}) == 1
     assert {c for c, _ in got.values()} == {0}
+
+
+@pytest.mark.parametrize("rows", [ngram_join.ROWS, 40])
+def test_links_of_a_large_group_are_all_counted(spark, monkeypatch, rows):
+    monkeypatch.setattr(ngram_join, "ROWS", rows)
+    rng = random.Random(13)
+    text = sentence(9000, 120)
+    texts = [edited(text, rng.randint(1, 3), rng) for _ in range(200)]
+    got, truth = classes_found(spark, texts), classes(list(enumerate(texts)))
+    assert sum(n for _, n in got.values()) > 20 * 200
+    assert got == {i: truth[shingle_set(t)] for i, t in enumerate(texts)}
