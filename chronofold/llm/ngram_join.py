@@ -51,12 +51,25 @@ def runs_for(recall: float, similarity: float = SIMILARITY, levels: int = LEVELS
     """Runs that find a pair of the given similarity with the wanted probability.
 
     A pair survives a level when a chosen place has the same value for both; on average one
-    such place is chosen, so the chance follows that of a branching process.
+    such place is chosen, so the chance follows that of a branching process. All runs share one
+    signature, so the chance is averaged over the number of its places that agree.
     """
-    survives = 1.0
+    agree = np.arange(T + 1)
+    weight = np.array([math.comb(T, m) * similarity**m * (1 - similarity) ** (T - m) for m in agree])
+    survives = np.ones(T + 1)
     for _ in range(levels):
-        survives = 1 - (1 - survives / T) ** T
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survives)))
+        survives = 1 - (1 - chance(similarity) * survives) ** agree
+    if weight @ (survives == 0) >= 1 - recall:
+        raise ValueError(f"signatures of {T} places are too short to find {recall} of pairs of similarity {similarity}")
+    runs = 1
+    while weight @ (1 - survives) ** runs > 1 - recall:
+        runs += 1
+    return runs
+
+
+def chance(similarity: float) -> float:
+    """Of a place to be chosen: 1 / similarity of them are on average."""
+    return min(1.0, 1 / (similarity * T))
 
 
 def shingles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,15 +151,15 @@ def branch(paths: np.ndarray, place: int, values: np.ndarray) -> np.ndarray:
     return mix((paths ^ _FACTOR[place]) * U(0x9E3779B97F4A7C15) + values.astype(U) + (U(place) << U(40)))
 
 
-def chosen(paths: np.ndarray, place: int) -> np.ndarray:
+def chosen(paths: np.ndarray, place: int, similarity: float = SIMILARITY) -> np.ndarray:
     """Whether the place is chosen at the node that a path leads to: 1 / similarity of T are."""
-    return mix(paths * _FACTOR[place] + _ADDED[place]) < U(int(2**64 / (SIMILARITY * T)))
+    return mix(paths * _FACTOR[place] + _ADDED[place]) <= U(min(2**64 - 1, int(2**64 * chance(similarity))))
 
 
-def first_level(nodes: DataFrame, runs: int) -> DataFrame:
+def first_level(nodes: DataFrame, runs: int, similarity: float) -> DataFrame:
     """Bucket and node for every branch that leaves the root, in every run."""
     roots = mix(np.arange(1, runs + 1, dtype=U) * SEED)
-    steps = [(root, i) for root in roots for i in range(T) if chosen(np.array([root]), i)[0]]
+    steps = [(root, i) for root in roots for i in range(T) if chosen(np.array([root]), i, similarity)[0]]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +172,7 @@ def first_level(nodes: DataFrame, runs: int) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(split, "path bigint, node bigint")
 
 
-def next_level(records: DataFrame) -> DataFrame:
+def next_level(records: DataFrame, similarity: float) -> DataFrame:
     """The branches below the buckets of ``records`` (path, node, sig)."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +181,7 @@ def next_level(records: DataFrame) -> DataFrame:
             ids = batch.column(1).to_numpy()
             sigs = matrix(batch.column(2), len(batch))
             for i in range(T):
-                go = np.flatnonzero(chosen(paths, i))
+                go = np.flatnonzero(chosen(paths, i, similarity))
                 if len(go):
                     path = branch(paths[go], i, sigs[go, i])
                     yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[go])], names=["path", "node"])
@@ -389,7 +402,7 @@ def candidates(nodes: DataFrame, similarity: float, runs: int) -> tuple[DataFram
     """Pairs of small buckets that may be similar, from all runs, each once; and the records of dense buckets."""
     sigs = nodes.select("node", "sig")
     found, level = None, 1
-    records = freeze(first_level(nodes, runs))
+    records = freeze(first_level(nodes, runs, similarity))
     while True:
         sizes = records.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         full = freeze(records.join(sizes, "path").join(sigs, "node"))
@@ -401,7 +414,7 @@ def candidates(nodes: DataFrame, similarity: float, runs: int) -> tuple[DataFram
         if level == LEVELS:
             dense = freeze(dense.select("path", "node"))
             return apart(found.distinct(), dense), dense
-        records = freeze(next_level(dense))
+        records = freeze(next_level(dense, similarity))
         level += 1
 
 

@@ -145,3 +145,18 @@ def test_links_of_a_large_group_are_all_counted(spark, monkeypatch, rows):
     got, truth = classes_found(spark, texts), classes(list(enumerate(texts)))
     assert sum(n for _, n in got.values()) > 20 * 200
     assert got == {i: truth[shingle_set(t)] for i, t in enumerate(texts)}
+
+
+def test_recall_holds_at_other_similarities(spark):
+    rng = random.Random(5)
+    rows, truth = [], 0
+    for i in range(300):
+        text = sentence(20_000 + i, 150)
+        copy = edited(text, 9, rng)
+        both = len(shingle_set(text) & shingle_set(copy)) / len(shingle_set(text) | shingle_set(copy))
+        truth += both >= 0.5
+        rows += [(2 * i, text), (2 * i + 1, copy)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sum(r.n_links for r in ngram_join.near_duplicates(df, similarity=0.5).collect()) / 2
+    assert truth > 200 and 0.99 * truth <= found <= truth
+    assert ngram_join.runs_for(0.999, 0.5) > ngram_join.runs_for(0.999, 0.8) > 15
