@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronofold.llm import (
+    alignment,
+    conversations,
     decontaminate,
     line_rules,
     line_runs,
     mixing,
     ngram_join,
+    packing,
     quality_model,
     shards,
     token_files,
@@ -123,6 +126,42 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    scored = alignment.align_corpus(table(spark, folder, "documents"), a, b)
+    return scored.select(
+        F.col("key").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack_documents(table(spark, folder, "documents"), path)
+    return packed.withColumnRenamed("key", "doc_id")
+
+
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    report, turns = conversations.repair(conversations.damage(given))
+    digests = conversations.digests(turns)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        given.select("conv_id").distinct()
+        .join(report, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+        .select(
+            "conv_id",
+            *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -136,5 +175,8 @@ QUERIES = {
         op8_line_rules,
         op9_token_files,
         op10_decontaminate,
+        op11_alignment,
+        op12_packing,
+        op13_conversations,
     )
 }

@@ -1,0 +1,130 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer, decoders
+
+from chronofold.llm import alignment, queries
+from samples import no_rows, odd_frame, odd_rows, sentence
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def brute():
+    a, b = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
+    a.encode_special_tokens = True
+    # the byte-level alphabet: visible Latin-1 letters stand for themselves, other bytes for letters from U+0100 on
+    visible = [i for i in range(256) if chr(i).isprintable() and chr(i) != " " and i != 0xAD]
+    hidden = [i for i in range(256) if i not in visible]
+    byte = {chr(i): i for i in visible} | {chr(256 + n): i for n, i in enumerate(hidden)}
+
+    def tokens(text):
+        own = a.encode(" " + text, add_special_tokens=False)
+        left = [(i, bytes(byte[c] for c in t)) for i, t in zip(own.ids, own.tokens)]
+        right = []
+        for i in b.encode(text):
+            piece = b.id_to_piece(i)
+            is_byte = len(piece) == 6 and piece.startswith("<0x") and piece.endswith(">")
+            right.append((i, bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode()))
+        return left, right
+
+    def ends(listed):
+        at, out = 0, []
+        for i, t in listed:
+            at += len(t)
+            out.append((i, at))
+        return out
+
+    def reports(rows):
+        found, count = [], Counter()
+        for key, text in rows:
+            whole = (" " + (text or "")).encode()
+            left, right = tokens(text) if text else ([], [])
+            if not text or any(b"".join(t for _, t in side) != whole for side in (left, right)):
+                found.append((key, [], [], [], ""))
+                continue
+            left, right = ends(left), ends(right)
+            links = [(x, y) for x, e in left for y, f in right if e == f] if len(left) < 3000 else None
+            if links is None:
+                at = {f: y for y, f in right}
+                links = [(x, at[e]) for x, e in left if e in at]
+            count.update(links)
+            cuts = sorted({e for _, e in left} & {f for _, f in right})
+            written, begin = [], 0
+            for cut in cuts:
+                written.append("|".join(",".join(str(i) for i, e in side if begin < e <= cut) for side in (left, right)))
+                begin = cut
+            found.append((key, left, right, links, ";".join(written)))
+        most = defaultdict(int)
+        for (_, y), n in count.items():
+            most[y] = max(most[y], n)
+        return [
+            (
+                key, len(left), len(right), written.count(";") + 1 if written else 0, len(links),
+                sum(count[link] == most[link[1]] for link in links), sum(count[link] for link in links),
+                hashlib.sha256(written.encode()).hexdigest() if written else "",
+            )
+            for key, left, right, links, written in found
+        ]
+
+    return reports
+
+
+COLUMNS = ("key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def rows_of(scored):
+    return sorted((tuple(r) for r in scored.select(*COLUMNS).collect()), key=repr)
+
+
+@pytest.mark.parametrize("common", [0, 3, alignment.COMMON])
+def test_odd_rows(spark, monkeypatch, brute, common):
+    monkeypatch.setattr(alignment, "COMMON", common)
+    rows = [(r[0], r[1]) for r in odd_rows() if len(r[1] or "") < 20_000]
+    more = [
+        "<0x41> <unk> </s> <|endoftext|>", "a ▁ b", "  two  spaces\n\n\tx ", "東京 \U0001f600", "\x00\x01", " ", "\n",
+        "Flügel Flügel Flügel", "it's 12,345.67", "é", "﻿x", "ﬁ   x", sentence(3, 400), sentence(3, 400),
+    ]
+    rows += [(100 + i, t) for i, t in enumerate(more)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert rows_of(alignment.align_corpus(df, A, B)) == sorted(brute(rows), key=repr)
+
+
+def test_long_text_and_clashing_columns(spark):
+    got = alignment.align_corpus(odd_frame(spark), A, B).collect()
+    assert len(got) == len(odd_rows())
+    long = next(r for r in got if r["key"] == 5)
+    assert long["n_links"] == long["n_groups"] > 10_000
+
+
+def test_groups_as_text(spark):
+    df = spark.createDataFrame([(1, "Hello, wörld")], "doc_id bigint, text string")
+    row = alignment.align(df, A, B, groups=True).first()
+    assert hashlib.sha256(row["groups"].encode()).hexdigest() == row["groups_sha256"]
+    assert row["groups"].count(";") + 1 == row["n_groups"]
+
+
+def test_map_of_ids():
+    both = alignment.tokenizers(A, B)
+    mapped = [(x, y) for x, y in enumerate(both.same) if y >= 0]
+    assert len(mapped) > 20_000
+    assert all(both.a_words.tokens[x] == both.b_words.tokens[y] for x, y in mapped)
+    decoder = decoders.ByteLevel()
+    for x, _ in mapped[::500]:
+        text = both.a_words.tokens[x].decode("utf-8", "replace")
+        assert decoder.decode([both.encoder.tokenizer.id_to_token(x)]) == text
+
+
+def test_no_rows(spark):
+    assert alignment.align_corpus(no_rows(spark), A, B).count() == 0
+
+
+def test_given_tables(spark, brute):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in queries.table(spark, folder, "documents").collect()]
+    got = queries.op11_alignment(spark, folder)
+    names = ["doc_id", *COLUMNS[1:]]
+    assert sorted((tuple(r) for r in got.select(*names).collect()), key=repr) == sorted(brute(rows), key=repr)
