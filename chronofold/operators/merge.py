@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from chronofold.functions import any_null, col_of, keys_equal, quoted, ref
 from chronofold.operators.dedup import keep_latest
 from chronofold.operators.sizing import BROADCAST_BYTES, measure_by_key
-from chronofold.operators.skew import ROWS_PER_SALT, salted_join
+from chronofold.operators.skew import ROWS_PER_SALT, as_compared, compared_types, salted_join
 
 MATCHED = "__matched"
 
@@ -23,13 +23,21 @@ def prepare_batch(
     keys: Sequence[str],
     order: Mapping[str, str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    target: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """One row per key, and whether the batch is small enough to broadcast.
 
     With ``order`` the first row per key wins; without it a repeated key raises
     ``DuplicateKeys``. Rows with a null in the key equal no other row and all stay. Both
-    answers come from one aggregate job over the batch.
+    answers come from one aggregate job over the batch. Where ``target`` has keys of another type, keys are the
+    same if they are compared with it as the same: ``'01'`` and ``'1'`` are one key of a table with numbers.
     """
+    kinds = compared_types(target, batch, keys) if target is not None else []
+    if any(kinds):
+        names = [f"__key{i}" for i in range(len(keys))]
+        typed = batch.withColumns(dict(zip(names, as_compared(keys, kinds))))
+        typed, small = prepare_batch(typed, names, order, broadcast_bytes)
+        return typed.drop(*names), small
     if order:
         keyless = any_null(keys)
         latest = keep_latest(batch.where(f"not {keyless}"), keys, order)
@@ -65,7 +73,7 @@ def merge_update(
     a target row are ignored. A small batch is broadcast and the target is not shuffled;
     with a larger one target keys of more than ``rows_per_salt`` rows are spread.
     """
-    batch, small = prepare_batch(batch, on, order, broadcast_bytes)
+    batch, small = prepare_batch(batch, on, order, broadcast_bytes, target)
     return updated(target, batch, on, set, when, small, rows_per_salt)
 
 
@@ -84,7 +92,7 @@ def merge_upsert(
     Each batch row takes one of the two branches, never both. A batch row with a null key
     matches nothing and is added.
     """
-    batch, small = prepare_batch(batch, on, order, broadcast_bytes)
+    batch, small = prepare_batch(batch, on, order, broadcast_bytes, target)
     missing = [c for c in values if c not in target.columns]
     if missing:
         raise ValueError(f"values name columns the target does not have: {missing}")

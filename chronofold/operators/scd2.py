@@ -261,7 +261,7 @@ def scd2_expire(
     this does too.
     """
     _check(target, same_day)
-    rows, small = prepare_batch(_placeable(batch, dim), dim.keys, order, broadcast_bytes)
+    rows, small = prepare_batch(_placeable(batch, dim), dim.keys, order, broadcast_bytes, target)
     closing = {dim.end: _day_before(as_of), dim.current: "false"}
     rules = _current_rules(as_of, same_day, any_differs(dim.tracked, "t", "s"), ref(dim.start, "t"))
     when = f"{ref(dim.current, 't')} and {_case(rules, text)} = 'changed'"

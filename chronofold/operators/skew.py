@@ -46,16 +46,35 @@ def hot_keys(
     )
 
 
+def compared_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[str | None]:
+    """For each key the type in which Spark compares the two sides' values, None where both have it."""
+    pairs = [(left.schema[k].dataType, right.schema[k].dataType) for k in on]
+    found: list[str | None] = [None] * len(on)
+    mixed = [i for i, (a, b) in enumerate(pairs) if a != b]
+    if not mixed:
+        return found
+    empty = left.sparkSession.range(0).select(
+        *[F.lit(None).cast(kind).alias(f"{side}{i}") for i in mixed for side, kind in zip("ab", pairs[i])]
+    )
+    compared = empty.selectExpr(*[f"a{i} = b{i}" for i in mixed])
+    outputs = compared._jdf.queryExecution().analyzed().expressions()
+    for n, i in enumerate(mixed):
+        value = outputs.apply(n).children().apply(0).children().apply(0)
+        found[i] = value.dataType().sql()
+    return found
+
+
+def as_compared(on: Sequence[str], kinds: Sequence[str | None]) -> list[Column]:
+    """The keys in the types of ``compared_types``."""
+    return [col_of(k) if kind is None else col_of(k).cast(kind) for k, kind in zip(on, kinds)]
+
+
 def _digest(df: DataFrame, schema: T.StructType, on: Sequence[str]) -> Column:
     """One hash of the key columns, in the types that ``schema`` has for them."""
-    values = []
-    for key in on:
-        value = hashable(df.schema[key])
-        kind = schema[key].dataType
-        if df.schema[key].dataType != kind and value == ref(key):
-            value = f"try_cast({value} as {kind.simpleString()})"
-        values.append(value)
-    return F.expr(f"xxhash64({', '.join(values)}) as {DIGEST}")
+    differing = [k for k in on if df.schema[k].dataType != schema[k].dataType]
+    if differing:
+        raise ValueError(f"keys of different types: {differing}")
+    return F.expr(f"xxhash64({', '.join(hashable(df.schema[k]) for k in on)}) as {DIGEST}")
 
 
 def salted_join(
@@ -71,9 +90,20 @@ def salted_join(
     side's rows with that key are repeated for each; where a key is hot on both sides the
     parts make a grid, so no task gets more than about ``rows_per_salt`` rows of it from
     either. All other keys join as usual. ``how`` is ``inner`` or ``left`` (all of ``big``).
+
+    Keys of different types match as in a plain join, in the type that Spark compares them in: ``'01'``
+    is the number 1. The result has the keys of ``big``.
     """
     if how not in ("inner", "left"):
         raise ValueError("a salted join is 'inner' or 'left'")
+    kinds = compared_types(big, other, on)
+    if any(kinds):
+        # Both sides get the keys as they are compared; whatever is equal then has one digest.
+        names = [f"__compared{i}" for i in range(len(on))]
+        columns = [*on, *[c for c in big.columns if c not in on], *[c for c in other.columns if c not in on]]
+        left = big.withColumns(dict(zip(names, as_compared(on, kinds))))
+        right = other.withColumns(dict(zip(names, as_compared(on, kinds)))).drop(*on)
+        return salted_join(left, right, names, how, rows_per_salt).select(*map(col_of, columns))
     # A null key matches nothing; only rows of ``big`` are kept without a match.
     other = other.where(f"not {any_null(on)}")
     hot = freeze(hot_keys(big, other, on, rows_per_salt))

@@ -381,6 +381,23 @@ union all
 select 3, 'APPEND', count(*) from target
 """,
 }
+ORACLE |= {
+    "skew_mixed_types": """
+select lpad(cast(k as varchar), case when l_quantity > 30 then 7 else 12 end, '0') as s_suppkey,
+       l_orderkey, l_linenumber, l_quantity, s_name
+from (select *, case when l_quantity > 10 then 0 else l_suppkey end as k from lineitem)
+left join supplier on s_suppkey = k
+""",
+    "merge_upsert_mixed_types": CUSTOMERS
+    + """
+select lpad(cast(o_custkey as varchar), 9, '0') as id, o_orderkey as number,
+       case when b.id is not null then b.name else o_orderpriority end as name
+from orders left join batch b on b.id = o_custkey
+union all
+select cast(id as varchar), null, name from batch
+where id not in (select o_custkey from orders)
+""",
+}
 # The plans for large batches give the same rows.
 for name in ("merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
     ORACLE[f"{name}_shuffled"] = ORACLE[name]

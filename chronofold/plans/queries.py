@@ -562,6 +562,38 @@ def skew_salted_join(spark, folder):
     return skew.salted_join(lines, supplier_names(spark, folder), ["s_suppkey"], "inner", share)
 
 
+def coded_lineitem(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with the supplier's key as text, of two widths."""
+    code = "lpad(cast(s_suppkey as string), if(l_quantity > 30, 7, 12), '0')"
+    return inputs.hot_lineitem(spark, folder).withColumn("s_suppkey", F.expr(code))
+
+
+@query
+def skew_mixed_types(spark, folder):
+    """Text with leading zeros against numbers, both spellings of the hot key dealt out."""
+    lines = coded_lineitem(spark, folder)
+    share = lines.count() // 64 + 1
+    return skew.salted_join(lines, supplier_names(spark, folder), ["s_suppkey"], "left", share)
+
+
+@query
+def merge_upsert_mixed_types(spark, folder):
+    """Orders under their customer as text, with zeros before, and a feed with numbers."""
+    target = tables.load(spark, folder, "orders").selectExpr(
+        "lpad(cast(o_custkey as string), 9, '0') as id", "o_orderkey as number", "o_orderpriority as name"
+    )
+    feed = inputs.customer_feed(spark, folder).select("id", "name")
+    return merge.merge_upsert(
+        target,
+        feed,
+        ["id"],
+        set={"name": "s.name"},
+        values={"id": "s.id", "name": "s.name"},
+        broadcast_bytes=0,
+        rows_per_salt=10,
+    )
+
+
 @query
 def skew_both_hot(spark, folder):
     """The hot supplier key against all nations under that key: hot on both sides."""

@@ -1,5 +1,6 @@
 import pytest
 
+from chronofold.operators import merge, skew
 from chronofold.operators.merge import DuplicateKeys, merge_update, merge_upsert, scd1_apply
 from helpers import final_plan, plan, rows
 
@@ -103,3 +104,25 @@ def test_hot_target_key_is_split_by_the_shuffle_plan(spark, small_conf):
 def test_small_batch_leaves_the_target_unshuffled(target, batch):
     small = plan(merge_update(target, batch, ["id"], set={"v": "s.v"}))
     assert "BroadcastHashJoin" in small and "hashpartitioning" not in small
+
+
+@pytest.mark.parametrize("rows_per_salt", [1, 10, skew.ROWS_PER_SALT])
+@pytest.mark.parametrize("broadcast_bytes", [0, 2**26])
+def test_keys_of_mixed_types(spark, broadcast_bytes, rows_per_salt):
+    target = spark.createDataFrame([("01", "a")] * 40 + [("2", "b"), ("004", "c"), (None, "d")], "k string, v string")
+    batch = spark.createDataFrame([(1, "x"), (4, "y"), (5, "z")], "k int, v string")
+    options = {"broadcast_bytes": broadcast_bytes, "rows_per_salt": rows_per_salt}
+    got = merge.merge_upsert(target, batch, ["k"], {"v": "s.v"}, {"k": "s.k", "v": "s.v"}, **options)
+    assert rows(got) == {("01", "x"): 40, ("2", "b"): 1, ("004", "y"): 1, (None, "d"): 1, ("5", "z"): 1}
+    got = merge.merge_update(target, batch, ["k"], {"v": "s.v"}, **options)
+    assert rows(got) == {("01", "x"): 40, ("2", "b"): 1, ("004", "y"): 1, (None, "d"): 1}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 2**26])
+def test_spellings_of_one_key_are_one_key(spark, broadcast_bytes):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    batch = spark.createDataFrame([("1", "x", 1), ("01", "y", 2), ("2", "z", 1)], "k string, v string, n int")
+    with pytest.raises(merge.DuplicateKeys):
+        merge.merge_update(target, batch, ["k"], {"v": "s.v"}, broadcast_bytes=broadcast_bytes)
+    got = merge.merge_update(target, batch, ["k"], {"v": "s.v"}, order={"n": "desc"}, broadcast_bytes=broadcast_bytes)
+    assert rows(got) == {(1, "y"): 1, (2, "z"): 1}

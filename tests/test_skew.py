@@ -73,6 +73,41 @@ def test_keys_of_different_types(spark, how):
     assert rows(skew.salted_join(left, right, ["k"], how, 1)) == rows(left.join(right, ["k"], how))
 
 
+MIXED = {
+    "string/int": ("string", ["01"] * 50 + ["2", "002", None], "int", [1, 2, 3, None]),
+    "int/string": ("int", [1] * 50 + [2, None], "string", ["01", "2", " 1", "0002"]),
+    "decimal/double": ("decimal(9,2)", ["1.50"] * 30 + ["2.00"], "double", [1.5, 2.0, 1.25]),
+    "decimal/decimal": ("decimal(9,2)", ["1.50"] * 30 + ["2.00"], "decimal(20,6)", ["1.5", "2.000000", "1.500001"]),
+    "string/date": ("string", ["2024-01-02"] * 30 + ["2024-1-2"], "date", ["2024-01-02", "2024-01-03"]),
+    "bigint/double": ("bigint", [2**53] * 30 + [2**53 + 1], "double", [float(2**53)]),
+}
+
+
+@pytest.mark.parametrize("rows_per_salt", [1, 10, skew.ROWS_PER_SALT])
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("case", MIXED)
+def test_mixed_types_match_as_in_a_plain_join(spark, case, how, rows_per_salt):
+    kind, values, other_kind, others = MIXED[case]
+
+    def frame(values, kind, name):
+        written = spark.createDataFrame([(None if v is None else str(v), i) for i, v in enumerate(values)], f"k string, {name} int")
+        return written.withColumn("k", written.k.cast(kind))
+
+    left, right = frame(values, kind, "v"), frame(others, other_kind, "w")
+    plain = left.join(right, ["k"], how)
+    got = skew.salted_join(left, right, ["k"], how, rows_per_salt)
+    assert got.columns == plain.columns and got.schema["k"].dataType == left.schema["k"].dataType
+    assert rows(got) == rows(plain)
+    assert rows(skew.broadcast_join(left, right, ["k"], how, broadcast_bytes=0)) == rows(plain)
+
+
+def test_types_that_are_compared(spark):
+    left = spark.createDataFrame([("01", 1)], "k string, v int")
+    right = spark.createDataFrame([(1, 7)], "k int, w int")
+    assert skew.compared_types(left, right, ["k"]) != [None]
+    assert skew.compared_types(left, left, ["k"]) == [None]
+
+
 ANY_TYPE = (
     "id, id % 3 as g, map('a', id) as m, parse_json(concat('{\"x\":', id % 2, '}')) as v, "
     "array(map(1, id)) as am, named_struct('n', cast(null as int), 'm', map('b', 1)) as s, "
