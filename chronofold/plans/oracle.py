@@ -398,6 +398,35 @@ select cast(id as varchar), null, name from batch
 where id not in (select o_custkey from orders)
 """,
 }
+ORACLE |= {
+    "dimension_commit_buckets": ORDER_CASE + "select * from applied",
+    "dimension_replay": CUSTOMERS
+    + """
+select * from expired
+union all
+select *, date '2024-06-01', date '2024-06-30', false from changed
+union all
+select id, name, 'MOVED2', date '2024-07-01', date '9999-12-31', true from changed
+union all
+select *, date '2024-06-01', date '9999-12-31', true from fresh
+""",
+    "dimension_replay_history": CUSTOMERS
+    + """
+, stay as (
+  select count(*) as n from batch b join target t on b.id = t.id
+  where is_current and not exists (select 1 from changed c where c.id = b.id))
+select cast(0 as bigint) as version, 'CREATE' as operation, cast(null as bigint) as expired,
+       cast(null as bigint) as inserted_new, cast(null as bigint) as unchanged
+union all
+select 1, 'SCD2', (select count(*) from changed), (select count(*) from fresh), (select n from stay)
+union all
+select 2, 'SCD2', (select count(*) from changed), 0,
+       (select n from stay) + (select count(*) from fresh)
+union all
+select 3, 'REPLAY', null, null, null
+""",
+    "dimension_rejected": APPLIED,
+}
 # The plans for large batches give the same rows.
 for name in ("merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
     ORACLE[f"{name}_shuffled"] = ORACLE[name]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chronofold.operators import dedup, jsontext, merge, nested, scd2, skew, topn
 from chronofold.plans import inputs
 from chronofold.plans.inputs import AS_OF, CUSTOMER_DIM, ORDER_DIM
-from chronofold.sources import dimension, tables
+from chronofold.sources import buckets, dimension, tables
 from chronofold.sources.scratch import freeze, new_folder, new_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -457,6 +457,53 @@ def dimension_history(spark, folder):
     )
 
 
+@query
+def dimension_commit_buckets(spark, folder):
+    """Three commits, each with the orders of some priorities: changes in a few buckets' worth of rows, then all."""
+    table = f"{new_schema(spark, "chronofold")}.dim_order"
+    buckets.create_bucketed(inputs.order_dimension(spark, folder), table, ORDER_DIM)
+    feed = inputs.order_feed(spark, folder)
+    for part in ("priority = '1-URGENT' and status = 'P'", "priority = '1-URGENT' and status <> 'P'", "priority <> '1-URGENT'"):
+        buckets.commit_bucketed(spark, table, feed.where(part), ORDER_DIM, AS_OF)
+    return spark.table(table)
+
+
+def replayed_customers(spark: SparkSession, folder: str) -> str:
+    """A feed, a later one that changes the same customers again, and then the first one once more."""
+    table = f"{new_schema(spark, "chronofold")}.dim_customer"
+    target, first = customer_case(spark, folder)
+    buckets.create_bucketed(target, table, CUSTOMER_DIM)
+    second = inputs.customer_feed(spark, folder, moved="MOVED2")
+    for feed, month in ((first, 6), (second, 7), (first, 8)):
+        day = dt.date(2024, month, 1)
+        buckets.commit_bucketed(spark, table, feed, CUSTOMER_DIM, day, skip_replays=True)
+    return table
+
+
+@query
+def dimension_replay(spark, folder):
+    return spark.table(replayed_customers(spark, folder))
+
+
+@query
+def dimension_replay_history(spark, folder):
+    listed = tables.history(spark, replayed_customers(spark, folder))
+    counts = ["expired", "inserted_new", "unchanged"]
+    return listed.select("version", "operation", *[F.col("metrics")[c].cast("bigint").alias(c) for c in counts])
+
+
+@query
+def dimension_rejected(spark, folder):
+    """A feed dated before the versions it changes, which would end before they began, is not let through."""
+    table = f"{new_schema(spark, "chronofold")}.dim_customer"
+    target, feed = customer_case(spark, folder)
+    buckets.create_bucketed(target, table, CUSTOMER_DIM)
+    options = {"same_day": "keep", "check": True}
+    buckets.commit_bucketed(spark, table, feed, CUSTOMER_DIM, dt.date(2022, 6, 1), **options)
+    buckets.commit_bucketed(spark, table, feed, CUSTOMER_DIM, AS_OF, **options)
+    return spark.table(table)
+
+
 @query
 def frozen_changes(spark, folder):
     """A change set stays as it was when the table it came from changes."""

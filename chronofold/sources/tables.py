@@ -160,7 +160,7 @@ def own_tables(spark: SparkSession, table: str) -> list[str]:
     schema, _, base = table.rpartition(".")
     prefix = f"{schema}." if schema else ""
     listed = spark.sql(f"SHOW TABLES IN {table_name(schema)}" if schema else "SHOW TABLES")
-    pattern = f"^{re.escape(base.lower())}__(v[0-9]+|rows|audit)$"
+    pattern = f"^{re.escape(base.lower())}__(v[0-9]+|rows|keys|claim|audit)$"
     rows = listed.where(F.col("tableName").rlike(pattern) & ~F.col("isTemporary")).collect()
     return [n for n in (prefix + r["tableName"] for r in rows) if owns(spark, table, n)]
 
