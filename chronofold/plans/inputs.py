@@ -202,3 +202,27 @@ def hot_lineitem(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("l_suppkey"))
         .alias("s_suppkey"),
     )
+
+
+def account_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer as one version from 1990 on, closed in 1991 for those with a negative balance."""
+    open_account = F.col("c_acctbal") >= 0
+    return load(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("city"),
+        F.lit(dt.date(1990, 1, 1)).alias("eff_start"),
+        F.when(open_account, F.lit(dt.date(9999, 12, 31))).otherwise(F.lit(dt.date(1991, 1, 1))).alias("eff_end"),
+        open_account.alias("is_current"),
+    )
+
+
+def account_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order as a change of its customer on its day; all larger ones are changes of one new key."""
+    return load(spark, folder, "orders").select(
+        F.when(F.col("o_totalprice") > 150_000, F.lit(-1).cast("bigint")).otherwise(F.col("o_custkey")).alias("id"),
+        F.lit("ordered").alias("name"),
+        F.col("o_orderpriority").alias("city"),
+        F.col("o_orderdate").cast("date").alias("changed_on"),
+        F.col("o_orderkey").alias("number"),
+    )

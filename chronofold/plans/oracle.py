@@ -427,6 +427,49 @@ select 3, 'REPLAY', null, null, null
 """,
     "dimension_rejected": APPLIED,
 }
+ORACLE |= {
+    "scd2_change_log": """
+with target as (
+  select c_custkey as id, c_name as name, c_mktsegment as city, date '1990-01-01' as eff_start,
+         case when c_acctbal >= 0 then date '9999-12-31' else date '1991-01-01' end as eff_end,
+         c_acctbal >= 0 as is_current
+  from customer),
+log as (
+  select case when o_totalprice > 150000 then -1 else o_custkey end as id, 'ordered' as name,
+         o_orderpriority as city, cast(o_orderdate as date) as eff_start
+  from orders
+  qualify row_number() over (partition by id, eff_start order by o_orderkey desc) = 1),
+events as (
+  select id, name, city, eff_start from log
+  where id not in (select id from target where not is_current)
+  union all
+  select id, name, city, eff_start from target where is_current),
+starts as (
+  select * from events
+  qualify lag(city) over (partition by id order by eff_start) is distinct from city)
+select *, coalesce(lead(eff_start) over (partition by id order by eff_start) - 1, date '9999-12-31') as eff_end,
+       lead(eff_start) over (partition by id order by eff_start) is null as is_current
+from starts
+union all
+select * from target where not is_current
+""",
+    "scd2_apply_late": CUSTOMERS
+    + """
+, moved as (
+  select b.id, b.name from batch b where b.city = 'MOVED' and b.id in (select id from target where is_current)),
+rest as (select * from applied where id not in (select id from moved))
+select id, name, city, date '2023-01-01' as eff_start, date '2023-09-30' as eff_end, false as is_current
+from target where id in (select id from moved)
+union all
+select id, name, 'LATE', date '2023-10-01', date '2024-05-31', false from moved
+union all
+select id, name, 'LATER', date '2024-06-01', date '9999-12-31', true from moved
+union all
+select * from rest
+union all
+select id, name, city, date '2023-10-01', date '2024-05-31', false from fresh
+""",
+}
 # The plans for large batches give the same rows.
-for name in ("merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
+for name in ("scd2_change_log", "scd2_apply_late", "merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
     ORACLE[f"{name}_shuffled"] = ORACLE[name]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronofold.operators import dedup, jsontext, merge, nested, scd2, skew, topn
+from chronofold.operators import changelog, dedup, jsontext, merge, nested, scd2, skew, topn
 from chronofold.plans import inputs
 from chronofold.plans.inputs import AS_OF, CUSTOMER_DIM, ORDER_DIM
 from chronofold.sources import buckets, dimension, tables
@@ -273,6 +273,42 @@ def scd2_same_day(spark, folder):
     return scd2.scd2_apply(once, again, CUSTOMER_DIM, AS_OF)
 
 
+@query
+def scd2_change_log(spark, folder):
+    """All orders as changes, many of them of one key."""
+    log = inputs.account_log(spark, folder)
+    return changelog.scd2_change_log(
+        inputs.account_dimension(spark, folder), log, CUSTOMER_DIM, "changed_on", {"number": "desc"}
+    )
+
+
+@query
+def scd2_change_log_shuffled(spark, folder):
+    log = inputs.account_log(spark, folder)
+    return changelog.scd2_change_log(
+        inputs.account_dimension(spark, folder), log, CUSTOMER_DIM, "changed_on", {"number": "desc"}, broadcast_bytes=0
+    )
+
+
+def late_customers(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """What was so in October, told after the change of June: before it for known keys, before the first version of others."""
+    target, batch = customer_case(spark, folder)
+    applied = freeze(scd2.scd2_apply(target, batch, CUSTOMER_DIM, AS_OF))
+    late = inputs.customer_feed(spark, folder, moved="LATE").withColumn("since", F.lit(dt.date(2023, 10, 1)))
+    more = late.where("city = 'LATE'").withColumns({"since": F.lit(dt.date(2024, 6, 1)), "city": F.lit("LATER")})
+    return changelog.scd2_apply_late(applied, late.unionByName(more), CUSTOMER_DIM, "since", **options)
+
+
+@query
+def scd2_apply_late(spark, folder):
+    return late_customers(spark, folder)
+
+
+@query
+def scd2_apply_late_shuffled(spark, folder):
+    return late_customers(spark, folder, broadcast_bytes=0)
+
+
 @query
 def scd2_classify_same_day(spark, folder):
     """What a second batch of the day does."""
