@@ -21,15 +21,18 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chronofold.functions import col_of
-from chronofold.operators.sizing import broadcast_if, measure
+from chronofold.operators.sizing import BROADCAST_BYTES, measure
+from chronofold.operators.skew import salted_join
 from chronofold.sources.scratch import freeze, new_folder
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVE_BYTES = 48 * 1024 * 1024
 READ_BYTES = 4 * 1024 * 1024
+# Digests of copied pages that every task may get.
+COPIED_BYTES = BROADCAST_BYTES
 LEAST_REVISIT = 1000
 WARC_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -223,7 +226,9 @@ def with_revisits(df: DataFrame, key: str, url: str, html: str) -> DataFrame:
     large = rows.where(F.col("size") >= LEAST_REVISIT).groupBy("digest", "size")
     copied = large.agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1").drop("n")
     copied = freeze(copied)
-    rows = rows.join(broadcast_if(measure(copied).fits(), copied), ["digest", "size"], "left")
+    on = ["digest", "size"]
+    # a page that is found very often is dealt over many tasks
+    rows = rows.join(F.broadcast(copied), on, "left") if measure(copied).fits(COPIED_BYTES) else salted_join(rows, copied, on, "left")
     refers = F.when(F.col("top") > F.coalesce("id", F.lit(-(2**63))), F.col("top"))
     return rows.select("id", "url", "size", "digest", refers.alias("refers_to"), "payload").withColumn(
         "payload", F.when(F.col("refers_to").isNull(), F.col("payload"))
@@ -294,7 +299,10 @@ def read_archives(spark: SparkSession, manifest: DataFrame, payload: bool = True
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(kinds))
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(read, schema)
+    # rows of the manifest are tiny, so they are dealt by number: a task for each archive
+    numbered = manifest.select("path", F.row_number().over(Window.orderBy("path")).alias("number"))
+    dealt = numbered.repartitionByRange(max(1, manifest.count()), "number")
+    return dealt.select("path").mapInArrow(read, schema)
 
 
 def archive_round_trip(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", payload: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from chronofold.llm import warc_zip as w
 from chronofold.sources.scratch import new_folder
@@ -41,6 +42,32 @@ def test_round_trip(spark, monkeypatch, archive_bytes):
     assert got == expected(pages())
 
 
+def test_archives_are_read_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(w, "ARCHIVE_BYTES", 300)
+    df = spark.createDataFrame([(i, None, f"{i} " * 700, "c", "c", "c") for i in range(120)], SCHEMA)
+    manifest = w.write_archives(df, new_folder(spark, "warc"))
+    files = manifest.count()
+    assert files > 20 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    tasks = w.read_archives(spark, manifest).groupBy(F.spark_partition_id()).count()
+    assert tasks.count() > 0.9 * files
+    assert tasks.agg(F.sum("count")).first()[0] == 120
+
+
+def test_copies_beyond_what_is_sent(spark, monkeypatch):
+    monkeypatch.setattr(w, "COPIED_BYTES", 0)
+    df = spark.createDataFrame([(*r, "c", "c", "c") for r in pages()], SCHEMA)
+    got = Counter(tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in w.archive_round_trip(df, payload=True).collect())
+    assert got == expected(pages())
+
+
+def test_a_payload_larger_than_an_archive(spark, monkeypatch):
+    monkeypatch.setattr(w, "ARCHIVE_BYTES", 1000)
+    big = "".join(chr(33 + i * i % 90) for i in range(50_000))
+    df = spark.createDataFrame([(1, "u", big, "c", "c", "c"), (2, "u", "small", "c", "c", "c")], SCHEMA)
+    rows = {r["id"]: r["payload"] for r in w.archive_round_trip(df, payload=True).collect()}
+    assert {k: bytes(v) for k, v in rows.items()} == {1: big.encode(), 2: b"small"}
+
+
 def test_no_rows_no_archive(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert w.archive_round_trip(df).count() == 0
