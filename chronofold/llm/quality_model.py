@@ -12,13 +12,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from chronofold.functions import col_of
+from chronofold.llm.batches import small_batches
 from chronofold.llm.words import SPACED, U, mix, slices, text_bytes, words_of
+from chronofold.sources.scratch import freeze
 
-# Labelled texts that the model learns from at most.
+# Labelled texts that the model learns from at most, and bytes of their bags that come to the driver.
 SAMPLE = 2_500
+SAMPLE_BYTES = 40 * 1024 * 1024
 BITS = 17
 GROUPS = 3
 DIM = 8
@@ -150,11 +153,13 @@ def fit(
     key: str = "doc_id",
     label: str = "quality",
     sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Model:
-    """Learn from at most ``sample`` labelled rows that are not held out, picked by hash.
+    """Learn from at most ``sample`` labelled keys that are not held out, picked by hash.
 
-    Rows without a label of 0 or 1 don't count; several labels of a key count as the smallest.
-    Without any labelled row every score is a half.
+    Rows without a label of 0 or 1 don't count; several labels of a key count as the smallest, and of several texts
+    that with the smallest digest is learned from. Of the picked keys, in the order of their hashes, those count whose bags
+    of features are ``sample_bytes`` together at most. Without any labelled row every score is a half.
     """
     known = (
         labels.where(col_of(label).isin(0, 1) & ~held_out(col_of(key)))
@@ -164,6 +169,8 @@ def fit(
     order = F.md5(F.col("_key").cast("string"))
     picked = F.broadcast(known.orderBy(order, "_key").limit(sample))
     rows = documents.select(col_of(key).alias("_key"), col_of(text).alias("_text")).join(picked, "_key")
+    # one row for each key, combined where the rows are, before anything is sent
+    rows = rows.groupBy("_key", "_label").agg(F.min_by("_text", F.sha2(F.coalesce("_text", F.lit("")), 256)).alias("_text"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,14 +185,16 @@ def fit(
                 names=["k", "y", "i", "c"],
             )
 
-    got = rows.select("_key", "_text", "_label").mapInArrow(bags, "k string, y int, i binary, c binary").collect()
-    got.sort(key=lambda r: (r["k"], r["i"]), reverse=True)
+    with small_batches(documents.sparkSession):
+        made = freeze(rows.select("_key", "_text", "_label").mapInArrow(bags, "k string, y int, i binary, c binary"))
+    # a number for each of at most ``sample`` rows
+    upto = F.sum(F.octet_length("i") + F.octet_length("c")).over(Window.orderBy(F.md5("k"), "k"))
+    sizes = made.select("k", upto.alias("upto")).where(F.col("upto") <= sample_bytes)
+    got = made.join(F.broadcast(sizes.select("k")), "k").toArrow().sort_by("k")
     learned = []
-    while got and len(learned) < sample:
-        r = got.pop()
-        ids = np.frombuffer(r["i"], np.int32)
-        width = np.uint16 if len(r["c"]) == 2 * len(ids) else np.int32
-        learned.append((ids, np.frombuffer(r["c"], width), r["y"]))
+    for y, i, c in zip(*(got.column(name) for name in ("y", "i", "c"))):
+        ids, counts = np.frombuffer(i.as_buffer(), np.int32), c.as_buffer()
+        learned.append((ids, np.frombuffer(counts, np.uint16 if counts.size == 2 * len(ids) else np.int32), y.as_py()))
     return train(learned)
 
 

@@ -71,3 +71,65 @@ def test_odd_rows_quality(spark):
     none = q.fit(no_rows(spark), labels)
     assert {r.score for r in q.score(odd_frame(spark), none).collect()} == {0.5}
     assert q.score(no_rows(spark), model).count() == 0
+
+
+def test_one_text_of_a_repeated_key_and_a_bound_on_bytes(spark):
+    rows = [(1, f"text {i} of many") for i in range(300)] + [(i, f"good words {i}") for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, quality int")
+    learned = []
+
+    def train(bags, **_):
+        learned.append(bags)
+        return q.Model(np.zeros(q.GROUPS << q.BITS), 0.0)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(q, "train", train)
+        q.fit(docs, labels)
+        q.fit(docs, labels, sample_bytes=2000)
+        q.fit(docs, labels, sample=3)
+    taught = [i for i in range(1, 30) if zlib.crc32(str(i).encode()) % 5]
+    assert len(learned[0]) == len(taught)
+    size = lambda bags: sum(i.nbytes + c.nbytes for i, c, _ in bags)
+    assert 0 < size(learned[1]) <= 2000 < size(learned[0]) and len(learned[2]) == 3
+
+
+def test_training_steps_by_plain_gradient(monkeypatch):
+    """Three steps against the gradient of the log loss by finite differences."""
+    monkeypatch.setattr(q, "EPOCHS", 1)
+    bags = [(*q.bag(t.encode()), y) for t, y in (("some plain words", 1), ("spam spam!!", 0), ("words again", 1))]
+    used = np.unique(np.concatenate([i for i, _, _ in bags]))
+    rng = np.random.default_rng(7)
+    vectors = rng.uniform(-1 / q.DIM, 1 / q.DIM, (q.GROUPS << q.BITS, q.DIM))
+    small, at = vectors[used], {int(b): n for n, b in enumerate(used)}
+    out, bias = np.zeros((2, q.DIM)), np.zeros(2)
+    order = rng.permutation(3)
+
+    def loss(small, out, bias, ids, counts, label):
+        groups = [sum(int(c) for i, c in zip(ids, counts) if i >> q.BITS == g) for g in range(q.GROUPS)]
+        mean = sum(int(c) / groups[i >> q.BITS] / q.GROUPS * small[at[int(i)]] for i, c in zip(ids, counts))
+        logits = out @ mean + bias
+        return np.log(np.exp(logits).sum()) - logits[label]
+
+    def slope(f, x, e=1e-6):
+        grad = np.zeros_like(x)
+        for n in np.ndindex(x.shape):
+            up, down = x.copy(), x.copy()
+            up[n] += e
+            down[n] -= e
+            grad[n] = (f(up) - f(down)) / (2 * e)
+        return grad
+
+    for step, k in enumerate(order):
+        ids, counts, y = bags[k]
+        rate = q.RATE * (1 - step / 3)
+        grads = (
+            slope(lambda v: loss(v, out, bias, ids, counts, y), small),
+            slope(lambda v: loss(small, v, bias, ids, counts, y), out),
+            slope(lambda v: loss(small, out, v, ids, counts, y), bias),
+        )
+        small = small - rate * len(ids) ** 0.5 * grads[0]
+        out, bias = out - rate * grads[1], bias - rate * 0.1 * grads[2]
+    model = q.train(bags)
+    assert np.allclose(model.weights[used], small @ (out[1] - out[0]), atol=1e-6)
+    assert abs(model.bias - (bias[1] - bias[0])) < 1e-6
