@@ -1,13 +1,16 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-Each batch of documents becomes a run: line hash, number of documents, sorted by hash over range
-partitions. Runs of one level are merged into a run of the next when ``FAN_OUT`` of them have
-gathered, so a line is rewritten a logarithmic number of times however many batches come. A
-batch is cleaned by joining its lines with the runs on the hash.
+Each batch of documents is anti-joined with the runs before it, and becomes a run of its own: hashes that no run
+has are new in it, the others are increments of what is there. A run is a table in buckets of the hash, sorted within
+them, so runs are joined and merged bucket by bucket, by sorted order, without a shuffle. Runs of one level are merged into
+one of the next when ``FAN_OUT`` of them have gathered, so a line is rewritten a logarithmic number of times however
+many batches come. How many documents have a line is known when all batches are in; then those with a common
+line lose it.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -15,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chronofold.functions import col_of
 from chronofold.operators.sizing import broadcast_if, measure
-from chronofold.sources.scratch import freeze, new_folder
+from chronofold.sources.scratch import freeze, new_schema
 
 FAN_OUT = 3
 # Fixed value: the white space that is stripped from both ends of a line.
@@ -42,7 +45,8 @@ def line_keys(lines: Column) -> Column:
 
 def line_hashes(lines: Column) -> Column:
     """128 bits of each line's key, null where the key is empty."""
-    hashed = lambda key: F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit(7)).alias("h2"))
+    # the second half hashes the key under another seed; the other way round it would follow from the first
+    hashed = lambda key: F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"))
     return F.transform(line_keys(lines), lambda key: F.when(key != "", hashed(key)))
 
 
@@ -60,11 +64,17 @@ def row_mark(df: DataFrame, text: str) -> Column:
 
 @dataclass
 class LineRuns:
-    """The runs of all batches so far. Levels hold paths of Parquet folders in shared storage."""
+    """The runs of all batches so far. Levels hold names of tables, from the oldest to the newest."""
 
     spark: SparkSession
     text: str = "text"
     levels: list[list[str]] = field(default_factory=list)
+    buckets: int = 0
+    schema: str = ""
+
+    def __post_init__(self) -> None:
+        self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.schema = self.schema or new_schema(self.spark, "lines")
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Count the documents of each line of the batch and keep them as a sorted run.
@@ -75,28 +85,63 @@ class LineRuns:
         hashes = F.array_compact(F.array_distinct(line_hashes(lines_of(col_of(self.text)))))
         marked = batch.select(row_mark(batch, self.text).alias("mark"), F.explode(hashes).alias("h"))
         entries = freeze(marked.select("mark", "h.h1", "h.h2"))
-        self._keep(entries.groupBy(*HASH).agg(F.count("*").alias("docs")), 0)
+        counts = self._stored(entries.groupBy(*HASH).agg(F.count("*").alias("docs")), "batch")
+        fresh = counts
+        for run in self.runs():
+            # a run's new hashes are all that it has beyond the runs before it
+            fresh = fresh.join(self._hint(run.where("fresh")), HASH, "left_anti")
+        known = counts.join(self._hint(fresh), HASH, "left_anti")
+        both = fresh.withColumn("fresh", F.lit(True)).unionByName(known.withColumn("fresh", F.lit(False)))
+        self._keep(self._named(both, "run"), 0)
         return entries
 
-    def _keep(self, counts: DataFrame, level: int) -> None:
-        folder = new_folder(self.spark, f"lines-level{level}")
-        counts.repartitionByRange(*HASH).sortWithinPartitions(*HASH).write.parquet(folder)
+    def runs(self) -> list[DataFrame]:
+        """All runs: h1, h2, docs, and whether the hash was new then. Each hash is new in one run."""
+        return [self.spark.table(t) for level in self.levels for t in level]
+
+    @staticmethod
+    def _hint(df: DataFrame) -> DataFrame:
+        return df.select(*HASH).hint("merge")
+
+    def _stored(self, df: DataFrame, label: str) -> DataFrame:
+        return self.spark.table(self._named(df, label))
+
+    def _named(self, df: DataFrame, label: str) -> str:
+        """A table sorted by hash in each bucket."""
+        name = f"{self.schema}.{label}_{uuid.uuid4().hex}"
+        dealt = df.repartition(self.buckets, *HASH)
+        dealt.write.format("parquet").bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(name)
+        return name
+
+    def _keep(self, run: str, level: int) -> None:
         if len(self.levels) == level:
             self.levels.append([])
-        self.levels[level].append(folder)
+        self.levels[level].append(run)
         if len(self.levels[level]) == FAN_OUT:
-            merged = self._totals(self.levels[level])
+            merged = self._named(self._merged([self.spark.table(t) for t in self.levels[level]]), "run")
             self.levels[level] = []
             self._keep(merged, level + 1)
 
-    def _totals(self, folders: list[str]) -> DataFrame:
-        runs = self.spark.read.schema("h1 bigint, h2 bigint, docs bigint").parquet(*folders)
-        return runs.groupBy(*HASH).agg(F.sum("docs").alias("docs"))
+    @staticmethod
+    def _merged(runs: list[DataFrame]) -> DataFrame:
+        """One run in place of several, two at a time by their order."""
+
+        def two(left: DataFrame, right: DataFrame) -> DataFrame:
+            left, right = left.alias("l"), right.hint("merge").alias("r")
+            same = (F.col("l.h1") == F.col("r.h1")) & (F.col("l.h2") == F.col("r.h2"))
+            docs = F.coalesce("l.docs", F.lit(0)) + F.coalesce("r.docs", F.lit(0))
+            fresh = F.coalesce("l.fresh", F.lit(False)) | F.coalesce("r.fresh", F.lit(False))
+            keys = [F.coalesce(f"l.{h}", f"r.{h}").alias(h) for h in HASH]
+            return left.join(right, same, "full_outer").select(*keys, docs.alias("docs"), fresh.alias("fresh"))
+
+        return reduce(two, runs)
 
     def found_in(self, least: int) -> DataFrame:
         """Hashes of the lines found in at least so many documents of all batches."""
-        folders = [f for level in self.levels for f in level]
-        return self._totals(folders).where(F.col("docs") >= least).select(*HASH)
+        runs = self.runs()
+        if not runs:
+            return self.spark.createDataFrame([], "h1 bigint, h2 bigint")
+        return self._merged(runs).where(F.col("docs") >= least).select(*HASH)
 
     def clean(self, batch: DataFrame, entries: DataFrame, least: int) -> DataFrame:
         """The batch without the lines that are found in at least ``least`` documents of the runs.

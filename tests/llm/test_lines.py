@@ -1,9 +1,12 @@
 import hashlib
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from chronofold.llm import line_rules, line_runs
+from helpers import plan
 from samples import LOWER, no_rows, odd_frame, odd_rows, repeated_words, sentence, words
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -46,6 +49,69 @@ def test_runs_are_compacted_and_keep_their_counts(spark):
     assert runs.found_in(41).count() == 0
 
 
+def test_new_hashes_and_increments(spark):
+    runs = line_runs.LineRuns(spark)
+    for rows in ([(1, "a\nb")], [(2, "b\nc"), (3, "b")]):
+        runs.add(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    first, second = ([(r.docs, r.fresh) for r in run.orderBy("docs").collect()] for run in runs.runs())
+    assert first == [(1, True), (1, True)] and second == [(1, True), (2, False)]
+    joins = plan(runs.found_in(1))
+    # buckets are joined as they lie
+    assert "SortMergeJoin" in joins and "Exchange" not in joins
+
+
+def test_each_hash_is_new_once(spark):
+    runs = line_runs.LineRuns(spark)
+    texts = ["\n".join(f"line {i * j % 17}" for j in range(6)) for i in range(30)]
+    for k in range(10):
+        runs.add(spark.createDataFrame([(i, texts[i]) for i in range(3 * k, 3 * k + 3)], "doc_id bigint, text string"))
+    every = [tuple(r) for run in runs.runs() for r in run.where("fresh").select("h1", "h2").collect()]
+    assert len(every) == len(set(every)) == len({x for t in texts for x in t.split("\n")})
+
+
+def test_halves_of_a_hash_are_independent(spark):
+    """Texts whose first halves are equal by a known collision of the function differ in the second."""
+    pair = colliding_texts()
+    hashes = spark.createDataFrame([(list(pair),)], "l array<string>").select(line_runs.line_hashes(F.col("l")).alias("h")).first().h
+    assert pair[0] != pair[1] and hashes[0].h1 == hashes[1].h1 and hashes[0].h2 != hashes[1].h2
+    common, rare = pair
+    rows = [(i, f"{common}\nown {i}") for i in range(12)] + [(99, rare)]
+    kept = line_runs.drop_common_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id: r.kept for r in kept.collect()}[99] == rare
+
+
+def colliding_texts():
+    """Two texts of 16 bytes with one xxhash64 under seed 42.
+
+    Of two words of 8 bytes the second enters by a bijection, so for any two first words there is a second word that
+    makes up for their difference; words are tried until it is plain text.
+    """
+    rng, most = random.Random(2), 2**64 - 1
+    p1, p2, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+
+    def turned(x, by):
+        return ((x << by) | (x >> (64 - by))) & most
+
+    def into(word):
+        return turned(word * p2 & most, 31) * p1 & most
+
+    def out_of(value):
+        return turned(value * pow(p1, -1, 2**64) & most, 33) * pow(p2, -1, 2**64) & most
+
+    def after(word):
+        return (turned((42 + p5 + 16) & most ^ into(word), 27) * p1 + p4) & most
+
+    def word():
+        return int.from_bytes(bytes(rng.choice(b"abcdefghij") for _ in range(8)), "little")
+
+    while True:
+        first, second, other = word(), word(), word()
+        made = out_of(after(first) ^ after(other) ^ into(second)).to_bytes(8, "little")
+        if first != other and all(32 < b < 127 and not 65 <= b <= 90 for b in made):
+            text = lambda a, b: (a.to_bytes(8, "little") + b).decode()
+            return text(first, second.to_bytes(8, "little")), text(other, made)
+
+
 def test_repeated_rows_are_documents_of_their_own(spark):
     df = spark.createDataFrame([(1, "same\nother")] * 10 + [(2, "other")], "doc_id bigint, text string")
     rows = line_runs.drop_common_lines(df).collect()
