@@ -1,14 +1,14 @@
-"""Adaptive coder for token ids: predictions of order 0 to 2 are mixed and drive a range coder.
+"""Adaptive coder for token ids: predictions of order 0 to 2 are mixed and drive an arithmetic coder.
 
-Ids are cut into blocks that are coded on their own: each begins with empty models and ends
-with nothing carried over, and has a checksum of its ids. For each id the models of order 2
-and order 1 propose the id that last followed the two ids, or the one id, before it. How far each is trusted
-depends on how often it was right there, and on how the two agree; these chances are learned. An id that neither
-proposes is coded by order 0: its magnitude and its leading bits by learned frequencies, the other
-bits evenly.
+Ids are cut into blocks that are coded on their own: each begins with empty models and ends with nothing carried
+over, and has a checksum of its ids. An id is sixteen binary decisions, from its highest bit on. For each of them the models
+of order 0 (the id's bits so far), order 1 (and the id before) and order 2 (and the two ids before) have a learned chance. The
+three are mixed in the logistic domain with weights that each block learns, a set for each bit; the mixed chance codes
+the bit, and the bit corrects the weights and the three chances.
 
-All blocks of a call are coded side by side, a step of every block at a time, so that numpy works on
-long arrays. The coder is a carryless range coder on 64 bits that writes 16 bits at a time.
+All blocks of a call are coded side by side, a bit of every block at a time, so that numpy works on long
+arrays. All sums are on integers, so any machine decodes what another has coded. The coder is a carryless range
+coder on 64 bits that writes 16 bits at a time.
 """
 
 from __future__ import annotations
@@ -20,81 +20,95 @@ import numpy as np
 
 BLOCK = 4096
 LANES = 1024
-MOST_ID = (1 << 16) - 1
-SLOTS = 1 << 11
+ID_BITS = 16
+MOST_ID = (1 << ID_BITS) - 1
+ORDERS = 3
+# Slots of a block for each order, by a hash of the context and the bits so far.
+SLOT_BITS = (12, 13, 13)
 U = np.uint64
 TOP, BOTTOM = U(1 << 48), U(1 << 32)
 SHIFT16, TOP_BITS = U(16), U(48)
-# Chances are out of 4096; a learned one moves by a 16th of its error.
+# Mixed chances are out of 4096; learned ones out of 65536, with a count of up to 15 below.
 ONE_BITS = 12
 ONE = 1 << ONE_BITS
-LIMIT, STEP = 1 << 13, 24
-# Magnitudes of an id plus one, and the values of its leading bits.
-SIZES, LEADS = 17, 16
-# A slot of a context: the id that last followed it, plus one, and above that its record.
-RECORD = 17
+COUNT_BITS, MOST_COUNT = 4, 15
+# Logits in 256ths, up to 8.
+LOGIT_ONE, LOGIT_MOST = 256, 2047
+# Weights have 14 bits behind the point and stay below 8, so that no sum leaves 32 bits.
+WEIGHT_BITS = 14
+WEIGHT_ONE, WEIGHT_MOST = 1 << WEIGHT_BITS, (1 << 17) - 1
+RATE = 10
 
 
-class Models:
-    """What the blocks have learned so far; a row for each block."""
+def _stretch() -> np.ndarray:
+    """Logits of the chances (k + 1/2) / 4096."""
+    p = (np.arange(ONE) + 0.5) / ONE
+    return np.clip(np.rint(LOGIT_ONE * np.log(p / (1 - p))), -LOGIT_MOST, LOGIT_MOST).astype(np.int32)
+
+
+def _squash() -> np.ndarray:
+    """Chances of the logits from -2047 on; none is 0 or 1."""
+    x = np.arange(-LOGIT_MOST, LOGIT_MOST + 1) / LOGIT_ONE
+    return np.clip(np.rint(ONE / (1 + np.exp(-x))), 1, ONE - 1).astype(np.int32)
+
+
+STRETCH, SQUASH = _stretch(), _squash()
+MOST_CHANCE = (1 << 16) - 1
+# A chance moves by its error over its count and a half, in 16384ths.
+STEPS = np.array([(1 << 14) * 2 // (2 * n + 3) for n in range(MOST_COUNT + 1)], np.int32)
+
+
+class Mixer:
+    """What the blocks have learned so far: chances by order, and the weights that mix them.
+
+    Arrays have a row for each order and a column for each block.
+    """
 
     def __init__(self, lanes: int) -> None:
-        row = np.arange(lanes, dtype=np.int32)
-        self.slot_row, self.chance_row, self.lead_row = row * SLOTS, row * 32, row * SIZES
-        self.next1 = np.zeros(lanes * SLOTS, np.int32)
-        self.next2 = np.zeros(lanes * SLOTS, np.int32)
-        # the chance that a proposal is right, by both records and whether the orders agree
-        self.right2 = np.full(lanes * 32, ONE // 2, np.int32)
-        self.right1 = np.full(lanes * 32, ONE // 3, np.int32)
-        self.sizes = np.ones((lanes, SIZES), np.int32)
-        self.leads = np.ones((lanes * SIZES, LEADS), np.int32)
+        slots = [lanes << bits for bits in SLOT_BITS]
+        self.chances = np.full(sum(slots), 1 << (15 + COUNT_BITS), np.int32)
+        begins = np.cumsum([0, *slots[:-1]])
+        self.first = np.stack([b + (np.arange(lanes) << bits) for b, bits in zip(begins, SLOT_BITS)]).astype(np.int32)
+        self.shift = np.array([[32 - bits] for bits in SLOT_BITS], np.uint32)
+        self.weights = np.full((ID_BITS, ORDERS, lanes), WEIGHT_ONE * 2 // 5, np.int32)
         self.last = np.zeros(lanes, np.int32)
         self.before = np.zeros(lanes, np.int32)
 
-    def propose(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """What orders 2 and 1 propose, plus one (0: nothing), and the widths of their intervals.
-
-        Widths are out of 4096; what both leave says neither.
-        """
-        context = self.last[:n] * np.int32(40503)
-        self.at1 = self.slot_row[:n] + ((context >> 4) & (SLOTS - 1))
-        self.at2 = self.slot_row[:n] + (((context + self.before[:n] * np.int32(60493)) >> 3) & (SLOTS - 1))
-        self.slot1, self.slot2 = self.next1[self.at1], self.next2[self.at2]
-        p1, p2 = self.slot1 & 0x1FFFF, self.slot2 & 0x1FFFF
-        records = (self.slot2 >> RECORD) * 4 + (self.slot1 >> RECORD)
-        self.same = p1 == p2
-        self.chance2 = self.chance_row[:n] + records * 2 + self.same
-        self.chance1 = self.chance_row[:n] + records
-        self.c2, self.c1 = self.right2[self.chance2], self.right1[self.chance1]
-        w2 = (p2 > 0) * self.c2
-        w1 = ((p1 > 0) & ~self.same) * (((ONE - w2) * self.c1) >> ONE_BITS)
-        return p1, p2, w1, w2
-
-    def learn(self, n: int, x: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, p2: np.ndarray) -> None:
-        """Take in ids (plus one); ``hit1`` and ``hit2`` say whose proposals were right.
-
-        Chances stay between a 64th and its complement, so no interval vanishes.
-        """
-        self.right2[self.chance2] = np.clip(self.c2 + (((hit2 * ONE - self.c2) >> 4) * (p2 > 0)), 64, ONE - 64)
-        self.right1[self.chance1] = np.clip(self.c1 + (((hit1 * ONE - self.c1) >> 4) * ~(self.same | hit2)), 64, ONE - 64)
-        for table, at, slot, hit in ((self.next1, self.at1, self.slot1, hit1), (self.next2, self.at2, self.slot2, hit2)):
-            record = slot >> RECORD
-            # an id that was right twice in a row is kept once more
-            table[at] = np.where(
-                hit,
-                x | (np.minimum(record + 1, 3) << RECORD),
-                np.where(record < 2, x, (slot & 0x1FFFF) | ((record - 2) << RECORD)),
-            )
+    def begin(self, n: int) -> None:
+        """Of the next id of the first ``n`` blocks."""
+        one = self.last[:n].astype(np.uint32) * np.uint32(0x9E3779B1)
+        two = (one ^ (self.before[:n].astype(np.uint32) + np.uint32(1))) * np.uint32(0x85EBCA6B)
+        self.hashes = np.stack([np.zeros(n, np.uint32), one, two ^ (two >> np.uint32(15))])
+        self.lanes = self.first[:, :n]
+
+    def chance(self, n: int, bit: int, node: np.ndarray) -> np.ndarray:
+        """The mixed chance, out of 4096, that the next bit is set; ``node`` has the bits so far after a one."""
+        mixed = (self.hashes + node.view(np.uint32) * np.uint32(0x2C1B3C6D)) * np.uint32(0x9E3779B1)
+        slot = (mixed >> self.shift).view(np.int32)
+        if bit < SLOT_BITS[0]:
+            slot[0] = node  # the first twelve bits have an order 0 of their own
+        self.at = self.lanes + slot
+        self.found = self.chances.take(self.at)
+        self.logits = STRETCH.take(self.found >> (16 + COUNT_BITS - ONE_BITS))
+        self.used = self.weights[bit, :, :n]
+        parts = self.logits * self.used
+        dot = (parts[0] + parts[1] + parts[2]) >> WEIGHT_BITS
+        self.mixed = SQUASH.take(dot + LOGIT_MOST, mode="clip")
+        return self.mixed
+
+    def learn(self, n: int, bit: int, value: np.ndarray) -> None:
+        """Take in the bits: weights by what each logit would have helped, chances by their errors."""
+        error = ((value << ONE_BITS) - self.mixed) * RATE
+        # logits and errors have 8 and 12 bits behind the point
+        moved = self.used + ((self.logits * error + (1 << 11)) >> 12)
+        self.weights[bit, :, :n] = np.minimum(np.maximum(moved, -WEIGHT_MOST), WEIGHT_MOST)
+        chance = self.found >> COUNT_BITS
+        chance += (value * MOST_CHANCE - chance) * STEPS.take(self.found & MOST_COUNT) >> 14
+        self.chances[self.at] = (chance << COUNT_BITS) | np.minimum((self.found & MOST_COUNT) + 1, MOST_COUNT)
+
+    def end(self, n: int, ids: np.ndarray) -> None:
         self.before[:n] = self.last[:n]
-        self.last[:n] = x
-
-
-def count(table: np.ndarray, at: np.ndarray, symbol: np.ndarray, total: np.ndarray) -> None:
-    """Count symbols in rows of a table of frequencies; rows over the limit are halved."""
-    table[at, symbol] += STEP
-    full = np.flatnonzero(total > LIMIT)
-    if len(full):
-        table[at[full]] = (table[at[full]] >> 1) | 1
+        self.last[:n] = ids + 1
 
 
 def settle(low: np.ndarray, range_: np.ndarray, emit) -> None:
@@ -116,82 +130,70 @@ def settle(low: np.ndarray, range_: np.ndarray, emit) -> None:
         move = move[((lo ^ (lo + ra)) < TOP) | (ra < BOTTOM)]
 
 
-class Writer:
-    """Range coders of many blocks; each writes 16-bit units into a row of its own."""
+class Coder:
+    """Range coders of many blocks. A set bit takes the lower part of an interval."""
 
     def __init__(self, lanes: int) -> None:
         self.low = np.zeros(lanes, U)
         self.range = np.full(lanes, 0xFFFFFFFFFFFFFFFF, U)
+
+    def narrow(self, n: int, value: np.ndarray, chance: np.ndarray, unit: np.ndarray) -> None:
+        """To the part of the bits. At most two between calls of ``settle``."""
+        part = unit * chance.astype(U)
+        clear = value == 0
+        self.low[:n] += np.where(clear, part, U(0))
+        self.range[:n] = np.where(clear, (unit << U(ONE_BITS)) - part, part)
+
+    def unit(self, n: int) -> np.ndarray:
+        return self.range[:n] >> U(ONE_BITS)
+
+
+class Writer(Coder):
+    """Each block writes 16-bit units into a row of its own."""
+
+    def __init__(self, lanes: int) -> None:
+        super().__init__(lanes)
         self.out = np.zeros((lanes, BLOCK), np.uint16)
         self.size = np.zeros(lanes, np.int64)
 
-    def settle(self, lanes: np.ndarray) -> None:
+    def settle(self, n: int) -> None:
         def emit(move, low):
-            k = lanes[move]
-            if self.size[k].max() >= self.out.shape[1]:
+            if self.size[move].max() >= self.out.shape[1]:
                 self.out = np.concatenate([self.out, np.zeros_like(self.out[:, : BLOCK // 2])], axis=1)
-            self.out[k, self.size[k]] = (low >> TOP_BITS).astype(np.uint16)
-            self.size[k] += 1
-
-        low, range_ = self.low[lanes], self.range[lanes]
-        settle(low, range_, emit)
-        self.low[lanes], self.range[lanes] = low, range_
+            self.out[move, self.size[move]] = (low >> TOP_BITS).astype(np.uint16)
+            self.size[move] += 1
 
-    def narrow(self, lanes, start: np.ndarray, width: np.ndarray, total) -> None:
-        """To part of the interval. At most two between calls of ``settle``, of totals that
-        multiply to 2 ** 25 or less."""
-        unit = self.range[lanes] // total
-        self.low[lanes] += unit * start.astype(U)
-        self.range[lanes] = unit * width.astype(U)
+        settle(self.low[:n], self.range[:n], emit)
 
     def finish(self) -> list[bytes]:
         ends = ((self.low[:, None] >> np.array([48, 32, 16, 0], U)) & U(0xFFFF)).astype("<u2")
         return [o[:n].astype("<u2").tobytes() + e.tobytes() for o, n, e in zip(self.out, self.size, ends)]
 
 
-class Reader:
+class Reader(Coder):
     """The counterpart of ``Writer``."""
 
     def __init__(self, blocks: list[bytes]) -> None:
+        super().__init__(len(blocks))
         starts = np.cumsum([0] + [len(b) // 2 for b in blocks])[:-1]
         self.units = np.concatenate([np.frombuffer(b"".join(blocks), "<u2"), np.zeros(8, np.uint16)])
         self.at = starts.copy()
-        n = len(blocks)
-        self.low = np.zeros(n, U)
-        self.range = np.full(n, 0xFFFFFFFFFFFFFFFF, U)
-        self.code = np.zeros(n, U)
+        self.code = np.zeros(len(blocks), U)
         for _ in range(4):
             self.code = (self.code << SHIFT16) | self.units[self.at].astype(U)
             self.at += 1
 
-    def settle(self, lanes: np.ndarray) -> None:
+    def settle(self, n: int) -> None:
         def emit(move, _):
-            k = lanes[move]
-            units = self.units[np.minimum(self.at[k], len(self.units) - 1)]
-            self.code[k] = (self.code[k] << SHIFT16) | units.astype(U)
-            self.at[k] += 1
-
-        low, range_ = self.low[lanes], self.range[lanes]
-        settle(low, range_, emit)
-        self.low[lanes], self.range[lanes] = low, range_
-
-    def peek(self, lanes, total) -> np.ndarray:
-        """Where in its total each code lies."""
-        self.unit = self.range[lanes] // total
-        found = (self.code[lanes] - self.low[lanes]) // self.unit
-        return np.minimum(found, total - U(1)).astype(np.int64)
-
-    def narrow(self, lanes, start: np.ndarray, width: np.ndarray) -> None:
-        self.low[lanes] += self.unit * start.astype(U)
-        self.range[lanes] = self.unit * width.astype(U)
+            units = self.units[np.minimum(self.at[move], len(self.units) - 1)]
+            self.code[move] = (self.code[move] << SHIFT16) | units.astype(U)
+            self.at[move] += 1
 
+        settle(self.low[:n], self.range[:n], emit)
 
-def parts(value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Magnitude, leading bits, the other bits and how many, of ids plus one."""
-    size = np.frexp(value.astype(np.float32))[1] - 1
-    rest_bits = np.maximum(size - 4, 0)
-    mantissa = value - (1 << size)
-    return size, mantissa >> rest_bits, mantissa & ((1 << rest_bits) - 1), rest_bits
+    def bits(self, n: int, chance: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """The next bit of each block."""
+        return ((self.code[:n] - self.low[:n]) < unit * chance.astype(U)).astype(np.int32)
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -210,35 +212,20 @@ def _encode(ids: np.ndarray) -> bytes:
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)
     last = len(ids) - (lanes - 1) * BLOCK
-    models, writer, every = Models(lanes), Writer(lanes), np.arange(lanes)
-    one = U(ONE)
+    mixer, writer = Mixer(lanes), Writer(lanes)
     for step in range(min(BLOCK, len(ids))):
         n = lanes if step < last else lanes - 1
-        x = grid[step, :n] + 1
-        p1, p2, w1, w2 = models.propose(n)
-        hit2, hit1 = p2 == x, p1 == x
-        take1 = hit1 & ~hit2
-        miss = np.flatnonzero(~(hit1 | hit2))
-        both = w1 + w2
-        width = np.where(hit2, w2, np.where(take1, w1, ONE - both))
-        writer.narrow(slice(0, n), np.where(hit2, 0, np.where(take1, w2, both)), width, one)
-        if len(miss):
-            size, lead, rest, rest_bits = parts(x[miss])
-            k = np.arange(len(miss))
-            upto = np.cumsum(models.sizes[miss], axis=1)
-            width = models.sizes[miss, size]
-            writer.narrow(miss, upto[k, size] - width, width, upto[:, -1].astype(U))
-            count(models.sizes, miss, size, upto[:, -1])
-        writer.settle(every[:n])
-        if len(miss):
-            at = models.lead_row[miss] + size
-            upto = np.cumsum(models.leads[at], axis=1)
-            width = models.leads[at, lead]
-            writer.narrow(miss, upto[k, lead] - width, width, upto[:, -1].astype(U))
-            count(models.leads, at, lead, upto[:, -1])
-            writer.narrow(miss, rest, np.ones(len(miss), U), (1 << rest_bits).astype(U))
-            writer.settle(miss)
-        models.learn(n, x, hit1, hit2, p2)
+        x = grid[step, :n]
+        mixer.begin(n)
+        node = np.ones(n, np.int32)
+        for bit in range(ID_BITS):
+            value = (x >> (ID_BITS - 1 - bit)) & 1
+            writer.narrow(n, value, mixer.chance(n, bit, node), writer.unit(n))
+            mixer.learn(n, bit, value)
+            node = node * 2 + value
+            if bit % 2:
+                writer.settle(n)
+        mixer.end(n, x)
     out = []
     for k, code in enumerate(writer.finish()):
         block = ids[k * BLOCK : (k + 1) * BLOCK]
@@ -254,7 +241,7 @@ def decode(raw: bytes) -> np.ndarray:
         length, size, crc = struct.unpack_from("<III", raw, at)
         blocks.append((length, crc, raw[at + 12 : at + 12 + size]))
         at += 12 + size
-    if at != len(raw) or any(len(code) < 8 for _, _, code in blocks):
+    if at != len(raw) or any(len(code) < 8 or not 0 < length <= BLOCK for length, _, code in blocks):
         raise ValueError("the coded ids are cut short")
     found = [_decode(blocks[i : i + LANES]) for i in range(0, n, LANES)]
     return np.concatenate(found) if found else np.zeros(0, np.int32)
@@ -263,41 +250,21 @@ def decode(raw: bytes) -> np.ndarray:
 def _decode(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
     lanes, last = len(blocks), blocks[-1][0]
     grid = np.zeros((max(b[0] for b in blocks), lanes), np.int32)
-    models, reader, every = Models(lanes), Reader([b[2] for b in blocks]), np.arange(lanes)
-    one = U(ONE)
+    mixer, reader = Mixer(lanes), Reader([b[2] for b in blocks])
     for step in range(len(grid)):
         n = lanes if step < last else lanes - 1
-        p1, p2, w1, w2 = models.propose(n)
-        both = w1 + w2
-        where = reader.peek(slice(0, n), one)
-        take2, neither = where < w2, where >= both
-        take1 = ~(take2 | neither)
-        width = np.where(take2, w2, np.where(take1, w1, ONE - both))
-        reader.narrow(slice(0, n), np.where(take2, 0, np.where(take1, w2, both)), width)
-        x = np.where(take2, p2, p1)
-        miss = np.flatnonzero(neither)
-        if len(miss):
-            k = np.arange(len(miss))
-            upto = np.cumsum(models.sizes[miss], axis=1)
-            size = (upto <= reader.peek(miss, upto[:, -1].astype(U))[:, None]).sum(axis=1)
-            width = models.sizes[miss, size]
-            reader.narrow(miss, upto[k, size] - width, width)
-            count(models.sizes, miss, size, upto[:, -1])
-        reader.settle(every[:n])
-        if len(miss):
-            at = models.lead_row[miss] + size
-            upto = np.cumsum(models.leads[at], axis=1)
-            lead = (upto <= reader.peek(miss, upto[:, -1].astype(U))[:, None]).sum(axis=1)
-            width = models.leads[at, lead]
-            reader.narrow(miss, upto[k, lead] - width, width)
-            count(models.leads, at, lead, upto[:, -1])
-            rest_bits = np.maximum(size - 4, 0)
-            rest = reader.peek(miss, (1 << rest_bits).astype(U))
-            reader.narrow(miss, rest, np.ones(len(miss), U))
-            reader.settle(miss)
-            x[miss] = (1 << size) + (lead << rest_bits) + rest
-        grid[step, :n] = x - 1
-        models.learn(n, x, p1 == x, p2 == x, p2)
+        mixer.begin(n)
+        node = np.ones(n, np.int32)
+        for bit in range(ID_BITS):
+            chance, unit = mixer.chance(n, bit, node), reader.unit(n)
+            value = reader.bits(n, chance, unit)
+            reader.narrow(n, value, chance, unit)
+            mixer.learn(n, bit, value)
+            node = node * 2 + value
+            if bit % 2:
+                reader.settle(n)
+        grid[step, :n] = node - (1 << ID_BITS)
+        mixer.end(n, grid[step, :n])
     out = []
     for k, (length, crc, _) in enumerate(blocks):
         ids = np.ascontiguousarray(grid[:length, k])

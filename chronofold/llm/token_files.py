@@ -6,7 +6,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,29 +15,23 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from chronofold.functions import col_of
 from chronofold.llm import id_coder
 from chronofold.llm.batches import small_batches
+from chronofold.llm.encoder import CHUNK, encoder
 from chronofold.sources.scratch import freeze, new_folder
 
 MAGIC = b"TOKR0001"
 END_ID = 0
-# Characters that are encoded at once: the tokenizer takes about a hundred bytes for an id.
-CHUNK = 1 << 18
+# Characters of a text by which rows of one key are dealt to tasks.
+PREFIX = 64
 
 
-class Encoder:
-    """Ids of texts by a tokenizer file; strings of special tokens are ordinary text."""
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, ``END_ID`` after each text, and how many each text has with it."""
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.fromiter(map(len, coded), np.int64, len(coded))
-        ids = np.fromiter(chain.from_iterable(coded), np.int32, int(counts.sum()))
-        return np.insert(ids, np.cumsum(counts), END_ID), counts + 1
+def coded(texts: list[str], tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, ``END_ID`` after each text, and how many each text has with it."""
+    ids, counts = encoder(tokenizer).encode(texts)
+    ended = np.full(len(ids) + len(counts), END_ID, np.int32)
+    kept = np.ones(len(ended), bool)
+    kept[np.cumsum(counts + 1) - 1] = False
+    ended[kept] = ids
+    return ended, counts + 1
 
 
 def chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -130,38 +123,40 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, text: str = "text",
 
     The manifest has a row for each file: path, docs, tokens, and start, the number of ids in the files
     before it. Every document ends with id 0; a null or empty text has that alone. Null keys come first, rows with
-    one key are in order of their text. Keys are whole numbers. An empty table writes no file.
+    one key are in order of their text, and are dealt to tasks by how it begins; only rows with one key and one beginning
+    share a file. Keys are whole numbers. An empty table writes no file.
     """
     slim = df.select(col_of(key).cast("long").alias("key"), col_of(text).alias("text"))
-    slim = slim.repartitionByRange(F.col("key").asc_nulls_first())
-    slim = slim.sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
+    by = F.col("key").asc_nulls_first()
+    slim = slim.repartitionByRange(by, F.substring("text", 1, PREFIX)).sortWithinPartitions(by, "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer, first = None, None, None
+        writer, first, begins = None, None, None
         for batch in batches:
             if not len(batch):
                 continue
             if writer is None:
-                encoder, writer = Encoder(tokenizer), FileWriter(folder)
-                first = batch.column(0)[0].as_py()
+                writer = FileWriter(folder)
+                first, begins = batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+                begins = begins and begins[:PREFIX]
             keys = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
             done = 0
             for run in chunks(texts):
-                writer.add(keys[done : done + len(run)], *encoder.encode(run))
+                writer.add(keys[done : done + len(run)], *coded(run, tokenizer))
                 done += len(run)
         if writer is not None:
             path, docs, tokens = writer.close()
-            yield pa.RecordBatch.from_pydict(
-                {"path": [path], "first": pa.array([first], pa.int64()), "docs": [docs], "tokens": [tokens]}
-            )
+            found = {"path": [path], "first": pa.array([first], pa.int64()), "begins": pa.array([begins], pa.string())}
+            yield pa.RecordBatch.from_pydict(found | {"docs": [docs], "tokens": [tokens]})
 
     with small_batches(df.sparkSession):
-        files = freeze(slim.mapInArrow(write, "path string, first bigint, docs bigint, tokens bigint"))
+        files = freeze(slim.mapInArrow(write, "path string, first bigint, begins string, docs bigint, tokens bigint"))
     # a row for each file
-    order = Window.orderBy(F.col("first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    number = F.row_number().over(Window.orderBy(F.col("first").asc_nulls_first())) - 1
-    return freeze(files.withColumns({"number": number, "start": F.coalesce(F.sum("tokens").over(order), F.lit(0))}).drop("first"))
+    order = Window.orderBy(F.col("first").asc_nulls_first(), F.col("begins").asc_nulls_first())
+    number = F.row_number().over(order) - 1
+    start = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return freeze(files.withColumns({"number": number, "start": start}).drop("first", "begins"))
 
 
 def read_tokens(spark: SparkSession, manifest: DataFrame, ids: bool = True) -> DataFrame:

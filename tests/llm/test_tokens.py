@@ -7,6 +7,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from chronofold.llm import id_coder, token_files
+from chronofold.sources.scratch import new_folder
 from samples import no_rows, odd_frame, odd_rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,7 +58,7 @@ def test_coder_finds_damage():
 
 def test_ids_of_texts(tokenizer):
     texts = ["<|endoftext|>", "it's we'll", "", "\x00\x01", "x" * 5000, "東京 😀\n\n a"]
-    ids, counts = token_files.Encoder(PATH).encode(texts)
+    ids, counts = token_files.coded(texts, PATH)
     whole = [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
     assert counts.tolist() == [len(x) for x in whole]
     assert ids.tolist() == [i for x in whole for i in x]
@@ -90,5 +91,47 @@ def test_many_files(spark, small_conf, tokenizer):
     assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[1]) == documents(rows, tokenizer)
 
 
+def test_rows_of_one_key_are_spread(spark, small_conf, tokenizer):
+    small_conf("spark.sql.adaptive.enabled", "false")
+    rows = [(k, f"{i * 7 % 300} of {k}") for k in (None, 5) for i in range(300)] + [(6, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    folder = new_folder(spark, "tokens")
+    manifest = token_files.write_tokens(df, folder, PATH)
+    assert manifest.count() >= 6 and manifest.agg({"docs": "max"}).first()[0] < 250
+    got = token_files.read_tokens(spark, manifest).collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == documents(rows, tokenizer)
+
+
+def test_all_orders_are_mixed():
+    """What repeats after one id, and after two, costs less than its share of all ids; no order is left out."""
+    rng = np.random.default_rng(5)
+    follows = rng.permutation(64)
+    by_one = np.zeros(4000, np.int64)
+    for i in range(1, 4000):
+        by_one[i] = follows[by_one[i - 1]] if i % 4 else rng.integers(64)
+    few = rng.choice(8, 4000) * 31
+    by_two = few.copy()
+    for i in range(2, 4000):
+        by_two[i] = (by_two[i - 1] * 3 + by_two[i - 2] * 5) % 11 if i % 3 else few[i] % 11
+    even = rng.integers(0, 64, 4000)
+    cost = lambda ids: len(id_coder.encode(ids)) * 8 / len(ids)
+    assert cost(even) > 6 and cost(by_one) < 4 and cost(few) < 3.3 and cost(by_two) < 2.5
+    ids = np.concatenate([by_one, few])
+    mixer = id_coder.Mixer(1)
+    for x in ids[:2000]:
+        mixer.begin(1)
+        node = np.ones(1, np.int32)
+        for bit in range(id_coder.ID_BITS):
+            value = np.array([x >> (id_coder.ID_BITS - 1 - bit) & 1], np.int32)
+            chance = mixer.chance(1, bit, node)
+            assert 0 < chance[0] < id_coder.ONE
+            logits = mixer.logits[:, 0] * mixer.used[:, 0] >> id_coder.WEIGHT_BITS
+            assert abs(np.clip(logits.sum(), -2047, 2047) - np.log(chance[0] / (4096 - chance[0])) * 256) < 300
+            mixer.learn(1, bit, value)
+            node = node * 2 + value
+        mixer.end(1, np.array([x], np.int32))
+    assert len({tuple(w) for w in mixer.weights[:, :, 0].tolist()}) > 4
+
+
 def test_no_rows_no_file(spark):
     assert token_files.token_round_trip(no_rows(spark), PATH).count() == 0
