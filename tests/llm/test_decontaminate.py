@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from chronofold.llm import decontaminate as d
@@ -38,7 +39,7 @@ def documents():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("pass_bytes", [d.PASS_BYTES, 600])
+@pytest.mark.parametrize("pass_bytes", [d.PASS_BYTES, 4000])
 @pytest.mark.parametrize("width", [13, 5])
 def test_agrees_with_brute_force(spark, monkeypatch, pass_bytes, width):
     monkeypatch.setattr(d, "PASS_BYTES", pass_bytes)
@@ -65,16 +66,50 @@ def test_equal_hashes_are_told_apart_by_the_words(monkeypatch):
     import numpy as np
 
     bench = [("1", "a b c"), ("2", "d e f"), ("3", "a b c")]
-    found = d.benchmark_windows(bench, 3)
-    for w in found:
-        w.hashes[:] = 7
     words = d.Words.windows
     monkeypatch.setattr(d.Words, "windows", lambda self, n: (words(self, n)[0], np.full(len(words(self, n)[0]), 7, np.uint64)))
+    found = d.benchmark_windows([i for i, _ in bench], pa.array([t for _, t in bench]), 3)
+    assert [w.members[a:b].tolist() for w in found.windows for a, b in zip(w.begins, w.begins[1:])] == [[0, 2], [1]]
     raw = b"x d e f y a b d"
     _, hits = d.hits(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), found)
     assert hits == {0: ([(1, 4)], {"2"})}
 
 
+def test_what_is_sent_is_bounded():
+    """Items of 4 MB: the arrays are what the bound counts, a few times the text."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    vocabulary = [sentence(i, 1) for i in range(5000)]
+    texts = [" ".join(rng.choices(vocabulary, k=1000)) for _ in range(750)]
+    size, words = sum(map(len, texts)), 750 * 1000
+    column = pa.array(texts)
+    tracemalloc.start()
+    made = d.benchmark_windows([str(i) for i in range(750)], column, 13)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made.nbytes() <= size + 10_000 + d.BYTES_PER_WORD * words
+    # what is made on the way is a few times that, besides the work on a slice of texts
+    assert made.nbytes() < 6.25 * size and peak < 40_000_000 + 4 * d.BYTES_PER_WORD * words
+
+
+def test_an_item_that_very_many_share(spark):
+    bench = spark.createDataFrame([(i, sentence(100, 20)) for i in range(300)] + [(7, sentence(100, 20))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, sentence(100, 20))], "doc_id bigint, text string")
+    row = d.find_contamination(docs, bench).first()
+    assert row.n_hit == 20 and row["items"] == sorted(str(i) for i in range(300))
+
+
+def test_cutting_with_many_passes(spark, monkeypatch):
+    docs = spark.createDataFrame(documents(), "doc_id bigint, text string")
+    bench = spark.createDataFrame(items(), "item_id bigint, text string")
+    once = {tuple(r) for r in d.find_contamination(docs, bench, remove="spans").select("doc_id", "text", "n_hit").collect()}
+    monkeypatch.setattr(d, "PASS_BYTES", 5000)
+    assert {tuple(r) for r in d.find_contamination(docs, bench, remove="spans").select("doc_id", "text", "n_hit").collect()} == once
+    with pytest.raises(ValueError, match="remove"):
+        d.find_contamination(docs, bench, remove="all")
+
+
 def test_odd_rows_benchmark(spark):
     bench = spark.createDataFrame(items(), "item_id bigint, text string")
     out = d.find_contamination(odd_frame(spark), bench)
