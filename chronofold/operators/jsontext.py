@@ -108,8 +108,9 @@ def infer_json_schema(df: DataFrame, column: str, fractions: str = "double") ->
     """
     if fractions not in ("double", "decimal"):
         raise ValueError("fractions must be 'double' or 'decimal'")
-    records = df.select(F.try_parse_json(col_of(column)).alias("v"))
-    records = records.where("schema_of_variant(v) like 'OBJECT<%'")
+    # What begins with a brace is an object or no JSON, so each text is parsed once.
+    objects = df.where(F.ltrim(col_of(column), F.lit(" \t\n\r")).startswith("{"))
+    records = objects.select(F.try_parse_json(col_of(column)).alias("v"))
     found = records.agg(F.expr("schema_of_variant_agg(v)").alias("s")).first()["s"]
     if found is None or not found.startswith("OBJECT<"):
         raise ValueError(f"column {column} holds no JSON object")

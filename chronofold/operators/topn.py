@@ -40,6 +40,26 @@ def top_rows(
     return rows if column else rows.drop(name)
 
 
+def top_rows_of(
+    df: DataFrame,
+    wanted: DataFrame,
+    n: int,
+    by: Sequence[str],
+    order: Mapping[str, str],
+    column: str | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``top_rows`` of the groups that another table names, in its columns ``by``.
+
+    Where ``df`` is stored in partitions of these columns and ``wanted`` is measured as small, Spark reads the partitions of the
+    wanted groups only, although they are known no sooner than the query runs.
+    """
+    keys = wanted.select(*[col_of(c) for c in by]).distinct()
+    small = measure(keys).fits(broadcast_bytes)
+    mine = df.join(F.broadcast(keys) if small else keys, list(by), "left_semi")
+    return top_rows(mine.select(*[col_of(c) for c in df.columns]), n, by, order, column)
+
+
 def _first(df, n, by, order, name) -> DataFrame:
     window = Window.partitionBy(*[col_of(c) for c in by]).orderBy(*ascending_or_descending(order))
     return df.withColumn(name, F.row_number().over(window)).where(col_of(name) <= n)

@@ -470,6 +470,22 @@ union all
 select id, name, city, date '2023-10-01', date '2024-05-31', false from fresh
 """,
 }
+ORACLE |= {
+    "topn_dynamic_pruned": """
+select c_custkey, c_acctbal, c_nationkey,
+       cast(row_number() over (partition by c_nationkey order by c_acctbal desc, c_custkey) as integer) as rn
+from customer
+where c_nationkey in (select n_nationkey from nation join region on n_regionkey = r_regionkey
+                      where r_name in ('EUROPE', 'ASIA'))
+qualify rn <= 3
+""",
+    "skew_salted_aggregate": """
+select case when l_quantity > 10 then 0 else l_suppkey end as s_suppkey, count(*) as lines,
+       sum(l_quantity) as quantity, min(l_quantity) as least, max(l_quantity) as most,
+       count(distinct l_orderkey) as orders, true as near, true as middle
+from lineitem group by 1
+""",
+}
 # The plans for large batches give the same rows.
 for name in ("scd2_change_log", "scd2_apply_late", "merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
     ORACLE[f"{name}_shuffled"] = ORACLE[name]

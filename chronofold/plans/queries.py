@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronofold.operators import changelog, dedup, jsontext, merge, nested, scd2, skew, topn
+from chronofold.operators import aggregate, changelog, dedup, jsontext, merge, nested, scd2, skew, topn
 from chronofold.plans import inputs
 from chronofold.plans.inputs import AS_OF, CUSTOMER_DIM, ORDER_DIM
 from chronofold.sources import buckets, dimension, tables
@@ -630,7 +630,46 @@ def topn_pruned(spark, folder):
     return topn.top_ranked(finished, 5, ["o_orderstatus"], {"o_totalprice": "desc"}, column="rnk")
 
 
-# Joins on a hot key
+def stored_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers in a partition for each nation."""
+    stored = new_folder(spark, "customers")
+    customers = tables.load(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    customers.repartition("c_nationkey").write.partitionBy("c_nationkey").parquet(stored)
+    return spark.read.parquet(stored)
+
+
+@query
+def topn_dynamic_pruned(spark, folder):
+    """The richest customers of each nation of two regions; the nations are looked up in other tables."""
+    region = tables.load(spark, folder, "region").where("r_name in ('EUROPE', 'ASIA')")
+    nation = tables.load(spark, folder, "nation")
+    wanted = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr("n_nationkey as c_nationkey")
+    order = {"c_acctbal": "desc", "c_custkey": "asc"}
+    return topn.top_rows_of(stored_customers(spark, folder), wanted, 3, ["c_nationkey"], order, "rn")
+
+
+# Aggregates and joins on a hot key
+
+
+SUPPLIED = {
+    "lines": aggregate.Measure("count"),
+    "quantity": aggregate.Measure("sum", "l_quantity"),
+    "least": aggregate.Measure("min", "l_quantity"),
+    "most": aggregate.Measure("max", "l_quantity"),
+    "orders": aggregate.Measure("distinct", "l_orderkey"),
+    "about": aggregate.Measure("approx_distinct", "l_orderkey", size=14),
+    "median": aggregate.Measure("quantile", "l_quantity", 0.5, size=1000),
+}
+
+
+@query
+def skew_salted_aggregate(spark, folder):
+    """Measures of each supplier's lines, most of which one supplier has; of the sketches how near they come."""
+    found = aggregate.salted_aggregate(inputs.hot_lineitem(spark, folder), ["s_suppkey"], SUPPLIED)
+    near = "abs(about - orders) <= 0.05 * orders + 1 as near"
+    # no value of the middle is missed by more than the sketch's share of ranks: quantities above 10 lie evenly to 50
+    middle = "if(s_suppkey = 0, abs(median - 30.5) <= 1.5, median between least and most) as middle"
+    return found.selectExpr("s_suppkey", "lines", "quantity", "least", "most", "orders", near, middle)
 
 
 def supplier_names(spark: SparkSession, folder: str) -> DataFrame:

@@ -55,9 +55,10 @@ def publish(
     overwrite each other's version.
     """
     spark = df.sparkSession
-    before = live_version(spark, table, PUBLISHED) or 0
-    plain = _is_plain(spark, table)
-    kept_from = int(_properties(spark, table).get(BASE_PROPERTY, before)) if before else 0
+    found = _view_properties(spark, table, PUBLISHED)
+    plain = found is None and _is_plain_name(spark, table)
+    before = int(found[VERSION_PROPERTY]) if found else 0
+    kept_from = int(found.get(BASE_PROPERTY, before)) if found else 0
     version = before + 1
     data = f"{table}__v{version}"
     claim(spark, data, table)
@@ -70,9 +71,9 @@ def publish(
         spark.sql(f"ALTER TABLE {table_name(table)} SET TBLPROPERTIES {mark}")
         spark.sql(f"ALTER TABLE {table_name(table)} RENAME TO {table_name(f'{table}__v0')}")
     point_view(spark, table, version, f"SELECT * FROM {table_name(data)}", PUBLISHED, version)
-    for name in own_tables(spark, table):
+    for name in _named_for(spark, table):
         number = re.fullmatch(r".*__v(\d+)", name)
-        if number and int(number[1]) < kept_from:
+        if number and int(number[1]) < kept_from and owns(spark, table, name):
             spark.sql(f"DROP TABLE IF EXISTS {table_name(name)}")
     return version
 
@@ -110,15 +111,20 @@ def live_version(spark: SparkSession, table: str, kind: str | None = None) -> in
 
     A view of another ``kind`` than the one asked for is an error: the layouts differ.
     """
-    recover(spark, table)
-    if not spark.catalog.tableExists(table):
+    found = _view_properties(spark, table, kind)
+    return int(found[VERSION_PROPERTY]) if found else None
+
+
+def _view_properties(spark: SparkSession, table: str, kind: str | None = None) -> dict[str, str] | None:
+    """The properties of a view of ours; see ``live_version``."""
+    if not spark.catalog.tableExists(table) and not recover(spark, table):
         return None
     found = _properties(spark, table)
     if VERSION_PROPERTY not in found:
         return None
     if kind and found.get(KIND_PROPERTY, kind) != kind:
         raise ValueError(f"{table} is a {found[KIND_PROPERTY]} table, not a {kind} one")
-    return int(found[VERSION_PROPERTY])
+    return found
 
 
 def recover(spark: SparkSession, table: str) -> bool:
@@ -157,12 +163,17 @@ def claim(spark: SparkSession, data: str, table: str) -> None:
 
 def own_tables(spark: SparkSession, table: str) -> list[str]:
     """The data and audit tables that were written for ``table``."""
+    return [n for n in _named_for(spark, table) if owns(spark, table, n)]
+
+
+def _named_for(spark: SparkSession, table: str) -> list[str]:
+    """Tables that have the names of ``table``'s data and audit, whoever's they are."""
     schema, _, base = table.rpartition(".")
     prefix = f"{schema}." if schema else ""
     listed = spark.sql(f"SHOW TABLES IN {table_name(schema)}" if schema else "SHOW TABLES")
     pattern = f"^{re.escape(base.lower())}__(v[0-9]+|rows|keys|claim|audit)$"
     rows = listed.where(F.col("tableName").rlike(pattern) & ~F.col("isTemporary")).collect()
-    return [n for n in (prefix + r["tableName"] for r in rows) if owns(spark, table, n)]
+    return [prefix + r["tableName"] for r in rows]
 
 
 def point_view(
@@ -185,7 +196,7 @@ def add_audit(
             f"CREATE TABLE {table_name(audit)} ({AUDIT_COLUMNS}) USING parquet "
             f"TBLPROPERTIES ('{OWNER_PROPERTY}' = '{owner_name(table)}')"
         )
-    elif not owns(spark, table, audit):
+    elif _properties(spark, audit).get(OWNER_PROPERTY) != owner_name(table):
         raise ValueError(f"{audit} is in the way and does not belong to {table}")
     entries = [F.lit(part) for k, v in metrics.items() for part in (k, str(v))]
     row = spark.range(0, 1, 1, 1).select(
@@ -231,7 +242,12 @@ def drop_table(spark: SparkSession, table: str) -> None:
 
 def _is_plain(spark: SparkSession, table: str) -> bool:
     """Whether the name is taken by an ordinary table; a foreign view of that name is an error."""
-    if live_version(spark, table) is not None or not spark.catalog.tableExists(table):
+    return live_version(spark, table) is None and _is_plain_name(spark, table)
+
+
+def _is_plain_name(spark: SparkSession, table: str) -> bool:
+    """The same for a name that is no view of ours."""
+    if not spark.catalog.tableExists(table):
         return False
     if spark.catalog.getTable(table).tableType == "VIEW":
         raise ValueError(f"{table} is a view that was not made by publish")

@@ -165,3 +165,12 @@ def test_failfast_still_checks_fields_that_are_not_used(spark):
 def test_column_of_the_same_name_as_a_field(spark):
     df = spark.createDataFrame([("x", '{"raw": 1}')], "id string, raw string")
     assert rows(parse_json(df, "raw", "raw int", keep=["id"])) == {("x", 1): 1}
+
+
+def test_inference_parses_each_object_once(spark):
+    texts = ['{"a": 1}', ' \t\r\n{"b": {"c": "x"}}', "[1, 2]", '{"a": ', "null", "7", '"{"', "", None, '{"a": 2.5}']
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    found = infer_json_schema(df, "raw")
+    assert found.simpleString() == "struct<a:double,b:struct<c:string>>"
+    with pytest.raises(ValueError, match="no JSON object"):
+        infer_json_schema(df.where("raw like '[%' or raw = '{\"a\": '"), "raw")
