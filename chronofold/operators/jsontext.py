@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from chronofold.functions import col_of, path_steps
+from chronofold.functions import col_of, path_steps, text
 from chronofold.operators.nested import flatten_records
+from chronofold.sources.tables import append_rows, live_version, publish
 
 PARSED = "__parsed"
+ELEMENTS = "__elements"
 CORRUPT = "_corrupt_record"
 
 
@@ -99,22 +102,150 @@ def _narrowed_type(data_type: T.DataType, rests: Sequence[Sequence[str]]) -> T.D
 
 
 def infer_json_schema(df: DataFrame, column: str, fractions: str = "double") -> T.StructType:
-    """The schema that covers every record of a JSON text column.
+    """The schema that covers every record of a JSON text column; a field that is always null is a string.
 
     A distributed aggregate over all rows; only the schema itself reaches the driver. Text
     that is not a JSON object is skipped. Whole numbers become ``bigint``, or a decimal that
     holds all their digits; numbers with a fraction ``double``, or with ``fractions="decimal"`` a
     decimal too.
     """
+    found = _inferred(df, column, fractions)
+    if found is None:
+        raise ValueError(f"column {column} holds no JSON object")
+    return _settled(found)
+
+
+def _inferred(df: DataFrame, column: str, fractions: str) -> T.StructType | None:
+    """The schema with ``void`` for fields that are always null; none where there is no object."""
     if fractions not in ("double", "decimal"):
         raise ValueError("fractions must be 'double' or 'decimal'")
     # What begins with a brace is an object or no JSON, so each text is parsed once.
     objects = df.where(F.ltrim(col_of(column), F.lit(" \t\n\r")).startswith("{"))
     records = objects.select(F.try_parse_json(col_of(column)).alias("v"))
     found = records.agg(F.expr("schema_of_variant_agg(v)").alias("s")).first()["s"]
-    if found is None or not found.startswith("OBJECT<"):
-        raise ValueError(f"column {column} holds no JSON object")
-    return _struct(_as_ddl(found, fractions))
+    return _struct(_as_ddl(found, fractions)) if found and found.startswith("OBJECT<") else None
+
+
+def _settled(kind: T.DataType) -> T.DataType:
+    """A type with strings where nothing but nulls was seen."""
+    if isinstance(kind, T.NullType):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_settled(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _settled(f.dataType)) for f in kind.fields])
+    return kind
+
+
+def merged_schema(one: T.DataType, other: T.DataType) -> T.DataType:
+    """The least type that holds the values of both.
+
+    ``void`` is below all types. Whole numbers, decimals and doubles widen; structs have the fields of either, the new ones
+    behind; arrays hold what either's elements need. Types that have nothing in common become ``string``, which is above all: it holds
+    the JSON text of any value. The order of merging does not matter, but for the order of fields.
+    """
+    if one == other or isinstance(other, T.NullType):
+        return one
+    if isinstance(one, T.NullType):
+        return other
+    if isinstance(one, T.StructType) and isinstance(other, T.StructType):
+        theirs = {f.name: f.dataType for f in other.fields}
+        fields = [(f.name, merged_schema(f.dataType, theirs.pop(f.name, T.NullType()))) for f in one.fields]
+        return T.StructType([T.StructField(name, kind) for name, kind in [*fields, *theirs.items()]])
+    if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
+        return T.ArrayType(merged_schema(one.elementType, other.elementType))
+    numbers = [_number(one), _number(other)]
+    if None in numbers:
+        return T.StringType()
+    if any(n == "double" for n in numbers):
+        return T.DoubleType()
+    (whole, scale), (whole2, scale2) = numbers
+    digits, scale = max(whole, whole2), max(scale, scale2)
+    if not scale and T.LongType() in (one, other) and digits <= 19:
+        return T.LongType()
+    return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else T.DoubleType()
+
+
+def _number(kind: T.DataType) -> str | tuple[int, int] | None:
+    """Digits before and behind the point that a type of numbers has; none for other types."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return "double"
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    return (19, 0) if isinstance(kind, T.LongType) else None
+
+
+# A stored schema: the versions that its batches have led to.
+SCHEMA_COLUMNS = "batch bigint, schema string, changes array<string>"
+
+
+def evolve_json_schema(df: DataFrame, column: str, table: str, fractions: str = "double") -> T.StructType:
+    """The schema that covers a batch and all batches before, which is kept in ``table``.
+
+    The table is a published one with a row for each batch that changed the schema: its number, the schema with
+    ``void`` for what was always null, and the changes, such as ``+ a.b: bigint`` and ``a.c: bigint -> double``. A batch without JSON
+    objects changes nothing. Rows parsed by an earlier schema are right by a later one.
+    """
+    spark = df.sparkSession
+    before, number = T.StructType([]), 0
+    if live_version(spark, table) is not None:
+        row = spark.table(table).orderBy(F.col("batch").desc()).first()
+        before, number = T.StructType.fromJson(json.loads(row["schema"])), row["batch"]
+    found = _inferred(df, column, fractions)
+    after = before if found is None else merged_schema(before, found)
+    if after != before:
+        changes = [*_changes("", before, after)]
+        added = spark.createDataFrame([(number + 1, after.json(), changes)], SCHEMA_COLUMNS)
+        append_rows(added, table) if number else publish(added, table, "SCHEMA")
+    return _settled(after)
+
+
+def _changes(path: str, before: T.DataType, after: T.DataType) -> Iterator[str]:
+    if isinstance(before, T.StructType) and isinstance(after, T.StructType):
+        known = {f.name: f.dataType for f in before.fields}
+        for f in after.fields:
+            inner = f"{path}.{f.name}" if path else f.name
+            if f.name in known:
+                yield from _changes(inner, known[f.name], f.dataType)
+            else:
+                yield f"+ {inner}: {f.dataType.simpleString()}"
+    elif isinstance(before, T.ArrayType) and isinstance(after, T.ArrayType):
+        yield from _changes(f"{path}[]", before.elementType, after.elementType)
+    elif before != after:
+        yield f"{path}: {before.simpleString()} -> {after.simpleString()}"
+
+
+def flatten_variant(
+    df: DataFrame,
+    column: str,
+    array: str,
+    parents: Mapping[str, tuple[str, str]],
+    items: Mapping[str, tuple[str, str]],
+    outer: bool = True,
+    position: str | None = None,
+) -> DataFrame:
+    """Flatten JSON text of unknown shape: no schema of the records is given.
+
+    ``array`` is the path of an array (``$.items``) or of an object, whose values are taken; ``parents`` and ``items`` map names to
+    a path, in the record and in the element, and the type that the value is read as. What is missing, or can't be read so, is null.
+    With ``outer`` a record without elements stays as one row, also if its text is no JSON. ``position`` names a column for the
+    element's index.
+    """
+    spark = df.sparkSession
+    record = df.select(F.try_parse_json(col_of(column)).alias(PARSED))
+    elements = F.expr(f"try_variant_get({PARSED}, {text(array)}, 'variant')")
+    record = record.withColumn(ELEMENTS, elements)
+    # what is neither array nor object has no elements
+    shape = F.expr(f"if(schema_of_variant({ELEMENTS}) like 'ARRAY<%' or schema_of_variant({ELEMENTS}) like 'OBJECT<%', {ELEMENTS}, null)")
+    record = record.withColumn(ELEMENTS, shape)
+    function = spark.tvf.variant_explode_outer if outer else spark.tvf.variant_explode
+    each = record.lateralJoin(function(F.col(ELEMENTS).outer()))
+    read = lambda value, path, kind: F.expr(f"try_variant_get({value}, {text(path)}, {text(kind)})")
+    return each.select(
+        *[read(PARSED, path, kind).alias(name) for name, (path, kind) in parents.items()],
+        *([F.col("pos").alias(position)] if position else []),
+        *[read("value", path, kind).alias(name) for name, (path, kind) in items.items()],
+    )
 
 
 # Parts of a variant schema: quoted names are copied, type words are mapped.
@@ -128,8 +259,6 @@ def _as_ddl(variant_schema: str, fractions: str) -> str:
         part = match.group(0)
         if part == "OBJECT":
             return "STRUCT"
-        if part == "VOID":
-            return "STRING"
         if match["scale"] and match["scale"] != "0" and fractions == "double":
             return "DOUBLE"
         return part

@@ -486,6 +486,26 @@ select case when l_quantity > 10 then 0 else l_suppkey end as s_suppkey, count(*
 from lineitem group by 1
 """,
 }
+ORACLE |= {
+    "json_variant_explode": SHIPMENTS_OUTER,
+    "json_schema_evolved": """
+select 'event' as kind, event_id as id, cast(json_extract(props, '$.k') as double) as k,
+       cast(null as varchar) as status, cast(null as varchar) as detail_priority,
+       cast(null as varchar) as detail_brand, cast(null as bigint) as detail_size
+from events
+union all
+select 'order', o_orderkey, o_custkey, o_orderstatus, o_orderpriority, null, null from orders
+union all
+select 'part', p_partkey, p_size + 0.5, null, null, p_brand, p_size from part
+""",
+    "json_schema_changes": """
+select cast(batch as bigint) as batch, change from (values
+  (1, '+ k: bigint'),
+  (2, '+ status: string'), (2, '+ detail: struct<priority:string>'),
+  (3, 'k: bigint -> double'), (3, '+ detail.brand: string'), (3, '+ detail.size: bigint')) v(batch, change)
+where exists (select 1 from events) and exists (select 1 from orders) and exists (select 1 from part)
+""",
+}
 # The plans for large batches give the same rows.
 for name in ("scd2_change_log", "scd2_apply_late", "merge_update", "merge_upsert", "scd1_apply", "scd2_classify", "scd2_expire"):
     ORACLE[f"{name}_shuffled"] = ORACLE[name]

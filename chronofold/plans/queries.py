@@ -141,6 +141,54 @@ def json_inferred_schema(spark, folder):
     return jsontext.parse_json(events, "props", schema, keep=["event_id"])
 
 
+def drifting_messages(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """JSON text of three shapes, as batches of one feed: more fields, wider numbers, other fields in a struct."""
+    events = tables.load(spark, folder, "events").selectExpr("'event' as kind", "event_id as id", "props as raw")
+    orders = tables.load(spark, folder, "orders").selectExpr(
+        "'order' as kind",
+        "o_orderkey as id",
+        "to_json(named_struct('k', o_custkey, 'status', o_orderstatus, 'detail', named_struct('priority', o_orderpriority))) as raw",
+    )
+    parts = tables.load(spark, folder, "part").selectExpr(
+        "'part' as kind",
+        "p_partkey as id",
+        "to_json(named_struct('detail', named_struct('brand', p_brand, 'size', p_size), 'k', p_size + 0.5D, 'status', null)) as raw",
+    )
+    return [events, orders, parts]
+
+
+@query
+def json_schema_evolved(spark, folder):
+    """All batches, parsed by the schema that has grown with them."""
+    table = f"{new_schema(spark, "chronofold")}.feed_schema"
+    batches = drifting_messages(spark, folder)
+    for batch in batches:
+        schema = jsontext.evolve_json_schema(batch, "raw", table)
+    parsed = [jsontext.parse_json(b, "raw", schema, keep=["kind", "id"]) for b in batches]
+    every = parsed[0].unionByName(parsed[1]).unionByName(parsed[2])
+    return nested.flatten_structs(every)
+
+
+@query
+def json_schema_changes(spark, folder):
+    table = f"{new_schema(spark, "chronofold")}.feed_schema"
+    for batch in drifting_messages(spark, folder):
+        jsontext.evolve_json_schema(batch, "raw", table)
+    return spark.table(table).select("batch", F.explode("changes").alias("change"))
+
+
+@query
+def json_variant_explode(spark, folder):
+    """The same rows as by a schema, found without one."""
+    return jsontext.flatten_variant(
+        inputs.shipment_messages(spark, folder),
+        "raw_json",
+        "$.items",
+        {"order_id": ("$.order_id", "bigint"), "ship_flag": ("$.ship.flag", "string"), "ship_status": ("$.ship.status", "string")},
+        {"product": ("$.product", "bigint"), "qty": ("$.qty", "double"), "price": ("$.price", "double")},
+    )
+
+
 def mixed_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Event properties, which are JSON, together with documents, which are prose."""
     events = tables.load(spark, folder, "events").select(

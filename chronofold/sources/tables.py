@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -12,6 +13,7 @@ from chronofold.functions import quoted
 VERSION_PROPERTY = "chronofold.version"
 BASE_PROPERTY = "chronofold.base"
 KIND_PROPERTY = "chronofold.kind"
+PARTS_PROPERTY = "chronofold.parts"
 OWNER_PROPERTY = "chronofold.owner"
 PUBLISHED, DIMENSION = "published", "dimension"
 AUDIT_COLUMNS = "version BIGINT, ts TIMESTAMP, operation STRING, metrics MAP<STRING, STRING>"
@@ -60,20 +62,17 @@ def publish(
     before = int(found[VERSION_PROPERTY]) if found else 0
     kept_from = int(found.get(BASE_PROPERTY, before)) if found else 0
     version = before + 1
-    data = f"{table}__v{version}"
-    claim(spark, data, table)
-    write = df.writeTo(table_name(data)).using(file_format)
-    write.tableProperty(OWNER_PROPERTY, owner_name(table)).create()
+    _store(df, table, f"v{version}", file_format)
     add_audit(spark, table, version, operation, metrics or {})
     if plain:
         mark = f"('{OWNER_PROPERTY}' = '{owner_name(table)}')"
         claim(spark, f"{table}__v0", table)
         spark.sql(f"ALTER TABLE {table_name(table)} SET TBLPROPERTIES {mark}")
         spark.sql(f"ALTER TABLE {table_name(table)} RENAME TO {table_name(f'{table}__v0')}")
-    point_view(spark, table, version, f"SELECT * FROM {table_name(data)}", PUBLISHED, version)
+    point_view(spark, table, version, f"SELECT * FROM {table_name(f'{table}__v{version}')}", PUBLISHED, version)
     for name in _named_for(spark, table):
-        number = re.fullmatch(r".*__v(\d+)", name)
-        if number and int(number[1]) < kept_from and owns(spark, table, name):
+        number = _PART.fullmatch(name)
+        if number and int(number[2]) < kept_from and owns(spark, table, name):
             spark.sql(f"DROP TABLE IF EXISTS {table_name(name)}")
     return version
 
@@ -82,30 +81,66 @@ def append_rows(df: DataFrame, table: str) -> int | None:
     """Append to a table by column name, whatever the order of the columns in ``df``.
 
     On a published table that is a new version, which is returned: the rows get a data table of their own and the
-    view reads it besides the ones before, so whoever reads an older version still gets
-    its rows. It is listed by ``history`` with the number of rows. A plain table is appended to in place.
+    view reads it besides the ones before. It is listed by ``history`` with the number of rows. A plain table is appended to in
+    place.
+
+    The last data tables are merged into one when they hold as many appends as the ones before them, like the digits
+    of a binary number: after n appends the view reads about log2(n) tables, and a row was written about as many times. What was
+    published is never rewritten. Merged tables stay until the next version, so queries that run keep what they read.
     """
     spark = df.sparkSession
-    live = live_version(spark, table, PUBLISHED)
-    if live is None:
+    found = _view_properties(spark, table, PUBLISHED)
+    if found is None:
         df.select(*[quoted(c) for c in spark.table(table).columns]).write.mode("append").insertInto(table)
         return None
     fields = spark.table(table).schema.fields
-    base, version = int(_properties(spark, table).get(BASE_PROPERTY, live)), live + 1
-    data = f"{table}__v{version}"
-    claim(spark, data, table)
-    seen = Observation()
+    live = int(found[VERSION_PROPERTY])
+    base, version, before = int(found.get(BASE_PROPERTY, live)), live + 1, _parts(found)
     rows = df.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields])
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write = rows.writeTo(table_name(data)).using("parquet")
-    write.tableProperty(OWNER_PROPERTY, owner_name(table)).create()
+    seen = Observation()
+    _store(rows.observe(seen, F.count(F.lit(1)).alias("rows")), table, f"v{version}")
+    parts, appends, merged = [*before, f"v{version}"], 1, 1
+    while len(parts) - merged > 1 and _appends(parts[-merged - 1]) == appends:
+        appends *= 2
+        merged += 1
+    if merged > 1:
+        whole = f"v{version}_{appends}"
+        sources = [spark.table(f"{table}__{p}") for p in parts[-merged:]]
+        _store(reduce(DataFrame.unionByName, sources), table, whole)
+        parts[-merged:] = [whole]
     add_audit(spark, table, version, "APPEND", seen.get)
     names = ", ".join(quoted(f.name) for f in fields)
-    parts = [f"SELECT {names} FROM {table_name(f'{table}__v{v}')}" for v in range(base, version + 1)]
-    point_view(spark, table, version, " UNION ALL ".join(parts), PUBLISHED, base)
+    queries = [f"SELECT {names} FROM {table_name(f'{table}__{p}')}" for p in parts]
+    point_view(spark, table, version, " UNION ALL ".join(queries), PUBLISHED, base, parts)
+    for name in _named_for(spark, table):
+        part = _PART.fullmatch(name)
+        if part and base <= int(part[2]) and part[1] not in (*before, *parts) and owns(spark, table, name):
+            spark.sql(f"DROP TABLE IF EXISTS {table_name(name)}")
     return version
 
 
+# A data table's version, and the number of appends that it holds if it was merged.
+_PART = re.compile(r".*__(v(\d+)(?:_(\d+))?)")
+
+
+def _appends(part: str) -> int:
+    return int(_PART.fullmatch(f"__{part}")[3] or 1)
+
+
+def _parts(found: dict[str, str]) -> list[str]:
+    """The data tables of a view: its base, and those of the appends."""
+    if PARTS_PROPERTY in found:
+        return found[PARTS_PROPERTY].split(",")
+    live = int(found[VERSION_PROPERTY])
+    return [f"v{v}" for v in range(int(found.get(BASE_PROPERTY, live)), live + 1)]
+
+
+def _store(df: DataFrame, table: str, part: str, file_format: str = "parquet") -> None:
+    claim(df.sparkSession, f"{table}__{part}", table)
+    write = df.writeTo(table_name(f"{table}__{part}")).using(file_format)
+    write.tableProperty(OWNER_PROPERTY, owner_name(table)).create()
+
+
 def live_version(spark: SparkSession, table: str, kind: str | None = None) -> int | None:
     """The version a view of ours points at; None for a plain or missing table.
 
@@ -171,18 +206,19 @@ def _named_for(spark: SparkSession, table: str) -> list[str]:
     schema, _, base = table.rpartition(".")
     prefix = f"{schema}." if schema else ""
     listed = spark.sql(f"SHOW TABLES IN {table_name(schema)}" if schema else "SHOW TABLES")
-    pattern = f"^{re.escape(base.lower())}__(v[0-9]+|rows|keys|claim|audit)$"
+    pattern = f"^{re.escape(base.lower())}__(v[0-9]+(_[0-9]+)?|rows|keys|claim|audit)$"
     rows = listed.where(F.col("tableName").rlike(pattern) & ~F.col("isTemporary")).collect()
     return [prefix + r["tableName"] for r in rows]
 
 
 def point_view(
-    spark: SparkSession, table: str, version: int, query: str, kind: str, base: int = 0
+    spark: SparkSession, table: str, version: int, query: str, kind: str, base: int = 0, parts: list[str] | None = None
 ) -> None:
+    listed = f", '{PARTS_PROPERTY}' = '{','.join(parts)}'" if parts else ""
     spark.sql(
         f"CREATE OR REPLACE VIEW {table_name(table)} TBLPROPERTIES ("
         f"'{VERSION_PROPERTY}' = '{version}', '{BASE_PROPERTY}' = '{base}', "
-        f"'{KIND_PROPERTY}' = '{kind}') AS {query}"
+        f"'{KIND_PROPERTY}' = '{kind}'{listed}) AS {query}"
     )
 
 

@@ -2,8 +2,11 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from chronofold.operators.jsontext import (
+    evolve_json_schema,
     flatten_json,
+    flatten_variant,
     infer_json_schema,
+    merged_schema,
     narrowed,
     parse_json,
     split_rejects,
@@ -174,3 +177,69 @@ def test_inference_parses_each_object_once(spark):
     assert found.simpleString() == "struct<a:double,b:struct<c:string>>"
     with pytest.raises(ValueError, match="no JSON object"):
         infer_json_schema(df.where("raw like '[%' or raw = '{\"a\": '"), "raw")
+
+
+def kind(text):
+    return T.DataType.fromDDL(text)
+
+
+LATTICE = [
+    ("bigint", "double", "double"), ("bigint", "decimal(20,0)", "decimal(20,0)"), ("decimal(5,2)", "bigint", "decimal(21,2)"),
+    ("decimal(38,0)", "decimal(38,10)", "double"), ("void", "struct<a:int>", "struct<a:int>"), ("string", "bigint", "string"),
+    ("boolean", "bigint", "string"), ("struct<a:bigint>", "array<bigint>", "string"), ("array<void>", "array<bigint>", "array<bigint>"),
+    ("struct<a:bigint,b:void>", "struct<b:string,c:double>", "struct<a:bigint,b:string,c:double>"),
+    ("array<struct<x:bigint>>", "array<struct<x:double,y:void>>", "array<struct<x:double,y:void>>"),
+]
+
+
+@pytest.mark.parametrize("one,other,both", LATTICE)
+def test_merged_schemas(spark, one, other, both):
+    one, other, both = map(kind, (one, other, both))
+    assert merged_schema(one, other) == both
+    assert merged_schema(one, one) == one and merged_schema(both, one) == both and merged_schema(both, other) == both
+    swapped = merged_schema(other, one)
+    assert merged_schema(swapped, both).simpleString() == swapped.simpleString()
+
+
+def test_merging_in_any_order(spark):
+    import itertools
+
+    kinds = [kind(k) for k in ("bigint", "double", "decimal(12,2)", "void", "string", "array<bigint>", "struct<a:bigint>", "boolean")]
+    for a, b, c in itertools.product(kinds, repeat=3):
+        assert merged_schema(a, b) == merged_schema(b, a)
+        assert merged_schema(merged_schema(a, b), c) == merged_schema(a, merged_schema(b, c))
+
+
+def test_a_schema_evolves_over_batches(spark, schema):
+    table = f"{schema}.feed"
+    batches = [
+        ['{"a": 1, "n": null}', "no json"], [], ["[1]"], ['{"a": 2.5, "b": [{"x": null}]}'], ['{"a": 1}'], ['{"b": [{"x": 3}], "n": {"m": true}}'],
+        ['{"a": "text", "b": 5}'],
+    ]
+    found = [evolve_json_schema(spark.createDataFrame([(t,) for t in b], "raw string"), "raw", table).simpleString() for b in batches]
+    assert found == [
+        "struct<a:bigint,n:string>", *["struct<a:bigint,n:string>"] * 2, *["struct<a:double,n:string,b:array<struct<x:string>>>"] * 2,
+        "struct<a:double,n:struct<m:boolean>,b:array<struct<x:bigint>>>", "struct<a:string,n:struct<m:boolean>,b:string>",
+    ]
+    changes = {r["batch"]: r["changes"] for r in spark.table(table).collect()}
+    assert changes == {
+        1: ["+ a: bigint", "+ n: void"],
+        2: ["a: bigint -> double", "+ b: array<struct<x:void>>"],
+        3: ["n: void -> struct<m:boolean>", "b[].x: void -> bigint"],
+        4: ["a: double -> string", "b: array<struct<x:bigint>> -> string"],
+    }
+    last = T.DataType.fromDDL(found[-1])
+    every = spark.createDataFrame([(t,) for b in batches for t in b], "raw string")
+    parsed = parse_json(every, "raw", last)
+    assert {r["a"] for r in parsed.collect()} == {"1", "2.5", "text", None}
+
+
+def test_variants_of_any_shape(spark):
+    texts = ['{"id": 1, "items": [{"p": "a", "q": 2}, {"p": 7}, 5, null]}', '{"id": 2, "items": []}', '{"id": "x", "items": null}', "[1]", "no json", None, '{"id": 3, "items": {"u": {"p": "o"}}}', '{"id": 4, "items": "text"}']
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    parents, items = {"id": ("$.id", "int")}, {"p": ("$.p", "string"), "q": ("$.q", "int")}
+    got = rows(flatten_variant(df, "raw", "$.items", parents, items, position="n"))
+    empty = {(2, None, None, None): 1, (None, None, None, None): 4, (4, None, None, None): 1}
+    full = {(1, 0, "a", 2): 1, (1, 1, "7", None): 1, (1, 2, None, None): 1, (1, 3, None, None): 1, (3, 0, "o", None): 1}
+    assert got == empty | full
+    assert rows(flatten_variant(df, "raw", "$.items", parents, items, outer=False, position="n")) == full

@@ -327,3 +327,47 @@ def test_forgetting_old_snapshots(spark, schema, target):  # noqa: F811
         "live=true/__commit=3",
     }
     assert len([p for p in left if "false" in p]) == 4
+
+
+def test_many_appends_are_merged(spark, schema):
+    table = f"{schema}.numbers"
+    tables.publish(numbers(spark, 0, 0), table)
+    data = lambda: {r["tableName"] for r in spark.sql(f"show tables in {schema}").collect() if "__v" in r["tableName"]}
+    before = None
+    for n in range(1, 21):
+        version = tables.append_rows(numbers(spark, n), table)
+        assert version == n + 1
+        assert rows(spark.table(table)) == {(0,): 2} | {(v,): 1 for v in range(1, n + 1)}
+        if before is not None:
+            # whoever began before the append still reads what there was
+            assert before.count() == n + 1
+        before = spark.table(table)
+    query = spark.sql(f"show create table {table}").first()[0]
+    assert query.count("UNION ALL") == 2  # 20 appends: 16 and 4, besides what was published
+    assert "numbers__v1" in data() and "numbers__v17_16" in data() and len(data()) <= 6
+    listed = tables.history(spark, table).collect()
+    assert [r["version"] for r in listed] == list(range(21, 0, -1))
+    assert {r["metrics"].get("rows") for r in listed if r["operation"] == "APPEND"} == {"1"}
+    tables.publish(numbers(spark, 5), table)
+    tables.publish(numbers(spark, 6), table)
+    assert data() == {"numbers__v22", "numbers__v23"}
+
+
+def test_merging_that_is_cut_off(spark, schema, monkeypatch):
+    table = f"{schema}.numbers"
+    tables.publish(numbers(spark, 0), table)
+    tables.append_rows(numbers(spark, 1), table)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "point_view", failing)
+        with pytest.raises(RuntimeError):
+            tables.append_rows(numbers(spark, 2), table)
+    assert rows(spark.table(table)) == {(0,): 1, (1,): 1}
+    tables.append_rows(numbers(spark, 3), table)
+    tables.append_rows(numbers(spark, 4), table)
+    assert rows(spark.table(table)) == {(v,): 1 for v in (0, 1, 3, 4)}
+
+
+def test_views_without_a_list_of_parts(spark, schema):
+    found = {tables.VERSION_PROPERTY: "4", tables.BASE_PROPERTY: "2"}
+    assert tables._parts(found) == ["v2", "v3", "v4"]
+    assert tables._parts(found | {tables.PARTS_PROPERTY: "v2,v4_2"}) == ["v2", "v4_2"]
