@@ -143,12 +143,18 @@ def _dealt(df: DataFrame, schema: T.StructType, parts: str, part: str) -> DataFr
 
 def _repeated(df: DataFrame, parts: str, part: str) -> DataFrame:
     """Each row once for every part, by two numbers, so that no array is longer than the root
-    of a large number of parts."""
+    of a large number of parts.
+
+    The filters are always true. They keep the two generators apart: where one stands directly on the other, Spark 4.1
+    loses struct fields that are read behind them.
+    """
     high = f"explode(sequence(0L, ({parts} - 1) div {STRIDE})) as __high"
     low = f"explode(sequence(0L, least({STRIDE}L, {parts} - __high * {STRIDE}) - 1)) as __low"
     return (
         df.selectExpr("*", high)
+        .where("__high >= 0")
         .selectExpr("*", low)
+        .where("__low >= 0")
         .withColumn(part, F.expr(f"__high * {STRIDE} + __low"))
         .drop("__high", "__low")
     )

@@ -73,6 +73,15 @@ def test_keys_of_different_types(spark, how):
     assert rows(skew.salted_join(left, right, ["k"], how, 1)) == rows(left.join(right, ["k"], how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_fields_of_structs_behind_the_join(spark, how):
+    left = spark.range(300).selectExpr("id % 3 as k", "named_struct('p', id, 'q', id + 1, 'r', 'x') as v")
+    right = spark.createDataFrame([(0, ("a", "b", 1)), (1, (None, "d", 2))], "k bigint, s struct<x:string,y:string,z:int>")
+    read = ["k", "v.p", "v.q", "s.x", "coalesce(s.y, 'none') as y"]
+    got = skew.salted_join(left, right, ["k"], how, 10).selectExpr(*read)
+    assert rows(got) == rows(left.join(right, ["k"], how).selectExpr(*read))
+
+
 MIXED = {
     "string/int": ("string", ["01"] * 50 + ["2", "002", None], "int", [1, 2, 3, None]),
     "int/string": ("int", [1] * 50 + [2, None], "string", ["01", "2", " 1", "0002"]),
