@@ -9,10 +9,9 @@ Python worker, so that workers of a machine share one copy.
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 from collections.abc import Iterator, Sequence
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from chronofold.functions import col_of
 from chronofold.operators.sizing import measure
-from chronofold.sources.scratch import shared_folder
-
-# Rules up to this size are sent to the executors as files; beyond it they are joined.
-FILE_BYTES = 256 * 1024 * 1024
+from chronofold.operators.skew import ROWS_PER_SALT, salted_join
+from chronofold.sources.scratch import freeze, shared_folder
+
+# Rules up to this size pass through the driver and are sent to the executors as files; beyond it they are joined.
+FILE_BYTES = 64 * 1024 * 1024
+# Bytes that are written to a file at a time.
+WRITE_BYTES = 4 * 1024 * 1024
+BEST = "_url_rules_best"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -40,37 +43,42 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), PARTS, 2)
 
 
-def write_arrays(rules: Sequence[tuple[str, str, str]], folder: Path) -> None:
-    """The rules as files: digests in order, strings with their ends, hosts' lengths, verdicts."""
+def rule_arrays(rules: Sequence[tuple[str, str, str]]) -> dict[str, np.ndarray]:
+    """The rules as arrays: digests in order, strings with their ends, hosts' lengths, verdicts."""
     digests = np.array([xxhash.xxh64_intdigest(h + p) for h, p, _ in rules], np.uint64)
     order = np.argsort(digests, kind="stable")
     strings = [(rules[i][0] + rules[i][1]).encode() for i in order]
-    np.save(folder / "digests.npy", digests[order])
-    np.save(folder / "ends.npy", np.cumsum([0, *map(len, strings)]))
-    np.save(folder / "strings.npy", np.frombuffer(b"".join(strings), np.uint8))
-    np.save(folder / "hosts.npy", np.array([len(rules[i][0].encode()) for i in order], np.int32))
-    np.save(folder / "blocks.npy", np.array([rules[i][2] == "block" for i in order], bool))
-    np.save(folder / "lengths.npy", np.unique([len(p.encode()) for _, p, _ in rules]).astype(np.int32))
+    return {
+        "digests": digests[order],
+        "ends": np.cumsum([0, *map(len, strings)]),
+        "strings": np.frombuffer(b"".join(strings), np.uint8),
+        "hosts": np.array([len(rules[i][0].encode()) for i in order], np.int32),
+        "blocks": np.array([rules[i][2] == "block" for i in order], bool),
+        "lengths": np.unique([len(p.encode()) for _, p, _ in rules]).astype(np.int32),
+    }
 
 
 def send_arrays(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> str:
-    """Put the files into the shared folder, for every executor to fetch; returns their label.
+    """Put the arrays as files into the shared folder, for every executor to fetch; returns their label.
 
     An executor that is added or replaced later fetches them from there too, for as long as
     the application lasts: so they don't lie in the run's folder, which may go before.
     """
     label = uuid.uuid4().hex
-    shared = f"{shared_folder(spark).rstrip('/')}/url-rules-{label}"
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(shared)
+    target = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/url-rules-{label}")
     system = target.getFileSystem(conf)
     system.mkdirs(target)
-    with tempfile.TemporaryDirectory() as folder:
-        write_arrays(rules, Path(folder))
-        for file in Path(folder).iterdir():
-            there = jvm.org.apache.hadoop.fs.Path(target, f"{label}-{file.name}")
-            system.copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(file.as_uri()), there)
-            spark.sparkContext.addFile(system.makeQualified(there).toString())
+    for name, values in rule_arrays(rules).items():
+        held = io.BytesIO()
+        np.save(held, values)
+        there = jvm.org.apache.hadoop.fs.Path(target, f"{label}-{name}.npy")
+        out = system.create(there)
+        view = held.getbuffer()
+        for at in range(0, len(view), WRITE_BYTES):
+            out.write(bytearray(view[at : at + WRITE_BYTES]))
+        out.close()
+        spark.sparkContext.addFile(system.makeQualified(there).toString())
     return label
 
 
@@ -85,8 +93,15 @@ class RuleArrays:
     def judge(self, hosts: list[str], paths: list[str]) -> tuple[list, list]:
         """The longest fitting rule and its verdict for each url; without one, none and allow.
 
-        Of two rules of equal length the one with the longer host counts.
+        Of two rules of equal length the one with the longer host counts. Urls that repeat are looked up once.
         """
+        pairs = list(zip(hosts, paths))
+        once = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
+        rules, verdicts = self._judged([h for h, _ in once], [p for _, p in once])
+        at = [once[pair] for pair in pairs]
+        return [rules[k] for k in at], [verdicts[k] for k in at]
+
+    def _judged(self, hosts: list[str], paths: list[str]) -> tuple[list, list]:
         owners, keys, host_sizes = [], [], []
         for k, (host, path) in enumerate(zip(hosts, paths)):
             raw, start = path.encode(), 0
@@ -123,7 +138,7 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", file_bytes: in
     ``rules`` has host, path and verdict (block or allow), all strings. A null url, and one without
     ``://``, has an empty host and path; no rule fits it. A url that no rule fits is allowed and has a null
     rule. A rule given twice with both verdicts blocks. Columns with the name of an added one
-    are replaced. Without rules everything is allowed.
+    are replaced, all others stay; internal names start with ``_url_rules_``. Without rules everything is allowed.
     """
     spark = df.sparkSession
     rules = (
@@ -132,13 +147,12 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", file_bytes: in
         .groupBy("host", "path")
         .agg(F.max("verdict").alias("verdict"))
     )
-    parts = {"host": host_of(col_of(url)), "path": path_of(col_of(url))}
-    df = df.withColumn("_url", col_of(url)).drop("rule", "verdict", "_rule_id")
-    df = df.withColumns({n: host_of(F.col("_url")) if n == "host" else path_of(F.col("_url")) for n in parts}).drop("_url")
+    kept = [col_of(c) for c in df.columns if c not in ("host", "path", "rule", "verdict")]
+    df = df.select(*kept, host_of(col_of(url)).alias("host"), path_of(col_of(url)).alias("path"))
     if not measure(rules).fits(file_bytes):
         return judge_by_join(df, rules)
-    rows = [(r["host"], r["path"], r["verdict"]) for r in rules.collect()]
-    label = send_arrays(spark, rows)
+    listed = rules.toArrow().to_pydict()
+    label = send_arrays(spark, list(zip(listed["host"], listed["path"], listed["verdict"])))
     names = df.columns
     schema = T.StructType([*df.schema, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
 
@@ -154,8 +168,11 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", file_bytes: in
     return df.mapInArrow(judge, schema)
 
 
-def judge_by_join(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same result with the rules joined by their digest, for lists too large to send."""
+def judge_by_join(df: DataFrame, rules: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """The same result with the rules joined by their digest, for lists too large to send.
+
+    A rule that fits very many urls, and a url that is found very often, are dealt over several tasks.
+    """
     sizes = F.octet_length("path")
     lengths = [r[0] for r in rules.select(sizes).distinct().orderBy(sizes).collect()]
     urls = df.select("host", "path").where("host <> ''").distinct()
@@ -172,14 +189,12 @@ def judge_by_join(df: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("path").alias("rule_path"),
         F.col("verdict").alias("said"),
     )
-    keys = keys.withColumn("digest", F.xxhash64("h", "p")).join(listed, "digest")
+    keys = salted_join(keys.withColumn("digest", F.xxhash64("h", "p")), listed, ["digest"], "inner", rows_per_salt)
     keys = keys.where((F.col("h") == F.col("rule_host")) & (F.col("p") == F.col("rule_path").cast("binary")))
     rule = F.concat("rule_host", "rule_path")
     best = keys.groupBy("host", "path").agg(
-        F.max(F.struct(F.octet_length(rule).alias("n"), F.octet_length("rule_host").alias("m"), rule.alias("rule"), "said")).alias("best")
+        F.max(F.struct(F.octet_length(rule).alias("n"), F.octet_length("rule_host").alias("m"), rule.alias("rule"), "said")).alias(BEST)
     )
-    best = best.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "best")
-    joined = df.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
-    return joined.withColumns(
-        {"rule": F.col("best.rule"), "verdict": F.coalesce("best.said", F.lit("allow"))}
-    ).drop("_h", "_p", "best")
+    joined = salted_join(df, freeze(best), ["host", "path"], "left", rows_per_salt)
+    found = {"rule": F.col(f"{BEST}.rule"), "verdict": F.coalesce(f"{BEST}.said", F.lit("allow"))}
+    return joined.select(*map(col_of, df.columns), *[value.alias(name) for name, value in found.items()])

@@ -49,11 +49,28 @@ def test_without_rules_and_without_rows(spark):
     assert url_rules.judge_urls(df.limit(0), spark.createDataFrame(RULES, none.schema)).count() == 0
 
 
-def test_equal_digests_are_told_apart_by_the_string(monkeypatch, tmp_path):
-    import numpy as np
+@pytest.mark.parametrize("file_bytes", [url_rules.FILE_BYTES, 0])
+def test_other_columns_stay_whatever_their_names(spark, file_bytes):
+    names = ["best", "_h", "_p", "_url", "_rule_id", "said", "digest", "h", "p", "rule_host"]
+    df = spark.createDataFrame([(1, "http://example.net/en/", *names)], "page_id int, url string, " + ", ".join(f"{n} string" for n in names))
+    row = url_rules.judge_urls(df, spark.createDataFrame(RULES, "host string, path string, verdict string"), file_bytes=file_bytes).first()
+    assert [row[n] for n in names] == names and (row.rule, row.verdict) == ("example.net/en/", "allow")
+    assert list(row.asDict()) == ["page_id", "url", *names, "host", "path", "rule", "verdict"]
+
+
+@pytest.mark.parametrize("rows_per_salt", [1, 5])
+def test_hot_rules_and_urls_are_dealt_out(spark, rows_per_salt):
+    urls = [f"http://h{i % 20}.net/en/{i % 30}" for i in range(200)] + ["http://example.net/en/"] * 50 + URLS
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string")
+    parts = df.select("page_id", url_rules.host_of(df.url).alias("host"), url_rules.path_of(df.url).alias("path"))
+    rules = spark.createDataFrame([(h, p, v) for h, p, v in RULES if (h, p, v) != ("net", "/", "allow")], "host string, path string, verdict string")
+    out = url_rules.judge_by_join(parts, rules, rows_per_salt)
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()} == {i: judged(u, RULES) for i, u in enumerate(urls)}
+
 
+def test_equal_digests_are_told_apart_by_the_string(monkeypatch):
     monkeypatch.setattr(url_rules.xxhash, "xxh64_intdigest", lambda s: len(s) % 3)
-    url_rules.write_arrays([(h, p, v) for h, p, v in URL_RULES], tmp_path)
-    arrays = url_rules.RuleArrays(lambda name: np.load(tmp_path / f"{name}.npy", mmap_mode="r"))
+    made = url_rules.rule_arrays([(h, p, v) for h, p, v in URL_RULES])
+    arrays = url_rules.RuleArrays(made.__getitem__)
     cases = [judged(u, URL_RULES) for u in URLS]
     assert arrays.judge([c[0] for c in cases], [c[1] for c in cases]) == ([c[2] for c in cases], [c[3] for c in cases])
