@@ -20,11 +20,26 @@ END = r"""[.!?…。！？:;"'”’»)\]]\s*$"""
 MOST_SYMBOLS_PER_100_WORDS = 20
 MOST_SHOUTS_PER_100_WORDS = 30
 SHOUT = r"[!?]{2,}"
-NAVIGATION = r"(?i)^\s*(home|menu|skip to|back to top|next|previous|login|log in|sign in|sign up|share|search)\b.{0,40}$"
+# What such lines begin with or hold in English, German, French and Spanish. Letters beyond ASCII are written in
+# both cases, and word ends by letter classes, as engines differ in how far they fold case and know such letters.
+NAVIGATION = (
+    r"(?i)^\s*(home|menu|skip to|back to top|next|previous|login|log in|sign in|sign up|share|search"
+    r"|startseite|men(ü|Ü)|zum inhalt|nach oben|weiter|zur(ü|Ü)ck|anmelden|registrieren|teilen|suche"
+    r"|accueil|aller au contenu|haut de page|suivant|pr(é|É)c(é|É)dent|connexion|se connecter|s'inscrire|partager|rechercher"
+    r"|inicio|men(ú|Ú)|saltar al contenido|volver arriba|siguiente|anterior|iniciar sesi(ó|Ó)n|registrarse|compartir|buscar)"
+    r"($|[^\p{L}\p{N}_].{0,39}$)"
+)
 BOILERPLATE = (
     r"(?i)(cookie policy|accept (all )?cookies|enable javascript|all rights reserved|terms of (use|service)"
-    r"|privacy policy|click here|subscribe to our|lorem ipsum)"
+    r"|privacy policy|click here|subscribe to our|lorem ipsum"
+    r"|cookie-richtlinie|cookies akzeptieren|javascript aktivieren|alle rechte vorbehalten|nutzungsbedingungen"
+    r"|datenschutzerkl(ä|Ä)rung|hier klicken|accepter (tous )?les cookies|activer javascript"
+    r"|tous droits r(é|É)serv(é|É)s|conditions d'utilisation|politique de confidentialit(é|É)|cliquez ici"
+    r"|aceptar (todas )?las cookies|activar javascript|todos los derechos reservados|condiciones de uso"
+    r"|pol(í|Í)tica de privacidad|haga clic aqu(í|Í))"
 )
+# A longer line may say such a thing in passing; it is no boilerplate for that.
+LONGEST_BOILERPLATE = 200
 # A text is rejected when less than this share of its letters is in lines that pass.
 LEAST_KEPT_PERCENT = 50
 
@@ -99,14 +114,14 @@ def symbols_in(text: Column) -> Column:
 
 def line_passes(line: Column) -> Column:
     """Whether a line with words passes: it ends like a sentence, is not made of symbols or
-    shouts, and is neither navigation nor boilerplate."""
+    shouts, and is neither navigation nor boilerplate, in any of four languages."""
     n = F.regexp_count(line, F.lit(WORD))
     return (
         line.rlike(END)
         & (symbols_in(line) * 100 <= n * MOST_SYMBOLS_PER_100_WORDS)
         & (F.regexp_count(line, F.lit(SHOUT)) * 100 <= n * MOST_SHOUTS_PER_100_WORDS)
         & ~line.rlike(NAVIGATION)
-        & ~line.rlike(BOILERPLATE)
+        & ((F.char_length(line) > LONGEST_BOILERPLATE) | ~line.rlike(BOILERPLATE))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronofold.llm.line_rules import BOILERPLATE, END, NAVIGATION, SHOUT
+from chronofold.llm.line_rules import BOILERPLATE, END, LONGEST_BOILERPLATE, NAVIGATION, SHOUT
 
 
 def literal(pattern: str) -> str:
@@ -89,7 +89,7 @@ WITH words AS (
         AND length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) * 100 <= n * 20
         AND len(regexp_extract_all(line, {literal(SHOUT)})) * 100 <= n * 30
         AND NOT regexp_matches(line, {literal(NAVIGATION)})
-        AND NOT regexp_matches(line, {literal(BOILERPLATE)}) AS passes
+        AND (length(line) > {LONGEST_BOILERPLATE} OR NOT regexp_matches(line, {literal(BOILERPLATE)})) AS passes
     FROM worded
 ), sums AS (
     SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines,

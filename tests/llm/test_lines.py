@@ -182,3 +182,19 @@ def test_kept_agrees_with_labels(spark):
     both = judged.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("NOT base_failed")
     row = both.agg(F.avg(F.expr("if(quality = 1, kept, null)").cast("int")).alias("clean"), F.avg(F.expr("if(quality = 0, kept, null)").cast("int")).alias("junk")).first()
     assert row.clean > 0.98 and row.junk < 0.1
+
+
+def test_navigation_and_boilerplate_in_four_languages(spark):
+    bad = [
+        "Home.", "MENÜ!", "Menü: alles.", "Zurück zur Übersicht.", "Startseite | Kontakt.", "Précédent.", "PRÉCÉDENT page.", "Accueil.",
+        "Se connecter ici.", "Menú.", "Iniciar sesión.", "INICIAR SESIÓN.", "Siguiente página.", "Volver arriba.", "Next page.",
+        "Alle Rechte vorbehalten.", "Wir bitten: Cookies akzeptieren.", "Datenschutzerklärung.", "Tous droits réservés.", "TOUS DROITS RÉSERVÉS.",
+        "Lisez la politique de confidentialité.", "Todos los derechos reservados.", "Política de privacidad.", "Accept all cookies.",
+    ]
+    good = [
+        "Homes are warm.", "Menüs sind gut.", "Inicios de todo.", "Nextel is a name.", "Weiterhin gilt das.", "Suchende finden.",
+        "Es steht da, doch " + "sehr lange " * 18 + "alle Rechte vorbehalten.", "Next " + "comes a line that is far too long to be a link.",
+    ]
+    df = spark.createDataFrame([(x,) for x in bad + good], "line string")
+    passes = {r.line: r.ok for r in df.select("line", line_rules.line_passes(F.col("line")).alias("ok")).collect()}
+    assert [x for x in bad if passes[x]] == [] and [x for x in good if not passes[x]] == []
