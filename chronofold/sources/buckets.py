@@ -292,7 +292,7 @@ def commit_bucketed(
             options = order, reopen_closed, same_day, broadcast_bytes
             staged, metrics = _stage(store, batch, as_of, *options, share)
             operation = "SCD2"
-            if check and (broken := _violations(store, staged, broadcast_bytes)):
+            if check and (broken := _violations(store, staged, batch, broadcast_bytes)):
                 metrics, staged, operation = {"violations": broken}, None, "REJECTED"
         with claimed(spark, table, patience):
             if live_version(spark, table, BUCKETED) == store.live:
@@ -361,15 +361,15 @@ def _touched(store: _Store, keys: DataFrame, among: str, broadcast_bytes: int) -
     return current.unionByName(closed)
 
 
-def _violations(store: _Store, staged: DataFrame, broadcast_bytes: int) -> int:
-    """Violations among all versions of the keys that a staged commit changes."""
+def _violations(store: _Store, staged: DataFrame, batch: DataFrame, broadcast_bytes: int) -> int:
+    """Violations among all versions of the batch's keys, were a staged commit seen. Other keys are not judged."""
     dim, names = store.dim, [quoted(c) for c in store.columns]
-    keys = staged.select(*[col_of(k) for k in dim.keys]).distinct()
-    closed = store.rows.where(f"NOT {quoted(dim.current)} AND {COMMIT} <= {store.live}")
+    keys = _batch_keys(store, batch)
     buckets = [r[BUCKET] for r in staged.select(BUCKET).distinct().collect()]
-    closed = closed.where(F.col(BUCKET).isin(buckets)).select(*names)
-    closed = closed.join(broadcast_if(measure(keys).fits(broadcast_bytes), keys), list(dim.keys), "left_semi")
-    return scd2_check(staged.select(*names).unionByName(closed.select(*names)), dim).count()
+    closed = store.rows.where(f"NOT {quoted(dim.current)} AND {COMMIT} <= {store.live}").where(F.col(BUCKET).isin(buckets))
+    versions = staged.select(*names).unionByName(closed.select(*names))
+    mine = versions.join(broadcast_if(measure(keys).fits(broadcast_bytes), keys), list(dim.keys), "left_semi")
+    return scd2_check(mine.select(*names), dim).count()
 
 
 def _publish(store: _Store, staged: DataFrame | None, operation: str, metrics: dict) -> None:

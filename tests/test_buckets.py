@@ -211,6 +211,17 @@ def test_a_commit_that_breaks_a_rule_is_not_shown(spark, schema):
     assert spark.table(table).where("is_current and v = 'early'").count() == 4
 
 
+def test_only_the_keys_of_a_batch_are_judged(spark, schema):
+    dim, table = Dimension(keys=("id",), tracked=("v",)), f"{schema}.d"
+    broken = [(None, "a", day(0), OPEN, True), (None, "b", day(0), OPEN, True), (1, "a", day(5), day(3), False), (1, "a", day(6), OPEN, True)]
+    df = spark.createDataFrame([*broken, (2, "a", day(0), OPEN, True)], "id bigint, v string, eff_start date, eff_end date, is_current boolean")
+    buckets.create_bucketed(df, table, dim, buckets=1)
+    options = {"check": True, "share": 0.0}
+    assert buckets.commit_bucketed(spark, table, spark.createDataFrame([(2, "b")], "id bigint, v string"), dim, day(9), **options)["expired"] == 1
+    assert buckets.commit_bucketed(spark, table, spark.createDataFrame([(1, "b")], "id bigint, v string"), dim, day(9), **options) == {"violations": 1}
+    assert spark.table(table).where("is_current").count() == 4
+
+
 def test_kinds_and_names(spark, schema):
     table, dim = many(spark, schema, 5)
     with pytest.raises(ValueError, match="is a bucketed table"):
