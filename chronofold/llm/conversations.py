@@ -81,6 +81,9 @@ class Weights:
         return digits.rstrip("0").translate(_LETTERS)
 
 
+# Cost and letters from each state to each, sixteen in all; none where no edits lead there.
+Ways = list[tuple[int, str] | None]
+
 _LETTERS = {ord(str(d)): letter for letter, d in DIGIT.items()}
 _DIGITS = {ord(letter): str(d) for letter, d in DIGIT.items()}
 
@@ -133,7 +136,7 @@ def whole(symbols: str) -> tuple[int, str]:
 
 
 @lru_cache(maxsize=2_000)
-def block(symbols: str) -> list[tuple[int, str] | None]:
+def block(symbols: str) -> Ways:
     """For each state before and each after these rows, sixteen in all: cost and letters, or none.
 
     Two runs of edits of one block with equal states and cost are never one the beginning of the other, as the
@@ -148,6 +151,54 @@ def block(symbols: str) -> list[tuple[int, str] | None]:
     ]
 
 
+def in_a_row(left: Ways, right: Ways) -> tuple[Ways, bytes]:
+    """The ways through two neighbouring blocks, as ``block`` gives them, and the state between them for each."""
+    weights = Weights(sum(max((len(w[1]) for w in ways if w), default=0) for ways in (left, right)))
+    rest = [None if w is None else weights.joined(*w, 0) for w in right]
+    ways, between = [], bytearray()
+    for q in STATES:
+        for to in STATES:
+            # the weight tells the letters and they tell the states, so equal weights can't differ in the state
+            weight, middle = min(
+                (
+                    (weights.joined(*left[4 * q + m], rest[4 * m + to]), m)
+                    for m in STATES
+                    if left[4 * q + m] is not None and rest[4 * m + to] is not None
+                ),
+                default=(None, 0),
+            )
+            ways.append(None if weight is None else (weights.cost(weight), weights.letters(weight)))
+            between.append(middle)
+    return ways, bytes(between)
+
+
+def best_ways(blocks: list[Ways]) -> tuple[int, str, list[tuple[int, int]]]:
+    """Cost and letters of a conversation in blocks, and the states before and after each of them.
+
+    Neighbours are joined two by two until one is left, so that letters are copied as often as the number of blocks
+    can be halved.
+    """
+    levels, row = [], blocks
+    while len(row) > 1:
+        joined = [in_a_row(*row[i : i + 2]) for i in range(0, len(row) - 1, 2)]
+        levels.append([between for _, between in joined])
+        row = [ways for ways, _ in joined] + row[len(row) & ~1 :]
+    ways = row[0][4 * NOTHING : 4 * NOTHING + 4]
+    weights = Weights(max(len(w[1]) for w in ways if w) + 3)
+    last = last_weights(weights)
+    weight, to = min((weights.joined(*w, last[to]), to) for to, w in enumerate(ways) if w is not None)
+    states = [(NOTHING, to)]
+    for level in reversed(levels):
+        # one without a neighbour stays as it is
+        odd = states[len(level) :]
+        states = [
+            pair
+            for (q, to), between in zip(states, level)
+            for pair in ((q, between[4 * q + to]), (between[4 * q + to], to))
+        ] + odd
+    return weights.cost(weight), weights.letters(weight), states
+
+
 def edits(symbols: str, state: int, letters: str) -> tuple[list[str], list[str], str, int]:
     """For each row: initials of the turns inserted before it, and its edit (D, K, or the initial of its new role).
 
@@ -308,43 +359,28 @@ def _arrow(conv: pa.DataType) -> pa.Schema:
 
 
 def _joined(solved: DataFrame, kind: str) -> DataFrame:
-    """Conversations in blocks, solved from the last block to the first.
+    """Conversations in blocks, joined two by two.
 
-    A task holds of such a conversation the letters of its blocks' ways, some 50 bytes a row, and no text.
+    A task holds of such a conversation the letters of its blocks' ways, some 50 bytes a row, and no text; its
+    time grows little faster than the conversation.
     Returns rows as ``_solved`` does: one of each block with its rows' edits, and one of each conversation with the rest.
     """
     schema = f"conv {kind}, {_SOLVED}"
-    parts = solved.where("ways IS NOT NULL").repartition("conv").sortWithinPartitions("conv", F.col("at").desc())
+    parts = solved.where("ways IS NOT NULL").repartition("conv").sortWithinPartitions("conv", "at")
 
     def finish(blocks: list[dict], arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
-        blocks = blocks[::-1]
-        weights = Weights(sum(3 * b["n"] for b in blocks) + 3)
-        rest, taken = last_weights(weights), []
-        for b in reversed(blocks):
-            # positions of the best next state by state; equal weights can't differ in it
-            options = [
-                [
-                    (weights.joined(w["cost"], w["letters"], rest[to]), to)
-                    for to in STATES
-                    if (w := b["ways"][4 * q + to]) is not None and rest[to] is not None
-                ]
-                for q in STATES
-            ]
-            best = [min(o, default=(None, None)) for o in options]
-            rest = [w for w, _ in best]
-            taken.append([to for _, to in best])
-        audit = weights.letters(rest[NOTHING])
+        cost, audit, states = best_ways([[w and (w["cost"], w["letters"]) for w in b["ways"]] for b in blocks])
         total = {c: sum(b[c] for b in blocks) for c in ("n", "blank", "duplicate", "truncated", "illegal", "turns")}
         for left, right in zip(blocks, blocks[1:]):
             total["illegal"] += left["ends"][-1] + right["ends"][0] not in LEGAL
             total["turns"] -= left["high"] is not None and left["high"] == right["low"]
         low, high = ([b[c] for b in blocks if b[c] is not None] for c in ("low", "high"))
         total |= {"low": min(low, default=None), "high": max(high, default=None)}
-        total |= {"conv": blocks[0]["conv"], "cost": weights.cost(rest[NOTHING]), "audit": audit}
+        total |= {"conv": blocks[0]["conv"], "cost": cost, "audit": audit}
         yield pa.RecordBatch.from_pylist([total], schema=arrow)
-        state, used = NOTHING, 0
-        for b, to in zip(blocks, reversed(taken)):
-            letters = b["ways"][4 * state + to[state]]["letters"]
+        used = 0
+        for b, (state, to) in zip(blocks, states):
+            letters = b["ways"][4 * state + to]["letters"]
             used += len(letters)
             before, edit, _, state = edits(b["symbols"], state, letters)
             after = ""

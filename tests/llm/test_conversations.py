@@ -94,18 +94,23 @@ def test_long_conversations(symbols):
 @given(st.text(alphabet="suaoSUAOxuaua", min_size=1, max_size=30), st.integers(1, 7))
 def test_blocks_give_what_the_whole_gives(symbols, size):
     parts = [symbols[i : i + size] for i in range(0, len(symbols), size)]
-    weights = c.Weights(3 * len(symbols) + 3)
-    rest = c.last_weights(weights)
-    for part in reversed(parts):
-        ways = c.block(part)
-        rest = [
-            min(
-                (weights.joined(*ways[4 * q + to], rest[to]) for to in c.STATES if ways[4 * q + to] and rest[to] is not None),
-                default=None,
-            )
-            for q in c.STATES
-        ]
-    assert (weights.cost(rest[0]), weights.letters(rest[0])) == c.whole(symbols)
+    cost, letters, states = c.best_ways([c.block(part) for part in parts])
+    assert (cost, letters) == c.whole(symbols)
+    # each block's way between its states, and then what is inserted at the end
+    own = [c.block(part)[4 * q + to][1] for part, (q, to) in zip(parts, states)]
+    assert letters.startswith("".join(own)) and set(letters[len("".join(own)) :]) <= {"I"}
+    assert all(left[1] == right[0] for left, right in zip(states, states[1:])) and states[0][0] == c.NOTHING
+
+
+def test_joining_blocks_copies_letters_seldom(monkeypatch):
+    copied = []
+    plain = c.Weights.letters
+    monkeypatch.setattr(c.Weights, "letters", lambda self, w: copied.append(len(x := plain(self, w))) or x)
+    rng, length = random.Random(8), 64 * 64
+    blocks = [c.block("".join(rng.choices("suaoUAx", k=64))) for _ in range(64)]
+    copied.clear()
+    c.best_ways(blocks)
+    assert sum(copied) < 16 * 1.2 * length * 7
 
 
 def test_weights_order_as_cost_then_letters():
