@@ -5,8 +5,9 @@ the sets recursively: at each node of the tree some of the ``T`` places are chos
 similarity of them on average), and a set goes down each branch named by its value there. Sets as similar as
 asked for stay together on some path with a known probability; runs are repeated until the chance
 to lose a pair is below ``1 - recall``. Buckets of at most ``SMALL`` sets are compared pair by pair. A bucket that
-stays large is dense, as its sets resemble one another: it is cut into blocks, and every two of its blocks
-are compared in a task of their own. Similar pairs are always verified on the shingles themselves.
+stays large is dense. If its sets resemble one another it is cut into blocks, and every two of its blocks are compared
+in a task of their own. If they only share a part, as pages of one template do, its sets go through deeper trees,
+as many as these need for the same recall. Similar pairs are always verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -28,10 +29,15 @@ from chronofold.sources.scratch import freeze
 WIDTH = 5
 SIMILARITY = 0.8
 RECALL = 0.999
-# Places of a signature, sets of a bucket that are compared pair by pair, levels of the tree.
+# Places of a signature, sets of a bucket that are compared pair by pair, levels of the first trees and of the last ones.
 T = 64
 SMALL = 24
 LEVELS = 3
+DEEPEST = 12
+# A dense bucket of more sets than WIDE goes through deeper trees, if its sets agree in less than this share of the
+# similarity asked for. Below that size comparing all is cheaper.
+WIDE = 16384
+ALIKE = 0.6
 # Sets and bytes of shingles in a block of a dense bucket, sets that are gathered at once, columns of a matrix.
 ROWS = 3072
 BLOCK_BYTES = 8 * 1024 * 1024
@@ -156,9 +162,9 @@ def chosen(paths: np.ndarray, place: int, similarity: float = SIMILARITY) -> np.
     return mix(paths * _FACTOR[place] + _ADDED[place]) <= U(min(2**64 - 1, int(2**64 * chance(similarity))))
 
 
-def first_level(nodes: DataFrame, runs: int, similarity: float) -> DataFrame:
-    """Bucket and node for every branch that leaves the root, in every run."""
-    roots = mix(np.arange(1, runs + 1, dtype=U) * SEED)
+def first_level(nodes: DataFrame, runs: int, similarity: float, done: int = 0) -> DataFrame:
+    """Bucket and node for every branch that leaves the root, in every run; ``done`` runs were made before."""
+    roots = mix(np.arange(done + 1, done + runs + 1, dtype=U) * SEED)
     steps = [(root, i) for root in roots for i in range(T) if chosen(np.array([root]), i, similarity)[0]]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,11 +404,43 @@ def apart(pairs: DataFrame, dense: DataFrame) -> DataFrame:
     return pairs.where(~F.coalesce(F.arrays_overlap("paths_a", "paths_b"), F.lit(False))).select("a", "b")
 
 
-def candidates(nodes: DataFrame, similarity: float, runs: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs of small buckets that may be similar, from all runs, each once; and the records of dense buckets."""
+def agreement(records: DataFrame) -> DataFrame:
+    """The share of places in which two sets of a bucket agree on average (path, agree), from ``records`` (path, node, sig).
+
+    Each set is held against one other of its bucket. Rows are ordered by bucket and hash, so a bucket may be in many tasks.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, sigs = batch.column(0).to_numpy(), matrix(batch.column(1), len(batch))
+            left = np.flatnonzero(paths[1:] == paths[:-1])
+            known, at = np.unique(paths[left], return_inverse=True)
+            same = np.bincount(at, (sigs[left] == sigs[left + 1]).mean(axis=1), len(known))
+            columns = [pa.array(known), pa.array(same), pa.array(np.bincount(at, minlength=len(known)))]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "same", "n"])
+
+    order = ["path", F.xxhash64("node", "path")]
+    dealt = records.repartitionByRange(*order).sortWithinPartitions(*order).select("path", "sig")
+    sums = dealt.mapInArrow(compare, "path bigint, same double, n bigint").groupBy("path")
+    return sums.agg((F.sum("same") / F.sum("n")).alias("agree"))
+
+
+def unlike(dense: DataFrame, sigs: DataFrame, similarity: float) -> DataFrame | None:
+    """The dense buckets (``path``) of more than ``WIDE`` sets that are not one group of sets like one another, if any."""
+    wide = freeze(dense.groupBy("path").agg(F.count("*").alias("size")).where(F.col("size") > WIDE).select("path"))
+    if wide.isEmpty():
+        return None
+    # at most one for each WIDE records
+    seen = agreement(dense.join(broadcast_if(measure(wide).fits(SEND_BYTES), wide), "path", "left_semi").join(sigs, "node").select("path", "node", "sig"))
+    paths = freeze(seen.where(F.col("agree") < ALIKE * similarity).select("path"))
+    return None if paths.isEmpty() else paths
+
+
+def trees(nodes: DataFrame, similarity: float, runs: int, levels: int, done: int = 0) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs of small buckets that may be similar, from all runs; and the records of buckets dense at the last level."""
     sigs = nodes.select("node", "sig")
     found, level = None, 1
-    records = freeze(first_level(nodes, runs, similarity))
+    records = freeze(first_level(nodes, runs, similarity, done))
     while True:
         sizes = records.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         full = freeze(records.join(sizes, "path").join(sigs, "node"))
@@ -410,14 +448,40 @@ def candidates(nodes: DataFrame, similarity: float, runs: int) -> tuple[DataFram
         found = part if found is None else found.union(part)
         dense = full.where(F.col("size") > SMALL)
         if dense.isEmpty():
-            return found.distinct(), None
-        if level == LEVELS:
-            dense = freeze(dense.select("path", "node"))
-            return apart(found.distinct(), dense), dense
+            return found, None
+        if level == levels:
+            return found, freeze(dense.select("path", "node"))
         records = freeze(next_level(dense, similarity))
         level += 1
 
 
+def candidates(nodes: DataFrame, similarity: float, recall: float) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs that may be similar, each once, apart from those of dense buckets; and the records of these.
+
+    Pairs that met in a wide bucket of unlike sets are looked for anew, in trees twice as deep over the sets of such
+    buckets, whose runs reach the same recall by themselves. What is dense in the deepest ones is compared as it is.
+    """
+    found, kept, levels, done = None, None, LEVELS, 0
+    while True:
+        runs = runs_for(recall, similarity, levels)
+        pairs, dense = trees(nodes, similarity, runs, levels, done)
+        found = pairs if found is None else found.union(pairs)
+        again = None if dense is None or levels >= DEEPEST else unlike(dense, nodes.select("node", "sig"), similarity)
+        if again is not None:
+            few = measure(again).fits(SEND_BYTES)
+            ends = dense.join(broadcast_if(few, again), "path", "left_semi").select("node").distinct()
+            nodes = freeze(nodes.join(ends, "node", "left_semi"))
+            dense = dense.join(broadcast_if(few, again), "path", "left_anti")
+        if dense is not None:
+            kept = dense if kept is None else kept.union(dense)
+        if again is None:
+            break
+        levels, done = 2 * levels, done + runs
+    if kept is None:
+        return found.distinct(), None
+    return apart(found.distinct(), kept), kept
+
+
 def sets_of(df: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
     """The shingles of the wanted nodes (node, h1, h2, key), as sorted 64-bit hashes."""
     keys = wanted.select(F.col("key").alias("k")).distinct()
@@ -497,7 +561,7 @@ def similarity_join(
         F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")
     )
     nodes = freeze(nodes.withColumn("node", F.monotonically_increasing_id()))
-    pairs, dense = candidates(nodes.where("n > 0"), similarity, runs_for(recall, similarity))
+    pairs, dense = candidates(nodes.where("n > 0"), similarity, recall)
     links, degree = verified_links(df, nodes, freeze(pairs), dense, text, key, similarity)
     nodes = nodes.join(degree, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     members = rows.select("key", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])

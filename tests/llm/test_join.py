@@ -147,6 +147,48 @@ def test_links_of_a_large_group_are_all_counted(spark, monkeypatch, rows):
     assert got == {i: truth[shingle_set(t)] for i, t in enumerate(texts)}
 
 
+def test_texts_of_one_template_go_through_deeper_trees(spark, monkeypatch):
+    """Texts that share a third of their words with all others fill buckets without being alike."""
+    rng = random.Random(14)
+    texts = []
+    for i in range(220):
+        own = f"{sentence(9500, 60)} {sentence(30_000 + i, 65)}"
+        texts += [own] + [edited(own, 2, rng) for _ in range(i % 3)]
+    texts += [edited(sentence(9600, 120), 2, rng) for _ in range(60)]
+    rng.shuffle(texts)
+    monkeypatch.setattr(ngram_join, "SMALL", 4)
+    depths, compared, plain, gathered = [], [], ngram_join.trees, ngram_join.links_in_dense
+
+    def trees(nodes, similarity, runs, levels, done=0):
+        depths.append((levels, runs, done))
+        return plain(nodes, similarity, runs, levels, done)
+
+    def links_in_dense(dense, *rest):
+        compared.append(sum(r["count"] ** 2 for r in dense.groupBy("path").count().collect()))
+        return gathered(dense, *rest)
+
+    monkeypatch.setattr(ngram_join, "trees", trees)
+    monkeypatch.setattr(ngram_join, "links_in_dense", links_in_dense)
+    truth = classes(list(enumerate(texts)))
+    for wide in (ngram_join.WIDE, 12):
+        monkeypatch.setattr(ngram_join, "WIDE", wide)
+        assert classes_found(spark, texts) == {i: truth[shingle_set(t)] for i, t in enumerate(texts)}
+    runs = [ngram_join.runs_for(ngram_join.RECALL, levels=n) for n in (3, 6, 12)]
+    assert depths[:3] == [(3, runs[0], 0), (3, runs[0], 0), (6, runs[1], runs[0])]
+    assert all(d == (12, runs[2], runs[0] + runs[1]) for d in depths[3:])
+    # the group of like texts is still compared whole
+    assert compared[1] < 0.75 * compared[0]
+
+
+def test_agreement_of_buckets(spark):
+    rng = random.Random(15)
+    texts = [f"{sentence(9700, 100)} {sentence(40_000 + i, 100)}" for i in range(200)] + [edited(sentence(9800, 150), 1, rng) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = ngram_join.sketched(df, "text", "doc_id").selectExpr("key DIV 200 AS path", "key AS node", "sig").repartition(3)
+    got = {r.path: r.agree for r in ngram_join.agreement(rows).collect()}
+    assert 0.25 < got[0] < 0.42 and got[1] > 0.8
+
+
 def test_recall_holds_at_other_similarities(spark):
     rng = random.Random(5)
     rows, truth = [], 0
