@@ -18,6 +18,8 @@ CELL = [BIG_PART, OTHER_PART]
 
 # Rows of one key that a task should join; a key with more of them is salted.
 ROWS_PER_SALT = 1_000_000
+# A hot key's digest and its two numbers of parts.
+HOT_BYTES = 24
 # Numbers that one row is repeated by at a time.
 STRIDE = 1024
 
@@ -28,22 +30,16 @@ def hot_keys(
     """Digests of the keys with more than ``rows_per_salt`` rows on either side, with the parts
     that each side's rows are dealt into.
 
-    Sixteen bytes and two counts for each, and at most one such key for ``rows_per_salt`` rows: a
-    key's own width does not matter. Counts are combined in the map tasks.
+    A digest and two counts for each, and at most one such key for ``rows_per_salt`` rows: a
+    key's own width does not matter. Both sides go through one aggregate, combined in the map tasks.
     """
-    sides = []
-    for df, schema, parts in ((big, big.schema, BIG_PARTS), (other, big.schema, OTHER_PARTS)):
-        counted = df.groupBy(_digest(df, schema, on)).agg(F.count("*").alias(parts))
-        sides.append(
-            counted.where(F.col(parts) > rows_per_salt).withColumn(
-                parts, F.ceil(F.col(parts) / rows_per_salt).cast("bigint")
-            )
-        )
-    return (
-        sides[0]
-        .join(sides[1], DIGEST, "full_outer")
-        .selectExpr(DIGEST, *[f"coalesce({p}, 1L) as {p}" for p in (BIG_PARTS, OTHER_PARTS)])
-    )
+    both = [
+        df.select(_digest(df, big.schema, on), F.lit(left).alias(BIG_PARTS), F.lit(1 - left).alias(OTHER_PARTS))
+        for df, left in ((big, 1), (other, 0))
+    ]
+    counted = both[0].union(both[1]).groupBy(DIGEST).agg(*[F.sum(c).alias(c) for c in (BIG_PARTS, OTHER_PARTS)])
+    parts = [f"greatest(1L, ({c} + {rows_per_salt} - 1) div {rows_per_salt}) as {c}" for c in (BIG_PARTS, OTHER_PARTS)]
+    return counted.where(f"greatest({BIG_PARTS}, {OTHER_PARTS}) > {rows_per_salt}").selectExpr(DIGEST, *parts)
 
 
 def compared_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[str | None]:
@@ -107,14 +103,21 @@ def salted_join(
     # A null key matches nothing; only rows of ``big`` are kept without a match.
     other = other.where(f"not {any_null(on)}")
     hot = freeze(hot_keys(big, other, on, rows_per_salt))
-    small = measure(hot).fits()
+    most = hot.agg(F.count("*").alias("n"), F.max(BIG_PARTS).alias(BIG_PARTS), F.max(OTHER_PARTS).alias(OTHER_PARTS)).first()
+    if not most["n"]:
+        return big.join(other, list(on), how)
+    small = most["n"] * HOT_BYTES <= BROADCAST_BYTES
     left = _with_parts(big, big.schema, hot, on, small)
     right = _with_parts(other, big.schema, hot, on, small)
     columns = [*[c for c in big.columns if c in on], *[c for c in big.columns if c not in on]]
     left = _dealt(left, big.schema, BIG_PARTS, BIG_PART)
+    if most[OTHER_PARTS] == 1:
+        # no row of ``big`` is repeated, and the grid is a line
+        right = _repeated(right, BIG_PARTS, BIG_PART).drop(BIG_PARTS, OTHER_PARTS)
+        return left.drop(BIG_PARTS, OTHER_PARTS).join(right, [*on, BIG_PART], how).drop(BIG_PART)
     right = _dealt(right, other.schema, OTHER_PARTS, OTHER_PART)
     both = f"{OTHER_PARTS} > 1"
-    if how == "inner" or hot.where(both).isEmpty():
+    if how == "inner":
         return _cells(left, right, on, how)
     # Repeated rows of ``big`` must not be kept once for each part: matches and misses apart.
     single, grid = left.where(f"not {both}"), left.where(both)
