@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from chronofold.functions import col_of
-from chronofold.llm.batches import small_batches
+from chronofold.llm.batches import small_batches, use_small_batches
 from chronofold.llm.words import SPACED, U, mix, slices, text_bytes, words_of
 from chronofold.sources.scratch import freeze
 
@@ -29,15 +29,17 @@ EPOCHS = 6
 RATE = 0.4
 THRESHOLD = 0.3
 CHARS = (2, 3, 4)
+# Bytes of text that are scored at once, at some 50 bytes of memory for each; a longer text is scored on its own.
+SLICE_BYTES = 1 << 18
 _AGAIN = U(0x5851F42D4C957F2D)
 
 
-def features(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each group of features their buckets in order of place, and where each text begins.
+def features(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Group of features, buckets in order of place, and where each text's buckets begin.
 
     The groups are words, pairs of words and character n-grams (bytes of UTF-8, spaces
-    included). A word that repeats the one before it is replaced by a mark, so that repetition
-    of any word is one feature.
+    included), the last in one part for each n. A word that repeats the one before it is replaced by a mark,
+    so that repetition of any word is one feature.
     """
     shift = U(64 - BITS)
     words = words_of(data, at, SPACED, fold=False)
@@ -47,42 +49,33 @@ def features(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndar
         edge = words.first[(words.first > 0) & (words.first < len(tokens))]
         again[edge - 1] = False
         tokens[1:][again] = _AGAIN
-    single = (tokens >> shift).astype(np.int64)
-    groups = [(single, words.first)]
+    yield 0, (tokens >> shift).astype(np.int32), words.first
     pairs = mix(tokens[:-1] * U(3) + tokens[1:]) if len(tokens) > 1 else tokens[:0]
     inside = np.ones(len(pairs), bool)
     edge = words.first[(words.first > 0) & (words.first < len(tokens))]
     inside[edge - 1] = False
     before = np.concatenate([[0], np.cumsum(inside)])
-    groups.append(((pairs[inside] >> shift).astype(np.int64) + (1 << BITS), before[np.minimum(words.first, len(pairs))]))
-    wide = data.astype(np.uint32)
-    length = len(data)
-    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    found, owner = [], []
-    gram = wide.copy()
+    yield 1, (pairs[inside] >> shift).astype(np.int32) + np.int32(1 << BITS), before[np.minimum(words.first, len(pairs))]
+    wide, sizes = data.astype(np.uint32), np.diff(at)
+    gram = wide
     for n in range(2, max(CHARS) + 1):
-        gram = (gram[: length - n + 1] << np.uint32(8)) | wide[n - 1 :] if length >= n else gram[:0]
-        if n in CHARS and len(gram):
-            same = text[: len(gram)] == text[n - 1 :]
+        gram = (gram[:-1] << np.uint32(8)) | wide[n - 1 :]
+        if n in CHARS:
             hashed = gram * np.uint32(0x9E3779B1) ^ np.uint32((n * 0x85EBCA6B) & 0xFFFFFFFF)
             hashed ^= hashed >> np.uint32(15)
             hashed *= np.uint32(0x2C1B3C6D)
-            found.append((hashed >> np.uint32(32 - BITS))[same])
-            owner.append(text[: len(gram)][same])
-    if found:
-        owners = np.concatenate(owner)
-        order = np.argsort(owners, kind="stable") if len(at) > 2 else slice(None)
-        buckets = np.concatenate(found)[order].astype(np.int64) + (2 << BITS)
-        starts = np.searchsorted(owners[order], np.arange(len(at)))
-    else:
-        buckets, starts = np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    groups.append((buckets, starts))
-    return groups
+            hashed >>= np.uint32(32 - BITS)
+            # the last n - 1 bytes of a text begin none
+            whole = np.ones(len(data), bool)
+            for back in range(1, n):
+                whole[at[1:][sizes >= back] - back] = False
+            starts = np.concatenate([[0], np.cumsum(np.maximum(sizes - (n - 1), 0))])
+            yield 2, hashed[whole[: len(hashed)]].view(np.int32) + np.int32(2 << BITS), starts
 
 
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The different buckets of a text and how often it has each."""
-    found = [b for b, _ in features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))]
+    found = [b for _, b, _ in features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))]
     ids, counts = np.unique(np.concatenate(found), return_counts=True)
     return ids.astype(np.int32), counts.astype(np.int32)
 
@@ -103,14 +96,14 @@ class Model:
 
     def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Scores of texts; each is summed on its own, so it doesn't depend on its neighbours."""
-        n = len(at) - 1
-        logit = np.full(n, self.bias)
-        for buckets, starts in features(data, at):
-            counts = np.diff(starts)
-            some = np.flatnonzero(counts)
+        sums, counts = np.zeros((2, GROUPS, len(at) - 1))
+        for group, buckets, starts in features(data, at):
+            met = np.diff(starts)
+            some = np.flatnonzero(met)
             if len(some):
-                sums = np.add.reduceat(self.weights[buckets], starts[some])
-                logit[some] += sums / (counts[some] * GROUPS)
+                sums[group, some] += np.add.reduceat(self.weights[buckets], starts[some])
+                counts[group] += met
+        logit = self.bias + (sums / np.maximum(counts, 1)).sum(0) / GROUPS
         return 1 / (1 + np.exp(-logit))
 
 
@@ -203,8 +196,10 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | Non
 
     Only the text is looked at, all of it. Null and empty texts get the score of a text without features.
     ``keep`` names the columns to return besides (default: all); one that has the name of an
-    added column is replaced.
+    added column is replaced. Whole texts go to Python workers, so the session's batches of rows for them are
+    made small.
     """
+    use_small_batches(df.sparkSession)
     names = [c for c in df.columns if c not in ("score", "predicted")]
     kept = [c for c in (names if keep is None else keep) if c in names]
     df = df.select(*[col_of(c) for c in kept], col_of(text).alias("_scored_text"))
@@ -214,8 +209,9 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | Non
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = text_bytes(batch.column(len(kept)))
-            scores = [shared.value.scores(data[at[i] : at[j]], at[i : j + 1] - at[i]) for i, j in slices(at)]
-            found = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], names=schema.names)
+            for i, j in slices(at, SLICE_BYTES):
+                found = shared.value.scores(data[at[i] : at[j]], at[i : j + 1] - at[i])
+                rows = [column.slice(i, j - i) for column in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*rows, pa.array(found, pa.float64())], names=schema.names)
 
     return df.mapInArrow(add, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
