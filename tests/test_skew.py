@@ -38,6 +38,28 @@ def test_salts_follow_the_row_count(spark, big, other):
     assert skew.hot_keys(big, other, ["k"], rows_per_salt=10**6).isEmpty()
 
 
+def test_both_sides_are_counted_together(spark):
+    left = spark.createDataFrame([(1,)] * 25 + [(2,)] * 3 + [(3,)] * 10, "k int")
+    right = spark.createDataFrame([(1,)] * 2 + [(2,)] * 21 + [(4,)] * 11, "k int")
+    parts = skew.hot_keys(left, right, ["k"], rows_per_salt=10).collect()
+    assert sorted((r[skew.BIG_PARTS], r[skew.OTHER_PARTS]) for r in parts) == [(1, 2), (1, 3), (3, 1)]
+
+
+def test_rows_are_repeated_only_against_hot_keys(spark, big, other):
+    def generated(rows_per_salt, left=big, right=other):
+        joined = skew.salted_join(left, right, ["k"], "left", rows_per_salt)
+        # once it has run, the plan is shown twice
+        found = plan(joined).count("Generate explode")
+        assert rows(joined) == rows(left.join(right, ["k"], "left"))
+        return found
+
+    assert generated(10**6) == 0
+    assert generated(100) == 2
+    assert generated(1) > 2
+    empty = spark.createDataFrame([], other.schema)
+    assert generated(100, right=empty) == 2 and generated(100, left=big.limit(0)) == 0
+
+
 def test_a_key_over_the_limit_is_hot_however_large_the_table(spark):
     even = spark.range(100_000).selectExpr("id % 50000 as k")
     one = spark.createDataFrame([(0,)], "k bigint")
