@@ -63,6 +63,31 @@ def test_a_score_depends_on_its_text_alone():
     assert together[0] > 0.5 > together[5]
 
 
+def test_character_grams_by_plain_counting():
+    def bucket(gram):
+        hashed = int.from_bytes(gram, "big") * 0x9E3779B1 & 0xFFFFFFFF ^ len(gram) * 0x85EBCA6B & 0xFFFFFFFF
+        hashed = (hashed ^ hashed >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
+        return (hashed >> 32 - q.BITS) + (2 << q.BITS)
+
+    raw = [b"", b"a", b"ab", b"", b"abc", "é東 x".encode(), b"abcd abcd", b"\n"]
+    at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    parts = [(b, s) for group, b, s in q.features(np.frombuffer(b"".join(raw), np.uint8), at) if group == 2]
+    assert len(parts) == len(q.CHARS)
+    for n, (buckets, starts) in zip(q.CHARS, parts):
+        got = [buckets[i:j].tolist() for i, j in zip(starts, starts[1:])]
+        assert got == [[bucket(r[i : i + n]) for i in range(len(r) - n + 1)] for r in raw]
+
+
+def test_slices_change_no_score(spark, monkeypatch):
+    texts = [None, "", "a", "some plain words", "spam " * 50, "é 東京", "plain"] * 6
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    model = q.train([(*q.bag(t.encode()), y) for t, y in [("some plain words here", 1), ("spam spam spam!!", 0)] * 20])
+    whole = sorted(map(tuple, q.score(df, model).collect()), key=lambda r: r[0])
+    monkeypatch.setattr(q, "SLICE_BYTES", 7)
+    assert sorted(map(tuple, q.score(df, model).collect()), key=lambda r: r[0]) == whole
+    assert [r[0] for r in whole] == list(range(len(texts)))
+
+
 def test_odd_rows_quality(spark):
     labels = spark.createDataFrame([(5, 1), (6, 0), (7, None), (None, 1), (6, 1), (9, 7)], "doc_id bigint, quality int")
     model = q.fit(odd_frame(spark), labels)
