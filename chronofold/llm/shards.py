@@ -25,12 +25,12 @@ GRID = 32_768
 class Ends:
     """What is known of the running totals at which groups end.
 
-    ``known`` are real ends in order, 0 and the total among them. ``open`` holds, for each gap
-    after ``known[i]``, whether it may contain ends that are not known.
+    ``known`` are real ends in order, 0 and the total among them. ``open`` are the stretches, first and last
+    total, in order and apart, that may hold ends not known; no known end lies in one.
     """
 
     known: list[int]
-    open: list[bool]
+    open: list[tuple[int, int]]
 
     def sure(self, at: int) -> int:
         """The last known end that is not beyond ``at``."""
@@ -38,8 +38,13 @@ class Ends:
 
     def hoped(self, at: int) -> int:
         """No real end that is not beyond ``at`` lies beyond this."""
-        i = bisect_right(self.known, at) - 1
-        return at if i < len(self.open) and self.open[i] else self.known[i]
+        stretch = self.stretch(at)
+        return max(self.sure(at), min(at, stretch[1])) if stretch else self.sure(at)
+
+    def stretch(self, at: int) -> tuple[int, int] | None:
+        """The last open stretch that begins not beyond ``at``."""
+        i = bisect_left(self.open, (at + 1,)) - 1
+        return self.open[i] if i >= 0 else None
 
     def walk(self, capacity: int, shards: int, step) -> list[int]:
         at, stops = 0, []
@@ -62,7 +67,7 @@ def smallest(least: int, most: int, holds) -> int:
 
 def grid(groups: DataFrame, upto: str, spans: list[tuple[int, int]]) -> list[tuple]:
     """First and last end, and how many, in each cell of the spans; at most about GRID cells."""
-    width = max(1, -(-sum(b - a for a, b in spans) // GRID))
+    width = cell_width(spans)
     span = F.lit(None).cast("int")
     for i, (a, b) in enumerate(spans):
         span = F.when(F.col(upto).between(a, b), i).otherwise(span)
@@ -75,26 +80,60 @@ def grid(groups: DataFrame, upto: str, spans: list[tuple[int, int]]) -> list[tup
     return sorted((r["a"], r["b"], r["n"]) for r in cells.collect())
 
 
+def outside(stretches: list[tuple[int, int]], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans, in order and apart, leave of the stretches."""
+    out = []
+    for first, last in stretches:
+        for a, b in spans:
+            if b < first or a > last:
+                continue
+            if first < a:
+                out.append((first, a - 1))
+            first = b + 1
+        if first <= last:
+            out.append((first, last))
+    return out
+
+
 def refined(ends: Ends, spans: list[tuple[int, int]], cells: list[tuple]) -> Ends:
-    """The same knowledge with the cells in place of what was known inside the spans."""
-    was_open = {e: i < len(ends.open) and ends.open[i] for i, e in enumerate(ends.known)}
-    points = dict(was_open)
-    firsts = [a for a, _, _ in cells]
-    for a, b in spans:
-        for end in ends.known[bisect_left(ends.known, a) : bisect_right(ends.known, b)]:
-            i = bisect_right(firsts, end) - 1
-            points[end] = i >= 0 and end < cells[i][1] and cells[i][2] > 2
+    """The same knowledge with the cells in place of what was known inside the spans.
+
+    Beyond their cells the spans hold no end, also where a span stops short of the next known one.
+    """
+    known = sorted({*ends.known, *(end for cell in cells for end in cell[:2])})
+    open_ = outside(ends.open, spans)
     for a, b, n in cells:
-        points[a] = n > 2
-        if b > a:
-            points[b] = False
-    known = sorted(points)
-    for _, b in spans:
-        # beyond the span nothing new is known
-        i = bisect_right(ends.known, b) - 1
-        if was_open[ends.known[i]] and b > ends.known[i]:
-            points[known[bisect_right(known, b) - 1]] = True
-    return Ends(known, [points[e] for e in known[:-1]])
+        inside = known[bisect_left(known, a) : bisect_right(known, b)]
+        if n > len(inside):
+            open_ += [(x + 1, y - 1) for x, y in zip(inside, inside[1:]) if y - x > 1]
+    return Ends(known, sorted(open_))
+
+
+def cell_width(spans: list[tuple[int, int]]) -> int:
+    return max(1, -(-sum(b - a for a, b in spans) // GRID))
+
+
+def doubtful(ends: Ends, hoped: int, sure: int, shards: int) -> list[tuple[int, int]]:
+    """Where to look closer, given capacities that might hold and that does.
+
+    All totals at which a shard may end, if cells of their grid are finer than what is open there. Else, as
+    with groups about as large as a shard, the open stretches where shards of a few capacities would end: at
+    least one for the least capacity, and each shrinks by its first and last end, so the search comes to an end.
+    """
+    total = ends.known[-1]
+    low, high = ends.walk(hoped, shards, ends.sure), ends.walk(sure, shards, ends.hoped)
+    wide = merged([(max(1, a), min(total, b)) for a, b in zip(low, high) if a < total])
+    starts = [a for a, _ in wide]
+    within = [(x, y) for x, y in ends.open if (i := bisect_right(starts, y)) and wide[i - 1][1] >= x]
+    if 4 * cell_width(wide) <= max(y - x + 1 for x, y in within):
+        return wide
+    met: dict[tuple[int, int], None] = {}
+    for capacity in (hoped, (hoped + sure) // 2, sure - 1):
+        for at in ends.walk(capacity, shards, ends.hoped):
+            stretch = ends.stretch(at)
+            if stretch and at <= stretch[1]:
+                met[stretch] = None
+    return sorted(list(met)[: max(1, GRID // 2)])
 
 
 def minimax_cuts(groups: DataFrame, size: str, upto: str, shards: int) -> tuple[int, list[int]]:
@@ -108,7 +147,7 @@ def minimax_cuts(groups: DataFrame, size: str, upto: str, shards: int) -> tuple[
     if not total:
         return 0, [0] * (shards - 1)
     floor_ = max(largest, -(-total // shards))
-    spans, ends = [(1, total)], Ends([0, total], [True])
+    spans, ends = [(1, total)], Ends([0, total], [(1, total - 1)])
     while True:
         ends = refined(ends, spans, grid(groups, upto, spans))
         reaches = lambda c, step: ends.walk(c, shards, step)[-1] >= total
@@ -116,9 +155,7 @@ def minimax_cuts(groups: DataFrame, size: str, upto: str, shards: int) -> tuple[
         hoped = smallest(floor_, sure, lambda c: reaches(c, ends.hoped))
         if sure == hoped:
             break
-        low = ends.walk(hoped, shards, ends.sure)
-        high = ends.walk(sure, shards, ends.hoped)
-        spans = merged([(max(1, a), min(total, b)) for a, b in zip(low, high) if a < total])
+        spans = doubtful(ends, hoped, sure, shards)
     return sure, balanced(ends.known, sure, total, shards)
 
 

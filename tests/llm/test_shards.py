@@ -1,6 +1,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import pytest
 
@@ -78,3 +79,29 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert shards.shard_by_bytes(no_rows(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "sizes, grid, count",
+    [
+        ([33, 26, 42, 7, 5, 46, 34, 11], 7, 2),
+        # cells as wide as what is open: a closer look at single stretches
+        ([5, 35, 15, 7, 28, 43], 4, 3),
+    ],
+)
+def test_the_search_ends_where_a_span_stops_short_of_the_next_end(spark, monkeypatch, sizes, grid, count):
+    looks, look = [], shards.grid
+
+    def counted(groups, upto, spans):
+        looks.append(spans)
+        assert len(looks) < 20, "looks at the same totals again"
+        return look(groups, upto, spans)
+
+    monkeypatch.setattr(shards, "GRID", grid)
+    monkeypatch.setattr(shards, "grid", counted)
+    ends = list(accumulate(sizes))
+    groups = spark.createDataFrame(list(zip(sizes, ends)), "bytes bigint, upto bigint")
+    capacity, cuts = shards.minimax_cuts(groups, "bytes", "upto", count)
+    edges = [0, *cuts, ends[-1]]
+    assert len(looks) > 1 and capacity == best_capacity(sizes, count)
+    assert set(cuts) <= set(ends) and all(0 <= b - a <= capacity for a, b in zip(edges, edges[1:]))
