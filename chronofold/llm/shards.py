@@ -15,10 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chronofold.functions import col_of
-from chronofold.llm.prefix import range_bits, range_of_hex, with_running_sum
+from chronofold.llm.prefix import ROWS_PER_RANGE, range_bits, range_of_hex, with_running_sum
 from chronofold.sources.scratch import freeze
 
 GRID = 32_768
+# Small tables are numbered in at most so many tasks, each of which writes a file.
+FEW_TASKS = 64
 
 
 @dataclass
@@ -210,11 +212,14 @@ def shard_by_bytes(
             F.coalesce(F.sha2(content, 256), F.lit("")).alias("digest"),
         )
     )
-    bits = range_bits(rows.count())
+    n = rows.count()
+    bits, tasks = range_bits(n), max(FEW_TASKS, n // ROWS_PER_RANGE)
     groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
     groups = groups.withColumn("span", range_of_hex(F.col("digest"), bits)).withColumn("all", F.lit(0))
     groups = freeze(
-        with_running_sum(groups, ["all"], "span", ["digest"], "bytes", "upto").drop("all", "span")
+        with_running_sum(groups, ["all"], "span", ["digest"], "bytes", "upto", 1 << bits)
+        .drop("all", "span")
+        .coalesce(tasks)
     )
     capacity, cuts = minimax_cuts(groups, "bytes", "upto", shards)
     at = {r["upto"]: r["digest"] for r in groups.where(F.col("upto").isin(cuts)).collect()}
@@ -230,8 +235,8 @@ def shard_by_bytes(
         .withColumn("one", F.lit(1).cast("long"))
     )
     order = ["mixed", "key", "digest"]
-    slotted = with_running_sum(dealt, ["shard"], "span", order, "one", "upto")
-    return slotted.select(
+    slotted = with_running_sum(dealt, ["shard"], "span", order, "one", "upto", shards << bits)
+    return slotted.coalesce(tasks).select(
         F.col("key").alias(key),
         "size",
         "text_crc32",

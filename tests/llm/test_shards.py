@@ -5,7 +5,7 @@ from itertools import accumulate
 
 import pytest
 
-from chronofold.llm import shards
+from chronofold.llm import prefix, shards
 from samples import no_rows, odd_frame, odd_rows
 
 
@@ -105,3 +105,25 @@ def test_the_search_ends_where_a_span_stops_short_of_the_next_end(spark, monkeyp
     edges = [0, *cuts, ends[-1]]
     assert len(looks) > 1 and capacity == best_capacity(sizes, count)
     assert set(cuts) <= set(ends) and all(0 <= b - a <= capacity for a, b in zip(edges, edges[1:]))
+
+
+@pytest.mark.parametrize("most, joins", [(1 << 16, 0), (0, 1)])
+def test_rows_are_sorted_once_where_ranges_are_few(spark, monkeypatch, small_conf, most, joins):
+    small_conf("spark.sql.adaptive.enabled", "false")
+    small_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(prefix, "BROADCAST_RANGES", most, raising=False)
+    rows = [(i, f"text {i % 37}") for i in range(400)]
+    out = shards.shard_by_bytes(spark.createDataFrame(rows, "key bigint, text string"), key="key")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == joins and plan.count("BroadcastHashJoin") == 1 - joins
+    check(rows, out.collect(), 16)
+
+
+def test_small_tables_make_few_files(spark, monkeypatch, small_conf):
+    small_conf("spark.sql.adaptive.enabled", "false")
+    small_conf("spark.sql.shuffle.partitions", "20")
+    monkeypatch.setattr(shards, "FEW_TASKS", 3, raising=False)
+    rows = [(i, f"text {i % 37}") for i in range(400)]
+    out = shards.shard_by_bytes(spark.createDataFrame(rows, "key bigint, text string"), key="key")
+    assert out.rdd.getNumPartitions() == 3
+    check(rows, out.collect(), 16)
