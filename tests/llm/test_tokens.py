@@ -133,5 +133,37 @@ def test_all_orders_are_mixed():
     assert len({tuple(w) for w in mixer.weights[:, :, 0].tolist()}) > 4
 
 
+def coded_by_executors(spark, rows, which):
+    code = token_files.id_functions(spark)[which]
+    df = spark.createDataFrame([(i, bytearray(r)) for i, r in enumerate(rows)], "i int, given binary")
+    return [bytes(r[0]) for r in df.select(code("given").alias("x"), "i").sort("i").select("x").collect()]
+
+
+def test_executors_code_the_same_bytes(spark):
+    rng = np.random.default_rng(8)
+    kinds = [rng.integers(0, 65536, 2000), rng.integers(0, 2, 1500), np.zeros(1500), rng.zipf(1.2, 1500) % 50000]
+    ids = [np.array(x, np.int64) for x in ([], [0], [65535], np.concatenate([*kinds, np.tile([7, 65535, 9], 500)]))]
+    raw, coded = [x.astype("<u2").tobytes() for x in ids], [id_coder.encode(x) for x in ids]
+    assert coded_by_executors(spark, raw, 0) == coded
+    assert coded_by_executors(spark.newSession(), coded, 1) == raw
+
+
+def test_executors_find_damage(spark):
+    raw = id_coder.encode(np.arange(3000) % 700)
+    bad = [bytearray(raw) for _ in range(5)]
+    for b, at in zip(bad, (4, 8, 20, 200, len(raw) - 9)):
+        b[at] ^= 16
+    for b in (*bad, raw[:-1], raw[:7], b"", b"\xff" * 16):
+        with pytest.raises(Exception, match="checksum of block 0 differs|coded ids are cut short"):
+            coded_by_executors(spark, [b], 1)
+
+
+def test_ids_pass_from_part_to_part(spark, tokenizer):
+    rows = [(1, "a b" * token_files.PART), (2, "x"), (3, "c" * 50), (4, " d" * (token_files.PART - 1)), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = token_files.token_round_trip(df, PATH, ids=True).collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == documents(rows, tokenizer)
+
+
 def test_no_rows_no_file(spark):
     assert token_files.token_round_trip(no_rows(spark), PATH).count() == 0
